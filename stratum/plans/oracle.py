@@ -8,9 +8,12 @@ DECIMAL(28,4) sums as the Spark side so both engines agree bit for bit.
 
 from __future__ import annotations
 
-# ---------------------------------------------------------------- fragments
+# ---------------------------------------------------------------- weather
 
-BRONZE_WEATHER = """
+
+def bronze_weather_sql(src: str = "events", bump: str = "0") -> str:
+    v = f"(value + {bump})"
+    return f"""
   SELECT event_type AS _source,
          ts AS _ingested_at,
          'run-' || strftime(ts, '%Y%m%d%H') AS _ingestion_run_id,
@@ -21,31 +24,47 @@ BRONZE_WEATHER = """
          CAST(((user_id * 17) % 361) - 180 AS DOUBLE) AS longitude,
          CAST(user_id % 500 AS DOUBLE) AS elevation,
          CAST(CAST(ts AS DATE) AS TIMESTAMP) AS observation_time,
-         value / 4 - 20 AS temperature_2m,
-         value / 4 - 22 AS apparent_temperature,
+         {v} / 4 - 20 AS temperature_2m,
+         {v} / 4 - 22 AS apparent_temperature,
          CAST(event_id % 101 AS DOUBLE) AS relative_humidity_2m,
-         value / 100 AS precipitation,
-         value / 200 AS rain,
+         {v} / 100 AS precipitation,
+         {v} / 200 AS rain,
          0.0::DOUBLE AS showers,
          0.0::DOUBLE AS snowfall,
          CAST(event_id % 100 AS INTEGER) AS weather_code,
          CAST(event_id % 101 AS DOUBLE) AS cloud_cover,
-         value / 100 + 1000 AS pressure_msl,
+         {v} / 100 + 1000 AS pressure_msl,
          1000.0::DOUBLE AS surface_pressure,
-         value / 10 AS wind_speed_10m,
+         {v} / 10 AS wind_speed_10m,
          CAST(event_id % 360 AS DOUBLE) AS wind_direction_10m,
-         value / 5 AS wind_gusts_10m,
+         {v} / 5 AS wind_gusts_10m,
          hour(ts) BETWEEN 6 AND 17 AS is_day
-  FROM events
+  FROM {src}
 """
 
+
+BRONZE_WEATHER = bronze_weather_sql()
+
 DIM_CITY_V1 = """
   SELECT c_custkey AS city_id,
          CASE WHEN c_nationkey = 5 THEN '"' || c_name ELSE c_name END AS city_name
   FROM customer WHERE c_acctbal >= -900
 """
 
-SHAPED_WEATHER = """
+WEATHER_COLS = """city_id, observation_timestamp, temperature_c, apparent_temperature_c,
+  relative_humidity_pct, precipitation_mm, rain_mm, showers_mm, snowfall_cm, weather_code,
+  cloud_cover_pct, pressure_msl_hpa, surface_pressure_hpa, wind_speed_10m_kmh,
+  wind_direction_10m_deg, wind_gusts_10m_kmh, is_day, _source, _ingested_at"""
+
+
+def weather_chain(p: str, events_src: str = "events", bump: str = "0",
+                  merged_at: str = "2024-02-01 00:00:00") -> str:
+    """CTEs {p}_bronze, {p}_shaped, {p}_flagged, {p}_valid, {p}_invalid,
+    {p}_silver (needs a ``dim_v1`` CTE). A check fails only when its
+    condition is FALSE (NULL passes)."""
+    return f"""
+{p}_bronze AS ({bronze_weather_sql(events_src, bump)}),
+{p}_shaped AS (
   SELECT city_id, observation_time AS observation_timestamp,
          temperature_2m AS temperature_c, apparent_temperature AS apparent_temperature_c,
          relative_humidity_2m AS relative_humidity_pct, precipitation AS precipitation_mm,
@@ -54,16 +73,8 @@ SHAPED_WEATHER = """
          surface_pressure AS surface_pressure_hpa, wind_speed_10m AS wind_speed_10m_kmh,
          wind_direction_10m AS wind_direction_10m_deg, wind_gusts_10m AS wind_gusts_10m_kmh,
          is_day, _source, _ingested_at, _ingestion_run_id
-  FROM bronze_weather
-"""
-
-WEATHER_COLS = """city_id, observation_timestamp, temperature_c, apparent_temperature_c,
-  relative_humidity_pct, precipitation_mm, rain_mm, showers_mm, snowfall_cm, weather_code,
-  cloud_cover_pct, pressure_msl_hpa, surface_pressure_hpa, wind_speed_10m_kmh,
-  wind_direction_10m_deg, wind_gusts_10m_kmh, is_day, _source, _ingested_at"""
-
-# A check fails only when its condition is FALSE (NULL passes).
-FLAGGED_WEATHER = """
+  FROM {p}_bronze),
+{p}_flagged AS (
   SELECT s.*,
     CONCAT_WS('; ',
       CASE WHEN (s.city_id IS NOT NULL) IS FALSE THEN 'not_null_city_id' END,
@@ -72,23 +83,23 @@ FLAGGED_WEATHER = """
       CASE WHEN (s.observation_timestamp IS NULL OR s.observation_timestamp >= s._ingested_at - INTERVAL 48 HOURS) IS FALSE THEN 'freshness_48h' END,
       CASE WHEN (d.city_id IS NOT NULL) IS FALSE THEN 'city_exists_in_dim_city' END
     ) AS failure_reason
-  FROM shaped s LEFT JOIN (SELECT DISTINCT city_id FROM dim_v1) d ON s.city_id = d.city_id
-"""
-
-WEATHER_CTES = f"""
-WITH bronze_weather AS ({BRONZE_WEATHER}),
-dim_v1 AS ({DIM_CITY_V1}),
-shaped AS ({SHAPED_WEATHER}),
-flagged AS ({FLAGGED_WEATHER}),
-valid AS (SELECT * EXCLUDE (failure_reason) FROM flagged WHERE failure_reason = ''),
-invalid AS (SELECT * FROM flagged WHERE failure_reason <> ''),
-silver AS (
-  SELECT {WEATHER_COLS}, TIMESTAMP '2024-02-01 00:00:00' AS _merged_at
+  FROM {p}_shaped s LEFT JOIN (SELECT DISTINCT city_id FROM dim_v1) d ON s.city_id = d.city_id),
+{p}_valid AS (SELECT * EXCLUDE (failure_reason) FROM {p}_flagged WHERE failure_reason = ''),
+{p}_invalid AS (SELECT * FROM {p}_flagged WHERE failure_reason <> ''),
+{p}_silver AS (
+  SELECT {WEATHER_COLS}, TIMESTAMP '{merged_at}' AS _merged_at
   FROM (SELECT *, row_number() OVER (
           PARTITION BY city_id, observation_timestamp, _source
           ORDER BY _ingested_at DESC NULLS LAST, _ingestion_run_id DESC NULLS LAST) AS rn
-        FROM valid)
-  WHERE rn = 1)
+        FROM {p}_valid)
+  WHERE rn = 1)"""
+
+
+WEATHER_CTES = f"WITH dim_v1 AS ({DIM_CITY_V1}),{weather_chain('w')}\n"
+
+UPSERT_CTES = f"""WITH dim_v1 AS ({DIM_CITY_V1}),
+{weather_chain('t', "(SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20')", '0', '2024-01-21 00:00:00')},
+{weather_chain('s', "(SELECT * FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15')", '1.0', '2024-02-01 00:00:00')}
 """
 
 
@@ -108,28 +119,203 @@ daily AS (
          {_sum('precipitation_mm')} AS total_precip_mm,
          {_avg('wind_speed_10m_kmh')} AS avg_wind_speed_kmh,
          COUNT(*) AS row_count
-  FROM silver GROUP BY 1, 2)
+  FROM w_silver GROUP BY 1, 2)
 SELECT d.city_id, c.city_name, d.obs_date, d.avg_temp_c, d.min_temp_c, d.max_temp_c,
        d.total_precip_mm, d.avg_wind_speed_kmh, CAST(NULL AS VARCHAR) AS dominant_aqi_category,
        d.row_count
 FROM daily d LEFT JOIN dim_v1 c ON d.city_id = c.city_id
 """
 
+FACT_COLS = """city_id, CAST(year(observation_timestamp) * 10000 + month(observation_timestamp) * 100
+  + day(observation_timestamp) AS INTEGER) AS date_sk, observation_timestamp, temperature_c,
+  apparent_temperature_c, relative_humidity_pct, precipitation_mm, wind_speed_10m_kmh, weather_code, _source"""
+
+# ---------------------------------------------------------------- stations
+
+ELEMENT_CASE = """CASE event_type WHEN 'click' THEN 'TMAX' WHEN 'view' THEN 'TMIN'
+  WHEN 'purchase' THEN 'PRCP' WHEN 'signup' THEN 'SNOW' WHEN 'error' THEN 'SNWD' END"""
+
+STATION_ID = "'ST' || lpad(CAST(user_id AS VARCHAR), 9, '0')"
+
+BRONZE_STATION = f"""
+  SELECT 'noaa-ghcn' AS _source, ts AS _ingested_at,
+         'run-' || strftime(ts, '%Y%m%d%H') AS _ingestion_run_id,
+         {STATION_ID} || '.dly' AS _source_file,
+         CAST(ts AS DATE) AS _ingest_date,
+         {STATION_ID} AS station_id,
+         CAST(ts AS DATE) AS obs_date,
+         {ELEMENT_CASE} AS element,
+         CAST(CASE WHEN event_type IN ('click', 'view') THEN floor(value * 4) - 300
+                   WHEN event_type = 'purchase' THEN floor(value * 10) - 5
+                   ELSE floor(value * 10) END AS INTEGER) AS data_value,
+         CAST(NULL AS VARCHAR) AS mflag,
+         CASE WHEN value > 300 THEN 'X' END AS qflag,
+         'S' AS sflag,
+         CAST(NULL AS VARCHAR) AS obs_time
+  FROM events
+"""
+
+SHAPED_STATION = f"""
+  SELECT station_id, obs_date, CAST(year(obs_date) AS INTEGER) AS obs_year, element,
+         CASE WHEN element IN ('TMAX', 'TMIN', 'PRCP') THEN data_value / 10.0
+              ELSE CAST(data_value AS DOUBLE) END AS value,
+         mflag, qflag, sflag, _source, _ingested_at
+  FROM ({BRONZE_STATION})
+"""
+
+UNPACKED_STATION = f"""
+  SELECT 'noaa-ghcn' AS _source, TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at,
+         'dly-run-1' AS _ingestion_run_id, station_id || '.dly' AS _source_file,
+         DATE '2024-02-01' AS _ingest_date, station_id, obs_date, element, data_value,
+         CAST(NULL AS VARCHAR) AS mflag, CAST(NULL AS VARCHAR) AS qflag, 'S' AS sflag,
+         CAST(NULL AS VARCHAR) AS obs_time
+  FROM (SELECT {STATION_ID} AS station_id, CAST(ts AS DATE) AS obs_date, {ELEMENT_CASE} AS element,
+               CAST(floor(max(value) * 10) AS INTEGER) AS data_value
+        FROM events GROUP BY ALL)
+"""
+
+# ---------------------------------------------------------------- cities
+
+CITY_TYPED_COLS = [
+    "geonameid", "name", "asciiname", "alternatenames", "latitude", "longitude",
+    "feature_class", "feature_code", "country_code", "cc2", "admin1_code",
+    "admin2_code", "admin3_code", "admin4_code", "population", "elevation",
+    "dem", "timezone", "source_modified_date",
+]
+
+
+def city_typed_sql(version: int) -> str:
+    """A landed (typed) city snapshot built straight from ``customer``."""
+    name = "CASE WHEN c_nationkey = 5 THEN '\"' || c_name ELSE c_name END"
+    pop = "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey * 100 + c_nationkey END"
+    dem = "CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_nationkey * 10 + 3 END"
+    tz = "'Zone/' || c_mktsegment"
+    keep = "c_acctbal >= -900"
+    if version == 2:
+        name = f"CASE WHEN c_nationkey = 13 THEN upper({name}) ELSE {name} END"
+        pop = f"CASE WHEN c_nationkey = 7 AND c_acctbal >= 0 THEN c_custkey * 100 + c_nationkey + 1 ELSE {pop} END"
+        tz = f"CASE WHEN c_nationkey = 11 THEN '' ELSE {tz} END"
+        dem = f"CASE WHEN c_nationkey = 17 AND c_mktsegment = 'MACHINERY' THEN c_nationkey * 10 + 4 ELSE {dem} END"
+        keep = "c_acctbal >= -950 AND c_acctbal <= 9900"
+    run, at = {1: ("city-run-1", "2024-01-01 00:00:00"), 2: ("city-run-2", "2024-01-15 00:00:00")}[version]
+    return f"""
+  SELECT 'geonames' AS _source, TIMESTAMP '{at}' AS _ingested_at, '{run}' AS _ingestion_run_id,
+         CAST(TIMESTAMP '{at}' AS DATE) AS _ingest_date,
+         c_custkey AS geonameid, {name} AS name, lower(c_name) AS asciiname, '' AS alternatenames,
+         CAST(((c_custkey * 53) % 181) - 90 AS DOUBLE) AS latitude,
+         CAST(((c_custkey * 17) % 361) - 180 AS DOUBLE) AS longitude,
+         'P' AS feature_class, 'PPL' AS feature_code,
+         'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS country_code, '' AS cc2,
+         c_mktsegment AS admin1_code, '' AS admin2_code, '' AS admin3_code, '' AS admin4_code,
+         CAST({pop} AS BIGINT) AS population, CAST(c_nationkey * 10 AS INTEGER) AS elevation,
+         CAST({dem} AS INTEGER) AS dem, {tz} AS timezone,
+         CAST('2023-12-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS DATE) AS source_modified_date
+  FROM customer WHERE {keep}
+"""
+
+
+CITY_ATTRS = ["city_id", "city_name", "asciiname", "country_code", "admin1_code",
+              "latitude", "longitude", "population", "elevation_m", "timezone"]
+TRACKED = ["population", "elevation_m", "timezone"]
+
+
+def city_shaped_sql(version: int) -> str:
+    return f"""
+  SELECT geonameid AS city_id, name AS city_name, asciiname, country_code, admin1_code,
+         latitude, longitude, population, COALESCE(dem, elevation) AS elevation_m, timezone
+  FROM ({city_typed_sql(version)}) WHERE geonameid IS NOT NULL
+"""
+
+
+def _changed(s: str, c: str) -> str:
+    return " OR ".join(f"NOT ({s}.{a} IS NOT DISTINCT FROM {c}.{a})" for a in TRACKED)
+
+
+SCD2_CTES = f"""WITH v1 AS ({city_shaped_sql(1)}), v2 AS ({city_shaped_sql(2)}),
+j AS (
+  SELECT {', '.join(f'c.{a} AS c_{a}' for a in CITY_ATTRS)},
+         {', '.join(f's.{a} AS s_{a}' for a in CITY_ATTRS)},
+         c.city_id IS NOT NULL AS has_c, s.city_id IS NOT NULL AS has_s,
+         ({_changed('s', 'c')}) AS changed
+  FROM v1 c FULL OUTER JOIN v2 s ON c.city_id = s.city_id),
+dim AS (
+  SELECT {', '.join(f'c_{a} AS {a}' for a in CITY_ATTRS)},
+         TIMESTAMP '2024-01-01 00:00:00' AS effective_start_ts,
+         CASE WHEN has_s AND changed THEN TIMESTAMP '2024-01-15 00:00:00' END AS effective_end_ts,
+         NOT (has_s AND changed) AS is_current
+  FROM j WHERE has_c
+  UNION ALL
+  SELECT {', '.join(f's_{a} AS {a}' for a in CITY_ATTRS)},
+         TIMESTAMP '2024-01-15 00:00:00' AS effective_start_ts,
+         CAST(NULL AS TIMESTAMP) AS effective_end_ts, TRUE AS is_current
+  FROM j WHERE has_s AND (NOT has_c OR changed))
+"""
+
+# ---------------------------------------------------------------- json
+
+LANDED_JSON = """
+  SELECT event_type AS _source, ts AS _ingested_at, 'json-run-1' AS _ingestion_run_id,
+         CAST(ts AS DATE) AS _ingest_date, user_id AS city_id,
+         CAST(((user_id * 53) % 181) - 90 AS DOUBLE) AS latitude,
+         CAST(((user_id * 17) % 361) - 180 AS DOUBLE) AS longitude,
+         CAST(user_id % 500 AS DOUBLE) AS elevation,
+         date_trunc('minute', ts) AS observation_time,
+         value / 4 - 20 AS temperature_2m, value / 4 - 22 AS apparent_temperature,
+         CAST(event_id % 101 AS DOUBLE) AS relative_humidity_2m,
+         value / 100 AS precipitation, value / 200 AS rain,
+         0.0::DOUBLE AS showers, 0.0::DOUBLE AS snowfall,
+         CAST(event_id % 100 AS INTEGER) AS weather_code,
+         CAST(event_id % 101 AS DOUBLE) AS cloud_cover,
+         value / 100 + 1000 AS pressure_msl, 1000.0::DOUBLE AS surface_pressure,
+         value / 10 AS wind_speed_10m, CAST(event_id % 360 AS DOUBLE) AS wind_direction_10m,
+         value / 5 AS wind_gusts_10m, hour(ts) BETWEEN 6 AND 17 AS is_day
+  FROM events
+"""
+
 ORACLE: dict[str, str] = {
-    "dq_split_valid": f"{WEATHER_CTES} SELECT * FROM valid",
-    "dq_split_invalid": f"{WEATHER_CTES} SELECT * FROM invalid",
+    "land_weather_json": LANDED_JSON,
+    "land_city_tsv": city_typed_sql(1),
+    "unpack_station_month": UNPACKED_STATION,
+    "scope_date_range": f"SELECT * FROM ({BRONZE_STATION}) WHERE obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    "shape_units": SHAPED_STATION,
+    "dq_split_valid": f"{WEATHER_CTES} SELECT * FROM w_valid",
+    "dq_split_invalid": f"{WEATHER_CTES} SELECT * FROM w_invalid",
     "quarantine_records": f"""{WEATHER_CTES}
       SELECT 'silver.weather_observations' AS source_table,
              CONCAT_WS('|', CAST(city_id AS VARCHAR), CAST(observation_timestamp AS VARCHAR), _source) AS natural_key,
              failure_reason, _ingestion_run_id,
              TIMESTAMP '2024-02-01 00:05:00' AS quarantined_at
-      FROM invalid""",
+      FROM w_invalid""",
     "dq_gate_rate": f"""{WEATHER_CTES}
       SELECT COUNT(*) AS checked_rows,
              COUNT(*) FILTER (WHERE failure_reason <> '') AS quarantined_rows,
              CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE failure_reason <> '') AS DOUBLE) / COUNT(*) ELSE 0.0 END AS quarantine_rate,
              (CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE failure_reason <> '') AS DOUBLE) / COUNT(*) ELSE 0.0 END) <= 0.02 AS gate_passed
-      FROM flagged""",
-    "dedup_latest": f"{WEATHER_CTES} SELECT * FROM silver",
+      FROM w_flagged""",
+    "dedup_latest": f"{WEATHER_CTES} SELECT * FROM w_silver",
     "daily_summary": DAILY_SUMMARY,
+    "upsert_silver": f"""{UPSERT_CTES}
+      SELECT * FROM t_silver t WHERE NOT EXISTS (
+        SELECT 1 FROM s_silver s WHERE s.city_id = t.city_id
+          AND s.observation_timestamp = t.observation_timestamp AND s._source = t._source)
+      UNION ALL SELECT * FROM s_silver""",
+    "fact_build": f"""{WEATHER_CTES}
+      SELECT {FACT_COLS} FROM w_silver WHERE city_id IN (SELECT city_id FROM dim_v1)""",
+    "fact_upsert": f"""{UPSERT_CTES},
+      tf AS (SELECT {FACT_COLS} FROM t_silver WHERE city_id IN (SELECT city_id FROM dim_v1)),
+      sf AS (SELECT {FACT_COLS} FROM s_silver WHERE city_id IN (SELECT city_id FROM dim_v1))
+      SELECT * FROM tf WHERE NOT EXISTS (
+        SELECT 1 FROM sf WHERE sf.city_id = tf.city_id
+          AND sf.observation_timestamp = tf.observation_timestamp AND sf._source = tf._source)
+      UNION ALL SELECT * FROM sf""",
+    "latest_snapshot": city_typed_sql(2),
+    "scd2_changes": f"""WITH v1 AS ({city_shaped_sql(1)}), v2 AS ({city_shaped_sql(2)})
+      SELECT s.* FROM v2 s LEFT JOIN v1 c ON s.city_id = c.city_id
+      WHERE c.city_id IS NULL OR ({_changed('s', 'c')})""",
+    "scd2_apply": f"{SCD2_CTES} SELECT * FROM dim",
+    "dim_city_current": f"{SCD2_CTES} SELECT {', '.join(CITY_ATTRS)} FROM dim WHERE is_current",
+    "newest_k": f"""SELECT _ingested_at, city_id, _source, temperature_2m
+      FROM ({BRONZE_WEATHER}) ORDER BY _ingested_at DESC LIMIT 10""",
+    "history_first_k": f"{SCD2_CTES} SELECT * FROM dim ORDER BY city_id, effective_start_ts LIMIT 20",
+    "mart_sorted": DAILY_SUMMARY,
 }

@@ -71,11 +71,199 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_city_summary(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer))
 
 
+# ------------------------------------------------------------ sources
+
+def land_weather_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents as JSON text -> parsed, audited bronze rows. The raw
+    line is kept on the bronze row; the compared projection drops it."""
+    from stratum.sources.weather_json import land_weather, parse_weather_lines
+
+    events = si.table(spark, sf_dir, "events")
+    bronze = land_weather(parse_weather_lines(si.weather_json_lines(events)), run_id=F.lit("json-run-1"))
+    return bronze.drop("raw_json").withColumn(
+        "observation_time", F.col("observation_time").cast("timestamp_ntz")
+    )
+
+
+def land_city_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.sources.city_tsv import land_city_reference, parse_city_lines
+
+    customer = si.table(spark, sf_dir, "customer")
+    run_id, ingested_at = si.CITY_RUNS[1]
+    return land_city_reference(
+        parse_city_lines(si.city_tsv_lines(customer, 1)), run_id=F.lit(run_id), ingested_at=_ts(ingested_at)
+    )
+
+
+def unpack_station_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.sources.station_dly import land_station_daily, unpack_station_lines
+
+    events = si.table(spark, sf_dir, "events")
+    return land_station_daily(
+        unpack_station_lines(si.station_month_lines(events)),
+        run_id=F.lit("dly-run-1"),
+        ingested_at=_ts(MERGED_AT),
+    )
+
+
+def scope_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.sources.scope import scope_dates, scope_stations
+
+    events = si.table(spark, sf_dir, "events")
+    return scope_stations(scope_dates(si.bronze_station_daily(events), "2024-01-05", "2024-01-20"), None)
+
+
+def shape_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.shaping import shape_station_daily
+
+    return shape_station_daily(si.bronze_station_daily(si.table(spark, sf_dir, "events")))
+
+
+# ------------------------------------------------------------ upsert, facts
+
+def _silver_window(spark: SparkSession, sf_dir: str, last_day: str | None, first_day: str | None,
+                   bump: float, merged_at: str) -> DataFrame:
+    events, customer = _inputs(spark, sf_dir, "events", "customer")
+    day = F.to_date("ts")
+    if last_day:
+        events = events.filter(day <= F.to_date(F.lit(last_day)))
+    if first_day:
+        events = events.filter(day >= F.to_date(F.lit(first_day)))
+    events = events.withColumn("value", F.col("value") + F.lit(bump))
+    valid, _ = wx.split_weather(si.bronze_weather(events), si.dim_city_ids_v1(customer), as_of="_ingested_at")
+    return wx.silver_weather(valid, _ts(merged_at))
+
+
+# The two overlapping batches of the upsert stand-in.
+TARGET_LAST_DAY, SOURCE_FIRST_DAY = "2024-01-20", "2024-01-15"
+TARGET_MERGED_AT, SOURCE_MERGED_AT = "2024-01-21 00:00:00", "2024-02-01 00:00:00"
+
+
+def upsert_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.upsert import upsert
+
+    target = _silver_window(spark, sf_dir, TARGET_LAST_DAY, None, 0.0, TARGET_MERGED_AT)
+    source = _silver_window(spark, sf_dir, None, SOURCE_FIRST_DAY, 1.0, SOURCE_MERGED_AT)
+    return upsert(target, source, wx.WEATHER_KEYS)
+
+
+def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.facts import build_weather_fact
+
+    customer = si.table(spark, sf_dir, "customer")
+    return build_weather_fact(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer))
+
+
+def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact MERGE keeping surrogate keys; keys are layout-dependent, so the
+    compared projection leaves them out (pytest checks uniqueness and that
+    updates keep them)."""
+    from stratum.operators import facts as fx
+
+    dim = si.dim_city_ids_v1(si.table(spark, sf_dir, "customer"))
+    target = fx.with_new_keys(
+        fx.build_weather_fact(_silver_window(spark, sf_dir, TARGET_LAST_DAY, None, 0.0, TARGET_MERGED_AT), dim),
+        fx.WEATHER_FACT_SK,
+    )
+    source = fx.build_weather_fact(_silver_window(spark, sf_dir, None, SOURCE_FIRST_DAY, 1.0, SOURCE_MERGED_AT), dim)
+    merged = fx.upsert_fact(target, source, fx.WEATHER_FACT_KEYS, fx.WEATHER_FACT_SK, sk_offset=0)
+    return merged.drop(fx.WEATHER_FACT_SK)
+
+
+# ------------------------------------------------------------ SCD2
+
+# Tracked attributes of the city dimension and its key.
+CITY_TRACKED = ["population", "elevation_m", "timezone"]
+CITY_SK = "city_sk"
+
+
+def _city_snapshot(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    from stratum.operators.dedup import latest_run, one_per_key
+    from stratum.operators.shaping import shape_city_attributes
+
+    customer = si.table(spark, sf_dir, "customer")
+    bronze = si.bronze_city_snapshot(customer, 1)
+    if version == 2:
+        bronze = si.bronze_city_all(customer)
+    return one_per_key(shape_city_attributes(latest_run(bronze)), ["city_id"])
+
+
+def _dim_after(spark: SparkSession, sf_dir: str, versions: int) -> DataFrame:
+    from stratum.operators.scd2 import empty_dim_like, scd2_apply
+
+    snap1 = _city_snapshot(spark, sf_dir, 1)
+    dim = scd2_apply(
+        empty_dim_like(snap1, "city_id", CITY_SK, "timestamp_ntz"), snap1, "city_id", CITY_TRACKED,
+        _ts(si.CITY_RUNS[1][1]), sk_col=CITY_SK, sk_offset=0,
+    )
+    if versions == 2:
+        dim = scd2_apply(dim, _city_snapshot(spark, sf_dir, 2), "city_id", CITY_TRACKED,
+                         _ts(si.CITY_RUNS[2][1]), sk_col=CITY_SK, sk_offset=10**12)
+    return dim
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.dedup import latest_run
+
+    return latest_run(si.bronze_city_all(si.table(spark, sf_dir, "customer")))
+
+
+def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.scd2 import current_rows, scd2_changes as changes
+
+    current = current_rows(_dim_after(spark, sf_dir, 1))
+    return changes(current, _city_snapshot(spark, sf_dir, 2), "city_id", CITY_TRACKED)
+
+
+def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dim_after(spark, sf_dir, 2).drop(CITY_SK)
+
+
+def dim_city_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.scd2 import current_rows
+
+    return current_rows(_dim_after(spark, sf_dir, 2)).drop(CITY_SK)
+
+
+# ------------------------------------------------------------ limits / sorts
+
+def newest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 10 landed rows (top-k by ingest time)."""
+    bronze = si.bronze_weather(si.table(spark, sf_dir, "events"))
+    return bronze.orderBy(F.col("_ingested_at").desc()).limit(10).select(
+        "_ingested_at", "city_id", "_source", "temperature_2m"
+    )
+
+
+def history_first_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 20 dimension versions by (city_id, effective_start_ts)."""
+    return _dim_after(spark, sf_dir, 2).drop(CITY_SK).orderBy("city_id", "effective_start_ts").limit(20)
+
+
+def mart_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_summary(spark, sf_dir).orderBy(F.col("obs_date").desc(), F.col("city_name"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "land_weather_json": land_weather_json,
+    "land_city_tsv": land_city_tsv,
+    "unpack_station_month": unpack_station_month,
+    "scope_date_range": scope_date_range,
+    "shape_units": shape_units,
     "dq_split_valid": dq_split_valid,
     "dq_split_invalid": dq_split_invalid,
     "quarantine_records": quarantine_records,
     "dq_gate_rate": dq_gate_rate,
     "dedup_latest": dedup_latest,
     "daily_summary": daily_summary,
+    "upsert_silver": upsert_silver,
+    "fact_build": fact_build,
+    "fact_upsert": fact_upsert,
+    "latest_snapshot": latest_snapshot,
+    "scd2_changes": scd2_changes,
+    "scd2_apply": scd2_apply,
+    "dim_city_current": dim_city_current,
+    "newest_k": newest_k,
+    "history_first_k": history_first_k,
+    "mart_sorted": mart_sorted,
 }

@@ -254,3 +254,31 @@ def bronze_station_daily(events: DataFrame) -> DataFrame:
         F.lit("S").alias("sflag"),
         F.lit(None).cast("string").alias("obs_time"),
     )
+
+
+def station_month_lines(events: DataFrame) -> DataFrame:
+    """Pack events into station-month fixed-width lines: per (station, day,
+    element) the tenths of the day's maximum value, 31 day cells per line,
+    -9999 for days without data, flags blank / blank / 'S'. A line holds at
+    most 31 cells, so the per-group list is bounded by the calendar."""
+    daily = events.groupBy(
+        station_id(F.col("user_id")).alias("station_id"),
+        F.to_date("ts").alias("d"),
+        _map_col(ELEMENT_OF_EVENT, F.col("event_type")).alias("element"),
+    ).agg(F.floor(F.max("value") * 10).cast("int").alias("v"))
+    monthly = daily.groupBy(
+        "station_id", F.year("d").alias("y"), F.month("d").alias("m"), "element"
+    ).agg(F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("d"), F.col("v")))).alias("days"))
+
+    def cell(day: Column) -> Column:
+        value = F.coalesce(F.try_element_at(F.col("days"), day).cast("string"), F.lit("-9999"))
+        return F.concat(F.lpad(value, 5, " "), F.lit("  S"))
+
+    line = F.concat(
+        F.rpad("station_id", 11, " "),
+        F.lpad(F.col("y").cast("string"), 4, "0"),
+        F.lpad(F.col("m").cast("string"), 2, "0"),
+        F.rpad("element", 4, " "),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(31)), cell), ""),
+    )
+    return monthly.select(line.alias("value"))
