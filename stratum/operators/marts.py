@@ -51,3 +51,51 @@ def daily_city_summary(
     return daily.join(city_lookup.select("city_id", "city_name"), on="city_id", how="left").select(
         *DAILY_SUMMARY_COLUMNS
     )
+
+
+def daily_air_quality(readings: DataFrame, sum_scale: int | None = 4) -> DataFrame:
+    """Per (city_id, UTC day): mean PM2.5 and mean AQI over the day's readings."""
+    pm25 = F.when(F.col("parameter_name") == "pm25", F.col("value"))
+    return (
+        readings.withColumn("obs_date", F.to_date("observation_timestamp"))
+        .groupBy("city_id", "obs_date")
+        .agg(
+            exact_avg(pm25, sum_scale).alias("avg_pm25"),
+            exact_avg(F.col("aqi").cast("double"), sum_scale).alias("avg_aqi"),
+        )
+    )
+
+
+def dominant_category(readings: DataFrame) -> DataFrame:
+    """Most frequent AQI category per (city_id, UTC day); ties go to the most
+    severe category. Two map-side-combined aggregations, no sorting of
+    whole groups."""
+    counts = (
+        readings.filter(F.col("aqi_category").isNotNull())
+        .withColumn("obs_date", F.to_date("observation_timestamp"))
+        .groupBy("city_id", "obs_date", "aqi_category", "aqi_severity")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counts.groupBy("city_id", "obs_date").agg(
+        F.max(F.struct("n", "aqi_severity", "aqi_category")).alias("m")
+    ).select("city_id", "obs_date", F.col("m.aqi_category").alias("dominant_aqi_category"))
+
+
+def weather_air_quality(
+    silver_weather: DataFrame, aq_daily: DataFrame, city_lookup: DataFrame, sum_scale: int | None = 4
+) -> DataFrame:
+    """Weather (mean temperature, humidity) and air quality (mean PM2.5,
+    AQI) side by side per city and day where both exist."""
+    weather = (
+        silver_weather.withColumn("obs_date", F.to_date("observation_timestamp"))
+        .groupBy("city_id", "obs_date")
+        .agg(
+            exact_avg("temperature_c", sum_scale).alias("avg_temp_c"),
+            exact_avg("relative_humidity_pct", sum_scale).alias("avg_humidity_pct"),
+        )
+    )
+    return (
+        weather.join(aq_daily, on=["city_id", "obs_date"], how="inner")
+        .join(city_lookup.select("city_id", "city_name"), on="city_id", how="left")
+        .select("city_id", "city_name", "obs_date", "avg_temp_c", "avg_humidity_pct", "avg_pm25", "avg_aqi")
+    )

@@ -319,3 +319,197 @@ ORACLE: dict[str, str] = {
     "history_first_k": f"{SCD2_CTES} SELECT * FROM dim ORDER BY city_id, effective_start_ts LIMIT 20",
     "mart_sorted": DAILY_SUMMARY,
 }
+
+# ---------------------------------------------------------------- stations (silver)
+
+STATION_FLAGGED = f"""
+  SELECT *, CONCAT_WS('; ',
+      CASE WHEN (station_id IS NOT NULL) IS FALSE THEN 'not_null_station_id' END,
+      CASE WHEN (obs_date IS NOT NULL) IS FALSE THEN 'not_null_obs_date' END,
+      CASE WHEN (value IS NOT NULL) IS FALSE THEN 'not_null_value' END,
+      CASE WHEN (element NOT IN ('TMAX', 'TMIN') OR value BETWEEN -90 AND 60) IS FALSE THEN 'temp_in_range' END,
+      CASE WHEN (element != 'PRCP' OR value >= 0) IS FALSE THEN 'precip_non_negative' END
+    ) AS failure_reason
+  FROM ({SHAPED_STATION})
+"""
+
+STATION_DEDUP = f"""
+  SELECT * EXCLUDE (rn, failure_reason), TIMESTAMP '2024-02-01 00:00:00' AS _merged_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY station_id, obs_date, element
+                                     ORDER BY _ingested_at DESC NULLS LAST) AS rn
+        FROM ({STATION_FLAGGED}) WHERE failure_reason = '')
+  WHERE rn = 1
+"""
+
+DIM_DATE = """
+  SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_sk, d AS full_date,
+         CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+         CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+         CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
+         dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend
+  FROM (SELECT CAST(gs AS DATE) AS d
+        FROM (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events) b,
+             generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) t(gs))
+"""
+
+# ---------------------------------------------------------------- air quality
+
+
+def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (
+        f"2 * 6371.0 * asin(least(1.0, sqrt(power(sin((radians({lat2}) - radians({lat1})) / 2), 2)"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * power(sin((radians({lon2}) - radians({lon1})) / 2), 2))))"
+    )
+
+
+CITIES_XY = """
+  SELECT c_custkey AS city_id, CAST(((c_custkey * 53) % 181) - 90 AS DOUBLE) AS latitude,
+         CAST(((c_custkey * 17) % 361) - 180 AS DOUBLE) AS longitude
+  FROM customer WHERE c_acctbal >= -900
+"""
+
+
+def nearest_sql(locs: str) -> str:
+    """Brute force over all (location, city) pairs: rank by rounded distance, id."""
+    return f"""
+  SELECT location_id, latitude, longitude, city_id FROM (
+    SELECT l.location_id, l.latitude, l.longitude, c.city_id,
+           row_number() OVER (PARTITION BY l.location_id, l.latitude, l.longitude
+                              ORDER BY round({_hav('l.latitude', 'l.longitude', 'c.latitude', 'c.longitude')}, 6),
+                                       c.city_id) AS rn
+    FROM ({locs}) l CROSS JOIN ({CITIES_XY}) c)
+  WHERE rn = 1
+"""
+
+
+SUPPLIER_LOCS = """
+  SELECT s_suppkey AS location_id, CAST(((s_suppkey * 37) % 181) - 90 AS DOUBLE) AS latitude,
+         CAST(((s_suppkey * 91) % 361) - 180 AS DOUBLE) AS longitude
+  FROM supplier
+"""
+
+PARAM_CASE = """CASE event_type WHEN 'click' THEN 'pm25' WHEN 'view' THEN 'pm10'
+  WHEN 'purchase' THEN 'o3' WHEN 'signup' THEN 'no2' WHEN 'error' THEN 'so2' END"""
+UNITS_CASE = """CASE event_type WHEN 'click' THEN 'µg/m³' WHEN 'view' THEN 'µg/m³'
+  WHEN 'purchase' THEN 'ppb' WHEN 'signup' THEN 'ppb' WHEN 'error' THEN 'ppb' END"""
+SENSOR_CASE = """CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2
+  WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END"""
+
+BRONZE_AQ = f"""
+  SELECT 'openaq' AS _source, ts AS _ingested_at, 'aq-' || strftime(ts, '%Y%m%d%H') AS _ingestion_run_id,
+         CAST(ts AS DATE) AS _ingest_date, user_id AS location_id,
+         user_id * 10 + {SENSOR_CASE} AS sensor_id,
+         {PARAM_CASE} AS parameter_name, {UNITS_CASE} AS parameter_units,
+         CASE WHEN event_type = 'purchase' THEN value / 1000 ELSE value END AS value,
+         date_trunc('hour', ts) AS period_datetime_from,
+         date_trunc('hour', ts) + INTERVAL 1 HOUR AS period_datetime_to,
+         CAST(((user_id * 37) % 181) - 90 AS DOUBLE) AS location_latitude,
+         CAST(((user_id * 91) % 361) - 180 AS DOUBLE) AS location_longitude
+  FROM events
+"""
+
+AQ_CTES = f"""WITH dim_v1 AS ({DIM_CITY_V1}),
+aq_bronze AS ({BRONZE_AQ}),
+aq_near AS ({nearest_sql("SELECT DISTINCT location_id, location_latitude AS latitude, location_longitude AS longitude FROM aq_bronze")}),
+aq_silver AS (
+  SELECT location_id, city_id, parameter_name, parameter_units, value, observation_timestamp,
+         _source, _ingested_at, TIMESTAMP '2024-02-01 00:00:00' AS _merged_at
+  FROM (SELECT b.*, n.city_id, b.period_datetime_from AS observation_timestamp,
+               row_number() OVER (PARTITION BY b.location_id, b.parameter_name, b.period_datetime_from, b._source
+                                  ORDER BY b._ingested_at DESC NULLS LAST, b._ingestion_run_id DESC NULLS LAST) AS rn
+        FROM aq_bronze b LEFT JOIN aq_near n
+          ON b.location_id = n.location_id AND b.location_latitude = n.latitude
+         AND b.location_longitude = n.longitude)
+  WHERE rn = 1),
+bp AS (SELECT * FROM (VALUES {{BREAKPOINT_VALUES}})
+       t(parameter_name, decimals, c_low, c_high, i_low, i_high, category, severity)),
+aq_aqi AS (
+  SELECT s.*, CAST(round((bp.i_high - bp.i_low) / (bp.c_high - bp.c_low)
+                * (floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) - bp.c_low)
+                + bp.i_low) AS INTEGER) AS aqi,
+         bp.category AS aqi_category, bp.severity AS aqi_severity
+  FROM aq_silver s LEFT JOIN bp ON s.parameter_name = bp.parameter_name
+   AND floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) >= bp.c_low
+   AND floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) <= bp.c_high),
+aq_dominant AS (
+  SELECT city_id, obs_date, aqi_category AS dominant_aqi_category FROM (
+    SELECT *, row_number() OVER (PARTITION BY city_id, obs_date
+                                 ORDER BY n DESC, aqi_severity DESC, aqi_category DESC) AS rn
+    FROM (SELECT city_id, CAST(observation_timestamp AS DATE) AS obs_date, aqi_category, aqi_severity,
+                 COUNT(*) AS n
+          FROM aq_aqi WHERE aqi_category IS NOT NULL GROUP BY ALL))
+  WHERE rn = 1)
+"""
+
+
+def _breakpoint_values() -> str:
+    from stratum.operators.aqi import EPA_BREAKPOINTS
+
+    return ", ".join(
+        f"('{p}', {d}, CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE), {il}, {ih}, '{c}', {s})"
+        for p, d, lo, hi, il, ih, c, s in EPA_BREAKPOINTS
+    )
+
+
+AQ_CTES = AQ_CTES.replace("{BREAKPOINT_VALUES}", _breakpoint_values())
+
+RUN_LOG = """
+  SELECT o_orderpriority AS dag_id, o_orderstatus || '-' || strftime(o_orderdate, '%Y%m') AS run_id,
+         o_orderdate + to_seconds(o_orderkey % 86400) AS started_at,
+         o_orderdate + to_seconds(o_orderkey % 86400) + to_seconds(o_custkey % 3600) AS ended_at,
+         CAST(floor(o_totalprice) AS BIGINT) AS rows_processed,
+         CAST(CASE WHEN o_orderstatus = 'F' THEN o_custkey % 7 ELSE 0 END AS BIGINT) AS rows_quarantined,
+         o_orderdate AS max_observation_ts
+  FROM orders
+"""
+
+ORACLE.update({
+    "station_dq_invalid": f"SELECT * FROM ({STATION_FLAGGED}) WHERE failure_reason <> ''",
+    "station_dedup_latest": STATION_DEDUP,
+    "dim_date": DIM_DATE,
+    "nearest_city": f"SELECT location_id, city_id FROM ({nearest_sql(SUPPLIER_LOCS)})",
+    "land_air_quality_json": BRONZE_AQ,
+    "air_quality_silver": f"{AQ_CTES} SELECT * FROM aq_silver",
+    "air_quality_fact": f"""{AQ_CTES}
+      SELECT city_id, location_id,
+             CAST(year(observation_timestamp) * 10000 + month(observation_timestamp) * 100
+                  + day(observation_timestamp) AS INTEGER) AS date_sk,
+             observation_timestamp, parameter_name, parameter_units, value, _source
+      FROM aq_silver WHERE city_id IN (SELECT city_id FROM dim_v1)""",
+    "aqi_readings": f"""{AQ_CTES}
+      SELECT location_id, city_id, parameter_name, observation_timestamp, value, aqi, aqi_category
+      FROM aq_aqi""",
+    "aqi_category_daily": f"{AQ_CTES} SELECT * FROM aq_dominant",
+    "weather_aq_mart": f"""{AQ_CTES}, {weather_chain('w')},
+      wd AS (SELECT city_id, CAST(observation_timestamp AS DATE) AS obs_date,
+                    {_avg('temperature_c')} AS avg_temp_c,
+                    {_avg('relative_humidity_pct')} AS avg_humidity_pct
+             FROM w_silver GROUP BY 1, 2),
+      ad AS (SELECT city_id, CAST(observation_timestamp AS DATE) AS obs_date,
+                    {_avg("CASE WHEN parameter_name = 'pm25' THEN value END")} AS avg_pm25,
+                    {_avg('CAST(aqi AS DOUBLE)')} AS avg_aqi
+             FROM aq_aqi GROUP BY 1, 2)
+      SELECT wd.city_id, c.city_name, wd.obs_date, wd.avg_temp_c, wd.avg_humidity_pct, ad.avg_pm25, ad.avg_aqi
+      FROM wd JOIN ad ON wd.city_id = ad.city_id AND wd.obs_date = ad.obs_date
+      LEFT JOIN dim_v1 c ON wd.city_id = c.city_id""",
+    "daily_summary_aqi": f"""{AQ_CTES}, {weather_chain('w')},
+      daily AS (
+        SELECT city_id, CAST(observation_timestamp AS DATE) AS obs_date,
+               {_avg('temperature_c')} AS avg_temp_c,
+               MIN(temperature_c) AS min_temp_c, MAX(temperature_c) AS max_temp_c,
+               {_sum('precipitation_mm')} AS total_precip_mm,
+               {_avg('wind_speed_10m_kmh')} AS avg_wind_speed_kmh,
+               COUNT(*) AS row_count
+        FROM w_silver GROUP BY 1, 2)
+      SELECT d.city_id, c.city_name, d.obs_date, d.avg_temp_c, d.min_temp_c, d.max_temp_c,
+             d.total_precip_mm, d.avg_wind_speed_kmh, x.dominant_aqi_category, d.row_count
+      FROM daily d LEFT JOIN aq_dominant x ON d.city_id = x.city_id AND d.obs_date = x.obs_date
+      LEFT JOIN dim_v1 c ON d.city_id = c.city_id""",
+    "run_health": f"""
+      SELECT dag_id, run_id, CAST(min(started_at) AS DATE) AS run_date,
+             CAST(sum(rows_processed) AS BIGINT) AS rows_processed,
+             CAST(sum(rows_quarantined) AS BIGINT) AS rows_quarantined,
+             CAST(date_diff('second', min(started_at), max(ended_at)) AS DOUBLE) AS run_duration_sec,
+             CAST(date_diff('second', max(max_observation_ts), max(ended_at)) AS DOUBLE) / 60.0 AS freshness_lag_minutes
+      FROM ({RUN_LOG}) GROUP BY dag_id, run_id""",
+})

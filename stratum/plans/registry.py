@@ -244,6 +244,128 @@ def mart_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_summary(spark, sf_dir).orderBy(F.col("obs_date").desc(), F.col("city_name"))
 
 
+# ------------------------------------------------------------ stations
+
+def station_dq_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.plans.historical import split_station_daily
+
+    _, invalid = split_station_daily(si.bronze_station_daily(si.table(spark, sf_dir, "events")))
+    return invalid
+
+
+def station_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.plans.historical import silver_station_daily, split_station_daily
+
+    valid, _ = split_station_daily(si.bronze_station_daily(si.table(spark, sf_dir, "events")))
+    return silver_station_daily(valid, _ts(MERGED_AT))
+
+
+# ------------------------------------------------------------ dims
+
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.dims import date_dimension_for
+
+    return date_dimension_for(si.table(spark, sf_dir, "events"), "ts")
+
+
+# ------------------------------------------------------------ air quality
+
+def nearest_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier location -> nearest city of the dimension (exact)."""
+    from stratum.operators.nearest import nearest
+    from stratum.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    supplier, customer = _inputs(spark, sf_dir, "supplier", "customer")
+    near = nearest(
+        si.supplier_locations(supplier), si.cities_with_coordinates(customer),
+        point_cols=("location_id", "latitude", "longitude"), ref_cols=("city_id", "latitude", "longitude"),
+    )
+    return near.select("location_id", "city_id")
+
+
+def _bronze_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.sources.air_quality_json import land_air_quality, parse_air_quality_lines
+
+    events = si.table(spark, sf_dir, "events")
+    return land_air_quality(parse_air_quality_lines(si.air_quality_lines(events)))
+
+
+def land_air_quality_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze_air_quality(spark, sf_dir).drop("raw_json").withColumns(
+        {
+            "period_datetime_from": F.col("period_datetime_from").cast("timestamp_ntz"),
+            "period_datetime_to": F.col("period_datetime_to").cast("timestamp_ntz"),
+        }
+    )
+
+
+def _silver_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.plans.air_quality import silver_air_quality
+    from stratum.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    customer = si.table(spark, sf_dir, "customer")
+    silver = silver_air_quality(_bronze_air_quality(spark, sf_dir), si.cities_with_coordinates(customer),
+                                _ts(MERGED_AT))
+    return silver.withColumn("observation_timestamp", F.col("observation_timestamp").cast("timestamp_ntz"))
+
+
+def air_quality_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver_air_quality(spark, sf_dir)
+
+
+def air_quality_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.plans.air_quality import build_air_quality_fact
+
+    customer = si.table(spark, sf_dir, "customer")
+    return build_air_quality_fact(_silver_air_quality(spark, sf_dir), si.dim_city_ids_v1(customer))
+
+
+def _aqi_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.aqi import breakpoints, with_aqi
+
+    return with_aqi(_silver_air_quality(spark, sf_dir), breakpoints(spark))
+
+
+def aqi_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _aqi_readings(spark, sf_dir).select(
+        "location_id", "city_id", "parameter_name", "observation_timestamp", "value", "aqi", "aqi_category"
+    )
+
+
+def aqi_category_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.marts import dominant_category
+
+    return dominant_category(_aqi_readings(spark, sf_dir))
+
+
+def weather_aq_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.marts import daily_air_quality, weather_air_quality
+
+    customer = si.table(spark, sf_dir, "customer")
+    return weather_air_quality(
+        dedup_latest(spark, sf_dir), daily_air_quality(_aqi_readings(spark, sf_dir)), si.dim_city_ids_v1(customer)
+    )
+
+
+def daily_summary_aqi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart with its dominant AQI category filled in."""
+    from stratum.operators.marts import dominant_category
+
+    customer = si.table(spark, sf_dir, "customer")
+    return daily_city_summary(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer),
+                              dominant_category=dominant_category(_aqi_readings(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ health
+
+def run_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.health import pipeline_health
+
+    return pipeline_health(si.run_log_from_orders(si.table(spark, sf_dir, "orders")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_weather_json": land_weather_json,
     "land_city_tsv": land_city_tsv,
@@ -266,4 +388,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "newest_k": newest_k,
     "history_first_k": history_first_k,
     "mart_sorted": mart_sorted,
+    "station_dq_invalid": station_dq_invalid,
+    "station_dedup_latest": station_dedup_latest,
+    "dim_date": dim_date,
+    "nearest_city": nearest_city,
+    "land_air_quality_json": land_air_quality_json,
+    "air_quality_silver": air_quality_silver,
+    "air_quality_fact": air_quality_fact,
+    "aqi_readings": aqi_readings,
+    "aqi_category_daily": aqi_category_daily,
+    "weather_aq_mart": weather_aq_mart,
+    "daily_summary_aqi": daily_summary_aqi,
+    "run_health": run_health,
 }

@@ -282,3 +282,87 @@ def station_month_lines(events: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.sequence(F.lit(1), F.lit(31)), cell), ""),
     )
     return monthly.select(line.alias("value"))
+
+
+# ---------------------------------------------------------------- air quality
+
+# Sensor number of each event type's parameter.
+SENSOR_OF_EVENT = {"click": 1, "view": 2, "purchase": 3, "signup": 4, "error": 5}
+
+
+def location_lat(k: Column) -> Column:
+    return (((k * 37) % 181) - 90).cast("double")
+
+
+def location_lon(k: Column) -> Column:
+    return (((k * 91) % 361) - 180).cast("double")
+
+
+def city_lat(k: Column) -> Column:
+    return (((k * 53) % 181) - 90).cast("double")
+
+
+def city_lon(k: Column) -> Column:
+    return (((k * 17) % 361) - 180).cast("double")
+
+
+def air_quality_lines(events: DataFrame) -> DataFrame:
+    """events -> one measurement document per line (location = user, one
+    hourly result per event; ozone in ppm)."""
+    et = F.col("event_type")
+    name = _map_col({k: v[0] for k, v in PARAMETER_OF_EVENT.items()}, et)
+    units = _map_col({k: v[1] for k, v in PARAMETER_OF_EVENT.items()}, et)
+    sensor = F.col("user_id") * 10 + _map_col({k: str(v) for k, v in SENSOR_OF_EVENT.items()}, et).cast("bigint")
+    value = F.when(et == "purchase", F.col("value") / 1000).otherwise(F.col("value"))
+    hour = F.date_trunc("HOUR", F.col("ts").cast("timestamp"))
+    utc = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    result = F.struct(
+        sensor.alias("sensor_id"),
+        F.struct(name.alias("name"), units.alias("units")).alias("parameter"),
+        value.alias("value"),
+        F.struct(
+            F.struct(F.date_format(hour, utc).alias("utc")).alias("datetimeFrom"),
+            F.struct(F.date_format(hour + F.expr("INTERVAL 1 HOUR"), utc).alias("utc")).alias("datetimeTo"),
+        ).alias("period"),
+    )
+    doc = F.struct(
+        F.col("user_id").alias("location_id"),
+        F.struct(location_lat(F.col("user_id")).alias("latitude"),
+                 location_lon(F.col("user_id")).alias("longitude")).alias("coordinates"),
+        F.array(result).alias("results"),
+    )
+    return events.select(
+        F.to_json(doc).alias("value"),
+        F.concat(F.lit("aq-"), F.date_format("ts", "yyyyMMddHH")).alias("_ingestion_run_id"),
+        F.col("ts").alias("_ingested_at"),
+    )
+
+
+def cities_with_coordinates(customer: DataFrame) -> DataFrame:
+    """Cities of the first snapshot with their coordinates."""
+    k = F.col("c_custkey")
+    return customer.filter(F.col("c_acctbal") >= -900).select(
+        k.alias("city_id"), city_lat(k).alias("latitude"), city_lon(k).alias("longitude")
+    )
+
+
+def supplier_locations(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    return supplier.select(k.alias("location_id"), location_lat(k).alias("latitude"),
+                           location_lon(k).alias("longitude"))
+
+
+def run_log_from_orders(orders: DataFrame) -> DataFrame:
+    """orders -> task run records: priority = pipeline, status + month = run."""
+    started = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
+    return orders.select(
+        F.col("o_orderpriority").alias("dag_id"),
+        F.concat(F.col("o_orderstatus"), F.lit("-"), F.date_format("o_orderdate", "yyyyMM")).alias("run_id"),
+        F.lit("task").alias("task_id"),
+        started.alias("started_at"),
+        F.timestamp_add("SECOND", F.col("o_custkey") % 3600, started).alias("ended_at"),
+        F.floor("o_totalprice").cast("bigint").alias("rows_processed"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_custkey") % 7).otherwise(F.lit(0)).cast("bigint")
+        .alias("rows_quarantined"),
+        F.col("o_orderdate").alias("max_observation_ts"),
+    )
