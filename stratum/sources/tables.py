@@ -58,6 +58,13 @@ class Lakehouse:
     def append(self, df: DataFrame, table: str) -> None:
         """Append in table column order (partition columns last)."""
         df.select(*self.columns(table)).write.insertInto(self.name(table), overwrite=False)
+        self.refresh(table)
+
+    def refresh(self, table: str) -> None:
+        """Drop this session's cached file listing of ``table``: a write made
+        through another session (e.g. a stream's micro-batch) would
+        otherwise stay invisible here."""
+        self.spark.catalog.refreshTable(self.name(table))
 
     def overwrite_partitions(self, df: DataFrame, table: str) -> None:
         """Replace exactly the partitions present in ``df`` (dynamic mode);
@@ -65,6 +72,7 @@ class Lakehouse:
         table itself: stage it first (see :meth:`upsert`)."""
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         df.select(*self.columns(table)).write.insertInto(self.name(table), overwrite=True)
+        self.refresh(table)
 
     def stage(self, df: DataFrame) -> DataFrame:
         """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``

@@ -73,5 +73,6 @@ def test_historical_backfill_twice_keeps_silver(spark, tmp_root):
     # land the same history again under a new run: silver must not change
     lake.append(bronze.withColumn("_ingestion_run_id", F.concat(F.lit("again-"), F.col("_ingestion_run_id"))),
                 "bronze.ghcn_daily_raw")
-    run_silver_historical(lake, dt.datetime(2024, 2, 2))
+    second = run_silver_historical(lake, dt.datetime(2024, 2, 2))
+    assert second["checked_rows"] == bronze.count()  # the re-landed run was processed
     assert lake.table("silver.historical_daily_weather").count() == n
