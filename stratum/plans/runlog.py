@@ -19,18 +19,36 @@ DONE_STATUSES = ("ok", "gate_failed")
 def unseen(bronze: DataFrame, lake: Lakehouse, task_id: str) -> DataFrame:
     """Bronze rows of landing runs ``task_id`` has not processed yet.
 
-    Only bronze partitions from the day of the newest processed run onwards
-    are scanned (partition pruning), then runs already in the log are removed
-    with an anti join on the run id (a small, distinct set).
+    Two steps, so the hourly run never reads all of bronze: first the
+    unseen (run id, ingest day) pairs are found from those two columns only
+    (a partition column and a dictionary-encoded one; a distinct aggregate
+    with one row per landing run), then bronze is read with the ingest days
+    as a partition filter and the run ids as a pushed-down filter. The pair
+    list is bounded by the number of landing runs, not by the data.
     """
-    log = lake.table("ops.run_log").filter(
-        (F.col("task_id") == task_id) & F.col("status").isin(*DONE_STATUSES)
+    done = (
+        lake.table("ops.run_log")
+        .filter((F.col("task_id") == task_id) & F.col("status").isin(*DONE_STATUSES))
+        .select(F.col("run_id").alias("_ingestion_run_id"))
+        .distinct()
     )
-    last = log.agg(F.max("run_date").alias("d")).first()["d"]
-    if last is not None:
-        bronze = bronze.filter(F.col("_ingest_date") >= F.lit(last))
-    done = log.select(F.col("run_id").alias("_ingestion_run_id")).distinct()
-    return bronze.join(done, on="_ingestion_run_id", how="left_anti")
+    pending = (
+        bronze.select("_ingestion_run_id", "_ingest_date")
+        .distinct()
+        .join(done, on="_ingestion_run_id", how="left_anti")
+        .collect()
+    )
+    if not pending:
+        return bronze.limit(0)
+    runs = sorted({r["_ingestion_run_id"] for r in pending if r["_ingestion_run_id"] is not None})
+    days = sorted({r["_ingest_date"] for r in pending if r["_ingest_date"] is not None})
+    day_filter = F.col("_ingest_date").isin(days)
+    if any(r["_ingest_date"] is None for r in pending):
+        day_filter = day_filter | F.col("_ingest_date").isNull()
+    run_filter = F.col("_ingestion_run_id").isin(runs)
+    if any(r["_ingestion_run_id"] is None for r in pending):
+        run_filter = run_filter | F.col("_ingestion_run_id").isNull()
+    return bronze.filter(day_filter & run_filter)
 
 
 def per_run_counts(flagged: DataFrame, ts_col: str) -> list[dict]:
