@@ -1,0 +1,25 @@
+"""Join-side sizing: broadcast only what has been measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound under which a measured join side is broadcast.
+# Key-only sides (one or a few columns) stay well under ~100 MB at this count.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its measured row count is within the bound;
+    otherwise ``df`` unchanged (a shuffle join, skew-split by AQE)."""
+    if rows is not None and rows <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def measured_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+    """Count ``df`` (one map-side-combined aggregate) and broadcast it only
+    if the count is within ``max_rows``. Returns (side, rows)."""
+    rows = df.count()
+    return sized_broadcast(df, rows, max_rows), rows

@@ -32,16 +32,33 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def assert_unique_keys(source: DataFrame, keys: Sequence[str], context: str = "upsert") -> None:
-    dup = duplicate_keys(source, keys).take(1)
-    if dup:
-        raise DuplicateSourceKeys(f"{context}: several source rows match key {dup[0].asDict()}")
+def assert_unique_keys(source: DataFrame, keys: Sequence[str], context: str = "upsert") -> int:
+    """Fail on duplicate matchable keys; return the number of source keys
+    (both from one aggregation over the keys)."""
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    per_key = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(not_null).alias("matchable")
+    )
+    row = per_key.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.max(F.when(F.col("matchable") & (F.col("n") > 1), F.struct(*keys))).alias("dup"),
+    ).first()
+    if row["dup"] is not None:
+        raise DuplicateSourceKeys(f"{context}: several source rows match key {row['dup'].asDict()}")
+    return int(row["keys"])
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], source_keys: int | None = None) -> DataFrame:
     """Matched target rows are replaced by their source row, unmatched
-    source rows inserted, untouched target rows kept. The anti join ships
-    only the key columns of ``source``; AQE broadcasts them when the batch
-    is small at runtime and keeps a sort-merge join (skew-split) otherwise."""
-    kept = target.join(source.select(*keys), on=list(keys), how="left_anti")
+    source rows inserted, untouched target rows kept.
+
+    The anti join ships only the key columns of ``source``. With a measured
+    ``source_keys`` count within the broadcast bound the keys are broadcast
+    and the target is never shuffled; otherwise it is a sort-merge join
+    (AQE may still broadcast at runtime, and splits skewed partitions)."""
+    from stratum.operators.joins import sized_broadcast
+
+    kept = target.join(sized_broadcast(source.select(*keys), source_keys), on=list(keys), how="left_anti")
     return kept.unionByName(source.select(*target.columns), allowMissingColumns=False)

@@ -55,9 +55,17 @@ class Lakehouse:
         return self.table(table).columns
 
     # ---------------------------------------------------------------- writes
+    def _shaped(self, df: DataFrame, table: str) -> DataFrame:
+        """Table column order (partition columns last); partitioned writes
+        are rebalanced on the partition columns so AQE splits a hot partition
+        across tasks and merges tiny ones (balanced files, no skewed task)."""
+        out = df.select(*self.columns(table))
+        parts = TABLES[table].partition_by if table in TABLES else ()
+        return out.hint("rebalance", *parts) if parts else out
+
     def append(self, df: DataFrame, table: str) -> None:
         """Append in table column order (partition columns last)."""
-        df.select(*self.columns(table)).write.insertInto(self.name(table), overwrite=False)
+        self._shaped(df, table).write.insertInto(self.name(table), overwrite=False)
         self.refresh(table)
 
     def refresh(self, table: str) -> None:
@@ -71,7 +79,7 @@ class Lakehouse:
         an unpartitioned table is replaced whole. ``df`` must not read the
         table itself: stage it first (see :meth:`upsert`)."""
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.select(*self.columns(table)).write.insertInto(self.name(table), overwrite=True)
+        self._shaped(df, table).write.insertInto(self.name(table), overwrite=True)
         self.refresh(table)
 
     def stage(self, df: DataFrame) -> DataFrame:
@@ -96,8 +104,7 @@ class Lakehouse:
         keys = list(keys or spec.keys)
         cols = self.columns(table)
         source = source.select(*cols)
-        if check_unique:
-            assert_unique_keys(source, keys, context=table)
+        n_keys = assert_unique_keys(source, keys, context=table) if check_unique else None
         target = self.table(table)
         touched: list[tuple] = []
         if spec.partition_by:
@@ -115,7 +122,7 @@ class Lakehouse:
                     col_cond = col_cond | F.col(c).isNull()
                 cond = cond & col_cond
             target = target.filter(cond)
-        merged = self.stage(upsert(target, source, keys))
+        merged = self.stage(upsert(target, source, keys, source_keys=n_keys))
         self.overwrite_partitions(merged, table)
         return touched
 
