@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,46 +35,52 @@ _MARGIN_KM = 1e-3
 _INF = 1e18
 
 
-def _cells(lat: Column, lon: Column, g: float) -> tuple[Column, Column]:
+def _cells_sql(lat: str, lon: str, g: float) -> tuple[str, str]:
+    """Row / column of the cell of (lat, lon) as SQL (one JVM-side parse per
+    expression keeps plan building cheap)."""
     ncols = int(round(360 / g))
-    i = F.floor((lat + F.lit(90.0)) / F.lit(g)).cast("int")
-    j = F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(g)).cast("int"), F.lit(ncols))
-    return i, j
+    return (
+        f"CAST(floor(({lat} + 90.0) / {g!r}) AS INT)",
+        f"pmod(CAST(floor(({lon} + 180.0) / {g!r}) AS INT), {ncols})",
+    )
 
 
 def _ref_cells(refs: DataFrame, g: float) -> DataFrame:
+    """Each reference copied into its own and the 8 neighbouring cells."""
     ncols = int(round(360 / g))
-    i, j = _cells(F.col("r_lat"), F.col("r_lon"), g)
-    near = F.array_distinct(
-        F.array(
-            *[
-                F.struct((i + di).alias("ci"), F.pmod(j + dj, F.lit(ncols)).alias("cj"))
-                for di in (-1, 0, 1)
-                for dj in (-1, 0, 1)
-            ]
-        )
+    i, j = _cells_sql("r_lat", "r_lon", g)
+    out = (
+        refs.selectExpr("r_id", "r_lat", "r_lon", f"{i} AS ri", f"{j} AS rj")
+        .selectExpr("r_id", "r_lat", "r_lon", "ri + di AS ci", "rj AS rj", "explode(array(-1, 0, 1)) AS di")
+        .selectExpr("r_id", "r_lat", "r_lon", "ci", f"pmod(rj + dj, {ncols}) AS cj",
+                    "explode(array(-1, 0, 1)) AS dj")
+        .select("r_id", "r_lat", "r_lon", "ci", "cj")
     )
-    return refs.select("r_id", "r_lat", "r_lon", F.inline(near))
+    return out.distinct() if ncols < 3 else out
 
 
-def _bound_km(lat: Column, lon: Column, g: float) -> Column:
-    """Lower bound on the distance from the point to any reference outside
-    its 3x3 block of cells."""
+def _bound_km_sql(g: float) -> str:
+    """Lower bound on the distance from the point (p_lat, p_lon) to any
+    reference outside its 3x3 block of cells, as SQL."""
     nrows = int(round(180 / g))
-    i, j = _cells(lat, lon, g)
-    south_edge = (i - 1) * F.lit(g) - F.lit(90.0)
-    north_edge = (i + 2) * F.lit(g) - F.lit(90.0)
-    south = F.when(i - 1 <= 0, F.lit(_INF)).otherwise(lat - south_edge)
-    north = F.when(i + 2 >= nrows + 1, F.lit(_INF)).otherwise(north_edge - lat)
-    lat_km = F.least(south, north) * F.lit(3.141592653589793 / 180.0 * EARTH_RADIUS_KM)
+    i, j = _cells_sql("p_lat", "p_lon", g)
+    deg_km = 3.141592653589793 / 180.0 * EARTH_RADIUS_KM
+    south = f"CASE WHEN {i} - 1 <= 0 THEN {_INF!r} ELSE p_lat - (({i} - 1) * {g!r} - 90.0) END"
+    north = f"CASE WHEN {i} + 2 >= {nrows + 1} THEN {_INF!r} ELSE (({i} + 2) * {g!r} - 90.0) - p_lat END"
+    lat_km = f"(least({south}, {north}) * {deg_km!r})"
     if 3 * g >= 360:
-        return F.least(lat_km, F.lit(_INF))
-    lon_w = F.when(lon >= 180.0, lon - F.lit(360.0)).otherwise(lon)
-    west = lon_w - ((j - 1) * F.lit(g) - F.lit(180.0))
-    east = ((j + 2) * F.lit(g) - F.lit(180.0)) - lon_w
-    dlon = F.least(west, east)
-    lon_km = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(dlon))) * F.lit(EARTH_RADIUS_KM)
-    return F.least(lat_km, lon_km)
+        return lat_km
+    lon_w = "(CASE WHEN p_lon >= 180.0 THEN p_lon - 360.0 ELSE p_lon END)"
+    west = f"({lon_w} - (({j} - 1) * {g!r} - 180.0))"
+    east = f"((({j} + 2) * {g!r} - 180.0) - {lon_w})"
+    lon_km = f"(asin(cos(radians(p_lat)) * sin(radians(least({west}, {east})))) * {EARTH_RADIUS_KM!r})"
+    return f"least({lat_km}, {lon_km})"
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
 
 
 def nearest(
@@ -87,12 +94,15 @@ def nearest(
     """(point_id, lat, lon, ref_id, distance_km) for every point with
     coordinates (named as in ``point_cols`` / ``ref_cols``).
 
-    ``stage`` materialises each level (default: reliable ``checkpoint``),
-    so later levels do not recompute earlier ones.
+    ``stage`` materialises each level so later levels do not recompute
+    earlier ones. Default: persist (memory, spilling to disk) — each level is
+    one row per distinct point, deterministic, with at most a few levels of
+    lineage, so a lost block is recomputed exactly. Pass
+    ``lambda df: df.checkpoint()`` to cut lineage instead.
     """
     pid, plat, plon = point_cols
     rid, rlat, rlon = ref_cols
-    stage = stage or (lambda df: df.checkpoint(eager=True))
+    stage = stage or _persist
     pts = (
         points.select(F.col(pid).alias("p_id"), F.col(plat).cast("double").alias("p_lat"),
                       F.col(plon).cast("double").alias("p_lon"))
@@ -108,24 +118,23 @@ def nearest(
     )
     resolved: list[DataFrame] = []
     pending = pts
+    km = haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("r_lat"), F.col("r_lon"))
+    best_of = F.min(F.when(F.col("r_id").isNotNull(),
+                           F.struct(F.round(km, 6).alias("k"), F.col("r_id"), km.alias("km")))).alias("b")
     for n, g in enumerate(levels):
         last = n == len(levels) - 1
-        pi, pj = _cells(F.col("p_lat"), F.col("p_lon"), g)
-        keyed = pending.withColumn("ci", pi).withColumn("cj", pj)
+        pi, pj = _cells_sql("p_lat", "p_lon", g)
+        keyed = pending.selectExpr("p_id", "p_lat", "p_lon", f"{pi} AS ci", f"{pj} AS cj")
         cand = keyed.join(_ref_cells(rfs, g), on=["ci", "cj"], how="left")
-        km = haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("r_lat"), F.col("r_lon"))
-        best = (
-            cand.withColumn("km", km)
-            .groupBy("p_id", "p_lat", "p_lon")
-            .agg(F.min(F.when(F.col("r_id").isNotNull(),
-                              F.struct(F.round("km", 6).alias("k"), F.col("r_id"), F.col("km")))).alias("b"))
-            .select("p_id", "p_lat", "p_lon", F.col("b.r_id").alias("r_id"), F.col("b.km").alias("km"))
+        best = cand.groupBy("p_id", "p_lat", "p_lon").agg(best_of).selectExpr(
+            "p_id", "p_lat", "p_lon", "b.r_id AS r_id", "b.km AS km"
         )
         if last:
             resolved.append(best.filter(F.col("r_id").isNotNull()))
             break
-        bound = _bound_km(F.col("p_lat"), F.col("p_lon"), g)
-        level = stage(best.withColumn("ok", F.col("r_id").isNotNull() & (F.col("km") < bound - F.lit(_MARGIN_KM))))
+        level = stage(best.selectExpr(
+            "*", f"r_id IS NOT NULL AND km < {_bound_km_sql(g)} - {_MARGIN_KM!r} AS ok"
+        ))
         resolved.append(level.filter("ok").drop("ok"))
         pending = level.filter(~F.col("ok")).select("p_id", "p_lat", "p_lon")
     out = resolved[0]

@@ -306,7 +306,8 @@ def _silver_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ensure_checkpoint_dir(spark)
     customer = si.table(spark, sf_dir, "customer")
-    silver = silver_air_quality(_bronze_air_quality(spark, sf_dir), si.cities_with_coordinates(customer),
+    events = si.table(spark, sf_dir, "events")
+    silver = silver_air_quality(si.bronze_air_quality(events), si.cities_with_coordinates(customer),
                                 _ts(MERGED_AT))
     return silver.withColumn("observation_timestamp", F.col("observation_timestamp").cast("timestamp_ntz"))
 

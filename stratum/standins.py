@@ -366,3 +366,28 @@ def run_log_from_orders(orders: DataFrame) -> DataFrame:
         .alias("rows_quarantined"),
         F.col("o_orderdate").alias("max_observation_ts"),
     )
+
+
+def bronze_air_quality(events: DataFrame) -> DataFrame:
+    """events -> bronze.air_quality_raw rows directly (the same values
+    :func:`air_quality_lines` carries through JSON text), for the queries
+    downstream of landing."""
+    et = F.col("event_type")
+    hour = F.date_trunc("HOUR", F.col("ts").cast("timestamp"))
+    return events.select(
+        F.lit("openaq").alias("_source"),
+        F.col("ts").alias("_ingested_at"),
+        F.concat(F.lit("aq-"), F.date_format("ts", "yyyyMMddHH")).alias("_ingestion_run_id"),
+        F.to_date("ts").alias("_ingest_date"),
+        F.col("user_id").alias("location_id"),
+        (F.col("user_id") * 10 + _map_col({k: str(v) for k, v in SENSOR_OF_EVENT.items()}, et).cast("bigint"))
+        .alias("sensor_id"),
+        F.col("props").alias("raw_json"),
+        _map_col({k: v[0] for k, v in PARAMETER_OF_EVENT.items()}, et).alias("parameter_name"),
+        _map_col({k: v[1] for k, v in PARAMETER_OF_EVENT.items()}, et).alias("parameter_units"),
+        F.when(et == "purchase", F.col("value") / 1000).otherwise(F.col("value")).alias("value"),
+        hour.alias("period_datetime_from"),
+        (hour + F.expr("INTERVAL 1 HOUR")).alias("period_datetime_to"),
+        location_lat(F.col("user_id")).alias("location_latitude"),
+        location_lon(F.col("user_id")).alias("location_longitude"),
+    )
