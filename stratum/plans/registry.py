@@ -177,27 +177,28 @@ CITY_TRACKED = ["population", "elevation_m", "timezone"]
 CITY_SK = "city_sk"
 
 
-def _city_snapshot(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+def _city_snapshot(bronze: DataFrame) -> DataFrame:
     from stratum.operators.dedup import latest_run, one_per_key
     from stratum.operators.shaping import shape_city_attributes
 
-    customer = si.table(spark, sf_dir, "customer")
-    bronze = si.bronze_city_snapshot(customer, 1)
-    if version == 2:
-        bronze = si.bronze_city_all(customer)
     return one_per_key(shape_city_attributes(latest_run(bronze)), ["city_id"])
 
 
 def _dim_after(spark: SparkSession, sf_dir: str, versions: int) -> DataFrame:
+    """Dimension after the first snapshot, or after both (bronze holds both
+    runs; the newest run is the snapshot applied)."""
     from stratum.operators.scd2 import empty_dim_like, scd2_apply
 
-    snap1 = _city_snapshot(spark, sf_dir, 1)
+    customer = si.table(spark, sf_dir, "customer")
+    bronze1 = si.bronze_city_snapshot(customer, 1)
+    snap1 = _city_snapshot(bronze1)
     dim = scd2_apply(
         empty_dim_like(snap1, "city_id", CITY_SK, "timestamp_ntz"), snap1, "city_id", CITY_TRACKED,
         _ts(si.CITY_RUNS[1][1]), sk_col=CITY_SK, sk_offset=0,
     )
     if versions == 2:
-        dim = scd2_apply(dim, _city_snapshot(spark, sf_dir, 2), "city_id", CITY_TRACKED,
+        bronze_all = bronze1.unionByName(si.bronze_city_snapshot(customer, 2))
+        dim = scd2_apply(dim, _city_snapshot(bronze_all), "city_id", CITY_TRACKED,
                          _ts(si.CITY_RUNS[2][1]), sk_col=CITY_SK, sk_offset=10**12)
     return dim
 
@@ -211,8 +212,9 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.operators.scd2 import current_rows, scd2_changes as changes
 
+    customer = si.table(spark, sf_dir, "customer")
     current = current_rows(_dim_after(spark, sf_dir, 1))
-    return changes(current, _city_snapshot(spark, sf_dir, 2), "city_id", CITY_TRACKED)
+    return changes(current, _city_snapshot(si.bronze_city_all(customer)), "city_id", CITY_TRACKED)
 
 
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,10 +28,12 @@ def with_audit(
             return given
         return F.col(name) if name in df.columns else default
 
-    return df.withColumns(
-        {
-            "_source": pick("_source", source, F.lit(default_source)),
-            "_ingested_at": pick("_ingested_at", ingested_at, F.current_timestamp()),
-            "_ingestion_run_id": pick("_ingestion_run_id", run_id, F.lit(str(uuid.uuid4()))),
-        }
-    ).withColumn("_ingest_date", F.to_date(F.col("_ingested_at")))
+    at = pick("_ingested_at", ingested_at, F.current_timestamp())
+    audit = {
+        "_source": pick("_source", source, F.lit(default_source)),
+        "_ingested_at": at,
+        "_ingestion_run_id": pick("_ingestion_run_id", run_id, F.lit(str(uuid.uuid4()))),
+        "_ingest_date": F.to_date(at),
+    }
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in audit],
+                     *[v.alias(k) for k, v in audit.items()])

@@ -43,9 +43,9 @@ def land_city_reference(
     run_id: Column | None = None,
     ingested_at: Column | None = None,
 ) -> DataFrame:
-    typed = parsed
-    for c, t in CITY_CASTS.items():
-        typed = typed.withColumn(c, F.expr(f"try_cast({c} AS {t})"))
+    typed = parsed.selectExpr(
+        *[f"try_cast({c} AS {CITY_CASTS[c]}) AS {c}" if c in CITY_CASTS else f"`{c}`" for c in parsed.columns]
+    )
     return with_audit(typed, source, run_id, ingested_at, default_source="geonames").select(
         *BRONZE_CITY_COLUMNS
     )
