@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +38,17 @@ def run_weather_fact(lake, days: Sequence | None = None) -> int:
     """Facts for ``days``: existing rows keep their surrogate key."""
     silver = _silver_days(lake, days)
     dim = lake.table("gold.dim_city_current")
-    source = build_weather_fact(silver, dim)
+    source = build_weather_fact(silver, dim).persist(StorageLevel.MEMORY_AND_DISK)
     table = "gold.fact_weather_observation"
-    fact = lake.table(table)
-    offset = max_key(fact, WEATHER_FACT_SK)
-    date_sks = [r[0] for r in source.select("date_sk").distinct().collect()]
-    target = fact.filter(F.col("date_sk").isin(date_sks)) if date_sks else fact.limit(0)
-    merged = lake.stage(upsert_fact(target, source, WEATHER_FACT_KEYS, WEATHER_FACT_SK, sk_offset=offset))
-    lake.overwrite_partitions(merged, table)
+    try:
+        fact = lake.table(table)
+        offset = max_key(fact, WEATHER_FACT_SK)
+        date_sks = [r[0] for r in source.select("date_sk").distinct().collect()]
+        if not date_sks:
+            return 0
+        target = fact.filter(F.col("date_sk").isin(date_sks))
+        merged = lake.stage(upsert_fact(target, source, WEATHER_FACT_KEYS, WEATHER_FACT_SK, sk_offset=offset))
+        lake.overwrite_partitions(merged, table)
+    finally:
+        source.unpersist()
     return len(date_sks)

@@ -5,13 +5,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.upsert import assert_unique_keys, upsert
+from stratum.operators.upsert import DuplicateSourceKeys, upsert
 from stratum.schemas import DIM_CITY_CURRENT_COLUMNS, DIM_CITY_CURRENT_VIEW, TABLES, TableSpec
 
 
+def profile_source(source: DataFrame, keys: Sequence[str], partition_by: Sequence[str],
+                   context: str = "upsert", check_unique: bool = True) -> tuple[int, list[tuple]]:
+    """One aggregation over an upsert batch: number of keys, a duplicate
+    matchable key (raises), and the partitions it touches.
+
+    Partition values must be a function of the key (true for every table
+    here): a key moving partition would need both partitions rewritten. The
+    touched list is a ``collect_set`` of partition values, so its size is
+    bounded by the partition count, never by the data.
+    """
+    matchable = F.lit(True)
+    for k in keys:
+        matchable = matchable & F.col(k).isNotNull()
+    part = F.struct(*[F.col(c) for c in partition_by]) if partition_by else F.lit(None)
+    per_key = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(matchable).alias("m"), F.min(part).alias("p")
+    )
+    row = per_key.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.max(F.when(F.col("m") & (F.col("n") > 1), F.struct(*keys))).alias("dup"),
+        F.collect_set("p").alias("parts"),
+    ).first()
+    if check_unique and row["dup"] is not None:
+        raise DuplicateSourceKeys(f"{context}: several source rows match key {row['dup'].asDict()}")
+    touched = [tuple(p) for p in row["parts"]] if partition_by else []
+    return int(row["keys"]), touched
+
+
 class Lakehouse:
     """The bronze / silver / gold (+ ops) schemas rooted at ``root``."""
 
@@ -42,6 +71,12 @@ class Lakehouse:
     def _create_table(self, spec: TableSpec) -> None:
         part = f" PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
         schema, t = spec.name.split(".")
+        if self.spark.catalog.tableExists(self.name(spec.name)):
+            info = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(spec.name)}").collect()
+            loc = next((r.data_type for r in info if r.col_name == "Location"), "")
+            if loc.rstrip("/").removeprefix("file:") != f"{self.root}/{schema}/{t}".removeprefix("file:"):
+                raise ValueError(f"{self.name(spec.name)} already exists at {loc}, not under {self.root}; "
+                                 "use another prefix")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(spec.name)} ({spec.columns}) USING parquet"
             f"{part} LOCATION '{self.root}/{schema}/{t}'"
@@ -102,28 +137,31 @@ class Lakehouse:
         """
         spec = TABLES[table]
         keys = list(keys or spec.keys)
-        cols = self.columns(table)
-        source = source.select(*cols)
-        n_keys = assert_unique_keys(source, keys, context=table) if check_unique else None
-        target = self.table(table)
-        touched: list[tuple] = []
-        if spec.partition_by:
-            touched = [tuple(r) for r in source.select(*spec.partition_by).distinct().collect()]
-            if not touched:
-                return []
-            # One IN list per partition column: static partition pruning at
-            # the scan. The cross product may name a few extra partitions;
-            # rewriting them with their own rows is harmless.
-            cond = F.lit(True)
-            for i, c in enumerate(spec.partition_by):
-                values = sorted({t[i] for t in touched if t[i] is not None})
-                col_cond = F.col(c).isin(values) if values else F.lit(False)
-                if any(t[i] is None for t in touched):
-                    col_cond = col_cond | F.col(c).isNull()
-                cond = cond & col_cond
-            target = target.filter(cond)
-        merged = self.stage(upsert(target, source, keys, source_keys=n_keys))
-        self.overwrite_partitions(merged, table)
+        # The batch feeds the profile and the merge: keep it (batch-sized,
+        # spills to disk) so its upstream — dedup window, joins — runs once.
+        source = source.select(*self.columns(table)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n_keys, touched = profile_source(source, keys, spec.partition_by, context=table,
+                                             check_unique=check_unique)
+            target = self.table(table)
+            if spec.partition_by:
+                if not touched:
+                    return []
+                # One IN list per partition column: static partition pruning at
+                # the scan. The cross product may name a few extra partitions;
+                # rewriting them with their own rows is harmless.
+                cond = F.lit(True)
+                for i, c in enumerate(spec.partition_by):
+                    values = sorted({t[i] for t in touched if t[i] is not None})
+                    col_cond = F.col(c).isin(values) if values else F.lit(False)
+                    if any(t[i] is None for t in touched):
+                        col_cond = col_cond | F.col(c).isNull()
+                    cond = cond & col_cond
+                target = target.filter(cond)
+            merged = self.stage(upsert(target, source, keys, source_keys=n_keys))
+            self.overwrite_partitions(merged, table)
+        finally:
+            source.unpersist()
         return touched
 
     def replace(self, df: DataFrame, table: str) -> None:
