@@ -56,3 +56,90 @@ def build_air_quality_fact(silver_aq: DataFrame, dim_city_current: DataFrame) ->
         .withColumn("date_sk", date_sk("observation_timestamp"))
         .select(*AQ_FACT_COLUMNS)
     )
+
+
+def run_silver_air_quality(lake, run_ts=None, only_unseen: bool = True) -> dict:
+    """bronze.air_quality_raw -> silver.air_quality_readings.
+
+    Unseen landing runs only; the nearest-city search runs once per distinct
+    location of the batch against the current city dimension.
+    """
+    import datetime as dt
+
+    from pyspark import StorageLevel
+
+    from stratum.plans import runlog
+
+    started = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    task = "silver_air_quality"
+    bronze = lake.table("bronze.air_quality_raw")
+    if only_unseen:
+        bronze = runlog.unseen(bronze, lake, task)
+    bronze = bronze.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cities = lake.table("gold.dim_city_current").select("city_id", "latitude", "longitude")
+        silver = silver_air_quality(bronze, cities, F.lit(started).cast("timestamp")).withColumn(
+            "obs_date", F.to_date("observation_timestamp")
+        )
+        runs = (
+            bronze.groupBy("_ingestion_run_id")
+            .agg(F.count(F.lit(1)).alias("rows_processed"),
+                 F.max("period_datetime_from").cast("timestamp").alias("max_observation_ts"),
+                 F.min("_ingested_at").cast("timestamp").alias("first_ingested_at"))
+            .collect()
+        )
+        touched = lake.upsert(silver, "silver.air_quality_readings")
+    finally:
+        bronze.unpersist()
+    ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    logged = [{**r.asDict(), "rows_quarantined": 0} for r in runs]
+    runlog.record(lake, "air_quality_hourly", task, started, ended, logged, "ok")
+    return {"rows": sum(r["rows_processed"] for r in logged), "touched_partitions": touched}
+
+
+def run_air_quality_fact(lake, days=None) -> int:
+    """Facts for the given days (all when None); existing rows keep keys."""
+    from pyspark import StorageLevel
+
+    from stratum.operators.facts import upsert_fact
+    from stratum.operators.keys import max_key
+
+    silver = lake.table("silver.air_quality_readings")
+    if days:
+        silver = silver.filter(F.col("obs_date").isin(list(days)))
+    source = build_air_quality_fact(silver, lake.table("gold.dim_city_current")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    table = "gold.fact_air_quality_reading"
+    try:
+        fact = lake.table(table)
+        offset = max_key(fact, AQ_FACT_SK)
+        date_sks = [r[0] for r in source.select("date_sk").distinct().collect()]
+        if not date_sks:
+            return 0
+        target = fact.filter(F.col("date_sk").isin(date_sks))
+        keys = ["location_id", "parameter_name", "observation_timestamp", "_source"]
+        merged = lake.stage(upsert_fact(target, source, keys, AQ_FACT_SK, sk_offset=offset))
+        lake.overwrite_partitions(merged, table)
+    finally:
+        source.unpersist()
+    return len(date_sks)
+
+
+def run_air_quality_marts(lake, days=None, breakpoint_table: DataFrame | None = None) -> int:
+    """Weather x air-quality mart for ``days`` and the daily summary's
+    dominant AQI category (both upserted on (city_id, obs_date))."""
+    from stratum.operators.aqi import breakpoints, with_aqi
+    from stratum.operators.marts import daily_air_quality, daily_city_summary, dominant_category, weather_air_quality
+
+    aq = lake.table("silver.air_quality_readings")
+    wx = lake.table("silver.weather_observations")
+    if days:
+        aq = aq.filter(F.col("obs_date").isin(list(days)))
+        wx = wx.filter(F.col("obs_date").isin(list(days)))
+    rated = with_aqi(aq, breakpoint_table if breakpoint_table is not None else breakpoints(lake.spark))
+    lookup = lake.table("gold.dim_city_current").select("city_id", "city_name")
+    mart = weather_air_quality(wx, daily_air_quality(rated), lookup)
+    touched = lake.upsert(mart, "gold.mart_weather_air_quality_correlation")
+    summary = daily_city_summary(wx, lookup, dominant_category=dominant_category(rated))
+    lake.upsert(summary, "gold.mart_daily_city_climate_summary")
+    return len(touched)

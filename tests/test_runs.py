@@ -76,3 +76,57 @@ def test_historical_backfill_twice_keeps_silver(spark, tmp_root):
     second = run_silver_historical(lake, dt.datetime(2024, 2, 2))
     assert second["checked_rows"] == bronze.count()  # the re-landed run was processed
     assert lake.table("silver.historical_daily_weather").count() == n
+
+
+def test_air_quality_health_and_dates(spark, tmp_root):
+    from stratum.plans.air_quality import run_air_quality_fact, run_air_quality_marts, run_silver_air_quality
+    from stratum.plans.health import run_dim_date, run_pipeline_health
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="aq_")
+    lake.create()
+    events, customer = si.table(spark, SF, "events"), si.table(spark, SF, "customer")
+    lake.append(si.bronze_city_snapshot(customer, 1), "bronze.city_reference_raw")
+    run_dim_city(lake, dt.datetime(2024, 1, 1, 1))
+    lake.append(land_weather(parse_weather_lines(si.weather_json_lines(events)), run_id=F.lit("w1")),
+                "bronze.weather_raw")
+    wx = run_silver_weather(lake, dt.datetime(2024, 1, 31, 1), as_of="_ingested_at")
+    lake.append(si.bronze_air_quality(events), "bronze.air_quality_raw")
+    r = run_silver_air_quality(lake, dt.datetime(2024, 1, 31, 2))
+    silver = lake.table("silver.air_quality_readings")
+    assert r["rows"] == events.count() and silver.count() > 0
+    assert silver.filter("city_id IS NULL").count() == 0
+    assert run_silver_air_quality(lake, dt.datetime(2024, 1, 31, 3))["rows"] == 0
+    days = touched_days(wx["touched_partitions"])
+    assert run_air_quality_fact(lake, days) > 0
+    fact = lake.table("gold.fact_air_quality_reading")
+    assert fact.select("air_quality_reading_sk").distinct().count() == fact.count()
+    run_air_quality_marts(lake, days)
+    mart = lake.table("gold.mart_daily_city_climate_summary")
+    assert mart.filter("dominant_aqi_category IS NOT NULL").count() > 0
+    assert run_pipeline_health(lake) >= 1
+    health = lake.table("gold.mart_pipeline_health")
+    assert health.filter("rows_processed > 0").count() == health.count()
+    assert run_dim_date(lake, "2024-01-01", "2024-12-31") == 366
+
+
+def test_hourly_chain_from_files(spark, tmp_root):
+    import json
+
+    from stratum.plans.hourly import run_weather_hourly
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="hr_")
+    lake.create()
+    spark.sql(
+        f"INSERT INTO {lake.name('silver.dim_city')} VALUES (1, 1, 'A', 'a', 'US', 'NY', 0.0, 0.0, 5, 10, 'z',"
+        " TIMESTAMP '2024-01-01 00:00:00', NULL, true)"
+    )
+    now = dt.datetime(2024, 3, 1, 12, 0)
+    docs = [json.dumps({"_city_id": 1, "current": {"time": f"2024-03-01T{h:02d}:00", "temperature_2m": h,
+                                                   "precipitation": 0.5}}) for h in range(10, 12)]
+    landing = f"{tmp_root}/landing/h1"
+    spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(landing)
+    out = run_weather_hourly(lake, landing, run_id="h1", run_ts=now)
+    assert out["checked_rows"] == 2 and out["mart_partitions"] == 1
+    mart = lake.table("gold.mart_daily_city_climate_summary").first()
+    assert (mart.row_count, mart.total_precip_mm, mart.avg_temp_c) == (2, 1.0, 10.5)
+    assert lake.table("gold.mart_pipeline_health").count() == 1
