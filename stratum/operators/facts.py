@@ -38,13 +38,14 @@ def upsert_fact(
     keys: Sequence[str],
     sk_col: str,
     sk_offset: int | None = None,
+    source_rows: int | None = None,
 ) -> DataFrame:
     """MERGE with explicit columns: matched rows take the source's non-key
     values but keep their surrogate key; new rows get fresh keys above the
     current maximum. ``sk_offset`` skips the max scan when known."""
     offset = max_key(target, sk_col) if sk_offset is None else sk_offset
-    staged = assign_new_keys(carry_keys(target, source, keys, sk_col), sk_col, offset)
-    return upsert(target, staged.select(*target.columns), keys)
+    staged = assign_new_keys(carry_keys(target, source, keys, sk_col, source_rows), sk_col, offset)
+    return upsert(target, staged.select(*target.columns), keys, source_keys=source_rows)
 
 
 def with_new_keys(df: DataFrame, sk_col: str, offset: int = 0) -> DataFrame:

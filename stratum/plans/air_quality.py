@@ -113,12 +113,15 @@ def run_air_quality_fact(lake, days=None) -> int:
     try:
         fact = lake.table(table)
         offset = max_key(fact, AQ_FACT_SK)
-        date_sks = [r[0] for r in source.select("date_sk").distinct().collect()]
+        per_day = source.groupBy("date_sk").count().collect()  # one row per day
+        date_sks = [r[0] for r in per_day]
+        rows = sum(r[1] for r in per_day)
         if not date_sks:
             return 0
         target = fact.filter(F.col("date_sk").isin(date_sks))
         keys = ["location_id", "parameter_name", "observation_timestamp", "_source"]
-        merged = lake.stage(upsert_fact(target, source, keys, AQ_FACT_SK, sk_offset=offset))
+        merged = lake.stage(upsert_fact(target, source, keys, AQ_FACT_SK, sk_offset=offset,
+                                             source_rows=rows))
         lake.overwrite_partitions(merged, table)
     finally:
         source.unpersist()

@@ -112,3 +112,27 @@ def test_scope(spark):
         raise AssertionError("expected UnknownStation")
     except scope.UnknownStation as e:
         assert "Z" in str(e)
+
+
+def test_file_readers(spark, tmp_path):
+    from stratum.sources.air_quality_json import read_air_quality_json
+
+    d = tmp_path / "dly"
+    d.mkdir()
+    (d / "USW00000001.dly").write_text(dly("USW00000001", 2024, 1, "TMAX", {5: ("   42", " ", " ", "S")}) + "\n")
+    rows = station_dly.read_station_dly(spark, str(d)).collect()
+    assert [(r.obs_date, r.data_value, r._source_file) for r in rows] == [
+        (dt.date(2024, 1, 5), 42, "USW00000001.dly")
+    ]
+    a = tmp_path / "aq"
+    a.mkdir()
+    doc = {"location_id": 7, "coordinates": {"latitude": 1.0, "longitude": 2.0},
+           "results": [{"sensor_id": 70, "parameter": {"name": "pm25", "units": "ug/m3"}, "value": 12.5,
+                        "period": {"datetimeFrom": {"utc": "2024-01-01T05:00:00Z"},
+                                   "datetimeTo": {"utc": "2024-01-01T06:00:00Z"}}},
+                       {"sensor_id": 71, "parameter": {"name": "pm10"}, "value": 3}]}
+    (a / "x.json").write_text(json.dumps(doc) + "\n" + json.dumps({"location_id": 8}) + "\n")
+    out = {(r.location_id, r.sensor_id): r for r in read_air_quality_json(spark, str(a)).collect()}
+    assert set(out) == {(7, 70), (7, 71), (8, None)}
+    assert out[(7, 70)].period_datetime_from == dt.datetime(2024, 1, 1, 5)
+    assert out[(7, 71)].value == 3.0 and out[(7, 71)].parameter_units is None
