@@ -10,10 +10,14 @@ outside the 3x3 block could be:
 * across a longitude edge (a meridian dlon away) at least
   R * asin(cos(lat) * sin(dlon)), the distance to that meridian's circle.
 
-Unresolved points (no candidate, or a candidate not provably best — e.g. near
-the poles) go to the next, coarser level. The last level spans the globe, so
-every point is answered exactly; only the residue with no reference within
-the previous level's reach (normally none) meets all reference locations.
+Unresolved points (no candidate, or a candidate not provably best) go to the
+next, coarser level. Near the poles the longitude bound collapses, so after
+the grid levels come latitude-band levels: a band holds all longitudes, the
+bound is the latitude margin alone, and a polar point meets only references
+within three bands of its latitude. The last level spans the globe, so every
+point is answered exactly; only a residue with no reference within the
+widest band's reach (thousands of km; normally none) meets all reference
+locations.
 
 Ties: smallest distance rounded to 1e-6 km, then smallest reference id.
 References sharing a coordinate are first reduced to the smallest id.
@@ -29,8 +33,10 @@ from pyspark.sql import functions as F
 
 from stratum.functions.geo import EARTH_RADIUS_KM, haversine_km
 
-# Cell sizes in degrees (each divides 360).
-LEVELS_DEG: tuple[float, ...] = (0.5, 2.0, 8.0, 30.0, 180.0)
+# Grid cell sizes in degrees (each divides 360), then latitude
+# band heights in degrees, then the whole sphere.
+LEVELS_DEG: tuple[float, ...] = (0.5, 2.0, 8.0, 30.0)
+BAND_LEVELS_DEG: tuple[float, ...] = (10.0, 45.0)
 _MARGIN_KM = 1e-3
 _INF = 1e18
 
@@ -59,6 +65,25 @@ def _ref_cells(refs: DataFrame, g: float) -> DataFrame:
     return out.distinct() if ncols < 3 else out
 
 
+def _band_refs(refs: DataFrame, g: float) -> DataFrame:
+    """Each reference copied into its own and the two neighbouring latitude
+    bands; the longitude cell is a constant 0."""
+    i = f"CAST(floor((r_lat + 90.0) / {g!r}) AS INT)"
+    return refs.selectExpr("r_id", "r_lat", "r_lon", f"{i} + di AS ci", "0 AS cj",
+                           "explode(array(-1, 0, 1)) AS di").drop("di")
+
+
+def _band_bound_km_sql(g: float) -> str:
+    """Distance bound for a point outside its 3 latitude bands: the
+    latitude margin (great-circle distance >= R * |dlat|)."""
+    nrows = int(round(180 / g))
+    i = f"CAST(floor((p_lat + 90.0) / {g!r}) AS INT)"
+    deg_km = 3.141592653589793 / 180.0 * EARTH_RADIUS_KM
+    south = f"CASE WHEN {i} - 1 <= 0 THEN {_INF!r} ELSE p_lat - (({i} - 1) * {g!r} - 90.0) END"
+    north = f"CASE WHEN {i} + 2 >= {nrows + 1} THEN {_INF!r} ELSE (({i} + 2) * {g!r} - 90.0) - p_lat END"
+    return f"(least({south}, {north}) * {deg_km!r})"
+
+
 def _bound_km_sql(g: float) -> str:
     """Lower bound on the distance from the point (p_lat, p_lon) to any
     reference outside its 3x3 block of cells, as SQL."""
@@ -89,6 +114,7 @@ def nearest(
     point_cols: Sequence[str] = ("point_id", "lat", "lon"),
     ref_cols: Sequence[str] = ("ref_id", "lat", "lon"),
     levels: Sequence[float] = LEVELS_DEG,
+    bands: Sequence[float] = BAND_LEVELS_DEG,
     stage=None,
 ) -> DataFrame:
     """(point_id, lat, lon, ref_id, distance_km) for every point with
@@ -121,22 +147,30 @@ def nearest(
     km = haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("r_lat"), F.col("r_lon"))
     best_of = F.min(F.when(F.col("r_id").isNotNull(),
                            F.struct(F.round(km, 6).alias("k"), F.col("r_id"), km.alias("km")))).alias("b")
-    for n, g in enumerate(levels):
-        last = n == len(levels) - 1
-        pi, pj = _cells_sql("p_lat", "p_lon", g)
+    plan = [("grid", g) for g in levels] + [("band", g) for g in bands] + [("globe", 180.0)]
+    for kind, g in plan:
+        if kind == "grid":
+            pi, pj = _cells_sql("p_lat", "p_lon", g)
+            refs_here, bound = _ref_cells(rfs, g), _bound_km_sql(g)
+        elif kind == "band":
+            pi, pj = f"CAST(floor((p_lat + 90.0) / {g!r}) AS INT)", "0"
+            refs_here, bound = _band_refs(rfs, g), _band_bound_km_sql(g)
+        else:
+            pi, pj = "0", "0"
+            refs_here, bound = rfs.selectExpr("r_id", "r_lat", "r_lon", "0 AS ci", "0 AS cj"), None
         keyed = pending.selectExpr("p_id", "p_lat", "p_lon", f"{pi} AS ci", f"{pj} AS cj")
-        cand = keyed.join(_ref_cells(rfs, g), on=["ci", "cj"], how="left")
+        cand = keyed.join(refs_here, on=["ci", "cj"], how="left")
         best = cand.groupBy("p_id", "p_lat", "p_lon").agg(best_of).selectExpr(
             "p_id", "p_lat", "p_lon", "b.r_id AS r_id", "b.km AS km"
         )
-        if last:
+        if bound is None:
             resolved.append(best.filter(F.col("r_id").isNotNull()))
             break
-        level = stage(best.selectExpr(
-            "*", f"r_id IS NOT NULL AND km < {_bound_km_sql(g)} - {_MARGIN_KM!r} AS ok"
-        ))
+        level = stage(best.selectExpr("*", f"r_id IS NOT NULL AND km < {bound} - {_MARGIN_KM!r} AS ok"))
         resolved.append(level.filter("ok").drop("ok"))
         pending = level.filter(~F.col("ok")).select("p_id", "p_lat", "p_lon")
+        if pending.isEmpty():  # cheap on the staged level; skips coarser levels
+            break
     out = resolved[0]
     for r in resolved[1:]:
         out = out.unionByName(r)

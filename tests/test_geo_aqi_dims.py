@@ -81,3 +81,19 @@ def test_daily_summary_edges(spark):
     assert out[(1, dt.date(2024, 1, 2))].avg_temp_c is None and out[(1, dt.date(2024, 1, 2))].row_count == 1
     assert out[(7, dt.date(2024, 1, 2))].city_name is None
     assert out[(1, dt.date(2024, 1, 1))].total_precip_mm == 1.0
+
+
+def test_nearest_sparse_refs_reach_band_and_globe_levels(spark):
+    rnd = random.Random(3)
+    refs = [(1, 0.0, 0.0), (2, 80.0, 100.0), (3, -85.0, -60.0)]
+    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(60)] + [(99, 90.0, 0.0)]
+    got = {
+        r.point_id: r.ref_id
+        for r in nearest(
+            spark.createDataFrame(pts, "point_id int, lat double, lon double"),
+            spark.createDataFrame(refs, "ref_id int, lat double, lon double"),
+        ).collect()
+    }
+    assert len(got) == len(pts)
+    for pid, la, lo in pts:
+        assert got[pid] == min(refs, key=lambda r: (round(_hav(la, lo, r[1], r[2]), 6), r[0]))[0]
