@@ -14,10 +14,13 @@ Unresolved points (no candidate, or a candidate not provably best) go to the
 next, coarser level. Near the poles the longitude bound collapses, so after
 the grid levels come latitude-band levels: a band holds all longitudes, the
 bound is the latitude margin alone, and a polar point meets only references
-within three bands of its latitude. The last level spans the globe, so every
-point is answered exactly; only a residue with no reference within the
-widest band's reach (thousands of km; normally none) meets all reference
-locations.
+within three bands of its latitude. Points still unresolved (no reference
+within the widest band's reach — thousands of km; normally none) finish with
+a branch-and-bound step: references are summarised into at most 84 coarse
+cells (bounding box + one member); each point computes a lower bound to
+every cell box and an upper bound from every member, and is joined only to
+the references of cells whose lower bound does not exceed its best upper
+bound. Every step is an equi-join; no step pairs a point with all references.
 
 Ties: smallest distance rounded to 1e-6 km, then smallest reference id.
 References sharing a coordinate are first reduced to the smallest id.
@@ -28,7 +31,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.geo import EARTH_RADIUS_KM, haversine_km
@@ -37,6 +40,7 @@ from stratum.functions.geo import EARTH_RADIUS_KM, haversine_km
 # band heights in degrees, then the whole sphere.
 LEVELS_DEG: tuple[float, ...] = (0.5, 2.0, 8.0, 30.0)
 BAND_LEVELS_DEG: tuple[float, ...] = (10.0, 45.0)
+COARSE_DEG = 30.0
 _MARGIN_KM = 1e-3
 _INF = 1e18
 
@@ -102,6 +106,45 @@ def _bound_km_sql(g: float) -> str:
     return f"least({lat_km}, {lon_km})"
 
 
+def _cell_key_sql(lat: str, lon: str, g: float) -> str:
+    i, j = _cells_sql(lat, lon, g)
+    return f"({i}) * {int(round(360 / g))} + ({j})"
+
+
+def _branch_and_bound(pending: DataFrame, rfs: DataFrame, km_of, best_of) -> DataFrame:
+    """Exact nearest reference for the residue, visiting only cells that can
+    still hold it."""
+    g = COARSE_DEG
+    n_cells = (int(round(180 / g)) + 1) * int(round(360 / g))
+    keyed_refs = rfs.selectExpr("r_id", "r_lat", "r_lon", f"{_cell_key_sql('r_lat', 'r_lon', g)} AS ck")
+    cells = keyed_refs.groupBy("ck").agg(
+        F.min("r_lat").alias("lat_lo"), F.max("r_lat").alias("lat_hi"),
+        F.min("r_lon").alias("lon_lo"), F.max("r_lon").alias("lon_hi"),
+        F.min(F.struct("r_id", "r_lat", "r_lon")).alias("rep"),
+    )  # at most n_cells rows
+    deg_km = 3.141592653589793 / 180.0 * EARTH_RADIUS_KM
+    sep = "least(abs(p_lon - {x}), 360.0 - abs(p_lon - {x}))"
+    lon_gap = (f"CASE WHEN p_lon BETWEEN lon_lo AND lon_hi THEN 0.0 "
+               f"ELSE least({sep.format(x='lon_lo')}, {sep.format(x='lon_hi')}) END")
+    lat_gap = "CASE WHEN p_lat < lat_lo THEN lat_lo - p_lat WHEN p_lat > lat_hi THEN p_lat - lat_hi ELSE 0.0 END"
+    lower = (f"greatest(({lat_gap}) * {deg_km!r}, asin(cos(radians(p_lat)) * sin(radians(least({lon_gap}, 90.0))))"
+             f" * {EARTH_RADIUS_KM!r})")
+    per_cell = (
+        pending.selectExpr("p_id", "p_lat", "p_lon", f"explode(sequence(0, {n_cells - 1})) AS ck")
+        .join(cells, on="ck", how="inner")
+        .select("p_id", "p_lat", "p_lon", "ck", F.expr(lower).alias("lb"),
+                km_of(F.col("rep.r_lat"), F.col("rep.r_lon")).alias("ub"))
+    )
+    w = Window.partitionBy("p_id", "p_lat", "p_lon")  # one group = one point x <= n_cells rows
+    candidates = per_cell.withColumn("u", F.min("ub").over(w)).filter(
+        F.col("lb") - F.lit(_MARGIN_KM) <= F.col("u")
+    ).select("p_id", "p_lat", "p_lon", "ck")
+    cand = candidates.join(keyed_refs, on="ck", how="inner")
+    return cand.groupBy("p_id", "p_lat", "p_lon").agg(best_of).selectExpr(
+        "p_id", "p_lat", "p_lon", "b.r_id AS r_id", "b.km AS km"
+    ).filter(F.col("r_id").isNotNull())
+
+
 def _persist(df: DataFrame) -> DataFrame:
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
@@ -147,7 +190,7 @@ def nearest(
     km = haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("r_lat"), F.col("r_lon"))
     best_of = F.min(F.when(F.col("r_id").isNotNull(),
                            F.struct(F.round(km, 6).alias("k"), F.col("r_id"), km.alias("km")))).alias("b")
-    plan = [("grid", g) for g in levels] + [("band", g) for g in bands] + [("globe", 180.0)]
+    plan = [("grid", g) for g in levels] + [("band", g) for g in bands]
     for kind, g in plan:
         if kind == "grid":
             pi, pj = _cells_sql("p_lat", "p_lon", g)
@@ -155,22 +198,19 @@ def nearest(
         elif kind == "band":
             pi, pj = f"CAST(floor((p_lat + 90.0) / {g!r}) AS INT)", "0"
             refs_here, bound = _band_refs(rfs, g), _band_bound_km_sql(g)
-        else:
-            pi, pj = "0", "0"
-            refs_here, bound = rfs.selectExpr("r_id", "r_lat", "r_lon", "0 AS ci", "0 AS cj"), None
         keyed = pending.selectExpr("p_id", "p_lat", "p_lon", f"{pi} AS ci", f"{pj} AS cj")
         cand = keyed.join(refs_here, on=["ci", "cj"], how="left")
         best = cand.groupBy("p_id", "p_lat", "p_lon").agg(best_of).selectExpr(
             "p_id", "p_lat", "p_lon", "b.r_id AS r_id", "b.km AS km"
         )
-        if bound is None:
-            resolved.append(best.filter(F.col("r_id").isNotNull()))
-            break
         level = stage(best.selectExpr("*", f"r_id IS NOT NULL AND km < {bound} - {_MARGIN_KM!r} AS ok"))
         resolved.append(level.filter("ok").drop("ok"))
         pending = level.filter(~F.col("ok")).select("p_id", "p_lat", "p_lon")
         if pending.isEmpty():  # cheap on the staged level; skips coarser levels
             break
+    else:
+        resolved.append(_branch_and_bound(
+            pending, rfs, lambda la, lo: haversine_km(F.col("p_lat"), F.col("p_lon"), la, lo), best_of))
     out = resolved[0]
     for r in resolved[1:]:
         out = out.unionByName(r)

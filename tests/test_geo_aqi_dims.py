@@ -97,3 +97,22 @@ def test_nearest_sparse_refs_reach_band_and_globe_levels(spark):
     assert len(got) == len(pts)
     for pid, la, lo in pts:
         assert got[pid] == min(refs, key=lambda r: (round(_hav(la, lo, r[1], r[2]), 6), r[0]))[0]
+
+
+def test_nearest_branch_and_bound_is_exact(spark):
+    rnd = random.Random(11)
+    # clustered references (one region) and points all over the sphere
+    refs = [(i, rnd.uniform(40, 60), rnd.uniform(-10, 30)) for i in range(200)]
+    refs += [(500 + i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(20)]
+    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(150)] + [(998, -90.0, 10.0), (999, 0.0, 180.0)]
+    got = {
+        r.point_id: r.ref_id
+        for r in nearest(
+            spark.createDataFrame(pts, "point_id int, lat double, lon double"),
+            spark.createDataFrame(refs, "ref_id int, lat double, lon double"),
+            levels=(0.5,), bands=(),
+        ).collect()
+    }
+    assert len(got) == len(pts)
+    for pid, la, lo in pts:
+        assert got[pid] == min(refs, key=lambda r: (round(_hav(la, lo, r[1], r[2]), 6), r[0]))[0], pid
