@@ -146,9 +146,8 @@ def _branch_and_bound(pending: DataFrame, rfs: DataFrame, km_of, best_of) -> Dat
 
 
 def _persist(df: DataFrame) -> DataFrame:
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+    """Lazy persist; the pending-count job of the level fills it."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def nearest(
@@ -206,7 +205,9 @@ def nearest(
         level = stage(best.selectExpr("*", f"r_id IS NOT NULL AND km < {bound} - {_MARGIN_KM!r} AS ok"))
         resolved.append(level.filter("ok").drop("ok"))
         pending = level.filter(~F.col("ok")).select("p_id", "p_lat", "p_lon")
-        if pending.isEmpty():  # cheap on the staged level; skips coarser levels
+        # One job per level: computes (and caches) the level, and tells
+        # whether any point is left for the coarser levels.
+        if pending.count() == 0:
             break
     else:
         resolved.append(_branch_and_bound(
