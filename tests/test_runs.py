@@ -130,3 +130,10 @@ def test_hourly_chain_from_files(spark, tmp_root):
     mart = lake.table("gold.mart_daily_city_climate_summary").first()
     assert (mart.row_count, mart.total_precip_mm, mart.avg_temp_c) == (2, 1.0, 10.5)
     assert lake.table("gold.mart_pipeline_health").count() == 1
+
+
+def test_lakehouse_refuses_tables_of_another_root(spark, tmp_root):
+    Lakehouse(spark, f"{tmp_root}/one", prefix="guard_").create()
+    Lakehouse(spark, f"{tmp_root}/one", prefix="guard_").create()  # same root: idempotent
+    with pytest.raises(ValueError):
+        Lakehouse(spark, f"{tmp_root}/two", prefix="guard_").create()
