@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import written
 from stratum.llm.line_dedup import drop_common_lines
+from stratum.llm.near_dedup import drop_near_copies
+from stratum.llm.packing import best_fit, word_count
 from stratum.llm.quality_classifier import HELD_OUT, fit, score
 
 MIN_SCORE = 0.3
@@ -30,9 +32,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_common_lines(docs, min_docs=10).withColumn("n_chars", F.char_length("text").cast("long")).select(DOCUMENT)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return drop_near_copies(docs, threshold=0.8).select(DOCUMENT)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents' pieces in bins."""
+    return best_fit(docs.select("doc_id", word_count().alias("n_tokens")))
+
+
 STAGES = [
     ("quality classifier", quality),
     ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("best-fit packing", packing),
 ]
 
 #: A fitted model and a best-fit order are beyond SQL; tests/llm/test_pipeline.py compares with brute force.
