@@ -11,15 +11,18 @@ from stratum.llm.near_dedup import op10_minhash_near_dedup
 from stratum.llm.packing import op1_best_fit_packing
 from stratum.llm.quality_classifier import op3_quality_classifier
 from stratum.llm.token_files import op8_token_files
+from stratum.llm.warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_warc": op4_warc,
     "op6_line_dedup": op6_line_dedup,
     "op8_token_files": op8_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_warc": OP4_SQL,
     "op6_line_dedup": OP6_SQL,
 }
