@@ -44,6 +44,7 @@ BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
 FEW = 16
 LEAST = 0.45
+RUN = 128  # texts whose signatures are computed side by side
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=_U) * _ODD) | _U(1)
 
 
@@ -138,6 +139,21 @@ _PRINT = T.StructType([
     T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType())])
 
 
+def fingerprints(words: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """128 bits of each row's word sequence."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    nth = (np.arange(len(words)) - offsets[:-1][row] + 1).astype(_U)
+    fp = np.zeros((len(offsets) - 1, 2), _U)
+    np.add.at(fp[:, 0], row, mix(words + nth * _ODD))
+    np.add.at(fp[:, 1], row, mix(words ^ (nth * _U(0xE7037ED1A0B428DB))))
+    return [x.tobytes() for x in fp]
+
+
+@F.arrow_udf(T.BinaryType())
+def _fp(texts: pa.Array) -> pa.Array:
+    return pa.array([x for _, words, offsets in row_words(texts) for x in fingerprints(words, offsets)], pa.binary())
+
+
 @F.arrow_udf(_PRINT)
 def _prints(texts: pa.Array) -> pa.Array:
     """Of each text: fingerprint of its word sequence, number of words, keys of
@@ -146,25 +162,22 @@ def _prints(texts: pa.Array) -> pa.Array:
     for _, words, offsets in row_words(texts):
         n = len(offsets) - 1
         sizes = np.diff(offsets)
-        row = np.repeat(np.arange(n), sizes)
-        nth = (np.arange(len(words)) - offsets[:-1][row] + 1).astype(_U)
-        fp = np.zeros((n, 2), _U)
-        np.add.at(fp[:, 0], row, mix(words + nth * _ODD))
-        np.add.at(fp[:, 1], row, mix(words ^ (nth * _U(0xE7037ED1A0B428DB))))
-        fps.append(fp)
+        fps += fingerprints(words, offsets)
         ns.append(sizes)
-        bits = mix(signatures(*shingles(words, offsets), n))
+        bits = np.zeros((n, SIZE), _U)
+        for lo in range(0, n, RUN):  # a text takes some thousand points, however short it is
+            own = offsets[lo : lo + RUN + 1]
+            bits[lo : lo + RUN] = mix(signatures(*shingles(words[own[0] : own[-1]], own - own[0]), len(own) - 1))
         key = np.zeros((n, BANDS), _U)
         for k in range(ROWS):
             key = mix(key * _ODD + bits[:, k::ROWS])
         bands.append(mix(key + np.arange(BANDS, dtype=_U) * _ODD)[sizes > 0])
         sigs.append((bits & _U(255)).astype(np.uint8))
         held.append(np.where(sizes > 0, BANDS, 0))
-    fp = np.concatenate(fps) if fps else np.zeros((0, 2), _U)
     sig = np.concatenate(sigs) if sigs else np.zeros((0, SIZE), np.uint8)
     offsets = np.concatenate([[0], np.cumsum(np.concatenate(held) if held else [])]).astype(np.int32)
     return pa.StructArray.from_arrays([
-        pa.array([x.tobytes() for x in fp], pa.binary()),
+        pa.array(fps, pa.binary()),
         pa.array(np.concatenate(ns) if ns else np.zeros(0, np.int64), pa.int64()),
         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array((np.concatenate(bands) if bands else np.zeros((0, BANDS), _U)).reshape(-1).view(np.int64))),
         pa.array([x.tobytes() for x in sig], pa.binary()),
@@ -225,7 +238,7 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
     shared = written(_candidates(texts), "bands")
     central = shared.groupBy("fp").agg(F.sum("size").alias("central"))
     # the whole texts of all candidates, one for each fingerprint
-    whole = written(docs.select(F.col(text).alias("text"), _prints(F.coalesce(text, F.lit(""))).getField("fp").alias("fp"))
+    whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp"))
                     .join(central.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "whole")
     active = written(shared.select("key", "fp").join(central, "fp").withColumn("open", F.lit(True)), "active")
     found, first = None, True
@@ -265,7 +278,7 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
 
 def classes(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, class_id) of every row."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), _prints(F.coalesce(text, F.lit(""))).alias("p"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _prints(F.col(text)).alias("p"))
     prints = written(rows.select("doc_id", "p.fp", "p.n", "p.bands", "p.sig"), "prints")
     found = links(docs, prints, threshold, text)
     comp = components(found)
