@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.llm.exact_topk import OP5_SQL, op5_exact_topk
 from stratum.llm.line_dedup import OP6_SQL, op6_line_dedup
 from stratum.llm.near_dedup import op10_minhash_near_dedup
 from stratum.llm.packing import op1_best_fit_packing
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_warc": op4_warc,
+    "op5_exact_topk": op5_exact_topk,
     "op6_line_dedup": op6_line_dedup,
     "op8_token_files": op8_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
@@ -24,5 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op4_warc": OP4_SQL,
+    "op5_exact_topk": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
 }
