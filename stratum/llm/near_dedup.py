@@ -42,7 +42,7 @@ from stratum.llm.components import components
 WORDS = 5
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
-FEW = 16
+FEW = 64
 LEAST = 0.45
 RUN = 128  # texts whose signatures are computed side by side
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=_U) * _ODD) | _U(1)
@@ -231,6 +231,25 @@ def _compared(pairs: DataFrame, texts: DataFrame, whole: DataFrame, threshold: f
         .select("a", "b", _overlap("x", "y").alias("sim")), "pairs")
 
 
+def _starred(active: DataFrame) -> DataFrame:
+    """The members of each band beside its most central open member."""
+    lead = active.groupBy("key").agg(F.max(F.when(F.col("open"), F.struct("central", "fp"))).alias("top"))
+    return active.join(lead.select("key", F.col("top.fp").alias("lead")), "key").where("fp <> lead").withColumns(
+        {"a": F.least("fp", "lead"), "b": F.greatest("fp", "lead")})
+
+
+def _rest(led: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Who is not settled after the comparison with the leaders: members of bands
+    in which some are still open, but for linked ones that by the triangle
+    inequality are no partner of those."""
+    ruled = led.join(pairs, ["a", "b"], "left").withColumn("sim", F.coalesce("sim", F.lit(0.0)))
+    ruled = ruled.withColumn("open", F.col("open") & (F.col("sim") < threshold))
+    state = ruled.groupBy("key").agg(F.max("open").alias("any"), F.count("*").alias("size"), F.max(F.when(
+        F.col("open") & (F.col("sim") >= 2 * threshold - 1), F.col("sim"))).alias("best"))
+    return ruled.join(state.where("any"), "key").where(
+        (F.col("sim") < threshold) | (F.col("sim") <= F.col("best") + (1 - threshold))).select("key", "used", "fp", "central", "open", "size")
+
+
 def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
     """(a, b, sim): links between fingerprints that join all pairs of candidates
     whose similarity reaches the threshold, directly or over others."""
@@ -240,38 +259,27 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
     # the whole texts of all candidates, one for each fingerprint
     whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp"))
                     .join(central.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "whole")
-    active = written(shared.select("key", "fp").join(central, "fp").withColumn("open", F.lit(True)), "active")
-    found, first = None, True
+    active = written(shared.join(central, "fp").select("key", F.array("key").alias("used"), "fp", "central", F.lit(True).alias("open")), "active")
+    led = written(_starred(active), "led")
+    found = pairs = _compared(led.select("a", "b").distinct(), texts, whole, threshold)
     while True:
-        lead = active.groupBy("key").agg(
-            F.max(F.when(F.col("open"), F.struct("central", "fp"))).alias("top"), F.count("*").alias("size"))
-        led = active.join(lead.select("key", "size", F.col("top.fp").alias("lead")), "key")
-        led = written(led.where("fp <> lead"), "led")
-        many = led if first else led.where(F.col("size") > FEW)
-        asked = many.select(F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b"))
-        if not first:  # no more than FEW members: directly, where one is still open
-            few = active.join(lead.where(F.col("size") <= FEW).select("key"), "key", "left_semi")
-            asked = asked.unionByName(
-                few.select("key", F.col("fp").alias("a"), F.col("open").alias("o")).join(
-                    few.select("key", F.col("fp").alias("b"), F.col("open").alias("p")), "key")
-                .where("a < b AND (o OR p)").select("a", "b"))
-        pairs = _compared(asked.distinct(), texts, whole, threshold)
-        found = pairs if found is None else found.unionByName(pairs)
-        sim = pairs.select("a", "b", "sim")
-        ruled = (many.withColumns({"a": F.least("fp", "lead"), "b": F.greatest("fp", "lead")})
-                 .join(sim, ["a", "b"], "left").select("key", "fp", "central", "open", F.coalesce("sim", F.lit(0.0)).alias("sim")))
-        failed = ruled.withColumn("open", F.col("open") & (F.col("sim") < threshold))
-        # of a band: whether members are still open, and the best similarity among those that are
-        rest = failed.groupBy("key").agg(F.max("open").alias("any"), F.max(F.when(
-            F.col("open") & (F.col("sim") >= 2 * threshold - 1), F.col("sim"))).alias("best"))
-        new = written(failed.join(rest.where("any"), "key").where(
-            (F.col("sim") < threshold) | (F.col("sim") <= F.col("best") + (1 - threshold))).select(
-                "key", "fp", "central", "open"), "active")
-        discard(active)
-        discard(led)
-        active, first = new, False
-        if active.isEmpty():
+        rest = written(_rest(led, pairs, threshold), "rest")
+        if rest.isEmpty():
             break
+        # few members: directly, where one of the two is still open
+        few = rest.where(F.col("size") <= FEW)
+        direct = few.select("key", F.col("fp").alias("a"), F.col("open").alias("o")).join(
+            few.select("key", F.col("fp").alias("b"), F.col("open").alias("p")), "key").where("a < b AND (o OR p)").select("a", "b")
+        # many: those that share another band too, again with a leader
+        many = rest.where(F.col("size") > FEW).join(texts.select("fp", "bands"), "fp").select(
+            "key", "used", "fp", "central", "open", F.explode(F.array_except("bands", "used")).alias("band"))
+        finer = many.select(F.xxhash64("key", "band").alias("key"), F.concat("used", F.array("band")).alias("used"), "fp", "central", "open")
+        held = finer.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select("key")
+        discard(led)
+        led = written(_starred(written(finer.join(held, "key"), "active")), "led")
+        pairs = _compared(direct.unionByName(led.select("a", "b")).distinct(), texts, whole, threshold)
+        found = found.unionByName(pairs)
+        discard(rest)
     discard(whole)
     return found.where(F.col("sim") >= threshold)
 
