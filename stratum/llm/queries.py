@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.llm.chat_repair import op9_chat_repair
 from stratum.llm.exact_topk import OP5_SQL, op5_exact_topk
 from stratum.llm.line_dedup import OP6_SQL, op6_line_dedup
 from stratum.llm.near_dedup import op10_minhash_near_dedup
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_piece_coding": op7_piece_coding,
     "op8_token_files": op8_token_files,
+    "op9_chat_repair": op9_chat_repair,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
