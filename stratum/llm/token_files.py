@@ -44,37 +44,76 @@ MAX_BITS = 18
 STEP = 256
 BLOCK_IDS = 1 << 16
 CACHE = 1_000_000
-_STEM = re.compile(rb"([a-z]{2,})([.,!?;:]+)")
+#: A word of Latin letters, and marks behind it: the tokenizer splits between them.
+_PLAIN = re.compile("([a-zÀ-ÖØ-Þß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable
+    Latin-1 stands for itself, the other bytes are numbered from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + n) for n, b in enumerate(rest)}}
 
 
 class WordEncoder:
-    """Ids of texts as bytes, through a cache of words."""
+    """Ids of texts as bytes, through a cache of words.
+
+    A word of Latin letters goes straight to the tokenizer's merges, for there is
+    nothing to normalise in it but its case and nothing to split; marks behind it
+    are a word of their own. Other words take the whole way."""
 
     def __init__(self, file: str, width: type):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.width, self.cache = Tokenizer.from_file(file), width, {}
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        for w, e in zip(words, found, strict=True):
-            self.cache[w] = np.array(e.ids, self.width).tobytes()
+        merges, slow = self.tokenizer.model.tokenize, []
+        ends: dict[bytes, list[tuple[bytes, bytes]]] = {}
+        for word in words:
+            plain = _PLAIN.fullmatch(word.decode())
+            if not plain:
+                slow.append(word)
+                continue
+            stem, end = plain.groups()
+            letters = stem.lower()
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in merges(letters)], self.width).tobytes()
+            if end:
+                ends.setdefault(end.encode(), []).append((word, ids))
+            else:
+                self.cache[word] = ids
+        slow += [e for e in ends.keys() - set(slow) if e not in self.cache]
+        found = self.tokenizer.encode_batch([w.decode() for w in slow], add_special_tokens=False)
+        for word, encoding in zip(slow, found, strict=True):
+            self.cache[word] = np.array(encoding.ids, self.width).tobytes()
+        for end, stems in ends.items():
+            for word, ids in stems:
+                self.cache[word] = ids + self.cache[end]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        used = set().union(*split)
-        missing = used.difference(self.cache)
+        missing = set().union(*split).difference(self.cache)
         if missing:
             if len(self.cache) + len(missing) > CACHE:  # what is in use now stays
+                used = set().union(*split)
                 self.cache = {w: self.cache[w] for w in used.difference(missing)}
-            stems = {w: m.groups() for w in missing if (m := _STEM.fullmatch(w))}
-            need = {part for pair in stems.values() for part in pair} | (missing - stems.keys())
-            self._learn(list(need.difference(self.cache)))
-            for w, (stem, end) in stems.items():  # letters and the marks behind them are encoded apart
-                self.cache[w] = self.cache[stem] + self.cache[end]
+            self._learn(list(missing))
         return [b"".join(map(self.cache.__getitem__, words)) for words in split]
 
 
+_encoders: dict = {}  # of a worker, kept from task to task
+
+
+def _encoder(file: str, width: type) -> WordEncoder:
+    if (file, width) not in _encoders:
+        _encoders[file, width] = WordEncoder(file, width)
+    return _encoders[file, width]
+
+
 def code_lengths(counts: np.ndarray, most: int = MAX_BITS) -> np.ndarray:
     """Lengths of an optimal code of at most ``most`` bits (0: id without count)."""
     ids = np.flatnonzero(counts)
@@ -173,7 +212,7 @@ def encode_documents(docs: DataFrame, file: str, end_id: int, vocabulary: int, t
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()), T.StructField("n_ids", T.LongType()),
         T.StructField("doc_ids", T.ArrayType(_id_type(docs, doc_id))), T.StructField("doc_tokens", T.ArrayType(T.LongType())),
-        T.StructField("ids", T.BinaryType()), T.StructField("counts", T.ArrayType(T.LongType()))])
+        T.StructField("ids", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -181,13 +220,13 @@ def encode_documents(docs: DataFrame, file: str, end_id: int, vocabulary: int, t
 
         arrow = to_arrow_schema(schema)
         part, at = TaskContext.get().partitionId(), 0
-        encoder, end = WordEncoder(file, width), np.array([end_id], width).tobytes()
+        encoder, end = _encoder(file, width), np.array([end_id], width).tobytes()
         counts = np.zeros(vocabulary, np.int64)
         names: list = []
         found: list[bytes] = []
         held = 0  # bytes of found
 
-        def row(n: int, sizes: list, ids: bytes | None, total: list | None) -> pa.RecordBatch:
+        def row(n: int, sizes: list, ids: bytes | None, total: bytes | None) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([{"part": part, "at": at, "n_ids": n, "doc_ids": names if ids else None,
                                                "doc_tokens": sizes, "ids": ids, "counts": total}], arrow)
 
@@ -218,7 +257,7 @@ def encode_documents(docs: DataFrame, file: str, end_id: int, vocabulary: int, t
             yield full()
             at += held // width(0).nbytes
         if at:
-            yield row(at, [], None, counts.tolist())
+            yield row(at, [], None, counts.tobytes())
 
     ordered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -227,16 +266,33 @@ def encode_documents(docs: DataFrame, file: str, end_id: int, vocabulary: int, t
     return ordered.mapInArrow(encoded, schema)
 
 
+def _summed(rows: DataFrame, vocabulary: int, together: int = 16) -> np.ndarray:
+    """Sum of the tasks' counts: so many rows at a time, each as long as the
+    vocabulary, until few enough are left for the driver."""
+
+    def added(key, pdf):
+        import pandas as pd
+
+        total = np.zeros(vocabulary, np.int64)
+        for c in pdf["counts"]:
+            total += np.frombuffer(c, np.int64)
+        return pd.DataFrame({"part": [key[0]], "counts": [total.tobytes()]})
+
+    n = rows.count()
+    while n > together:
+        n = -(-n // together)
+        rows = written(rows.groupBy(F.pmod("part", F.lit(n)).alias("part"))
+                       .applyInPandas(added, "part int, counts binary"), "token-counts")
+    return sum((np.frombuffer(r["counts"], np.int64) for r in rows.collect()), np.zeros(vocabulary, np.int64))
+
+
 def write_tokens(docs: DataFrame, path: str, file: str, end_id: int, vocabulary: int, max_bits: int = MAX_BITS,
                  text: str = "text", doc_id: str = "doc_id") -> None:
     """Encode the texts, append ``end_id`` to each document, write the files."""
     spark = docs.sparkSession
     table = written(encode_documents(docs, file, end_id, vocabulary, text, doc_id), "token-ids")
     sums = table.where("counts IS NOT NULL")
-    by_id = sums.select(F.posexplode("counts").alias("id", "n")).where("n > 0").groupBy("id").agg(F.sum("n").alias("n"))
-    counts = np.zeros(vocabulary, np.int64)
-    for r in by_id.collect():  # no more than the vocabulary
-        counts[r["id"]] = r["n"]
+    counts = _summed(sums.select("part", "counts"), vocabulary)
     lengths = code_lengths(counts, max_bits)
     tasks = sorted((r["part"], r["n_ids"]) for r in sums.select("part", "n_ids").collect())  # a row for each task
     first = np.cumsum([0] + [n for _, n in tasks]).tolist()
