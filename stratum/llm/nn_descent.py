@@ -12,7 +12,8 @@ are joined to them, and each gathered node that the pair is new to is offered it
 nearest among the others, if that beats the neighbours it has. Rounds end when
 few neighbours change.
 
-Queries walk the graph: a query's beam starts at its own node; in each round the
+Queries walk the graph: a query's beam starts at its own node, if it is a row of
+the graph, else at a fixed few; in each round the
 nodes among its ``BEAM`` nearest that were not expanded yet are expanded, all
 queries at once in joins, until no query has any left. The beam is then ranked by
 the exact cosine of the original vectors, in double precision.
@@ -45,6 +46,7 @@ RUN = 256
 ROUNDS = 12
 LITTLE = 0.1  # share of changed neighbours that ends the descent
 BEAM = 80
+ENTRIES = 128
 _EDGE = "node long, nbr long, sim float"
 
 
@@ -177,10 +179,11 @@ def build(vectors: DataFrame, k: int) -> Graph:
     nodes = written(kept.groupBy("e").agg(F.sort_array(F.collect_list("id")).alias("ids"))
                     .select(F.col("ids")[0].alias("node"), "ids", F.size("e").alias("dim"), _unit("e").alias("u"), "e"), "nn-nodes")
     slim = nodes.select("node", "u")
+    # runs end at the borders of partitions, so these are some runs long
+    parts = max(1, min(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes.count() // (8 * RUN)))
     edges = None
     for seed in range(STARTS):
         coded = nodes.select("node", "dim", "u", _signs(seed)("u").alias("code"))
-        parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         runs = coded.repartitionByRange(parts, "dim", "code", "node").sortWithinPartitions("dim", "code", "node")
         found = runs.select("node", "u").mapInArrow(_in_runs, _EDGE)
         edges = found if edges is None else edges.unionAll(found)
@@ -232,18 +235,25 @@ def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each of the graph's
-    ids in ``queries`` (query_id)."""
-    owner = graph.nodes.select("node", "u", "e", F.explode("ids").alias("id"))
-    asked = written(queries.select("query_id").distinct().join(owner, F.col("query_id") == F.col("id"))
-                    .select("query_id", F.col("node").alias("own"), F.col("u").alias("q"), F.col("e").alias("qe")), "nn-queries")
+    """(query_id, rank, vec_id, score): the k nearest found for each of the
+    queries (query_id, e array<double>), the query's own id excepted. Queries
+    that are no row of the graph start from ``ENTRIES`` nodes."""
+    nodes = graph.nodes
+    asked = written(queries.where(f"query_id IS NOT NULL AND {valid('e')} AND exists(e, x -> x <> 0)").groupBy("query_id").agg(F.min("e").alias("e")), "nn-queries")
     # copies of a vector walk the graph once
-    walker = written(asked.groupBy("own").agg(F.first("q").alias("q")), "nn-walkers")
+    walker = written(asked.groupBy("e").agg(F.min("query_id").alias("own")).join(nodes.select("node", "e"), "e", "left")
+                     .select("own", "e", "node", _unit("e").alias("q"), F.size("e").alias("dim")), "nn-walkers")
+    asked = asked.join(walker.select("own", "e"), "e").select("query_id", "own", F.col("e").alias("qe"))
+    first = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("node")))
+    entries = nodes.select("dim", "node", "u").withColumn("r", first).where(F.col("r") <= ENTRIES).drop("r")
+    strangers = walker.where("node IS NULL").select("own", "q", "dim").join(entries, "dim")
     some = F.row_number().over(Window.partitionBy("nbr").orderBy(F.desc("sim"), "node"))
     near = graph.edges.select("node", "nbr").unionAll(
         graph.edges.withColumn("r", some).where(F.col("r") <= REVERSE).select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
-    near, slim = written(near, "nn-near"), graph.nodes.select("node", "u")
-    seen = written(walker.select("own", F.col("own").alias("node"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done")), "nn-seen")
+    near, slim = written(near, "nn-near"), nodes.select("node", "u")
+    seen = written(walker.where("node IS NOT NULL").select("own", "node", F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done"))
+                   .unionByName(strangers.select("own", "node", _cosine_of_units("q", "u").alias("sim"), F.lit(False).alias("done"))), "nn-seen")
+    walker = walker.select("own", "q")
     while True:
         rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
         front = written(seen.withColumn("r", rank).where((F.col("r") <= BEAM) & ~F.col("done")).select("own", "node"), "nn-front")
@@ -261,7 +271,7 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
         seen = now
     rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
     beam = seen.withColumn("r", rank).where(F.col("r") <= BEAM).select("own", "node")
-    scored = (asked.select("query_id", "own", "qe").join(beam, "own").join(graph.nodes.select("node", "ids", "e"), "node")
+    scored = (asked.join(beam, "own").join(nodes.select("node", "ids", "e"), "node")
               .select("query_id", "ids", _cosine("qe", "e").alias("score")))
     found = scored.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -278,4 +288,4 @@ def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest found, by cosine, of every fiftieth vector."""
     vectors = vectors_of(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     graph = build(vectors, k=5)
-    return search(graph, vectors.where("id % 50 = 0").select(F.col("id").alias("query_id")), k=5)
+    return search(graph, vectors.where("id % 50 = 0").withColumnRenamed("id", "query_id"), k=5)
