@@ -24,7 +24,7 @@ def test_parts_of_long_texts_score_like_the_whole():
     rng = np.random.default_rng(0)
     model = Q.Model(12, rng.normal(size=1 << 12), 0.1)
     text = " ".join("".join(rng.choice(list("abcé"), rng.integers(1, 9))) for _ in range(4000))
-    model.table[Q._REPEAT] = 0.0  # the one feature that a cut may lose, with its count
+    model.table[0] = model.table[Q._REPEAT] = 0.0  # no feature, and the one feature that a cut may lose, with its count
     whole = Q.scores(pa.array([text, "x", text]), model)
     old = Q.blocks.__defaults__
     try:
