@@ -26,19 +26,14 @@ def assign_new_keys(df: DataFrame, sk_col: str, offset: int) -> DataFrame:
     return df.withColumn(sk_col, F.coalesce(F.col(sk_col), fresh))
 
 
-def carry_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], sk_col: str,
-    source_rows: int | None = None,
-) -> DataFrame:
+def carry_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], sk_col: str) -> DataFrame:
     """Source rows with the surrogate key of their matching target row (NULL
     when new). Only keys + sk are read from the target.
 
-    With a measured ``source_rows`` within the broadcast bound the batch is
-    broadcast and the target streamed through a right outer join, so the
-    target partitions are never shuffled; otherwise a left join (AQE)."""
-    from stratum.operators.joins import BROADCAST_MAX_ROWS
-
-    tk = target.select(*keys, sk_col)
-    if source_rows is not None and source_rows <= BROADCAST_MAX_ROWS:
-        return tk.join(F.broadcast(source), on=list(keys), how="right").select(*source.columns, sk_col)
-    return source.join(tk, on=list(keys), how="left")
+    First an inner join finds the target keys that the batch names: either side
+    may be built, so a batch that Spark's own size threshold calls small is
+    broadcast and the target is only streamed past it. The result is no larger
+    than the batch and joins back to it."""
+    batch = source.select(*keys)
+    matched = target.select(*keys, sk_col).join(batch, on=list(keys), how="inner")
+    return source.join(matched, on=list(keys), how="left")

@@ -18,7 +18,7 @@ def daily_city_summary(
     silver: DataFrame,
     city_lookup: DataFrame,
     dominant_category: DataFrame | None = None,
-    sum_scale: int | None = 4,
+    sum_scale: int | None = None,
 ) -> DataFrame:
     """One row per (city_id, UTC day): mean/min/max temperature, summed
     precipitation over every poll of the day, mean wind, row count.
@@ -53,7 +53,7 @@ def daily_city_summary(
     )
 
 
-def daily_air_quality(readings: DataFrame, sum_scale: int | None = 4) -> DataFrame:
+def daily_air_quality(readings: DataFrame, sum_scale: int | None = None) -> DataFrame:
     """Per (city_id, UTC day): mean PM2.5 and mean AQI over the day's readings."""
     pm25 = F.when(F.col("parameter_name") == "pm25", F.col("value"))
     return (
@@ -82,7 +82,7 @@ def dominant_category(readings: DataFrame) -> DataFrame:
 
 
 def weather_air_quality(
-    silver_weather: DataFrame, aq_daily: DataFrame, city_lookup: DataFrame, sum_scale: int | None = 4
+    silver_weather: DataFrame, aq_daily: DataFrame, city_lookup: DataFrame, sum_scale: int | None = None
 ) -> DataFrame:
     """Weather (mean temperature, humidity) and air quality (mean PM2.5,
     AQI) side by side per city and day where both exist."""

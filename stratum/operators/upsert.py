@@ -17,21 +17,6 @@ class DuplicateSourceKeys(Exception):
     """Several source rows carry the same (non-NULL) key; MERGE would fail."""
 
 
-def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys appearing more than once in ``source`` (NULL-containing keys
-    cannot match a target row and are exempt). Partial aggregation keeps a
-    hot key to one row per map task."""
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    return (
-        source.filter(not_null)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("source_rows"))
-        .filter(F.col("source_rows") > 1)
-    )
-
-
 def assert_unique_keys(source: DataFrame, keys: Sequence[str], context: str = "upsert") -> int:
     """Fail on duplicate matchable keys; return the number of source keys
     (both from one aggregation over the keys)."""
@@ -50,15 +35,23 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str], context: str = "u
     return int(row["keys"])
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], source_keys: int | None = None) -> DataFrame:
-    """Matched target rows are replaced by their source row, unmatched
-    source rows inserted, untouched target rows kept.
-
-    The anti join ships only the key columns of ``source``. With a measured
-    ``source_keys`` count within the broadcast bound the keys are broadcast
-    and the target is never shuffled; otherwise it is a sort-merge join
-    (AQE may still broadcast at runtime, and splits skewed partitions)."""
-    from stratum.operators.joins import sized_broadcast
-
-    kept = target.join(sized_broadcast(source.select(*keys), source_keys), on=list(keys), how="left_anti")
-    return kept.unionByName(source.select(*target.columns), allowMissingColumns=False)
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: str | None = None) -> DataFrame:
+    """Matched target rows are replaced by their source row, unmatched source
+    rows inserted, untouched target rows kept.
+
+    With ``newest_by`` (e.g. the ingest time) the newer of the two rows of a key
+    survives, whichever side it is on; equal times go to the source. So a late
+    run of an older landing changes nothing that a newer one has set. NULL times
+    are older than any. The joins ship key columns only; whether they broadcast
+    is Spark's decision by size."""
+    keys = list(keys)
+    if newest_by is None:
+        kept = target.join(source.select(*keys), on=keys, how="left_anti")
+        return kept.unionByName(source.select(*target.columns), allowMissingColumns=False)
+    floor = F.to_timestamp(F.lit("0001-01-01 00:00:00")).cast(target.schema[newest_by].dataType)
+    stamp = F.coalesce(F.col(newest_by), floor)
+    given = source.select(*keys, stamp.alias("_given"))
+    held = target.select(*keys, stamp.alias("_held"))
+    kept = target.join(given, on=keys, how="left").where(F.col("_given").isNull() | (F.col("_given") < stamp))
+    taken = source.join(held, on=keys, how="left").where(F.col("_held").isNull() | (F.col("_held") <= stamp))
+    return kept.select(*target.columns).unionByName(taken.select(*target.columns), allowMissingColumns=False)

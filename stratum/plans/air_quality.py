@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.columns import date_sk
 from stratum.operators.dedup import latest_ingested
 from stratum.operators.nearest import nearest
+from stratum.operators.quality import Gate, RuleSet
 
 # Silver key and fact columns.
 AQ_KEYS = ["location_id", "parameter_name", "observation_timestamp", "_source"]
@@ -15,11 +15,23 @@ AQ_SILVER_COLUMNS = [
     "location_id", "city_id", "parameter_name", "parameter_units", "value",
     "observation_timestamp", "_source", "_ingested_at", "_merged_at",
 ]
-AQ_FACT_COLUMNS = [
-    "city_id", "location_id", "date_sk", "observation_timestamp", "parameter_name",
-    "parameter_units", "value", "_source",
-]
-AQ_FACT_SK = "air_quality_reading_sk"
+AQ_GATE_THRESHOLD = 0.02
+#: Gold tasks that have to process the days a silver run changes.
+AQ_CONSUMERS = ("daily_mart", "air_quality_fact")
+#: Readings without a usable key or with an impossible value are quarantined, so
+#: none of them collapses into another one's key.
+AQ_RULES = RuleSet([
+    ("not_null_location_id", "location_id IS NOT NULL"),
+    ("not_null_parameter_name", "parameter_name IS NOT NULL"),
+    ("not_null_observation_timestamp", "observation_timestamp IS NOT NULL"),
+    ("not_null_value", "value IS NOT NULL"),
+    ("value_non_negative", "value >= 0"),
+])
+
+
+def aq_candidates(bronze_aq: DataFrame) -> DataFrame:
+    """Bronze readings with their observation time: the start of the period."""
+    return bronze_aq.withColumn("observation_timestamp", F.col("period_datetime_from"))
 
 
 def locate(bronze_aq: DataFrame, cities: DataFrame, stage=None) -> DataFrame:
@@ -41,108 +53,48 @@ def locate(bronze_aq: DataFrame, cities: DataFrame, stage=None) -> DataFrame:
 def silver_air_quality(bronze_aq: DataFrame, cities: DataFrame, merged_at: Column, stage=None) -> DataFrame:
     """Observation time = period start; latest ingest wins per
     (location, parameter, time, source)."""
-    readings = locate(bronze_aq, cities, stage).withColumn("observation_timestamp", F.col("period_datetime_from"))
+    readings = locate(aq_candidates(bronze_aq), cities, stage)
+    rest = [c for c in ("value", "parameter_units", "city_id") if c in readings.columns]
     return (
-        latest_ingested(readings, AQ_KEYS, tie_breaks=["_ingestion_run_id"])
+        latest_ingested(readings, AQ_KEYS, tie_breaks=["_ingestion_run_id", *rest])
         .withColumn("_merged_at", merged_at)
         .select(*AQ_SILVER_COLUMNS)
     )
 
 
-def build_air_quality_fact(silver_aq: DataFrame, dim_city_current: DataFrame) -> DataFrame:
-    ids = dim_city_current.select("city_id").distinct()
-    return (
-        silver_aq.join(ids, on="city_id", how="inner")
-        .withColumn("date_sk", date_sk("observation_timestamp"))
-        .select(*AQ_FACT_COLUMNS)
-    )
-
-
-def run_silver_air_quality(lake, run_ts=None, only_unseen: bool = True) -> dict:
-    """bronze.air_quality_raw -> silver.air_quality_readings.
+def run_silver_air_quality(lake, run_ts=None, only_unseen: bool = True, threshold: float = AQ_GATE_THRESHOLD) -> dict:
+    """bronze.air_quality_raw -> silver.air_quality_readings (+ quarantine).
 
     Unseen landing runs only; the nearest-city search runs once per distinct
     location of the batch against the current city dimension.
     """
-    import datetime as dt
-
-    from pyspark import StorageLevel
-
     from stratum.plans import runlog
+    from stratum.plans.promote import now, promote
 
-    started = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    started = run_ts or now()
     task = "silver_air_quality"
     bronze = lake.table("bronze.air_quality_raw")
     if only_unseen:
         bronze = runlog.unseen(bronze, lake, task)
-    bronze = bronze.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cities = lake.table("gold.dim_city_current").select("city_id", "latitude", "longitude")
-        silver = silver_air_quality(bronze, cities, F.lit(started).cast("timestamp")).withColumn(
-            "obs_date", F.to_date("observation_timestamp")
-        )
-        runs = (
-            bronze.groupBy("_ingestion_run_id")
-            .agg(F.count(F.lit(1)).alias("rows_processed"),
-                 F.max("period_datetime_from").cast("timestamp").alias("max_observation_ts"),
-                 F.min("_ingested_at").cast("timestamp").alias("first_ingested_at"))
-            .collect()
-        )
-        touched = lake.upsert(silver, "silver.air_quality_readings")
-    finally:
-        bronze.unpersist()
-    ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    logged = [{**r.asDict(), "rows_quarantined": 0} for r in runs]
-    runlog.record(lake, "air_quality_hourly", task, started, ended, logged, "ok")
-    return {"rows": sum(r["rows_processed"] for r in logged), "touched_partitions": touched}
-
-
-def run_air_quality_fact(lake, days=None) -> int:
-    """Facts for the given days (all when None); existing rows keep keys."""
-    from pyspark import StorageLevel
-
-    from stratum.operators.facts import upsert_fact
-    from stratum.operators.keys import max_key
-
-    silver = lake.table("silver.air_quality_readings")
-    if days:
-        silver = silver.filter(F.col("obs_date").isin(list(days)))
-    source = build_air_quality_fact(silver, lake.table("gold.dim_city_current")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    table = "gold.fact_air_quality_reading"
-    try:
-        fact = lake.table(table)
-        offset = max_key(fact, AQ_FACT_SK)
-        per_day = source.groupBy("date_sk").count().collect()  # one row per day
-        date_sks = [r[0] for r in per_day]
-        rows = sum(r[1] for r in per_day)
-        if not date_sks:
-            return 0
-        target = fact.filter(F.col("date_sk").isin(date_sks))
-        keys = ["location_id", "parameter_name", "observation_timestamp", "_source"]
-        merged = lake.stage(upsert_fact(target, source, keys, AQ_FACT_SK, sk_offset=offset,
-                                             source_rows=rows))
-        lake.overwrite_partitions(merged, table)
-    finally:
-        source.unpersist()
-    return len(date_sks)
+    cities = lake.table("gold.dim_city_current").select("city_id", "latitude", "longitude")
+    result = promote(
+        lake, task=task, dag_id="air_quality_hourly", table="silver.air_quality_readings", candidates=aq_candidates(bronze),
+        rules=AQ_RULES, silver=lambda valid: silver_air_quality(valid, cities, F.lit(started).cast("timestamp")).withColumn(
+            "obs_date", F.to_date("observation_timestamp")),
+        ts_col="observation_timestamp", started=started, gate=Gate(threshold), consumers=AQ_CONSUMERS,
+    )
+    return {**result, "rows": result["checked_rows"]}
 
 
 def run_air_quality_marts(lake, days=None, breakpoint_table: DataFrame | None = None) -> int:
-    """Weather x air-quality mart for ``days`` and the daily summary's
+    """Weather x air-quality mart for ``days``, and the daily summary with its
     dominant AQI category (both upserted on (city_id, obs_date))."""
-    from stratum.operators.aqi import breakpoints, with_aqi
-    from stratum.operators.marts import daily_air_quality, daily_city_summary, dominant_category, weather_air_quality
-
-    aq = lake.table("silver.air_quality_readings")
-    wx = lake.table("silver.weather_observations")
-    if days:
-        aq = aq.filter(F.col("obs_date").isin(list(days)))
-        wx = wx.filter(F.col("obs_date").isin(list(days)))
-    rated = with_aqi(aq, breakpoint_table if breakpoint_table is not None else breakpoints(lake.spark))
+    from stratum.operators.marts import daily_air_quality, weather_air_quality
+    from stratum.plans.gold import on_days, rated_readings, run_daily_mart
+
+    rated = rated_readings(lake, days, breakpoint_table)
     lookup = lake.table("gold.dim_city_current").select("city_id", "city_name")
-    mart = weather_air_quality(wx, daily_air_quality(rated), lookup)
+    mart = weather_air_quality(on_days(lake.table("silver.weather_observations"), days), daily_air_quality(rated), lookup)
     touched = lake.upsert(mart, "gold.mart_weather_air_quality_correlation")
-    summary = daily_city_summary(wx, lookup, dominant_category=dominant_category(rated))
-    lake.upsert(summary, "gold.mart_daily_city_climate_summary")
+    run_daily_mart(lake, days, breakpoint_table)
     return len(touched)

@@ -26,20 +26,26 @@ def city_snapshot(bronze: DataFrame) -> DataFrame:
 def run_dim_city(lake, run_ts: dt.datetime | None = None) -> dict:
     """Apply the newest snapshot to silver.dim_city.
 
-    Changes are counted from the staged (checkpointed) result, so the count
-    reflects this run and not a re-read of the rewritten table. An empty
-    bronze is a no-op.
+    Changes are counted against the dimension as it is before the write; without
+    any, nothing is rewritten. An empty bronze is a no-op.
     """
     ts = F.lit(run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     snapshot = city_snapshot(lake.table("bronze.city_reference_raw"))
     dim = lake.table("silver.dim_city")
-    staged = lake.stage(scd2_apply(dim, snapshot, CITY_KEY, CITY_TRACKED, ts, sk_col=CITY_SK))
-    opened = staged.filter(F.col("effective_start_ts") == ts).count()
-    lake.overwrite_partitions(staged, "silver.dim_city")
+    opened = scd2_changes(current_rows(dim), snapshot, CITY_KEY, CITY_TRACKED).count()
+    if opened:
+        # the staged copy stays if the overwrite fails: the dimension can be restored from it
+        with lake.staged(scd2_apply(dim, snapshot, CITY_KEY, CITY_TRACKED, ts, sk_col=CITY_SK)) as staged:
+            lake.overwrite_partitions(staged, "silver.dim_city")
     return {"changed_or_new_cities": opened}
 
 
-def changes(lake) -> DataFrame:
-    """New-or-changed rows of the newest snapshot against the current dimension."""
-    snapshot = city_snapshot(lake.table("bronze.city_reference_raw"))
-    return scd2_changes(current_rows(lake.table("silver.dim_city")), snapshot, CITY_KEY, CITY_TRACKED)
+def run_city_reference(lake, path: str, run_id: str | None = None, run_ts: dt.datetime | None = None) -> dict:
+    """Land a city snapshot and apply it to the dimension."""
+    from stratum.sources.city_tsv import read_city_tsv
+
+    started = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    landed = read_city_tsv(lake.spark, path, run_id=F.lit(run_id or f"city-{started:%Y%m%d%H%M%S}"),
+                           ingested_at=F.lit(started).cast("timestamp"))
+    lake.append(landed, "bronze.city_reference_raw")
+    return {**run_dim_city(lake, started), "landed_rows": landed.count()}

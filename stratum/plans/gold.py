@@ -3,20 +3,24 @@ the days a silver run touched."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.operators.facts import WEATHER_FACT_KEYS, WEATHER_FACT_SK, build_weather_fact, upsert_fact
+from stratum.operators.facts import AIR_QUALITY_FACT, WEATHER_FACT, FactSpec, build_fact, upsert_fact
 from stratum.operators.keys import max_key
-from stratum.operators.marts import daily_city_summary
+from stratum.operators.marts import daily_city_summary, dominant_category
+from stratum.plans import runlog
+from stratum.plans.promote import now
+from stratum.sources.tables import partition_filter
 
 
-def _silver_days(lake, days: Sequence | None) -> DataFrame:
-    silver = lake.table("silver.weather_observations")
-    return silver.filter(F.col("obs_date").isin(list(days))) if days else silver
+def on_days(df: DataFrame, days: Sequence[dt.date] | None) -> DataFrame:
+    """Rows of the days (partition-pruned); None: all of history, []: nothing."""
+    return df if days is None else df.where(F.col("obs_date").isin(list(days)))
 
 
 def touched_days(touched_partitions: Sequence[tuple]) -> list:
@@ -24,34 +28,57 @@ def touched_days(touched_partitions: Sequence[tuple]) -> list:
     return sorted({p[1] for p in touched_partitions if p[1] is not None})
 
 
-def run_daily_mart(lake, days: Sequence | None = None, dominant: DataFrame | None = None) -> int:
-    """Re-aggregate only ``days`` (partition-pruned) and upsert them into the
-    mart on (city_id, obs_date)."""
-    silver = _silver_days(lake, days)
+def rated_readings(lake, days: Sequence[dt.date] | None, breakpoint_table: DataFrame | None = None) -> DataFrame:
+    """Air-quality readings of the days with index and category."""
+    from stratum.operators.aqi import breakpoints, with_aqi
+
+    table = breakpoint_table if breakpoint_table is not None else breakpoints(lake.spark)
+    return with_aqi(on_days(lake.table("silver.air_quality_readings"), days), table)
+
+
+def run_daily_mart(lake, days: Sequence[dt.date] | None = None, breakpoint_table: DataFrame | None = None) -> int:
+    """Re-aggregate only ``days`` and upsert them into the mart on (city_id,
+    obs_date). The dominant AQI category comes from the same days' readings in
+    the same run, so whichever run comes last writes whole rows."""
+    began = now()
+    silver = on_days(lake.table("silver.weather_observations"), days)
     lookup = lake.table("gold.dim_city_current").select("city_id", "city_name")
-    summary = daily_city_summary(silver, lookup, dominant_category=dominant)
-    touched = lake.upsert(summary, "gold.mart_daily_city_climate_summary")
+    dominant = dominant_category(rated_readings(lake, days, breakpoint_table))
+    touched = lake.upsert(daily_city_summary(silver, lookup, dominant_category=dominant), "gold.mart_daily_city_climate_summary")
+    runlog.acknowledge(lake, "daily_mart", [p[0] for p in touched] if days is None else list(days), began)
     return len(touched)
 
 
-def run_weather_fact(lake, days: Sequence | None = None) -> int:
-    """Facts for ``days``: existing rows keep their surrogate key."""
-    silver = _silver_days(lake, days)
-    dim = lake.table("gold.dim_city_current")
-    source = build_weather_fact(silver, dim).persist(StorageLevel.MEMORY_AND_DISK)
-    table = "gold.fact_weather_observation"
+def run_fact(lake, spec: FactSpec, silver_table: str, consumer: str, days: Sequence[dt.date] | None = None) -> int:
+    """Facts of ``days``: existing rows keep their surrogate key."""
+    began = now()
+    silver = on_days(lake.table(silver_table), days)
+    source = build_fact(spec, silver, lake.table("gold.dim_city_current")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fact = lake.table(table)
-        offset = max_key(fact, WEATHER_FACT_SK)
-        per_day = source.groupBy("date_sk").count().collect()  # one row per day
-        date_sks = [r[0] for r in per_day]
-        rows = sum(r[1] for r in per_day)
-        if not date_sks:
-            return 0
-        target = fact.filter(F.col("date_sk").isin(date_sks))
-        merged = lake.stage(upsert_fact(target, source, WEATHER_FACT_KEYS, WEATHER_FACT_SK, sk_offset=offset,
-                                             source_rows=rows))
-        lake.overwrite_partitions(merged, table)
+        fact = lake.table(spec.table)
+        date_sks = [(r[0],) for r in source.select("date_sk").distinct().collect()]  # one row per day
+        if date_sks:
+            target = fact.where(partition_filter(["date_sk"], date_sks))
+            merged = upsert_fact(target, source, spec.keys, spec.sk, sk_offset=max_key(fact, spec.sk))
+            with lake.staged(merged) as staged:
+                lake.overwrite_partitions(staged, spec.table)
     finally:
         source.unpersist()
+    runlog.acknowledge(lake, consumer, list(days or []), began)
     return len(date_sks)
+
+
+def run_weather_fact(lake, days: Sequence[dt.date] | None = None) -> int:
+    return run_fact(lake, WEATHER_FACT, "silver.weather_observations", "weather_fact", days)
+
+
+def run_air_quality_fact(lake, days: Sequence[dt.date] | None = None) -> int:
+    return run_fact(lake, AIR_QUALITY_FACT, "silver.air_quality_readings", "air_quality_fact", days)
+
+
+def catch_up(lake) -> dict:
+    """Mart and fact for every day that silver changed and gold has not taken
+    since, whichever run it was that changed it."""
+    mart, fact = runlog.owed_days(lake, "daily_mart"), runlog.owed_days(lake, "weather_fact")
+    return {"mart_partitions": run_daily_mart(lake, mart) if mart else 0,
+            "fact_partitions": run_weather_fact(lake, fact) if fact else 0}

@@ -9,11 +9,13 @@ from stratum.operators.health import pipeline_health
 
 
 def run_pipeline_health(lake, since=None) -> int:
-    """Rebuild health rows for runs logged since ``since`` (a date; all when
-    None) and upsert them on (dag_id, run_id)."""
+    """Rebuild health rows of the runs in which anything started since ``since``
+    (a date; all when None) from all their log rows, so that a run over two days
+    is rolled up whole, and upsert them on (dag_id, run_id)."""
     log = lake.table("ops.run_log")
     if since is not None:
-        log = log.filter(F.col("run_date") >= F.lit(since))
+        recent = log.where(F.to_date("started_at") >= F.lit(since)).select("dag_id", "run_id").distinct()
+        log = log.join(recent, ["dag_id", "run_id"], "left_semi")
     touched = lake.upsert(pipeline_health(log), "gold.mart_pipeline_health")
     return len(touched)
 

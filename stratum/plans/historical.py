@@ -4,42 +4,35 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.operators.dedup import latest_ingested
-from stratum.operators.quality import (
-    DQCheck,
-    DQGateFailure,
-    enforce_gate,
-    flag,
-    invalid_rows,
-    quarantine_records,
-    valid_rows,
-)
+from stratum.operators.quality import Gate, RuleSet
 from stratum.operators.shaping import shape_station_daily
 
-# Merge key, gate threshold, check list.
+# Merge key, gate threshold, rules.
 STATION_KEYS = ["station_id", "obs_date", "element"]
 STATION_GATE_THRESHOLD = 0.02
-STATION_CHECKS = [
-    DQCheck("not_null_station_id", "station_id IS NOT NULL"),
-    DQCheck("not_null_obs_date", "obs_date IS NOT NULL"),
-    DQCheck("not_null_value", "value IS NOT NULL"),
-    DQCheck("temp_in_range", "element NOT IN ('TMAX', 'TMIN') OR value BETWEEN -90 AND 60"),
-    DQCheck("precip_non_negative", "element != 'PRCP' OR value >= 0"),
-]
+STATION_RULES = RuleSet([
+    ("not_null_station_id", "station_id IS NOT NULL"),
+    ("not_null_obs_date", "obs_date IS NOT NULL"),
+    ("not_null_value", "value IS NOT NULL"),
+    ("temp_in_range", "element NOT IN ('TMAX', 'TMIN') OR value BETWEEN -90 AND 60"),
+    ("precip_non_negative", "element != 'PRCP' OR value >= 0"),
+])
 
 
 def split_station_daily(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    flagged = flag(shape_station_daily(bronze), STATION_CHECKS)
-    return valid_rows(flagged), invalid_rows(flagged)
+    return STATION_RULES.split(shape_station_daily(bronze))
 
 
 def silver_station_daily(valid: DataFrame, merged_at: Column) -> DataFrame:
-    """Each re-landing of a station's history repeats keys: newest wins."""
-    return latest_ingested(valid, STATION_KEYS).withColumn("_merged_at", merged_at)
+    """Each re-landing of a station's history repeats keys: the newest wins,
+    then the greater run id (if carried) and remaining columns."""
+    rest = [c for c in valid.columns if c not in (*STATION_KEYS, "_ingested_at", "_ingestion_run_id")]
+    ties = [c for c in ("_ingestion_run_id",) if c in valid.columns] + rest
+    return latest_ingested(valid, STATION_KEYS, tie_breaks=ties).drop("_ingestion_run_id").withColumn("_merged_at", merged_at)
 
 
 def run_silver_historical(lake, run_ts: dt.datetime | None = None, only_unseen: bool = True,
@@ -51,41 +44,46 @@ def run_silver_historical(lake, run_ts: dt.datetime | None = None, only_unseen:
     unchanged.
     """
     from stratum.plans import runlog
+    from stratum.plans.promote import now, promote
 
-    started = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    stamp = F.lit(started).cast("timestamp")
+    started = run_ts or now()
     task = "silver_historical"
     bronze = lake.table("bronze.ghcn_daily_raw")
     if only_unseen:
         bronze = runlog.unseen(bronze, lake, task)
-    flagged = flag(shape_station_daily(bronze, carry=["_ingestion_run_id"]), STATION_CHECKS).persist(
-        StorageLevel.MEMORY_AND_DISK
+    return promote(
+        lake, task=task, dag_id=dag_id, table="silver.historical_daily_weather",
+        candidates=shape_station_daily(bronze, carry=["_ingestion_run_id"]), rules=STATION_RULES,
+        silver=lambda valid: silver_station_daily(valid, F.lit(started).cast("timestamp")),
+        ts_col="obs_date", started=started, gate=Gate(threshold),
     )
-    try:
-        runs = runlog.per_run_counts(flagged, "obs_date")
-        silver = silver_station_daily(valid_rows(flagged).drop("_ingestion_run_id"), stamp)
-        touched = lake.upsert(silver, "silver.historical_daily_weather")
-        if any(r["rows_quarantined"] for r in runs):
-            lake.append(
-                quarantine_records(
-                    invalid_rows(flagged).drop("_ingestion_run_id"),
-                    "silver.historical_daily_weather",
-                    STATION_KEYS,
-                    quarantined_at=stamp,
-                    run_id_col=None,
-                ),
-                "silver.dq_quarantine",
-            )
-    finally:
-        flagged.unpersist()
-    total = sum(int(r["rows_processed"]) for r in runs)
-    bad = sum(int(r["rows_quarantined"] or 0) for r in runs)
-    ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    result = {"checked_rows": total, "quarantined_rows": bad, "touched_partitions": touched}
-    try:
-        enforce_gate(total, bad, threshold, "silver.historical_daily_weather")
-    except DQGateFailure:
-        runlog.record(lake, dag_id, task, started, ended, runs, "gate_failed")
-        raise
-    runlog.record(lake, dag_id, task, started, ended, runs, "ok")
-    return result
+
+
+def run_station_backfill(lake, path: str, first_day: str | None = None, last_day: str | None = None,
+                         stations: list[str] | None = None, run_id: str | None = None,
+                         run_ts: dt.datetime | None = None) -> dict:
+    """Land station files, scoped to days and stations, and promote them. Stations
+    that the files do not hold are refused before anything is written. Cells that
+    cannot be used are counted by status in the result and the log."""
+    from stratum.plans import runlog
+    from stratum.plans.promote import now
+    from stratum.sources.scope import check_stations, scope_dates, scope_stations
+    from stratum.sources.station_dly import land_station_daily, unpack_station_cells
+
+    started = run_ts or now()
+    run = run_id or f"station-{started:%Y%m%d%H%M%S}"
+    lines = lake.spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_file"))
+    cells = scope_stations(unpack_station_cells(lines), stations)
+    if stations:
+        check_stations(lake.spark, stations, cells)
+    by_status = {r["cell_status"]: r["n"] for r in cells.groupBy("cell_status").agg(F.count("*").alias("n")).collect()}
+    usable = cells.where("cell_status = 'ok'").drop("cell_status")
+    if first_day or last_day:
+        usable = scope_dates(usable, first_day, last_day)
+    lake.append(land_station_daily(usable, run_id=F.lit(run), ingested_at=F.lit(started).cast("timestamp"), source_file=F.col("_file")),
+                "bronze.ghcn_daily_raw")
+    rejected = by_status.get("bad_value", 0) + by_status.get("bad_date", 0)
+    runlog.record(lake, "station_backfill", "land_stations", started, now(), [{
+        "_ingestion_run_id": run, "rows_processed": sum(by_status.values()), "rows_quarantined": rejected,
+        "max_observation_ts": None}], "ok")
+    return {**run_silver_historical(lake, started), "landed_cells": by_status}

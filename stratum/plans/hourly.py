@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stratum.plans.gold import run_daily_mart, run_weather_fact, touched_days
+from stratum.plans.gold import catch_up
 from stratum.plans.health import run_pipeline_health
 from stratum.plans.weather import run_silver_weather
 from stratum.sources.weather_json import read_weather_json
@@ -15,17 +15,18 @@ from stratum.sources.weather_json import read_weather_json
 def run_weather_hourly(lake, landing_path: str | None = None, run_id: str | None = None,
                        run_ts: dt.datetime | None = None, as_of: str | None = None) -> dict:
     """Land ``landing_path`` (when given) as one bronze run, promote unseen
-    runs to silver, then refresh the daily mart and the fact for the days
-    the batch touched, and the health mart from the day's log. The silver
-    gate fires after silver is written and stops the chain before gold."""
+    runs to silver, then bring the daily mart and the fact up to date for every
+    day that is owed, also from earlier runs that the gate or a crash stopped.
+    The health mart is refreshed either way, so a failed run shows in it."""
     now = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if landing_path:
         rid = run_id or f"weather-{now:%Y%m%d%H%M%S}"
         lake.append(read_weather_json(lake.spark, landing_path, run_id=F.lit(rid), ingested_at=F.lit(now)),
                     "bronze.weather_raw")
-    silver = run_silver_weather(lake, now, as_of=as_of)
-    days = touched_days(silver["touched_partitions"])
-    mart = run_daily_mart(lake, days) if days else 0
-    fact = run_weather_fact(lake, days) if days else 0
-    health = run_pipeline_health(lake, since=now.date())
-    return {**silver, "mart_partitions": mart, "fact_partitions": fact, "health_partitions": health}
+    try:
+        silver = run_silver_weather(lake, now, as_of=as_of)
+    except BaseException:
+        run_pipeline_health(lake, since=now.date())
+        raise
+    gold = catch_up(lake)
+    return {**silver, **gold, "health_partitions": run_pipeline_health(lake, since=now.date())}

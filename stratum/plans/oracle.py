@@ -184,7 +184,7 @@ CITY_TYPED_COLS = [
 ]
 
 
-def city_typed_sql(version: int) -> str:
+def city_typed_sql(version: int, whole: bool = False) -> str:
     """A landed (typed) city snapshot built straight from ``customer``."""
     name = "CASE WHEN c_nationkey = 5 THEN '\"' || c_name ELSE c_name END"
     pop = "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey * 100 + c_nationkey END"
@@ -210,7 +210,7 @@ def city_typed_sql(version: int) -> str:
          CAST({pop} AS BIGINT) AS population, CAST(c_nationkey * 10 AS INTEGER) AS elevation,
          CAST({dem} AS INTEGER) AS dem, {tz} AS timezone,
          CAST('2023-12-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS DATE) AS source_modified_date
-  FROM customer WHERE {keep}
+  FROM customer WHERE {"true" if whole else keep}
 """
 
 
@@ -274,7 +274,7 @@ LANDED_JSON = """
 
 ORACLE: dict[str, str] = {
     "land_weather_json": LANDED_JSON,
-    "land_city_tsv": city_typed_sql(1),
+    "land_city_tsv": city_typed_sql(1, whole=True),
     "unpack_station_month": UNPACKED_STATION,
     "scope_date_range": f"SELECT * FROM ({BRONZE_STATION}) WHERE obs_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
     "shape_units": SHAPED_STATION,
@@ -304,10 +304,12 @@ ORACLE: dict[str, str] = {
     "fact_upsert": f"""{UPSERT_CTES},
       tf AS (SELECT {FACT_COLS} FROM t_silver WHERE city_id IN (SELECT city_id FROM dim_v1)),
       sf AS (SELECT {FACT_COLS} FROM s_silver WHERE city_id IN (SELECT city_id FROM dim_v1))
-      SELECT * FROM tf WHERE NOT EXISTS (
+      SELECT *, true AS kept_key FROM tf WHERE NOT EXISTS (
         SELECT 1 FROM sf WHERE sf.city_id = tf.city_id
           AND sf.observation_timestamp = tf.observation_timestamp AND sf._source = tf._source)
-      UNION ALL SELECT * FROM sf""",
+      UNION ALL SELECT *, EXISTS (
+        SELECT 1 FROM tf WHERE sf.city_id = tf.city_id
+          AND sf.observation_timestamp = tf.observation_timestamp AND sf._source = tf._source) FROM sf""",
     "latest_snapshot": city_typed_sql(2),
     "scd2_changes": f"""WITH v1 AS ({city_shaped_sql(1)}), v2 AS ({city_shaped_sql(2)})
       SELECT s.* FROM v2 s LEFT JOIN v1 c ON s.city_id = c.city_id
@@ -365,7 +367,7 @@ def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 CITIES_XY = """
   SELECT c_custkey AS city_id, CAST(((c_custkey * 53) % 181) - 90 AS DOUBLE) AS latitude,
          CAST(((c_custkey * 17) % 361) - 180 AS DOUBLE) AS longitude
-  FROM customer WHERE c_acctbal >= -900
+  FROM customer
 """
 
 
@@ -391,7 +393,7 @@ SUPPLIER_LOCS = """
 PARAM_CASE = """CASE event_type WHEN 'click' THEN 'pm25' WHEN 'view' THEN 'pm10'
   WHEN 'purchase' THEN 'o3' WHEN 'signup' THEN 'no2' WHEN 'error' THEN 'so2' END"""
 UNITS_CASE = """CASE event_type WHEN 'click' THEN 'µg/m³' WHEN 'view' THEN 'µg/m³'
-  WHEN 'purchase' THEN 'ppb' WHEN 'signup' THEN 'ppb' WHEN 'error' THEN 'ppb' END"""
+  WHEN 'purchase' THEN 'ppm' WHEN 'signup' THEN 'ppb' WHEN 'error' THEN 'ppb' END"""
 SENSOR_CASE = """CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2
   WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END"""
 
@@ -423,14 +425,15 @@ aq_silver AS (
   WHERE rn = 1),
 bp AS (SELECT * FROM (VALUES {{BREAKPOINT_VALUES}})
        t(parameter_name, decimals, c_low, c_high, i_low, i_high, category, severity)),
+bl AS (SELECT *, c_low = max(c_low) OVER (PARTITION BY parameter_name) AS is_last FROM bp),
 aq_aqi AS (
   SELECT s.*, CAST(round((bp.i_high - bp.i_low) / (bp.c_high - bp.c_low)
-                * (floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) - bp.c_low)
+                * (least(floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals), bp.c_high) - bp.c_low)
                 + bp.i_low) AS INTEGER) AS aqi,
          bp.category AS aqi_category, bp.severity AS aqi_severity
-  FROM aq_silver s LEFT JOIN bp ON s.parameter_name = bp.parameter_name
+  FROM aq_silver s LEFT JOIN bl bp ON s.parameter_name = bp.parameter_name
    AND floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) >= bp.c_low
-   AND floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) <= bp.c_high),
+   AND (floor(s.value * power(10.0, bp.decimals)) / power(10.0, bp.decimals) <= bp.c_high OR bp.is_last)),
 aq_dominant AS (
   SELECT city_id, obs_date, aqi_category AS dominant_aqi_category FROM (
     SELECT *, row_number() OVER (PARTITION BY city_id, obs_date
@@ -513,3 +516,41 @@ ORACLE.update({
              CAST(date_diff('second', max(max_observation_ts), max(ended_at)) AS DOUBLE) / 60.0 AS freshness_lag_minutes
       FROM ({RUN_LOG}) GROUP BY dag_id, run_id""",
 })
+
+# ---------------------------------------------------------------- semantics of the runs
+
+ORACLE.update({
+    "upsert_late_run": f"""{WEATHER_CTES},
+      late AS (SELECT * REPLACE (temperature_c + 1 AS temperature_c,
+                 CASE WHEN city_id % 2 = 0 THEN _ingested_at - INTERVAL 1 HOUR ELSE _ingested_at + INTERVAL 1 HOUR END AS _ingested_at)
+               FROM w_silver WHERE city_id % 3 <> 0
+               UNION ALL
+               SELECT * REPLACE (observation_timestamp + INTERVAL 400 DAY AS observation_timestamp)
+               FROM w_silver WHERE city_id % 3 = 0)
+      SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY city_id, observation_timestamp, _source ORDER BY _ingested_at DESC) AS rn
+        FROM (SELECT * FROM w_silver UNION ALL SELECT * FROM late)) WHERE rn = 1""",
+    "dq_every_reason": f"""WITH dim_v1 AS ({DIM_CITY_V1}),
+      odd AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN NULL ELSE user_id END AS city_id,
+                CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS observation_timestamp,
+                value / 4 - 20 AS temperature_c FROM events),
+      f AS (SELECT o.*, CONCAT_WS('; ',
+        CASE WHEN o.city_id IS NULL THEN 'not_null_city_id' END,
+        CASE WHEN observation_timestamp IS NULL THEN 'not_null_observation_timestamp' END,
+        CASE WHEN temperature_c NOT BETWEEN -90 AND 60 THEN 'temperature_in_range' END,
+        CASE WHEN observation_timestamp < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 48 HOURS THEN 'freshness_48h' END,
+        CASE WHEN d.city_id IS NULL THEN 'city_exists_in_dim_city' END) AS failure_reason
+        FROM odd o LEFT JOIN dim_v1 d ON o.city_id = d.city_id)
+      SELECT failure_reason, COUNT(*) AS n, MIN(city_id) AS least_city, MAX(temperature_c) AS warmest FROM f GROUP BY 1""",
+    "aq_quarantine": f"""
+      SELECT 'silver.air_quality_readings' AS source_table, _ingestion_run_id, failure_reason, COUNT(*) AS n FROM (
+        SELECT _ingestion_run_id, CONCAT_WS('; ',
+          CASE WHEN location_id IS NULL THEN 'not_null_location_id' END,
+          CASE WHEN parameter_name IS NULL THEN 'not_null_parameter_name' END,
+          CASE WHEN t IS NULL THEN 'not_null_observation_timestamp' END,
+          CASE WHEN v IS NULL THEN 'not_null_value' END,
+          CASE WHEN v < 0 THEN 'value_non_negative' END) AS failure_reason
+        FROM (SELECT b.*, CASE WHEN value < 0.5 THEN NULL ELSE value - 2 END AS v,
+                     CASE WHEN location_id % 13 = 0 THEN NULL ELSE period_datetime_from END AS t FROM ({BRONZE_AQ}) b))
+      WHERE failure_reason <> '' GROUP BY ALL""",
+})

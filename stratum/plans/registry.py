@@ -20,6 +20,11 @@ from stratum.plans import weather as wx
 # never depend on the wall clock.
 MERGED_AT = "2024-02-01 00:00:00"
 QUARANTINED_AT = "2024-02-01 00:05:00"
+# Decimal places that hold every digit of the stand-in readings, so
+# that sums agree to the last bit with those of another engine.
+SCALE = 4
+# Freshness is judged at landing here.
+WEATHER_RULES = wx.weather_rules("_ingested_at")
 
 
 def _ts(text: str):
@@ -32,17 +37,17 @@ def _inputs(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 # ------------------------------------------------------------ weather silver
 
-def _flagged_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _marked_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, customer = _inputs(spark, sf_dir, "events", "customer")
-    return wx.flag_weather(si.bronze_weather(events), si.dim_city_ids_v1(customer), as_of="_ingested_at")
+    return WEATHER_RULES.mark(wx.weather_candidates(si.bronze_weather(events), si.dim_city_ids_v1(customer)))
 
 
 def dq_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.valid_rows(_flagged_weather(spark, sf_dir)).drop("_city_exists")
+    return WEATHER_RULES.passed(_marked_weather(spark, sf_dir)).drop(wx.KNOWN_CITY)
 
 
 def dq_split_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.invalid_rows(_flagged_weather(spark, sf_dir)).drop("_city_exists")
+    return WEATHER_RULES.failed(_marked_weather(spark, sf_dir)).drop(wx.KNOWN_CITY)
 
 
 def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +63,7 @@ def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_gate_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.gate_report(_flagged_weather(spark, sf_dir), wx.WEATHER_GATE_THRESHOLD)
+    return wx.WEATHER_GATE.report(_marked_weather(spark, sf_dir))
 
 
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +73,7 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimum slice: bronze -> checks -> dedup -> daily mart with names."""
     customer = si.table(spark, sf_dir, "customer")
-    return daily_city_summary(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer))
+    return daily_city_summary(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer), sum_scale=SCALE)
 
 
 # ------------------------------------------------------------ sources
@@ -91,7 +96,7 @@ def land_city_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = si.table(spark, sf_dir, "customer")
     run_id, ingested_at = si.CITY_RUNS[1]
     return land_city_reference(
-        parse_city_lines(si.city_tsv_lines(customer, 1)), run_id=F.lit(run_id), ingested_at=_ts(ingested_at)
+        parse_city_lines(si.city_tsv_lines(customer, 1, whole=True)), run_id=F.lit(run_id), ingested_at=_ts(ingested_at)
     )
 
 
@@ -148,28 +153,26 @@ def upsert_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.operators.facts import build_weather_fact
+    from stratum.operators.facts import WEATHER_FACT, build_fact
 
     customer = si.table(spark, sf_dir, "customer")
-    return build_weather_fact(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer))
+    return build_fact(WEATHER_FACT, dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer))
 
 
 def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact MERGE keeping surrogate keys; keys are layout-dependent, so the
-    compared projection leaves them out (pytest checks uniqueness and that
-    updates keep them)."""
-    from stratum.operators import facts as fx
+    """Fact MERGE keeping surrogate keys. Keys depend on the row layout, so the
+    target's are derived from its grain here, and the result says of each row
+    whether it kept its key; pytest checks that fresh keys are unique."""
+    from stratum.operators.facts import WEATHER_FACT as spec
+    from stratum.operators.facts import build_fact, upsert_fact
 
     dim = si.dim_city_ids_v1(si.table(spark, sf_dir, "customer"))
-    target = fx.with_new_keys(
-        fx.build_weather_fact(_silver_window(spark, sf_dir, TARGET_LAST_DAY, None, 0.0, TARGET_MERGED_AT), dim),
-        fx.WEATHER_FACT_SK,
-    )
-    source = fx.build_weather_fact(_silver_window(spark, sf_dir, None, SOURCE_FIRST_DAY, 1.0, SOURCE_MERGED_AT), dim)
-    # Measured like the lakehouse run: a batch within the bound is broadcast.
-    merged = fx.upsert_fact(target, source, fx.WEATHER_FACT_KEYS, fx.WEATHER_FACT_SK, sk_offset=0,
-                            source_rows=source.count())
-    return merged.drop(fx.WEATHER_FACT_SK)
+    key = -F.abs(F.xxhash64(*spec.keys))  # below all fresh keys
+    first = build_fact(spec, _silver_window(spark, sf_dir, TARGET_LAST_DAY, None, 0.0, TARGET_MERGED_AT), dim)
+    target = first.withColumn(spec.sk, key).select(spec.sk, *spec.columns)
+    source = build_fact(spec, _silver_window(spark, sf_dir, None, SOURCE_FIRST_DAY, 1.0, SOURCE_MERGED_AT), dim)
+    merged = upsert_fact(target, source, spec.keys, spec.sk, sk_offset=0)
+    return merged.withColumn("kept_key", F.col(spec.sk) == key).drop(spec.sk)
 
 
 # ------------------------------------------------------------ SCD2
@@ -321,10 +324,10 @@ def air_quality_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def air_quality_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stratum.plans.air_quality import build_air_quality_fact
+    from stratum.operators.facts import AIR_QUALITY_FACT, build_fact
 
     customer = si.table(spark, sf_dir, "customer")
-    return build_air_quality_fact(_silver_air_quality(spark, sf_dir), si.dim_city_ids_v1(customer))
+    return build_fact(AIR_QUALITY_FACT, _silver_air_quality(spark, sf_dir), si.dim_city_ids_v1(customer))
 
 
 def _aqi_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,7 +353,7 @@ def weather_aq_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     customer = si.table(spark, sf_dir, "customer")
     return weather_air_quality(
-        dedup_latest(spark, sf_dir), daily_air_quality(_aqi_readings(spark, sf_dir)), si.dim_city_ids_v1(customer)
+        dedup_latest(spark, sf_dir), daily_air_quality(_aqi_readings(spark, sf_dir), SCALE), si.dim_city_ids_v1(customer), SCALE
     )
 
 
@@ -360,7 +363,7 @@ def daily_summary_aqi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     customer = si.table(spark, sf_dir, "customer")
     return daily_city_summary(dedup_latest(spark, sf_dir), si.dim_city_ids_v1(customer),
-                              dominant_category=dominant_category(_aqi_readings(spark, sf_dir)))
+                              dominant_category=dominant_category(_aqi_readings(spark, sf_dir)), sum_scale=SCALE)
 
 
 # ------------------------------------------------------------ health
@@ -371,6 +374,46 @@ def run_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_health(si.run_log_from_orders(si.table(spark, sf_dir, "orders")))
 
 
+# ------------------------------------------------------------ semantics of the runs
+
+def upsert_late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver meets a second batch whose rows are older for even cities and newer
+    for odd ones: the newer row of each key survives."""
+    from stratum.operators.upsert import upsert
+
+    target = dedup_latest(spark, sf_dir)
+    hour = F.expr("INTERVAL 1 HOUR")
+    shifted = F.when(F.col("city_id") % 2 == 0, F.col("_ingested_at") - hour).otherwise(F.col("_ingested_at") + hour)
+    again = target.where("city_id % 3 <> 0").withColumns({"temperature_c": F.col("temperature_c") + 1, "_ingested_at": shifted})
+    other = target.where("city_id % 3 = 0").withColumn("observation_timestamp", F.col("observation_timestamp") + F.expr("INTERVAL 400 DAYS"))
+    return upsert(target, again.unionByName(other), wx.WEATHER_KEYS, newest_by="_ingested_at")
+
+
+def dq_every_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with missing keys, stale times, odd temperatures and unknown cities,
+    many of them several at once: how often each list of reasons occurs."""
+    events, customer = _inputs(spark, sf_dir, "events", "customer")
+    bronze = si.bronze_weather(events, keep=["event_id"]).withColumns({
+        "city_id": F.when(F.col("event_id") % 97 != 0, F.col("city_id")),
+        "observation_time": F.when(F.col("event_id") % 89 != 0, F.col("observation_time"))})
+    rules = wx.weather_rules("TIMESTAMP_NTZ '2024-01-31 00:00:00'")
+    marked = rules.mark(wx.weather_candidates(bronze, si.dim_city_ids_v1(customer)))
+    return marked.groupBy(rules.reasons().alias("failure_reason")).agg(
+        F.count("*").alias("n"), F.min("city_id").alias("least_city"), F.max("temperature_c").alias("warmest"))
+
+
+def aq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Air-quality readings with missing times, missing and negative values."""
+    from stratum.plans.air_quality import AQ_KEYS, AQ_RULES, aq_candidates
+
+    bronze = si.bronze_air_quality(si.table(spark, sf_dir, "events")).withColumns({
+        "value": F.when(F.col("value") >= 0.5, F.col("value") - 2),
+        "period_datetime_from": F.when(F.col("location_id") % 13 != 0, F.col("period_datetime_from"))})
+    _, invalid = AQ_RULES.split(aq_candidates(bronze))
+    rows = q.quarantine_records(invalid, "silver.air_quality_readings", AQ_KEYS, quarantined_at=_ts(QUARANTINED_AT))
+    return rows.groupBy("source_table", "_ingestion_run_id", "failure_reason").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_weather_json": land_weather_json,
     "land_city_tsv": land_city_tsv,
@@ -405,4 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_aq_mart": weather_aq_mart,
     "daily_summary_aqi": daily_summary_aqi,
     "run_health": run_health,
+    "upsert_late_run": upsert_late_run,
+    "dq_every_reason": dq_every_reason,
+    "aq_quarantine": aq_quarantine,
 }

@@ -7,10 +7,12 @@ and feeds the pipeline-health mart.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.operators.quality import MASK
 from stratum.sources.tables import Lakehouse
 
 DONE_STATUSES = ("ok", "gate_failed")
@@ -58,7 +60,7 @@ def per_run_counts(flagged: DataFrame, ts_col: str) -> list[dict]:
         flagged.groupBy("_ingestion_run_id")
         .agg(
             F.count(F.lit(1)).alias("rows_processed"),
-            F.sum((F.size("_failed_checks") > 0).cast("long")).alias("rows_quarantined"),
+            F.count_if(F.col(MASK) != 0).alias("rows_quarantined"),
             F.max(ts_col).cast("timestamp").alias("max_observation_ts"),
             F.min("_ingested_at").cast("timestamp").alias("first_ingested_at"),
         )
@@ -93,3 +95,28 @@ def record(lake: Lakehouse, dag_id: str, task_id: str, started: dt.datetime, end
         "max_observation_ts timestamp, status string"
     )
     lake.append(lake.spark.createDataFrame(data, schema), "ops.run_log")
+
+
+def owe(lake: Lakehouse, consumers: Sequence[str], days: Sequence[dt.date]) -> None:
+    """Note that the consumers have to process these days (again)."""
+    _day_events(lake, [(c, d, "owed") for c in consumers for d in days], dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+
+def acknowledge(lake: Lakehouse, consumer: str, days: Sequence[dt.date], since: dt.datetime) -> None:
+    """Note that ``consumer`` processed the days as they were at ``since``, when
+    it began to read: what came in meanwhile stays owed."""
+    _day_events(lake, [(consumer, d, "done") for d in days], since)
+
+
+def owed_days(lake: Lakehouse, consumer: str) -> list[dt.date]:
+    """Days that were owed after they were last done, whatever failed in between:
+    a gate, a crash, a skipped run. One row a day."""
+    at = {e: F.max(F.when(F.col("event") == e, F.col("logged_at"))) for e in ("owed", "done")}
+    days = lake.table("ops.day_log").where(F.col("consumer") == consumer).groupBy("obs_date").agg(*[c.alias(e) for e, c in at.items()])
+    return sorted(r["obs_date"] for r in days.where("owed IS NOT NULL AND (done IS NULL OR owed >= done)").collect())
+
+
+def _day_events(lake: Lakehouse, rows: list[tuple], at: dt.datetime) -> None:
+    if rows:
+        schema = "consumer string, obs_date date, event string, logged_at timestamp"
+        lake.append(lake.spark.createDataFrame([(*r, at) for r in rows], schema).coalesce(1), "ops.day_log")

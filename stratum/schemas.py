@@ -4,7 +4,7 @@ Differences from a row-level-DML store, by design: without MERGE the unit
 of rewrite is a partition, so tables whose upserts would otherwise rewrite
 everything get a date partition derived from their key (silver weather and
 air quality gain ``obs_date``). ``ops.run_log`` records each run and feeds
-the pipeline-health mart.
+the pipeline-health mart; ``ops.day_log`` records which days gold owes.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ class TableSpec:
 
 _AUDIT = "_source STRING, _ingested_at TIMESTAMP, _ingestion_run_id STRING, _ingest_date DATE"
 
+# The tables' columns, partitions and keys.
 TABLES: dict[str, TableSpec] = {
     t.name: t
     for t in [
@@ -154,6 +155,7 @@ TABLES: dict[str, TableSpec] = {
             rows_quarantined BIGINT, max_observation_ts TIMESTAMP, status STRING""",
             ("run_date",),
         ),
+        TableSpec("ops.day_log", "consumer STRING, obs_date DATE, event STRING, logged_at TIMESTAMP"),
     ]
 }
 

@@ -29,7 +29,7 @@ def check_stations(spark: SparkSession, requested: Sequence[str], known: DataFra
     if not requested:
         return
     req = spark.createDataFrame([(s,) for s in requested], f"{id_col} string")
-    missing = req.join(known.select(id_col).distinct(), on=id_col, how="left_anti").take(5)
+    missing = req.join(known.select(id_col).distinct(), on=id_col, how="left_anti").collect()  # part of the request
     if missing:
         raise UnknownStation(f"Unknown station_id: {', '.join(r[id_col] for r in missing)}")
 

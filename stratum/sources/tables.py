@@ -3,19 +3,22 @@ and keyed upserts scoped to the partitions a batch touches."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.upsert import DuplicateSourceKeys, upsert
 from stratum.schemas import DIM_CITY_CURRENT_COLUMNS, DIM_CITY_CURRENT_VIEW, TABLES, TableSpec
+from stratum.session import shared_dir
 
 
 def profile_source(source: DataFrame, keys: Sequence[str], partition_by: Sequence[str],
                    context: str = "upsert", check_unique: bool = True) -> tuple[int, list[tuple]]:
-    """One aggregation over an upsert batch: number of keys, a duplicate
+    """One aggregation over an upsert batch: number of rows, a duplicate
     matchable key (raises), and the partitions it touches.
 
     Partition values must be a function of the key (true for every table
@@ -31,14 +34,39 @@ def profile_source(source: DataFrame, keys: Sequence[str], partition_by: Sequenc
         F.count(F.lit(1)).alias("n"), F.min(matchable).alias("m"), F.min(part).alias("p")
     )
     row = per_key.agg(
-        F.count(F.lit(1)).alias("keys"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.max(F.when(F.col("m") & (F.col("n") > 1), F.struct(*keys))).alias("dup"),
         F.collect_set("p").alias("parts"),
     ).first()
     if check_unique and row["dup"] is not None:
         raise DuplicateSourceKeys(f"{context}: several source rows match key {row['dup'].asDict()}")
     touched = [tuple(p) for p in row["parts"]] if partition_by else []
-    return int(row["keys"]), touched
+    return int(row["rows"]), touched
+
+
+def partition_filter(partition_by: Sequence[str], touched: Sequence[tuple]) -> Column:
+    """Exactly the touched partitions: for each value of the leading columns a
+    list of the last one's, NULL values included. Static pruning at the scan."""
+    by_lead: dict[tuple, list] = {}
+    for t in touched:
+        by_lead.setdefault(tuple(t[:-1]), []).append(t[-1])
+    cond = F.lit(False)
+    for lead, last in by_lead.items():
+        one = F.lit(True)
+        for c, v in zip(partition_by[:-1], lead, strict=True):
+            one = one & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        values = sorted(v for v in last if v is not None)
+        tail = F.col(partition_by[-1]).isin(values) if values else F.lit(False)
+        if len(values) < len(last):
+            tail = tail | F.col(partition_by[-1]).isNull()
+        cond = cond | (one & tail)
+    return cond
+
+
+class Touched(list):
+    """Partition values an upsert rewrote; ``rows``: rows of its source."""
+
+    rows = 0
 
 
 class Lakehouse:
@@ -117,54 +145,51 @@ class Lakehouse:
         self._shaped(df, table).write.insertInto(self.name(table), overwrite=True)
         self.refresh(table)
 
-    def stage(self, df: DataFrame) -> DataFrame:
-        """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``
-        (shared storage on a cluster); survives executor loss."""
-        from stratum.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+    @contextmanager
+    def staged(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` as Parquet in the shared checkpoint folder for the time of the
+        block: cuts lineage, so the result may replace tables it was made from,
+        and survives executor loss. The files go when the block ends well; after
+        a failure they stay, as the copy to recover from."""
+        path = shared_dir(self.spark, f"stage/{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        yield self.spark.read.schema(df.schema).parquet(path)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def upsert(self, source: DataFrame, table: str, keys: Sequence[str] | None = None,
-               check_unique: bool = True) -> list[tuple]:
+               check_unique: bool = True, newest_by: str | None = None) -> Touched:
         """Keyed upsert of ``source`` into ``table``.
 
         Only partitions that ``source`` touches are read and rewritten: their
         values (a list bounded by the partition count, not the data) pick the
-        partitions to scan, the merged result is checkpointed, then written
-        with dynamic partition overwrite. Not atomic across partitions.
-        Returns the touched partition values.
+        partitions to scan, the merged result is staged, then written with
+        dynamic partition overwrite. Not atomic across partitions. ``newest_by``:
+        see :func:`stratum.operators.upsert.upsert`. Returns the touched values.
         """
         spec = TABLES[table]
         keys = list(keys or spec.keys)
         # The batch feeds the profile and the merge: keep it (batch-sized,
-        # spills to disk) so its upstream — dedup window, joins — runs once.
+        # spills to disk) so its upstream — dedup window, joins — runs once. Its
+        # measured size also lets Spark decide about broadcasting its keys.
         source = source.select(*self.columns(table)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            n_keys, touched = profile_source(source, keys, spec.partition_by, context=table,
-                                             check_unique=check_unique)
+            rows, touched = profile_source(source, keys, spec.partition_by, context=table, check_unique=check_unique)
+            result = Touched(touched)
+            result.rows = rows
             target = self.table(table)
             if spec.partition_by:
                 if not touched:
-                    return []
-                # One IN list per partition column: static partition pruning at
-                # the scan. The cross product may name a few extra partitions;
-                # rewriting them with their own rows is harmless.
-                cond = F.lit(True)
-                for i, c in enumerate(spec.partition_by):
-                    values = sorted({t[i] for t in touched if t[i] is not None})
-                    col_cond = F.col(c).isin(values) if values else F.lit(False)
-                    if any(t[i] is None for t in touched):
-                        col_cond = col_cond | F.col(c).isNull()
-                    cond = cond & col_cond
-                target = target.filter(cond)
-            merged = self.stage(upsert(target, source, keys, source_keys=n_keys))
-            self.overwrite_partitions(merged, table)
+                    return result
+                target = target.filter(partition_filter(spec.partition_by, touched))
+            with self.staged(upsert(target, source, keys, newest_by)) as merged:
+                self.overwrite_partitions(merged, table)
         finally:
             source.unpersist()
-        return touched
+        return result
 
     def replace(self, df: DataFrame, table: str) -> None:
         """Rewrite a whole (small, unpartitioned) table from a plan that may
         read it: staged first."""
-        self.overwrite_partitions(self.stage(df.select(*self.columns(table))), table)
+        with self.staged(df.select(*self.columns(table))) as staged:
+            self.overwrite_partitions(staged, table)

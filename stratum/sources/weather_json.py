@@ -49,11 +49,13 @@ def parse_weather_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Flatten each document: missing keys (or a missing / null ``current``)
     give NULLs, malformed JSON gives an all-NULL row that keeps its raw text,
     ``is_day`` 0/1 becomes boolean, the minute timestamp is parsed leniently."""
-    p = F.from_json(F.col(text_col), PAYLOAD_SCHEMA)
     passthrough = [c for c in lines.columns if c != text_col]
-    return lines.select(
+    # the struct is a column of its own below the projection, so a document is parsed once
+    parsed = lines.select(*passthrough, F.col(text_col).alias("raw_json"), F.from_json(F.col(text_col), PAYLOAD_SCHEMA).alias("_doc"))
+    p = F.col("_doc")
+    return parsed.select(
         *passthrough,
-        F.col(text_col).alias("raw_json"),
+        "raw_json",
         p["_city_id"].alias("city_id"),
         p["latitude"].alias("latitude"),
         p["longitude"].alias("longitude"),

@@ -39,7 +39,7 @@ ELEMENT_OF_EVENT = {
 PARAMETER_OF_EVENT = {
     "click": ("pm25", "µg/m³"),
     "view": ("pm10", "µg/m³"),
-    "purchase": ("o3", "ppb"),
+    "purchase": ("o3", "ppm"),
     "signup": ("no2", "ppb"),
     "error": ("so2", "ppb"),
 }
@@ -70,12 +70,13 @@ def station_id(user_id: Column) -> Column:
 
 # ---------------------------------------------------------------- weather
 
-def bronze_weather(events: DataFrame) -> DataFrame:
+def bronze_weather(events: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """events -> bronze.weather_raw rows (daily observation grain, several
     polls per city/day/source so latest-wins dedup has work to do)."""
     v = F.col("value")
     eid = F.col("event_id")
     return events.select(
+        *keep,
         F.col("event_type").alias("_source"),
         F.col("ts").alias("_ingested_at"),
         F.concat(F.lit("run-"), F.date_format("ts", "yyyyMMddHH")).alias("_ingestion_run_id"),
@@ -144,7 +145,7 @@ def weather_json_lines(events: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- cities
 
-def _city_columns(customer: DataFrame, version: int) -> DataFrame:
+def _city_columns(customer: DataFrame, version: int, whole: bool = False) -> DataFrame:
     """19 GeoNames-style string columns of a city snapshot.
 
     Version 2 differs from version 1 the way weekly snapshots do: a few more
@@ -165,7 +166,7 @@ def _city_columns(customer: DataFrame, version: int) -> DataFrame:
         keep = (b >= -950) & (b <= 9900)
     else:
         keep = b >= -900
-    return customer.filter(keep).select(
+    return (customer if whole else customer.filter(keep)).select(
         k.cast("string").alias("geonameid"),
         name.alias("name"),
         F.lower(F.col("c_name")).alias("asciiname"),
@@ -188,9 +189,10 @@ def _city_columns(customer: DataFrame, version: int) -> DataFrame:
     )
 
 
-def city_tsv_lines(customer: DataFrame, version: int = 1) -> DataFrame:
-    """A city snapshot as tab-separated lines (``value``), no header."""
-    cols = _city_columns(customer, version)
+def city_tsv_lines(customer: DataFrame, version: int = 1, whole: bool = False) -> DataFrame:
+    """A city snapshot as tab-separated lines (``value``), no header; ``whole``:
+    of all customers, else of those the version has."""
+    cols = _city_columns(customer, version, whole)
     return cols.select(F.concat_ws("\t", *[F.col(c) for c in cols.columns]).alias("value"))
 
 
@@ -339,9 +341,9 @@ def air_quality_lines(events: DataFrame) -> DataFrame:
 
 
 def cities_with_coordinates(customer: DataFrame) -> DataFrame:
-    """Cities of the first snapshot with their coordinates."""
+    """All cities with their coordinates."""
     k = F.col("c_custkey")
-    return customer.filter(F.col("c_acctbal") >= -900).select(
+    return customer.select(
         k.alias("city_id"), city_lat(k).alias("latitude"), city_lon(k).alias("longitude")
     )
 

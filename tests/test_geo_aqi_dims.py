@@ -42,7 +42,7 @@ def test_aqi_bands(spark):
            for r in aqi.with_aqi(readings, aqi.breakpoints(spark)).collect()}
     assert out[("pm25", 9.05)] == (50, "Good")
     assert out[("pm25", 35.4)] == (100, "Moderate")
-    assert out[("pm25", 400.0)] == (None, None) and out[("xx", 1.0)] == (None, None)
+    assert out[("pm25", 400.0)] == (500, "Hazardous") and out[("xx", 1.0)] == (None, None)
     assert out[("o3", 0.0555)] == (51, "Moderate")
     assert out[("no2", 100.0)][1] == "Moderate"
 
@@ -116,3 +116,14 @@ def test_nearest_branch_and_bound_is_exact(spark):
     assert len(got) == len(pts)
     for pid, la, lo in pts:
         assert got[pid] == min(refs, key=lambda r: (round(_hav(la, lo, r[1], r[2]), 6), r[0]))[0], pid
+
+
+def test_aqi_units_and_open_top(spark):
+    rows = [("o3", "ppm", 0.3), ("o3", "ppb", 300.0), ("o3", "ppm", 0.7), ("o3", "furlong", 0.01), ("co", "ppm", 60.0), ("pm25", "µg/m³", -1.0),
+            ("no2", "ppm", 0.1), ("pm10", None, 10.0)]
+    df = spark.createDataFrame(rows, "parameter_name string, parameter_units string, value double")
+    out = [(r.aqi, r.aqi_category) for r in aqi.with_aqi(df, aqi.breakpoints(spark)).collect()]
+    got = {(r.parameter_name, r.parameter_units): (r.aqi, r.aqi_category) for r in aqi.with_aqi(df.where("value <> 0.7"), aqi.breakpoints(spark)).collect()}
+    assert got["o3", "ppm"] == got["o3", "ppb"] == (300, "Very Unhealthy")
+    assert (500, "Hazardous") in out and got["co", "ppm"] == (500, "Hazardous") and got["no2", "ppm"] == (100, "Moderate")
+    assert got["o3", "furlong"] == got["pm25", "µg/m³"] == got["pm10", None] == (None, None)

@@ -83,8 +83,8 @@ vals_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 5)), st.one_of
 @given(vals_st)
 def test_dq_split_partitions_input(spark, rows):
     df = spark.createDataFrame(rows, "a int, b int")
-    checks = [quality.DQCheck("a_pos", "a > 0"), quality.DQCheck("b_pos", "b > 0"), quality.DQCheck("a_pos", "a > 1")]
-    valid, invalid = quality.split_checked(df, checks)
+    rules = quality.RuleSet([("a_pos", "a > 0"), ("b_pos", "b > 0"), ("a_pos", "a > 1")])
+    valid, invalid = rules.split(df)
     got_invalid = sorted((r.a if r.a is not None else -99, r.b if r.b is not None else -99, r.failure_reason)
                          for r in invalid.collect())
     expected = []

@@ -13,32 +13,33 @@ def _df(spark):
     )
 
 
-CHECKS = [
-    q.DQCheck("id_not_null", "id IS NOT NULL"),
-    q.DQCheck("temp_range", "temp BETWEEN -90 AND 60"),
-    q.DQCheck("tag_not_null", "tag IS NOT NULL"),
-]
+RULES = q.RuleSet([
+    ("id_not_null", "id IS NOT NULL"),
+    ("temp_range", "temp BETWEEN -90 AND 60"),
+    ("tag_not_null", "tag IS NOT NULL"),
+])
 
 
 def test_null_condition_passes_and_all_reasons_in_order(spark):
-    valid, invalid = q.split_checked(_df(spark), CHECKS)
-    # id 2 has NULL temp: the range check is NULL, so it passes.
+    valid, invalid = RULES.split(_df(spark))
+    # id 2 has NULL temp: the range rule is NULL, so it passes.
     assert sorted(r.id for r in valid.collect()) == [1, 2]
     reasons = {r.id: r.failure_reason for r in invalid.collect()}
     assert reasons == {3: "temp_range; tag_not_null", None: "id_not_null; temp_range"}
 
 
-def test_duplicate_names_collapse_and_empty_list(spark):
-    dup = [q.DQCheck("x", "temp < 50"), q.DQCheck("x", "temp < 0")]
-    _, invalid = q.split_checked(_df(spark), dup)
+def test_duplicate_names_collapse_and_empty_set(spark):
+    _, invalid = q.RuleSet([("x", "temp < 50"), ("x", "temp < 0")]).split(_df(spark))
     assert {r.failure_reason for r in invalid.collect()} == {"x"}
-    valid, invalid = q.split_checked(_df(spark), [])
+    valid, invalid = q.RuleSet().split(_df(spark))
     assert valid.count() == 4 and invalid.count() == 0
+    with pytest.raises(ValueError):
+        q.RuleSet([("x", "true")] * 64)
 
 
 def test_valid_plus_invalid_is_input(spark):
     df = _df(spark)
-    valid, invalid = q.split_checked(df, CHECKS)
+    valid, invalid = RULES.split(df)
     assert valid.count() + invalid.count() == df.count()
 
 
@@ -47,28 +48,30 @@ def test_valid_plus_invalid_is_input(spark):
     [(0, 0, False), (100, 2, False), (1000, 21, True), (50, 1, False), (49, 1, True)],
 )
 def test_gate_boundary(total, bad, raises):
+    gate = q.Gate(0.02)
     if raises:
-        with pytest.raises(q.DQGateFailure):
-            q.enforce_gate(total, bad, 0.02, "t")
+        with pytest.raises(q.GateClosed):
+            gate.admit(total, bad, "t")
     else:
-        assert q.enforce_gate(total, bad, 0.02, "t") == (bad / total if total else 0.0)
+        assert gate.admit(total, bad, "t") == (bad / total if total else 0.0)
 
 
 def test_gate_report_matches_python(spark):
-    flagged = q.flag(_df(spark), CHECKS)
-    row = q.gate_report(flagged, 0.02).first()
+    row = q.Gate(0.02).report(RULES.mark(_df(spark))).first()
     assert (row.checked_rows, row.quarantined_rows) == (4, 2)
     assert row.quarantine_rate == 0.5 and row.gate_passed is False
+    empty = q.Gate(0.02).report(RULES.mark(_df(spark).limit(0))).first()
+    assert empty.quarantine_rate == 0.0 and empty.gate_passed is True
 
 
 def test_observed_counts_single_pass(spark):
-    flagged, obs = q.observe_counts(q.flag(_df(spark), CHECKS), "dq")
-    assert q.valid_rows(flagged).count() == 2
-    assert obs.get == {"checked_rows": 4, "quarantined_rows": 2}
+    marked, seen = RULES.observed(RULES.mark(_df(spark)), "dq")
+    assert RULES.passed(marked).count() == 2
+    assert seen.get == {"checked_rows": 4, "quarantined_rows": 2, "0_id_not_null": 1, "1_temp_range": 2, "2_tag_not_null": 1}
 
 
 def test_quarantine_record_key_and_json(spark):
-    _, invalid = q.split_checked(_df(spark), CHECKS)
+    _, invalid = RULES.split(_df(spark))
     rec = q.quarantine_records(invalid, "t", ["id", "tag"], F.lit(None).cast("timestamp"), run_id_col=None)
     rows = {r.natural_key: r for r in rec.collect()}
     # NULL key parts are skipped; NULL fields are left out of the JSON.

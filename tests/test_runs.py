@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum import standins as si
-from stratum.operators.quality import DQGateFailure
+from stratum.operators.quality import GateClosed
 from stratum.plans.dim_city import run_dim_city
 from stratum.plans.gold import run_daily_mart, run_weather_fact, touched_days
 from stratum.plans.historical import run_silver_historical
@@ -55,7 +55,7 @@ def test_gate_fails_after_writes(spark, tmp_root):
     lake.append(land_weather(parse_weather_lines(si.weather_json_lines(events)), run_id=F.lit("w1")),
                 "bronze.weather_raw")
     # Empty city dimension: every reading is an orphan.
-    with pytest.raises(DQGateFailure):
+    with pytest.raises(GateClosed):
         run_silver_weather(lake, dt.datetime(2024, 1, 31, 1), as_of="_ingested_at")
     assert lake.table("silver.dq_quarantine").count() == events.count()
     log = lake.table("ops.run_log").first()
@@ -79,7 +79,8 @@ def test_historical_backfill_twice_keeps_silver(spark, tmp_root):
 
 
 def test_air_quality_health_and_dates(spark, tmp_root):
-    from stratum.plans.air_quality import run_air_quality_fact, run_air_quality_marts, run_silver_air_quality
+    from stratum.plans.air_quality import run_air_quality_marts, run_silver_air_quality
+    from stratum.plans.gold import run_air_quality_fact
     from stratum.plans.health import run_dim_date, run_pipeline_health
 
     lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="aq_")
@@ -137,3 +138,123 @@ def test_lakehouse_refuses_tables_of_another_root(spark, tmp_root):
     Lakehouse(spark, f"{tmp_root}/one", prefix="guard_").create()  # same root: idempotent
     with pytest.raises(ValueError):
         Lakehouse(spark, f"{tmp_root}/two", prefix="guard_").create()
+
+
+def _city(spark, lake, ids=(1,)):
+    for i in ids:
+        spark.sql(f"INSERT INTO {lake.name('silver.dim_city')} VALUES ({i}, {i}, 'A', 'a', 'US', 'NY', 0.0, 0.0, 5, 10, 'z',"
+                  " TIMESTAMP '2024-01-01 00:00:00', NULL, true)")
+
+
+def _land(spark, lake, run, at, docs):
+    import json
+
+    lines = spark.createDataFrame([(json.dumps({"_city_id": c, "current": {"time": t, "temperature_2m": v, "precipitation": p}}),)
+                                   for c, t, v, p in docs], "value string")
+    lake.append(land_weather(parse_weather_lines(lines), run_id=F.lit(run), ingested_at=F.lit(at)), "bronze.weather_raw")
+
+
+def test_late_older_landing_changes_nothing(spark, tmp_root):
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="late_")
+    lake.create()
+    _city(spark, lake)
+    day = dt.datetime(2024, 3, 2, 12)
+    _land(spark, lake, "noon", day, [(1, "2024-03-02T10:00", 12.0, 0.00004), (1, "2024-03-02T10:00", 12.0, 0.00004)])
+    first = run_silver_weather(lake, day)
+    assert (first["checked_rows"], first["merged_rows"]) == (2, 1)
+    _land(spark, lake, "eleven", day - dt.timedelta(hours=1), [(1, "2024-03-02T10:00", 11.0, 0.5), (1, "2024-03-02T09:00", 9.0, 0.0)])
+    run_silver_weather(lake, day + dt.timedelta(hours=1))
+    silver = {r.observation_timestamp.hour: r.temperature_c for r in lake.table("silver.weather_observations").collect()}
+    assert silver == {10: 12.0, 9: 9.0}
+    run_daily_mart(lake, [day.date()])
+    assert lake.table("gold.mart_daily_city_climate_summary").first().total_precip_mm == 0.00004
+    assert run_daily_mart(lake, []) == 0  # no days is not all days
+
+
+def test_gold_catches_up_after_a_gate_failure(spark, tmp_root):
+    from stratum.plans.hourly import run_weather_hourly
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="catch_")
+    lake.create()
+    _city(spark, lake)
+    now = dt.datetime(2024, 3, 3, 12)
+    _land(spark, lake, "bad", now, [(1, "2024-03-02T10:00", 5.0, 0.1), (77, "2024-03-02T10:00", 5.0, 0.1)])
+    with pytest.raises(GateClosed):
+        run_weather_hourly(lake, run_ts=now)
+    health = {r.run_id: r.rows_quarantined for r in lake.table("gold.mart_pipeline_health").collect()}
+    assert health == {"bad": 1} and lake.table("gold.mart_daily_city_climate_summary").count() == 0
+    _land(spark, lake, "good", now, [(1, "2024-03-03T10:00", 6.0, 0.1)])
+    out = run_weather_hourly(lake, run_ts=now + dt.timedelta(minutes=5))
+    assert out["mart_partitions"] == 2
+    days = sorted(r.obs_date.day for r in lake.table("gold.mart_daily_city_climate_summary").collect())
+    assert days == [2, 3] and lake.table("gold.fact_weather_observation").count() == 2
+    again = run_weather_hourly(lake, run_ts=now + dt.timedelta(minutes=10))
+    assert again["mart_partitions"] == 0
+
+
+def _aq(spark, lake, run, at, rows):
+    df = spark.createDataFrame([(*r, run, at) for r in rows], "location_id bigint, parameter_name string, parameter_units string, value double, "
+                               "period_datetime_from timestamp, _ingestion_run_id string, _ingested_at timestamp")
+    lake.append(df.select("*", F.lit("openaq").alias("_source"), F.to_date("_ingested_at").alias("_ingest_date"), F.lit(1).cast("bigint").alias("sensor_id"),
+                          F.lit(None).cast("string").alias("raw_json"), F.lit(None).cast("timestamp").alias("period_datetime_to"),
+                          F.lit(0.0).alias("location_latitude"), F.lit(0.0).alias("location_longitude")), "bronze.air_quality_raw")
+
+
+def test_air_quality_keeps_the_worst_and_quarantines_the_unusable(spark, tmp_root):
+    from stratum.plans.air_quality import run_air_quality_marts, run_silver_air_quality
+    from stratum.plans.hourly import run_weather_hourly
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="worst_")
+    lake.create()
+    _city(spark, lake)
+    now = dt.datetime(2024, 3, 2, 23)
+    hour = lambda h: dt.datetime(2024, 3, 2, h)
+    _aq(spark, lake, "aq1", now, [(1, "pm25", "µg/m³", 5.0, hour(1)), (1, "pm25", "µg/m³", 400.0, hour(2)), (1, "pm25", "µg/m³", 400.0, hour(3)),
+                                  (1, "pm25", "µg/m³", 7.0, None), (1, "pm25", "µg/m³", 8.0, None), (1, "pm25", "µg/m³", -1.0, hour(4))])
+    with pytest.raises(GateClosed):
+        run_silver_air_quality(lake, now)
+    assert lake.table("silver.air_quality_readings").count() == 3
+    reasons = sorted(r.failure_reason for r in lake.table("silver.dq_quarantine").collect())
+    assert reasons == ["not_null_observation_timestamp"] * 2 + ["value_non_negative"]
+    _land(spark, lake, "w1", now, [(1, "2024-03-02T10:00", 5.0, 0.1)])
+    run_silver_weather(lake, now)
+    run_air_quality_marts(lake, [now.date()])
+    row = lake.table("gold.mart_weather_air_quality_correlation").first()
+    assert row.avg_aqi == pytest.approx((28 + 500 + 500) / 3) and row.avg_pm25 == pytest.approx(805 / 3)
+    _land(spark, lake, "w2", now, [(1, "2024-03-02T11:00", 7.0, 0.1)])
+    run_weather_hourly(lake, run_ts=now + dt.timedelta(minutes=1))
+    mart = lake.table("gold.mart_daily_city_climate_summary").first()
+    assert (mart.row_count, mart.dominant_aqi_category) == (2, "Hazardous")
+
+
+def test_staged_files_go_and_city_run_counts(spark, tmp_root):
+    from stratum.plans.dim_city import run_city_reference
+    from stratum.session import ensure_checkpoint_dir
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="stage_")
+    lake.create()
+    customer = si.table(spark, SF, "customer")
+    si.city_tsv_lines(customer, 1).write.text(f"{tmp_root}/landing/city1")
+    out = run_city_reference(lake, f"{tmp_root}/landing/city1", run_ts=dt.datetime(2024, 1, 1))
+    assert out["landed_rows"] == out["changed_or_new_cities"] > 0
+    again = run_city_reference(lake, f"{tmp_root}/landing/city1", run_ts=dt.datetime(2024, 1, 2))
+    assert again["changed_or_new_cities"] == 0
+    path = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark) + "/stage")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not fs.exists(path) or len(fs.listStatus(path)) == 0
+
+
+def test_station_backfill_counts_bad_cells_and_refuses_unknown_stations(spark, tmp_root):
+    from stratum.plans.historical import run_station_backfill
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="back_")
+    lake.create()
+    cells = ["   12 X ", "  abc   ", "-9999   "] + ["-9999   "] * 28
+    line = "ST000000001" + "202401" + "TMAX" + "".join(cells)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{tmp_root}/dly")
+    with pytest.raises(ValueError):
+        run_station_backfill(lake, f"{tmp_root}/dly", stations=["ST000000002"])
+    out = run_station_backfill(lake, f"{tmp_root}/dly", stations=["ST000000001"], run_ts=dt.datetime(2024, 2, 1))
+    assert out["checked_rows"] == 1 and out["landed_cells"]["bad_value"] == 1
+    log = {r.task_id: r for r in lake.table("ops.run_log").collect()}
+    assert log["land_stations"].rows_quarantined == 1 and log["silver_historical"].rows_processed == 1

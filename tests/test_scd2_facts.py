@@ -64,17 +64,17 @@ def test_fact_orphan_dropped_and_update_keeps_key(spark):
         "_source string",
     )
     dim = spark.createDataFrame([(1,)], "city_id bigint")
-    built = facts.build_weather_fact(silver, dim)
+    built = facts.build_fact(facts.WEATHER_FACT, silver, dim)
     assert [r.city_id for r in built.collect()] == [1]
     assert built.first().date_sk == 20240101
-    target = facts.with_new_keys(built, facts.WEATHER_FACT_SK).cache()
-    sk = target.first()[facts.WEATHER_FACT_SK]
-    newer = facts.build_weather_fact(silver.withColumn("temperature_c", F.lit(5.0)), dim)
-    extra = facts.build_weather_fact(
-        silver.withColumn("observation_timestamp", F.lit(ts + dt.timedelta(hours=1))), dim
+    target = facts.with_new_keys(built, facts.WEATHER_FACT.sk).cache()
+    sk = target.first()[facts.WEATHER_FACT.sk]
+    newer = facts.build_fact(facts.WEATHER_FACT, silver.withColumn("temperature_c", F.lit(5.0)), dim)
+    extra = facts.build_fact(
+        facts.WEATHER_FACT, silver.withColumn("observation_timestamp", F.lit(ts + dt.timedelta(hours=1))), dim
     )
-    merged = facts.upsert_fact(target, newer.unionByName(extra), facts.WEATHER_FACT_KEYS, facts.WEATHER_FACT_SK)
+    merged = facts.upsert_fact(target, newer.unionByName(extra), facts.WEATHER_FACT.keys, facts.WEATHER_FACT.sk)
     rows = {r.observation_timestamp: r for r in merged.collect()}
-    assert rows[ts].temperature_c == 5.0 and rows[ts][facts.WEATHER_FACT_SK] == sk
-    new_sk = rows[ts + dt.timedelta(hours=1)][facts.WEATHER_FACT_SK]
+    assert rows[ts].temperature_c == 5.0 and rows[ts][facts.WEATHER_FACT.sk] == sk
+    new_sk = rows[ts + dt.timedelta(hours=1)][facts.WEATHER_FACT.sk]
     assert new_sk > sk
