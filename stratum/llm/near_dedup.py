@@ -15,12 +15,16 @@ of time and end when they pass the largest component, so a signature costs about
 Signatures are cut into ``BANDS`` bands of ``ROWS`` components. Texts that share
 a band are candidates. Copies (equal word sequences) are one text from the start.
 Within a shared band no pairs are spelled out: all members are compared with the
-most central one. Members that do not reach the threshold stay for another round
-with the next leader, and so does a linked member that the triangle inequality
-does not rule out as the partner of one that failed, so that no link between
-candidates is lost; once a band's rest is down to ``FEW`` members, they are
-compared directly. A comparison first looks at the signatures and, unless these
-are far apart (``LEAST``), computes the exact multiset overlap of the whole texts.
+most central one, and those outside the largest component then found once more
+with the most central of themselves. What is left are bands that still hold
+several components. There the members outside the largest one look through the
+signatures of all others (in cells of bounded size) and name their nearest in
+every other component; pairs whose exact similarity reaches the threshold merge
+components. In further rounds they name their next 7, 56, ... until none is left
+whose signature is near enough, so that no link between components is lost. A
+comparison first looks at the signatures and, unless these are far apart
+(``LEAST``, four standard errors below the threshold), computes the exact
+multiset overlap of the whole texts.
 
 Defined cases: null and empty texts, and texts without words, are classes of
 their own. A class is a connected component of the links; its id is its least
@@ -30,6 +34,8 @@ repeat an id and a text are copies.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +48,8 @@ from stratum.llm.components import components
 WORDS = 5
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
-FEW = 64
-LEAST = 0.45
+LEAST = 0.65
+ASKING, ASKED = 512, 2048  # members in a cell
 RUN = 128  # texts whose signatures are computed side by side
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=_U) * _ODD) | _U(1)
 
@@ -219,67 +225,112 @@ def _candidates(texts: DataFrame) -> DataFrame:
     return rows.join(shared, "key")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, whole: DataFrame, threshold: float) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, whole: DataFrame) -> DataFrame:
     """(a, b, sim) of the pairs whose signatures are not far apart."""
     sig = texts.select("fp", "sig")
     near = (pairs.join(sig.select(F.col("fp").alias("a"), F.col("sig").alias("x")), "a")
             .join(sig.select(F.col("fp").alias("b"), F.col("sig").alias("y")), "b")
-            .where(_alike("x", "y") >= min(LEAST, threshold)).select("a", "b"))
-    return written(
-        written(near, "near").join(whole.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a")
-        .join(whole.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b")
-        .select("a", "b", _overlap("x", "y").alias("sim")), "pairs")
-
-
-def _starred(active: DataFrame) -> DataFrame:
-    """The members of each band beside its most central open member."""
-    lead = active.groupBy("key").agg(F.max(F.when(F.col("open"), F.struct("central", "fp"))).alias("top"))
-    return active.join(lead.select("key", F.col("top.fp").alias("lead")), "key").where("fp <> lead").withColumns(
-        {"a": F.least("fp", "lead"), "b": F.greatest("fp", "lead")})
-
-
-def _rest(led: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Who is not settled after the comparison with the leaders: members of bands
-    in which some are still open, but for linked ones that by the triangle
-    inequality are no partner of those."""
-    ruled = led.join(pairs, ["a", "b"], "left").withColumn("sim", F.coalesce("sim", F.lit(0.0)))
-    ruled = ruled.withColumn("open", F.col("open") & (F.col("sim") < threshold))
-    state = ruled.groupBy("key").agg(F.max("open").alias("any"), F.count("*").alias("size"), F.max(F.when(
-        F.col("open") & (F.col("sim") >= 2 * threshold - 1), F.col("sim"))).alias("best"))
-    return ruled.join(state.where("any"), "key").where(
-        (F.col("sim") < threshold) | (F.col("sim") <= F.col("best") + (1 - threshold))).select("key", "used", "fp", "central", "open", "size")
+            .where(_alike("x", "y") >= LEAST).select("a", "b"))
+    near = written(near, "near")
+    return written(near.join(whole.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a")
+                   .join(whole.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b")
+                   .select("a", "b", _overlap("x", "y").alias("sim")), "pairs")
+
+
+def _starred(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each band's members with its most central one."""
+    lead = rows.groupBy("key").agg(F.max(F.struct("central", "fp")).alias("top"))
+    return (rows.join(lead.select("key", F.col("top.fp").alias("lead")), "key").where("fp <> lead")
+            .select(F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")).distinct())
+
+
+def _mixed(shared: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """Members of the bands that hold several components of the links so far,
+    with their component, and whether it is another than the band's largest."""
+    comp = components(found.where(F.col("sim") >= threshold))
+    rows = written(shared.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "members")
+    groups = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    bands = written(groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps"))
+                    .where("comps > 1").select("key", "n", F.col("top.comp").alias("main"), (F.col("n") - F.col("top.n")).alias("minor")), "mixed")
+    return rows.join(bands, "key").withColumn("is_minor", F.col("comp") != F.col("main"))
+
+
+_CELL = "a binary, b binary"
+
+
+def _nearest_of_others(first: int, last: int):
+    """Of each minor member: its candidates of the given ranks in every other
+    component, by the share of equal components of the signatures."""
+
+    def ranked(left: list, right: list) -> list[tuple[bytes, bytes]]:
+        out = []
+        x = np.frombuffer(b"".join(r["sig"] for r in left), np.uint8).reshape(-1, SIZE)
+        y = np.frombuffer(b"".join(r["sig"] for r in right), np.uint8).reshape(-1, SIZE)
+        number: dict[bytes, int] = {}
+        c = np.array([number.setdefault(r["comp"], len(number)) for r in right])
+        for lo in range(0, len(left), 16):
+            equal = np.stack([(y == v).sum(1) for v in x[lo : lo + 16]])
+            for i, row in enumerate(left[lo : lo + 16]):
+                near = np.flatnonzero((equal[i] >= LEAST * SIZE) & (c != number.get(row["comp"], -1)))
+                if len(near):
+                    near = near[np.lexsort((-equal[i][near], c[near]))]
+                    nth = np.arange(len(near)) - np.searchsorted(c[near], c[near])
+                    out += [(min(row["fp"], right[j]["fp"]), max(row["fp"], right[j]["fp"])) for j in near[(nth >= first) & (nth < last)].tolist()]
+        return out
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left, right = None, [], []
+
+        def pairs() -> pa.RecordBatch:
+            found = sorted(set(ranked(left, right))) if left and right else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["key"], r["i"], r["j"]) != at:
+                    yield pairs()
+                    at, left, right = (r["key"], r["i"], r["j"]), [], []
+                (left if r["asks"] else right).append(r)
+        yield pairs()
+
+    return cells
+
+
+def _across(mixed: DataFrame, texts: DataFrame, first: int, last: int) -> DataFrame:
+    """Pairs (a, b) between components that share a band. A band is cut into
+    cells of some thousand members, so no task has more at a time."""
+    rows = mixed.join(texts.select("fp", "sig"), "fp")
+    slot = F.abs(F.xxhash64("fp"))
+    i, j = F.ceil(F.col("minor") / ASKING), F.ceil(F.col("n") / ASKED)
+    asking = rows.where("is_minor").select("key", "fp", "comp", "sig", (slot % i).alias("i"), F.explode(F.sequence(F.lit(0), j - 1)).alias("j"), F.lit(True).alias("asks"))
+    asked = rows.select("key", "fp", "comp", "sig", F.explode(F.sequence(F.lit(0), i - 1)).alias("i"), (slot % j).alias("j"), F.lit(False).alias("asks"))
+    dealt = asking.unionByName(asked).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_nearest_of_others(first, last), _CELL).distinct()
 
 
 def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
     """(a, b, sim): links between fingerprints that join all pairs of candidates
     whose similarity reaches the threshold, directly or over others."""
     texts = written(prints.where("n > 0").groupBy("fp").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig")), "texts")
-    shared = written(_candidates(texts), "bands")
-    central = shared.groupBy("fp").agg(F.sum("size").alias("central"))
+    candidates = written(_candidates(texts), "bands")
+    central = candidates.groupBy("fp").agg(F.sum("size").alias("central"))
+    shared = written(candidates.join(central, "fp").select("key", "fp", "central"), "shared")
+    discard(candidates)
     # the whole texts of all candidates, one for each fingerprint
     whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp"))
-                    .join(central.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "whole")
-    active = written(shared.join(central, "fp").select("key", F.array("key").alias("used"), "fp", "central", F.lit(True).alias("open")), "active")
-    led = written(_starred(active), "led")
-    found = pairs = _compared(led.select("a", "b").distinct(), texts, whole, threshold)
+                    .join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "whole")
+    found = _compared(_starred(shared), texts, whole)
+    mixed = written(_mixed(shared, found, threshold), "mixed")
+    found = found.unionByName(_compared(_starred(mixed.where("is_minor")), texts, whole))
+    first, last = 0, 1
     while True:
-        rest = written(_rest(led, pairs, threshold), "rest")
-        if rest.isEmpty():
+        mixed = written(_mixed(shared, found, threshold), "mixed")
+        asked = written(_across(mixed, texts, first, last), "asked")
+        discard(mixed)
+        if asked.isEmpty():
             break
-        # few members: directly, where one of the two is still open
-        few = rest.where(F.col("size") <= FEW)
-        direct = few.select("key", F.col("fp").alias("a"), F.col("open").alias("o")).join(
-            few.select("key", F.col("fp").alias("b"), F.col("open").alias("p")), "key").where("a < b AND (o OR p)").select("a", "b")
-        # many: those that share another band too, again with a leader
-        many = rest.where(F.col("size") > FEW).join(texts.select("fp", "bands"), "fp").select(
-            "key", "used", "fp", "central", "open", F.explode(F.array_except("bands", "used")).alias("band"))
-        finer = many.select(F.xxhash64("key", "band").alias("key"), F.concat("used", F.array("band")).alias("used"), "fp", "central", "open")
-        held = finer.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select("key")
-        discard(led)
-        led = written(_starred(written(finer.join(held, "key"), "active")), "led")
-        pairs = _compared(direct.unionByName(led.select("a", "b")).distinct(), texts, whole, threshold)
-        found = found.unionByName(pairs)
-        discard(rest)
+        found = found.unionByName(_compared(asked, texts, whole))
+        first, last = last, last * 8
     discard(whole)
     return found.where(F.col("sim") >= threshold)
 

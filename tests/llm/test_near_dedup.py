@@ -69,7 +69,8 @@ def test_signature_does_not_depend_on_its_neighbours():
 
 
 def test_classes_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(N, "FEW", 4)  # so that larger rests are split by further bands
+    monkeypatch.setattr(N, "ASKING", 2)  # so that mixed bands are cut into many cells
+    monkeypatch.setattr(N, "ASKED", 3)
     rng = random.Random(5)
     texts = texts_with_copies(rng)
     ids = list(range(len(texts)))
