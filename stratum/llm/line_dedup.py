@@ -240,6 +240,8 @@ class LineIndex:
             "__print", _distinct_keys("lines", self.min_chars).alias("key"))
         # the frequent keys of a text, no more than its lines; copies of a text share a row
         drops = held.join(self.frequent(min_docs), "key", "left_semi").groupBy("__print").agg(F.collect_set("key").alias("__drop"))
+        # as a table, so that the join below deals out both sides itself and Spark can split a hot text
+        drops = written(drops, "line-drops")
         split = docs.join(drops, "__print", "left").drop("__print").withColumn("__lines", lines(text))
         kept = split.withColumn("__kept", F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.expr(
             f"transform(filter(arrays_zip(__lines, {keys_sql('__lines', self.min_chars)}), "
