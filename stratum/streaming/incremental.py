@@ -6,8 +6,9 @@ into bronze under a run id derived from the batch id and the silver run is
 applied to the unseen landing runs. With ``availableNow`` the query drains
 what has landed and stops, so the hourly cadence is the scheduler's trigger.
 
-A replayed micro-batch (failure after the bronze append) is detected through
-the run log and not landed twice; silver is keyed and idempotent anyway.
+A batch is noted as started before and as ok after its append to bronze. A
+replayed micro-batch that was started looks for its rows in bronze and lands
+only if there are none; silver is keyed and idempotent anyway.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from stratum.sources.weather_json import land_weather, parse_weather_lines
 LANDING_TASK = "land_weather"
 
 
-def _already_landed(lake: Lakehouse, run_id: str) -> bool:
-    log = lake.table("ops.run_log")
-    return log.filter((F.col("task_id") == LANDING_TASK) & (F.col("run_id") == run_id)).limit(1).count() > 0
+def _log_landing(lake: Lakehouse, run_id: str, at: dt.datetime, status: str, rows: int = 0, newest=None) -> None:
+    runlog.record(lake, "weather_stream", LANDING_TASK, at, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+                  [{"_ingestion_run_id": run_id, "rows_processed": rows, "rows_quarantined": 0, "max_observation_ts": newest,
+                    "first_ingested_at": at}], status)
 
 
 def weather_batch(lake: Lakehouse, stream_name: str, as_of: str | None = None, promote: bool = True):
@@ -37,21 +39,18 @@ def weather_batch(lake: Lakehouse, stream_name: str, as_of: str | None = None, p
     def process(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{stream_name}-{batch_id}"
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        if not _already_landed(lake, run_id):
-            landed = land_weather(parse_weather_lines(batch), run_id=F.lit(run_id), ingested_at=F.lit(now))
-            counts = landed.agg(
-                F.count(F.lit(1)).alias("rows_processed"),
-                F.max("observation_time").cast("timestamp").alias("max_observation_ts"),
-            )
-            lake.append(landed, "bronze.weather_raw")
-            c = counts.first()
-            runlog.record(
-                lake, "weather_stream", LANDING_TASK, now,
-                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                [{"_ingestion_run_id": run_id, "rows_processed": c["rows_processed"], "rows_quarantined": 0,
-                  "max_observation_ts": c["max_observation_ts"], "first_ingested_at": now}],
-                "ok",
-            )
+        log = lake.table("ops.run_log").where((F.col("task_id") == LANDING_TASK) & (F.col("run_id") == run_id))
+        known = {r["status"] for r in log.select("status").distinct().collect()}
+        if "ok" not in known:
+            landed = lake.table("bronze.weather_raw").where(F.col("_ingestion_run_id") == run_id)
+            if "started" not in known:
+                _log_landing(lake, run_id, now, "started")
+            # only a batch that was begun before can lie in bronze already
+            if "started" not in known or landed.isEmpty():
+                lake.append(land_weather(parse_weather_lines(batch), run_id=F.lit(run_id), ingested_at=F.lit(now)), "bronze.weather_raw")
+                landed = lake.table("bronze.weather_raw").where((F.col("_ingest_date") == F.lit(now.date())) & (F.col("_ingestion_run_id") == run_id))
+            counts = landed.agg(F.count("*").alias("n"), F.max("observation_time").cast("timestamp").alias("newest")).first()
+            _log_landing(lake, run_id, now, "ok", counts["n"], counts["newest"])
         if promote:
             run_silver_weather(lake, now, as_of=as_of)
 

@@ -38,5 +38,25 @@ def test_stream_lands_each_file_once(spark, tmp_root):
     # the re-sent 00:30 reading replaces the earlier one (latest ingest wins)
     assert lake.table("silver.weather_observations").count() == 4
     log = lake.table("ops.run_log")
-    assert log.filter("task_id = 'land_weather'").count() == 2
+    assert log.filter("task_id = 'land_weather' AND status = 'ok'").count() == 2
     assert log.filter("task_id = 'silver_weather' AND status = 'ok'").count() == 2
+
+
+def test_replay_after_the_append_does_not_land_twice(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    from stratum.sources.weather_json import land_weather, parse_weather_lines
+    from stratum.streaming.incremental import _log_landing, weather_batch
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="replay_")
+    lake.create()
+    batch = spark.createDataFrame([(_doc(1, 0),), (_doc(1, 15),)], "value string")
+    _log_landing(lake, "s-0", BASE, "started")  # the first attempt died between append and log
+    lake.append(land_weather(parse_weather_lines(batch), run_id=F.lit("s-0"), ingested_at=F.lit(BASE)), "bronze.weather_raw")
+    process = weather_batch(lake, "s", promote=False)
+    process(batch, 0)
+    process(batch, 0)
+    process(batch, 1)
+    assert lake.table("bronze.weather_raw").groupBy("_ingestion_run_id").count().collect() and lake.table("bronze.weather_raw").count() == 4
+    ok = lake.table("ops.run_log").where("status = 'ok'").collect()
+    assert sorted((r.run_id, r.rows_processed) for r in ok) == [("s-0", 2), ("s-1", 2)]
