@@ -26,10 +26,13 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return shared_dir(spark, f"llm/{tag}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
+def written(df: DataFrame, tag: str, path: str | None = None, few: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder, read again: cuts lineage and
-    survives the executors that made it."""
+    survives the executors that made it. ``few``: in no more files than twice the
+    cluster's cores, for the many small tables of iterations."""
     path = path or new_path(df.sparkSession, tag)
+    if few:
+        df = df.coalesce(max(1, 2 * df.sparkSession.sparkContext.defaultParallelism))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -20,9 +20,9 @@ with the most central of themselves. What is left are bands that still hold
 several components. There the members outside the largest one look through the
 signatures of all others (in cells of bounded size) and name their nearest in
 every other component; pairs whose exact similarity reaches the threshold merge
-components. In further rounds they name their next 7, 56, ... until none is left
-whose signature is near enough, so that no link between components is lost. A
-comparison first looks at the signatures and, unless these are far apart
+components. Then they name their next 15, then all that are left whose signature
+is near enough, so that no link between components is lost (components only grow,
+so a candidate's rank never falls below what was looked at). A comparison first looks at the signatures and, unless these are far apart
 (``LEAST``, four standard errors below the threshold), computes the exact
 multiset overlap of the whole texts.
 
@@ -50,6 +50,7 @@ BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
 LEAST = 0.65
 ASKING, ASKED = 512, 2048  # members in a cell
+RANKS = ((0, 1), (1, 16), (16, 1 << 62))
 RUN = 128  # texts whose signatures are computed side by side
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=_U) * _ODD) | _U(1)
 
@@ -231,10 +232,10 @@ def _compared(pairs: DataFrame, texts: DataFrame, whole: DataFrame) -> DataFrame
     near = (pairs.join(sig.select(F.col("fp").alias("a"), F.col("sig").alias("x")), "a")
             .join(sig.select(F.col("fp").alias("b"), F.col("sig").alias("y")), "b")
             .where(_alike("x", "y") >= LEAST).select("a", "b"))
-    near = written(near, "near")
+    near = written(near, "near", few=True)
     return written(near.join(whole.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a")
                    .join(whole.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b")
-                   .select("a", "b", _overlap("x", "y").alias("sim")), "pairs")
+                   .select("a", "b", _overlap("x", "y").alias("sim")), "pairs", few=True)
 
 
 def _starred(rows: DataFrame) -> DataFrame:
@@ -248,10 +249,10 @@ def _mixed(shared: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
     """Members of the bands that hold several components of the links so far,
     with their component, and whether it is another than the band's largest."""
     comp = components(found.where(F.col("sim") >= threshold))
-    rows = written(shared.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "members")
+    rows = written(shared.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "members", few=True)
     groups = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     bands = written(groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps"))
-                    .where("comps > 1").select("key", "n", F.col("top.comp").alias("main"), (F.col("n") - F.col("top.n")).alias("minor")), "mixed")
+                    .where("comps > 1").select("key", "n", F.col("top.comp").alias("main"), (F.col("n") - F.col("top.n")).alias("minor")), "mixed", few=True)
     return rows.join(bands, "key").withColumn("is_minor", F.col("comp") != F.col("main"))
 
 
@@ -320,17 +321,17 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
     whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp"))
                     .join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "whole")
     found = _compared(_starred(shared), texts, whole)
-    mixed = written(_mixed(shared, found, threshold), "mixed")
+    mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
     found = found.unionByName(_compared(_starred(mixed.where("is_minor")), texts, whole))
-    first, last = 0, 1
-    while True:
-        mixed = written(_mixed(shared, found, threshold), "mixed")
-        asked = written(_across(mixed, texts, first, last), "asked")
-        discard(mixed)
+    merged = True
+    for first, last in RANKS:
+        if merged:
+            mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
+        asked = written(_across(mixed, texts, first, last), "asked", few=True)
         if asked.isEmpty():
             break
-        found = found.unionByName(_compared(asked, texts, whole))
-        first, last = last, last * 8
+        pairs = _compared(asked, texts, whole)
+        found, merged = found.unionByName(pairs), not pairs.where(F.col("sim") >= threshold).isEmpty()
     discard(whole)
     return found.where(F.col("sim") >= threshold)
 
