@@ -187,7 +187,7 @@ def build(vectors: DataFrame, k: int) -> Graph:
         runs = coded.repartitionByRange(parts, "dim", "code", "node").sortWithinPartitions("dim", "code", "node")
         found = runs.select("node", "u").mapInArrow(_in_runs, _EDGE)
         edges = found if edges is None else edges.unionAll(found)
-    graph = written(_nearest_k(edges.withColumn("new", F.lit(True)), NEIGHBOURS), "nn-edges")
+    graph = written(_nearest_k(edges.withColumn("new", F.lit(True)), NEIGHBOURS), "nn-edges", few=True)
     size = graph.count()
     for _ in range(ROUNDS):
         worst = graph.groupBy("node").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
@@ -200,7 +200,7 @@ def build(vectors: DataFrame, k: int) -> Graph:
                        .select("owner", "member", "new", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "u"))
         offered = with_vector.repartition("owner").sortWithinPartitions("owner").mapInArrow(_local_join, _EDGE)
         more = offered.withColumn("new", F.lit(True)).unionByName(graph.withColumn("new", F.lit(False)))
-        better = written(_nearest_k(more, NEIGHBOURS), "nn-edges")
+        better = written(_nearest_k(more, NEIGHBOURS), "nn-edges", few=True)
         discard(graph)
         graph = better
         if graph.where("new").count() <= LITTLE * size:
@@ -239,10 +239,10 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
     queries (query_id, e array<double>), the query's own id excepted. Queries
     that are no row of the graph start from ``ENTRIES`` nodes."""
     nodes = graph.nodes
-    asked = written(queries.where(f"query_id IS NOT NULL AND {valid('e')} AND exists(e, x -> x <> 0)").groupBy("query_id").agg(F.min("e").alias("e")), "nn-queries")
+    asked = written(queries.where(f"query_id IS NOT NULL AND {valid('e')} AND exists(e, x -> x <> 0)").groupBy("query_id").agg(F.min("e").alias("e")), "nn-queries", few=True)
     # copies of a vector walk the graph once
     walker = written(asked.groupBy("e").agg(F.min("query_id").alias("own")).join(nodes.select("node", "e"), "e", "left")
-                     .select("own", "e", "node", _unit("e").alias("q"), F.size("e").alias("dim")), "nn-walkers")
+                     .select("own", "e", "node", _unit("e").alias("q"), F.size("e").alias("dim")), "nn-walkers", few=True)
     asked = asked.join(walker.select("own", "e"), "e").select("query_id", "own", F.col("e").alias("qe"))
     first = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("node")))
     entries = nodes.select("dim", "node", "u").withColumn("r", first).where(F.col("r") <= ENTRIES).drop("r")
@@ -250,13 +250,13 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
     some = F.row_number().over(Window.partitionBy("nbr").orderBy(F.desc("sim"), "node"))
     near = graph.edges.select("node", "nbr").unionAll(
         graph.edges.withColumn("r", some).where(F.col("r") <= REVERSE).select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
-    near, slim = written(near, "nn-near"), nodes.select("node", "u")
+    near, slim = written(near, "nn-near", few=True), nodes.select("node", "u")
     seen = written(walker.where("node IS NOT NULL").select("own", "node", F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done"))
-                   .unionByName(strangers.select("own", "node", _cosine_of_units("q", "u").alias("sim"), F.lit(False).alias("done"))), "nn-seen")
+                   .unionByName(strangers.select("own", "node", _cosine_of_units("q", "u").alias("sim"), F.lit(False).alias("done"))), "nn-seen", few=True)
     walker = walker.select("own", "q")
     while True:
         rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
-        front = written(seen.withColumn("r", rank).where((F.col("r") <= BEAM) & ~F.col("done")).select("own", "node"), "nn-front")
+        front = written(seen.withColumn("r", rank).where((F.col("r") <= BEAM) & ~F.col("done")).select("own", "node"), "nn-front", few=True)
         if front.isEmpty():
             break
         reached = (front.join(near, "node").select("own", F.col("nbr").alias("node")).distinct()
@@ -265,7 +265,7 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
                   .select("own", "node", _cosine_of_units("q", "u").alias("sim"), F.lit(False).alias("done")))
         after = seen.join(front.withColumn("f", F.lit(True)), ["own", "node"], "left").select(
             "own", "node", "sim", (F.col("done") | F.coalesce("f", F.lit(False))).alias("done"))
-        now = written(after.unionByName(scored), "nn-seen")
+        now = written(after.unionByName(scored), "nn-seen", few=True)
         discard(seen)
         discard(front)
         seen = now

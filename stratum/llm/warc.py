@@ -103,18 +103,18 @@ def chain(candidates: DataFrame) -> DataFrame:
     offset 0 of their file. Round k adds the records 2**k steps on; as a
     successor always lies further on, none comes twice."""
     spark = candidates.sparkSession
-    hops = written(candidates.where("next > at").select("file", "at", "next"), "hops")
+    hops = written(candidates.where("next > at").select("file", "at", "next"), "hops", few=True)
     known = candidates.select("file", "at")
-    reached = written(known.where("at = 0"), "reached")
+    reached = written(known.where("at = 0"), "reached", few=True)
     while True:
-        more = written(reached.join(hops, ["file", "at"]).select("file", F.col("next").alias("at")), "more")
+        more = written(reached.join(hops, ["file", "at"]).select("file", F.col("next").alias("at")), "more", few=True)
         if more.isEmpty():
             discard(hops)
             # a successor at which no candidate stands (the end of the file) is none
             return reached.join(known, ["file", "at"], "left_semi")
         reached = reached.unionAll(more)
         twice = written(hops.join(hops.select("file", F.col("at").alias("next"), F.col("next").alias("then")), ["file", "next"])
-                        .select("file", "at", F.col("then").alias("next")), "hops")
+                        .select("file", "at", F.col("then").alias("next")), "hops", few=True)
         discard(hops)
         hops = twice
 
