@@ -44,8 +44,8 @@ OFFERS = 6  # to a gathered node by one that gathered it
 STARTS = 3
 RUN = 256
 ROUNDS = 12
-LITTLE = 0.1  # share of changed neighbours that ends the descent
-BEAM = 80
+LITTLE = 0.05  # share of changed neighbours that ends the descent
+BEAM = 160
 ENTRIES = 128
 _EDGE = "node long, nbr long, sim float"
 
