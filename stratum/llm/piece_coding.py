@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-CACHE = 400_000
+CACHE = 1_000_000
 GROUP = 1 << 20  # characters of the documents whose units are sorted together
 
 
@@ -56,10 +56,15 @@ class Pieces:
             self.unit = re.compile(r"(?s).+")
         else:
             word = r"[^\W%s]" % "".join(map(re.escape, sorted(going_on))) if going_on else r"\w"
-            other = r"(?:(?!%s)[^%s\n])" % (word, MARK)
+            other = rf"(?:[^\w{MARK}\n]|[{''.join(map(re.escape, sorted(going_on)))}])" if going_on else rf"[^\w{MARK}\n]"
             alone = r"\n|" if not any("\n" in p for p in pairs) else ""
             self.unit = re.compile(f"{alone}{MARK}*{other}*{word}+|{MARK}*{other}+|{MARK}+|\\n")
-        self._fits: dict[tuple[str, str], bool] = {}
+        self._fits: dict[str, dict[str, bool]] = {}  # by the piece before
+        #: The length of the longest piece that ends with these two characters.
+        self.reach: dict[str, int] = {}
+        for p in pieces:
+            if len(p) > 1:
+                self.reach[p[-2:]] = max(self.reach.get(p[-2:], 0), len(p))
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging the best-scored neighbours, leftmost first, ends with."""
@@ -76,25 +81,29 @@ class Pieces:
         return parts
 
     def _stays(self, last: str, piece: str) -> bool:
-        fits = self._fits.get((last, piece))
-        if fits is None:
-            fits = self._fits[last, piece] = self.merged(last + piece) == ([last, piece] if last else [piece])
+        fits = self.merged(last + piece) == ([last, piece] if last else [piece])
+        self._fits.setdefault(last, {})[piece] = fits
         return fits
 
     def _state(self, unit: str, i: int, stack: list[tuple[float, str]]) -> tuple[float, str]:
         """Forward state of the unit's first i characters."""
+        far = self.reach.get(unit[i - 2 : i], 1) if i > 1 else 1
+        if self.kind == "bpe":
+            for j in range(max(0, i - far), i):
+                piece = unit[j:i]
+                if j == i - 1 or piece in self.score:
+                    last = stack[j][1]
+                    known = self._fits.get(last)
+                    fits = known.get(piece) if known is not None else None
+                    if fits is None:
+                        fits = self._stays(last, piece)
+                    if fits:
+                        return 0.0, piece
         best = None
-        for j in range(max(0, i - self.longest), i):
+        for j in range(max(0, i - far), i):
             piece = unit[j:i]
-            score = self.score.get(piece)
-            if score is None:
-                if j < i - 1:
-                    continue
-                score = self.least
-            if self.kind == "bpe":
-                if self._stays(stack[j][1], piece):
-                    return 0.0, piece
-            elif best is None or stack[j][0] + score > best[0]:
+            score = self.score.get(piece, self.least if j == i - 1 else None)
+            if score is not None and (best is None or stack[j][0] + score > best[0]):
                 best = (stack[j][0] + score, piece)
         return best
 
