@@ -14,9 +14,9 @@ of time and end when they pass the largest component, so a signature costs about
 
 Signatures are cut into ``BANDS`` bands of ``ROWS`` components. Texts that share
 a band are candidates. Copies (equal word sequences) are one text from the start.
-Within a shared band no pairs are spelled out: all members are compared with the
-most central one, and those outside the largest component then found once more
-with the most central of themselves. What is left are bands that still hold
+Within a shared band no pairs are spelled out: a text is compared with the most
+central one of all its bands, and those outside a band's largest component then
+found once more with the most central of themselves. What is left are bands that still hold
 several components. There the members outside the largest one look through the
 signatures of all others (in cells of bounded size) and name their nearest in
 every other component; pairs whose exact similarity reaches the threshold merge
@@ -239,10 +239,10 @@ def _compared(pairs: DataFrame, texts: DataFrame, whole: DataFrame) -> DataFrame
 
 
 def _starred(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each band's members with its most central one."""
+    """Pairs (a, b) of each text with the most central text of all its bands."""
     lead = rows.groupBy("key").agg(F.max(F.struct("central", "fp")).alias("top"))
-    return (rows.join(lead.select("key", F.col("top.fp").alias("lead")), "key").where("fp <> lead")
-            .select(F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")).distinct())
+    best = rows.join(lead, "key").groupBy("fp").agg(F.max("top").alias("top")).select("fp", F.col("top.fp").alias("lead"))
+    return best.where("fp <> lead").select(F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b")).distinct()
 
 
 def _mixed(shared: DataFrame, found: DataFrame, threshold: float) -> DataFrame:

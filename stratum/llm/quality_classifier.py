@@ -162,7 +162,7 @@ def train(texts: list[str], quality: list[int], prior: float, bits: int = 16, di
     return Model(bits, table, float(bias[1] - bias[0] + shift))
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 4000, **how) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 2000, **how) -> Model:
     """Fit on at most ``train_rows`` labelled documents, half of each class
     where there are so many: those with the smallest hash of the id."""
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
