@@ -20,9 +20,10 @@ found once more with the most central of themselves. What is left are bands that
 several components. There the members outside the largest one look through the
 signatures of all others (in cells of bounded size) and name their nearest in
 every other component; pairs whose exact similarity reaches the threshold merge
-components. Then they name their next 15, then all that are left whose signature
-is near enough, so that no link between components is lost (components only grow,
-so a candidate's rank never falls below what was looked at). A comparison first looks at the signatures and, unless these are far apart
+components. Then they name their nearest 16, then all whose signature is near
+enough, so that no link between components is lost. Every round begins at the
+nearest, as the largest component may have become another one, whose members
+have not looked yet; pairs that were compared before are left out. A comparison first looks at the signatures and, unless these are far apart
 (``LEAST``, four standard errors below the threshold), computes the exact
 multiset overlap of the whole texts.
 
@@ -50,7 +51,7 @@ BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
 LEAST = 0.65
 ASKING, ASKED = 512, 2048  # members in a cell
-RANKS = ((0, 1), (1, 16), (16, 1 << 62))
+RANKS = (1, 16, 1 << 62)  # candidates in each other component, round by round
 RUN = 128  # texts whose signatures are computed side by side
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=_U) * _ODD) | _U(1)
 
@@ -259,9 +260,8 @@ def _mixed(shared: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
 _CELL = "a binary, b binary"
 
 
-def _nearest_of_others(first: int, last: int):
-    """Of each minor member: its candidates of the given ranks in every other
-    component, by the share of equal components of the signatures."""
+def _nearest_of_others(last: int):
+    """Of each minor member: its first ``last`` candidates in every other component, by the share of equal components of the signatures."""
 
     def ranked(left: list, right: list) -> list[tuple[bytes, bytes]]:
         out = []
@@ -276,7 +276,7 @@ def _nearest_of_others(first: int, last: int):
                 if len(near):
                     near = near[np.lexsort((-equal[i][near], c[near]))]
                     nth = np.arange(len(near)) - np.searchsorted(c[near], c[near])
-                    out += [(min(row["fp"], right[j]["fp"]), max(row["fp"], right[j]["fp"])) for j in near[(nth >= first) & (nth < last)].tolist()]
+                    out += [(min(row["fp"], right[j]["fp"]), max(row["fp"], right[j]["fp"])) for j in near[nth < last].tolist()]
         return out
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +297,7 @@ def _nearest_of_others(first: int, last: int):
     return cells
 
 
-def _across(mixed: DataFrame, texts: DataFrame, first: int, last: int) -> DataFrame:
+def _across(mixed: DataFrame, texts: DataFrame, last: int) -> DataFrame:
     """Pairs (a, b) between components that share a band. A band is cut into
     cells of some thousand members, so no task has more at a time."""
     rows = mixed.join(texts.select("fp", "sig"), "fp")
@@ -306,7 +306,7 @@ def _across(mixed: DataFrame, texts: DataFrame, first: int, last: int) -> DataFr
     asking = rows.where("is_minor").select("key", "fp", "comp", "sig", (slot % i).alias("i"), F.explode(F.sequence(F.lit(0), j - 1)).alias("j"), F.lit(True).alias("asks"))
     asked = rows.select("key", "fp", "comp", "sig", F.explode(F.sequence(F.lit(0), i - 1)).alias("i"), (slot % j).alias("j"), F.lit(False).alias("asks"))
     dealt = asking.unionByName(asked).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_nearest_of_others(first, last), _CELL).distinct()
+    return dealt.mapInArrow(_nearest_of_others(last), _CELL).distinct()
 
 
 def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
@@ -324,13 +324,13 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
     mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
     found = found.unionByName(_compared(_starred(mixed.where("is_minor")), texts, whole))
     merged = True
-    for first, last in RANKS:
+    for last in RANKS:
         if merged:
             mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
-        asked = written(_across(mixed, texts, first, last), "asked", few=True)
+        asked = written(_across(mixed, texts, last), "asked", few=True)
         if asked.isEmpty():
             break
-        pairs = _compared(asked, texts, whole)
+        pairs = _compared(asked.join(found.select("a", "b"), ["a", "b"], "left_anti"), texts, whole)
         found, merged = found.unionByName(pairs), not pairs.where(F.col("sim") >= threshold).isEmpty()
     discard(whole)
     return found.where(F.col("sim") >= threshold)

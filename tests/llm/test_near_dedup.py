@@ -86,6 +86,32 @@ def test_classes_match_brute_force(spark, monkeypatch):
     assert sorted(kept) == sorted(least.values())
 
 
+def test_links_are_found_when_a_bands_main_component_changes(spark):
+    # In band K, m1 and m2 name n1, which is far. Then x finds q elsewhere, the label of its component drops,
+    # and n1 and n2 are the ones that ask: n2's nearest is m1, the only link between the components.
+    changed = {"m1": [], "m2": [9, 10], "n1": [1, 2, 3, 4, 5, 6], "n2": [1, 2], "h": [1, 2, 3, 4], "x": [1, 2, 3, 4, 7, 8], "q": [1, 2, 3, 4, 7, 8, 11, 12]}
+    rest = [f"r{i}" for i in range(16)]
+
+    def texts_and_prints(seed):
+        texts = [" ".join(f"z{seed}x{p}" if p % 7 == 0 and p // 7 in c else f"w{seed}x{p}" for p in range(100)) for c in changed.values()]
+        texts += [" ".join(f"{r}x{p}" for p in range(20)) for r in rest]
+        return dict(zip([*changed, *rest], texts)), dict(zip([*changed, *rest], N._fp.func(pa.array(texts)).to_pylist()))
+
+    texts, fp = next((t, f) for t, f in map(texts_and_prints, range(2000))
+                     if f["q"] < min(f["m1"], f["m2"]) < min(f["n1"], f["n2"], f["h"], f["x"]))
+    bands = {1: ["m1", "m2", "n1", "n2"], 2: ["n1", "n2", "h", "x"], 3: ["h", *rest[:12]], 4: ["m2", *rest[12:]], 5: ["h", "x", "q"]}
+    other = {"m2": range(50, 55), "n1": [0], "n2": [1, 2, 3], "h": [4, 5], "x": range(60, 69), "q": range(60, 70)}
+    rng = np.random.default_rng(0)
+    sig = {k: rng.integers(0, 256, N.SIZE).astype(np.uint8) if k in rest else np.zeros(N.SIZE, np.uint8) for k in texts}
+    for k, at in other.items():
+        sig[k][list(at)] = 1
+    prints = spark.createDataFrame([(fp[k], 100, [b for b, m in bands.items() if k in m], sig[k].tobytes()) for k in texts], "fp binary, n bigint, bands array<bigint>, sig binary")
+    docs = spark.createDataFrame([(t,) for t in texts.values()], "text string")
+    name = {f: k for k, f in fp.items()}
+    found = {frozenset((name[bytes(r.a)], name[bytes(r.b)])) for r in N.links(docs, prints).collect()}
+    assert {frozenset(x) for x in (("m1", "m2"), ("n1", "h"), ("n2", "h"), ("x", "h"), ("q", "x"), ("m1", "n2"))} == found
+
+
 def test_odd_rows(spark):
     long = "word " * 100_000 + "end"
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (5, "A"), (None, "p q r s t u v"), (None, "p q r s t u v"), (6, "p q r s t u v"),
