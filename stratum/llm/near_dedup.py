@@ -336,8 +336,10 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
     return found.where(F.col("sim") >= threshold)
 
 
-def classes(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, class_id) of every row."""
+def _classed(docs: DataFrame, threshold: float, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, fp, n, class_id, is_kept) of every row. Kept are the rows of one id
+    and one fingerprint of each component: the least id (nulls last), then the
+    least fingerprint of that id. Rows without words are kept."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), _prints(F.col(text)).alias("p"))
     prints = written(rows.select("doc_id", "p.fp", "p.n", "p.bands", "p.sig"), "prints")
     found = links(docs, prints, threshold, text)
@@ -345,23 +347,36 @@ def classes(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id:
     least = prints.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least")).join(
         comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
     least = written(least, "least")
-    named = least.join(least.groupBy("comp").agg(F.min("least").alias("class_id")), "comp").select("fp", "class_id")
+    top = least.groupBy("comp").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("top"))
+    named = least.join(top, "comp").select("fp", F.col("top.least").alias("class_id"), (F.col("fp") == F.col("top.fp")).alias("is_top"))
+    words = F.col("n") > 0
     return prints.select("doc_id", "fp", "n").join(named, "fp", "left").select(
-        "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+        "doc_id", "fp", "n", F.when(words, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(words, F.col("is_top") & F.col("doc_id").eqNullSafe(F.col("class_id"))).otherwise(True).alias("is_kept"))
+
+
+def classes(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, class_id) of every row."""
+    return _classed(docs, threshold, text, doc_id).select("doc_id", "class_id")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One row of each class: that with the least doc_id. Rows with a null id
-    stay, as nothing tells them from each other."""
-    named = written(classes(docs, threshold), "classes")
-    kept = named.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("__n"))
-    rows = docs.drop("__n").join(kept, "doc_id")
-    once = rows.where("__n = 1").drop("__n")
-    more = rows.where("__n > 1").drop("__n").dropDuplicates(["doc_id"])
-    return once.unionByName(more).unionByName(docs.drop("__n").where("doc_id IS NULL"))
+    """One row of each component: of the least doc_id (nulls last), then of the
+    least fingerprint; ids may repeat with other texts. Rows without words stay,
+    once for each id and text; those of null ids all stay."""
+    kept = written(_classed(docs, threshold).where("is_kept AND n > 0").groupBy(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"))
+                   .agg(F.count("*").alias("__n")), "kept")
+    docs = docs.drop("__id", "__fp", "__n", "__print")
+    rows = docs.withColumn("__print", _fp("text")).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")))
+    once = rows.where("__n = 1")
+    more = rows.where("__n > 1").dropDuplicates(["doc_id", "__print"])
+    bare = docs.where("text IS NULL OR NOT text RLIKE '[^\\\\x09-\\\\x0d ]'")
+    bare = bare.where("doc_id IS NULL").unionByName(bare.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    return once.unionByName(more).drop("__id", "__fp", "__n", "__print").unionByName(bare)
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's class of near copies (five words, similarity 0.8)."""
+    """Every document's class of near copies (five words, similarity 0.8), and
+    whether it is the one kept of its component."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return classes(docs, 0.8).withColumn("is_kept", F.col("doc_id") == F.col("class_id"))
+    return _classed(docs, 0.8).select("doc_id", "class_id", "is_kept")

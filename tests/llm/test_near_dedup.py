@@ -124,6 +124,20 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in N.drop_near_copies(copies).collect()) == [2, 4]
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [(9, "a b c d e"), (9, "v w x y z"), (9, "V w x y z"), (10, "v w x y z"),  # one id, two texts
+            (1, near), (1, near + " more"), (None, near + " more"),  # copies beside a kept row of the same id and of none
+            (None, "p q r"), (None, "P  q r"), (None, "alone"), (4, "alone here"),
+            (7, None), (7, " \t\n\x0b\x0c\r"), (9, ""), (9, ""), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(r.doc_id, r.text) for r in N.drop_near_copies(docs).collect()]
+    kept = collections.Counter((i, " ".join((t or "").lower().split())) for i, t in got)
+    assert sum(n for (i, t), n in kept.items() if i == 1) == 1 and (None, near + " more") not in kept
+    assert {k: n for k, n in kept.items() if k[0] != 1} == {
+        (9, "a b c d e"): 1, (9, "v w x y z"): 1, (None, "p q r"): 1, (None, "alone"): 1, (4, "alone here"): 1, (7, ""): 2, (9, ""): 1, (None, ""): 2}
+
+
 def test_word_rows_survive_any_cut():
     texts = ["Hello  world", None, "", " a b\tc\n", "x" * 50 + " " + "yy " * 40]
     whole = [h.tolist() for _, w, o in row_words(pa.array(texts)) for h in (w[a:b] for a, b in zip(o[:-1], o[1:]))]
