@@ -18,6 +18,10 @@ nodes among its ``BEAM`` nearest that were not expanded yet are expanded, all
 queries at once in joins, until no query has any left. The beam is then ranked by
 the exact cosine of the original vectors, in double precision.
 
+Graph and walk use unit vectors in single precision and compare them by their
+distance, summed in double: ``sim`` is the cosine less 1, so that it keeps its
+digits among near copies, whose cosines differ by less than 1e-6.
+
 Defined cases: null ids, and vectors that are null, empty, zero or hold null or
 non-finite components, take no part. Vectors of different lengths are not
 compared. Rows that repeat an id count once (the least vector). Ties go to the
@@ -47,12 +51,13 @@ ROUNDS = 12
 LITTLE = 0.05  # share of changed neighbours that ends the descent
 BEAM = 160
 ENTRIES = 128
+NONE = -3  # below any sim
 _EDGE = "node long, nbr long, sim float"
 
 
 @dataclass
 class Graph:
-    """``nodes``: node, dim, ids, u (unit vector, half precision), e (original);
+    """``nodes``: node, dim, ids, u (unit vector, single precision), e (original);
     ``edges``: node, nbr, sim."""
 
     nodes: DataFrame
@@ -65,7 +70,7 @@ def _unit(vectors: pa.Array) -> pa.Array:
     for v in vectors:
         x = np.array(v.values.to_numpy(zero_copy_only=False), np.float64)
         x = x / np.abs(x).max()
-        out.append((x / np.sqrt(x @ x)).astype(np.float16).tobytes())
+        out.append((x / np.sqrt(x @ x)).astype(np.float32).tobytes())
     return pa.array(out, pa.binary())
 
 
@@ -74,7 +79,7 @@ def _signs(seed: int):
     def code(units: pa.Array) -> pa.Array:
         """Signs of 30 random projections as one number."""
         out = np.zeros(len(units), np.int64)
-        rows = [np.frombuffer(u.as_buffer(), np.float16).astype(np.float32) for u in units]
+        rows = [np.frombuffer(u.as_buffer(), np.float32) for u in units]
         sizes = np.array([len(r) for r in rows])
         for dim in np.unique(sizes).tolist():
             at = np.flatnonzero(sizes == dim)
@@ -85,6 +90,14 @@ def _signs(seed: int):
     return code
 
 
+def _sims(u: np.ndarray) -> np.ndarray:
+    """Cosine less 1 (half the squared distance, negated) of all pairs of rows."""
+    u = u.astype(np.float64)
+    dot = u @ u.T
+    half = dot.diagonal() / 2
+    return (dot - half[:, None] - half).astype(np.float32)
+
+
 def _top(sims: np.ndarray, k: int) -> np.ndarray:
     """Places of the k largest of each row."""
     if sims.shape[1] <= k:
@@ -102,14 +115,13 @@ def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     nodes, units = [], []
 
     def near() -> pa.RecordBatch:
-        u = np.stack([np.frombuffer(x, np.float16) for x in units]).astype(np.float32)
         ids = np.array(nodes)
-        sims = u @ u.T
-        np.fill_diagonal(sims, -2)
+        sims = _sims(np.stack([np.frombuffer(x, np.float32) for x in units]))
+        np.fill_diagonal(sims, NONE)
         top = _top(sims, NEIGHBOURS)
         rows = np.repeat(np.arange(len(ids)), top.shape[1])
         s = sims[rows, top.reshape(-1)]
-        real = s > -2
+        real = s > NONE
         return _edges([ids[rows][real]], [ids[top.reshape(-1)][real]], [s[real]])
 
     for batch in batches:
@@ -136,15 +148,14 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             if hi - lo < 2:
                 continue
-            u = np.frombuffer(b"".join(units[lo:hi]), np.float16).reshape(hi - lo, -1).astype(np.float32)
-            sims = u @ u.T
-            sims[~(new[lo:hi, None] | new[None, lo:hi])] = -2
-            np.fill_diagonal(sims, -2)
-            sims[sims <= worst[lo:hi, None]] = -2
+            sims = _sims(np.frombuffer(b"".join(units[lo:hi]), np.float32).reshape(hi - lo, -1))
+            sims[~(new[lo:hi, None] | new[None, lo:hi])] = NONE
+            np.fill_diagonal(sims, NONE)
+            sims[sims <= worst[lo:hi, None]] = NONE
             top = _top(sims, OFFERS)
             r = np.repeat(np.arange(hi - lo), top.shape[1])
             c = top.reshape(-1)
-            good = sims[r, c] > -2
+            good = sims[r, c] > NONE
             a.append(member[lo:hi][r[good]])
             b.append(member[lo:hi][c[good]])
             s.append(sims[r, c][good])
@@ -190,14 +201,14 @@ def build(vectors: DataFrame, k: int) -> Graph:
     graph = written(_nearest_k(edges.withColumn("new", F.lit(True)), NEIGHBOURS), "nn-edges", few=True)
     size = graph.count()
     for _ in range(ROUNDS):
-        worst = graph.groupBy("node").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
+        worst = graph.groupBy("node").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(float(NONE))).cast("float").alias("worst"))
         some = F.row_number().over(Window.partitionBy("nbr").orderBy(F.desc("new"), F.xxhash64("node")))
         back = graph.withColumn("r", some).where(F.col("r") <= REVERSE).select(F.col("nbr").alias("owner"), F.col("node").alias("member"), "new")
         gathered = (graph.select(F.col("node").alias("owner"), F.col("nbr").alias("member"), "new").unionAll(back)
                     .groupBy("owner", "member").agg(F.max("new").alias("new")))
         with_vector = (gathered.join(slim.withColumnRenamed("node", "member"), "member")
                        .join(worst.withColumnRenamed("node", "member"), "member", "left")
-                       .select("owner", "member", "new", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"), "u"))
+                       .select("owner", "member", "new", F.coalesce("worst", F.lit(float(NONE)).cast("float")).alias("worst"), "u"))
         offered = with_vector.repartition("owner").sortWithinPartitions("owner").mapInArrow(_local_join, _EDGE)
         more = offered.withColumn("new", F.lit(True)).unionByName(graph.withColumn("new", F.lit(False)))
         better = written(_nearest_k(more, NEIGHBOURS), "nn-edges", few=True)
@@ -209,14 +220,14 @@ def build(vectors: DataFrame, k: int) -> Graph:
 
 
 @F.arrow_udf(T.FloatType())
-def _cosine_of_units(a: pa.Array, b: pa.Array) -> pa.Array:
+def _sim_of_units(a: pa.Array, b: pa.Array) -> pa.Array:
     x, y = a.to_pylist(), b.to_pylist()
     out = np.zeros(len(x), np.float32)
     sizes = np.array([len(v) for v in x])
     for size in np.unique(sizes).tolist():
         at = np.flatnonzero(sizes == size)
-        p, q = (np.frombuffer(b"".join([z[i] for i in at]), np.float16).reshape(len(at), -1).astype(np.float32) for z in (x, y))
-        out[at] = np.einsum("ij,ij->i", p, q)
+        p, q = (np.frombuffer(b"".join([z[i] for i in at]), np.float32).reshape(len(at), -1).astype(np.float64) for z in (x, y))
+        out[at] = -np.square(p - q).sum(1) / 2
     return pa.array(out)
 
 
@@ -251,8 +262,8 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
     near = graph.edges.select("node", "nbr").unionAll(
         graph.edges.withColumn("r", some).where(F.col("r") <= REVERSE).select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
     near, slim = written(near, "nn-near", few=True), nodes.select("node", "u")
-    seen = written(walker.where("node IS NOT NULL").select("own", "node", F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done"))
-                   .unionByName(strangers.select("own", "node", _cosine_of_units("q", "u").alias("sim"), F.lit(False).alias("done"))), "nn-seen", few=True)
+    seen = written(walker.where("node IS NOT NULL").select("own", "node", F.lit(0.0).cast("float").alias("sim"), F.lit(False).alias("done"))
+                   .unionByName(strangers.select("own", "node", _sim_of_units("q", "u").alias("sim"), F.lit(False).alias("done"))), "nn-seen", few=True)
     walker = walker.select("own", "q")
     while True:
         rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
@@ -262,7 +273,7 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
         reached = (front.join(near, "node").select("own", F.col("nbr").alias("node")).distinct()
                    .join(seen.select("own", "node"), ["own", "node"], "left_anti"))
         scored = (reached.join(slim, "node").join(walker, "own")
-                  .select("own", "node", _cosine_of_units("q", "u").alias("sim"), F.lit(False).alias("done")))
+                  .select("own", "node", _sim_of_units("q", "u").alias("sim"), F.lit(False).alias("done")))
         after = seen.join(front.withColumn("f", F.lit(True)), ["own", "node"], "left").select(
             "own", "node", "sim", (F.col("done") | F.coalesce("f", F.lit(False))).alias("done"))
         now = written(after.unionByName(scored), "nn-seen", few=True)

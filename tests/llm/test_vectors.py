@@ -81,6 +81,24 @@ def test_nn_descent_recall_and_ties(spark):
     assert {c for _, c, _ in got[3150]} == {3151} and 3050 not in got
 
 
+def test_nn_descent_recall_in_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(8)
+    center = rng.normal(size=16)
+    e = np.concatenate([center * (1 + 0.001 * rng.normal(size=(3000, 16))), rng.normal(size=(500, 16))]).astype(np.float32)
+    v = N.vectors_of(spark.createDataFrame([(i, x.tolist(), "a", "b") for i, x in enumerate(e)], SCHEMA))
+    got = {}
+    for r in N.search(N.build(v, 5), v.where("id % 50 = 0").withColumnRenamed("id", "query_id"), 5).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    u = e.astype(np.float64)
+    u /= np.sqrt(np.square(u).sum(1))[:, None]
+    hits = 0
+    for q in range(0, 3000, 50):
+        far = np.square(u - u[q]).sum(1)
+        far[q] = 9
+        hits += len(got[q] & set(np.argsort(far)[:5].tolist()))
+    assert hits >= 0.95 * 300
+
+
 def test_search_for_vectors_that_are_no_rows(spark):
     rows = [(i, e.tolist()) for i, e in enumerate(vectors(1000, 16, 4))]
     v = N.vectors_of(spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA))
