@@ -12,7 +12,9 @@ every candidate's offset (from the lengths of the pieces before it) and, from it
 header, the offset at which the next record must begin. Pointer jumping from the
 start of each file follows these successors, doubling its step in every round;
 candidates that it does not reach lie inside payloads and are rejected. A record
-whose payload holds the magic is put together from its pieces. A chain that does
+whose payload holds the magic is put together from its pieces. For that the texts
+of its file are written once more, with offsets of their own: numbers of pieces
+differ from scan to scan with the executors at hand, offsets in a file do not. A chain that does
 not end at the end of the file (damaged archive) keeps the records up to the break.
 
 Defined cases: a null payload is empty. Control characters and spaces in urls are
@@ -119,6 +121,19 @@ def chain(candidates: DataFrame) -> DataFrame:
         hops = twice
 
 
+def _placed(pieces: DataFrame) -> DataFrame:
+    """``pieces`` (a written table: file, split, nth, size, ...) with ``at``, the
+    offset of the magic before each. Pieces tile a split, splits tile a file; what
+    stands before a file's first magic is left out."""
+    magic = len(MAGIC)
+    spans = pieces.groupBy("file", "split").agg(F.sum(F.col("size") + magic).alias("bytes"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    base = spans.select("file", "split", F.coalesce(F.sum("bytes").over(before(Window.partitionBy("file").orderBy("split"))), F.lit(0)).alias("base"))
+    within = F.coalesce(F.sum(F.col("size") + magic).over(before(Window.partitionBy("file", "split").orderBy("nth"))), F.lit(0))
+    return (pieces.withColumn("within", within).join(base, ["file", "split"])
+            .withColumn("at", F.col("base") + F.col("within") - magic).where("at >= 0").drop("base", "within"))
+
+
 def _payload(body: str) -> dict:
     """Size and digest of the payload behind the block's HTTP header, if it has one."""
     head = f"substring_index(cast({body} AS string), {_sql_text(END)}, 1)"
@@ -136,19 +151,14 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     body = ("CASE WHEN length >= 0 AND octet_length(value) >= head_bytes + length "
             "THEN substring(cast(value AS binary), int(head_bytes) + 1, int(length)) END")
     fields = {k: F.expr(e) for k, e in _parsed("value").items()}
-    light = _pieces(spark, path).withColumn("size", F.octet_length("value").cast("long")).withColumns(fields).withColumn("body", F.expr(body))
+    pieces = _pieces(spark, path)
+    if payloads:
+        pieces = written(pieces, "warc-texts")
+    light = pieces.withColumn("size", F.octet_length("value").cast("long")).withColumns(fields).withColumn("body", F.expr(body))
     light = written(light.select(
         "file", "split", "nth", "size", *fields, F.col("body").isNotNull().alias("whole"),
         *[F.expr(e).alias(k) for k, e in _payload("body").items() if k != "payload"]), "warc-pieces")
-    # offsets: pieces tile a split, splits tile a file
-    magic = len(MAGIC)
-    spans = light.groupBy("file", "split").agg(F.sum(F.col("size") + magic).alias("bytes"))
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    base = spans.select("file", "split", F.coalesce(F.sum("bytes").over(before(Window.partitionBy("file").orderBy("split"))), F.lit(0)).alias("base"))
-    within = F.coalesce(F.sum(F.col("size") + magic).over(before(Window.partitionBy("file", "split").orderBy("nth"))), F.lit(0))
-    placed = written(light.withColumn("within", within).join(base, ["file", "split"])
-                     .withColumn("at", F.col("base") + F.col("within") - magic).where("at >= 0").drop("base", "within")
-                     .withColumn("next", F.when(F.col("length") >= 0, F.col("at") + magic + F.col("head_bytes") + F.col("length") + len(END))),
+    placed = written(_placed(light).withColumn("next", F.when(F.col("length") >= 0, F.col("at") + len(MAGIC) + F.col("head_bytes") + F.col("length") + len(END))),
                      "warc-candidates")
     discard(light)
     records = written(chain(placed).withColumn("reached", F.lit(True)).join(placed, ["file", "at"], "right"), "warc-records")
@@ -158,15 +168,20 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     out = [*plain, F.when(F.col("type") == "revisit", F.col("stood_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
            F.when(F.col("type") == "revisit", F.col("stood_digest")).otherwise(F.col("payload_digest")).alias("payload_digest")]
     if payloads:
-        held = _pieces(spark, path).join(true.where("whole").drop("size"), ["file", "split", "nth"]).withColumn("body", F.expr(body))
+        held = pieces.join(true.where("whole").drop("size"), ["file", "split", "nth"]).withColumn("body", F.expr(body))
         one = held.select(*out, F.expr(_payload("body")["payload"]).alias("payload"))
     else:
         one = true.where("whole").select(*out)
+    torn = true.where("NOT whole").select("file", F.col("at").alias("record"))
+    if torn.isEmpty():
+        return one
+    if not payloads:
+        pieces = written(_pieces(spark, path).join(torn.select("file").distinct(), "file", "left_semi"), "warc-texts")
     # a record whose payload holds the magic owns the pieces up to the next true record
     owner = F.max(F.when(F.col("reached"), F.col("at"))).over(Window.partitionBy("file").orderBy("at"))
-    parts = (records.withColumn("record", owner).select("file", "split", "nth", F.col("at").alias("piece_at"), "record")
-             .join(true.where("NOT whole").select("file", F.col("at").alias("record")), ["file", "record"]))
-    texts = (_pieces(spark, path).join(parts, ["file", "split", "nth"]).groupBy("file", F.col("record").alias("at"))
+    parts = records.withColumn("record", owner).select("file", F.col("at").alias("piece_at"), "record").join(torn, ["file", "record"])
+    numbers = _placed(pieces.select("file", "split", "nth", F.octet_length("value").cast("long").alias("size"))).drop("size").withColumnRenamed("at", "piece_at")
+    texts = (pieces.join(numbers.join(parts, ["file", "piece_at"]), ["file", "split", "nth"]).groupBy("file", F.col("record").alias("at"))
              .agg(F.array_sort(F.collect_list(F.struct("piece_at", "value"))).alias("pieces"))
              .withColumn("value", F.expr(f"array_join(transform(pieces, p -> p.value), {_sql_text(MAGIC)})")).drop("pieces"))
     # a damaged last record is cut short: it has no whole payload and is left out

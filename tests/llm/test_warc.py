@@ -65,6 +65,28 @@ def test_round_trip(spark, compression, split):
     assert payloads[11] == ROWS[10][2].encode() and payloads[1] == b""
 
 
+@pytest.mark.parametrize("payloads", [False, True])
+def test_scans_that_deal_files_differently(spark, monkeypatch, payloads):
+    """As when executors come or go between two scans."""
+    path = new_path(spark, "warc-test")
+    W.write_warc(_pages(spark, ROWS).repartition(4, "page_id"), path)
+    pieces, scans = W._pieces, []
+
+    def dealt(*args):
+        scans.append(1)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1" if len(scans) == 1 else "8")
+        return pieces(*args)
+
+    monkeypatch.setattr(W, "_pieces", dealt)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        got = sorted((tuple(r) for r in _read(spark, path, payloads).drop("payload").collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == _expected(ROWS)
+
+
 def test_empty_table(spark):
     path = new_path(spark, "warc-test")
     W.write_warc(_pages(spark, []), path)
