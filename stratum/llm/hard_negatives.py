@@ -57,7 +57,11 @@ _WAVE = "dim int, ids binary, labels binary, vectors binary, extra binary"
 def codebook(half: np.ndarray, k: int) -> np.ndarray:
     """``k`` codewords of rows of half vectors, fitted on a sample of them."""
     sample = half[:: -(-len(half) // SAMPLE)] if len(half) > SAMPLE else half
-    words = sample[np.linspace(0, len(sample) - 1, min(k, len(sample))).astype(np.int64)].copy()
+    chosen, far = [0], np.full(len(sample), np.inf)  # each codeword starts far from the ones before
+    for _ in range(min(k, len(sample)) - 1):
+        far = np.minimum(far, ((sample - sample[chosen[-1]]) ** 2).sum(1))
+        chosen.append(int(far.argmax()))
+    words = sample[chosen].copy()
     for _ in range(FITS):
         own = _own(sample, words)
         for w in range(len(words)):
