@@ -1,221 +1,175 @@
-"""Exact nearest reference point (great-circle) per point, as equi-joins.
-
-Levels of square lat/lon cells, fine to coarse. At each level a point meets
-only the references in its own and the 8 neighbouring cells (references are
-copied into those 9 cells, so the join is an equi-join on the cell id, never
-a cross join). The best candidate is final when it is closer than anything
-outside the 3x3 block could be:
-
-* across a latitude edge a reference is at least R * dlat away;
-* across a longitude edge (a meridian dlon away) at least
-  R * asin(cos(lat) * sin(dlon)), the distance to that meridian's circle.
-
-Unresolved points (no candidate, or a candidate not provably best) go to the
-next, coarser level. Near the poles the longitude bound collapses, so after
-the grid levels come latitude-band levels: a band holds all longitudes, the
-bound is the latitude margin alone, and a polar point meets only references
-within three bands of its latitude. Points still unresolved (no reference
-within the widest band's reach — thousands of km; normally none) finish with
-a branch-and-bound step: references are summarised into at most 84 coarse
-cells (bounding box + one member); each point computes a lower bound to
-every cell box and an upper bound from every member, and is joined only to
-the references of cells whose lower bound does not exceed its best upper
-bound. Every step is an equi-join; no step pairs a point with all references.
+"""Exact nearest reference point (great-circle) per point, and a kept index of it.
+
+Points and references stand on the unit sphere in a cube that is halved along
+each axis level by level, so there are neither poles nor a date line to care
+for, and the chord between two points grows with their great-circle distance.
+The cell tree is as deep as the references are dense: a cell is split as long as
+it holds more than ``CAPACITY`` of them. The search is made of equi-joins on cell
+keys:
+
+1. a point meets the cells on its own way down the tree; the nearest of their
+   representatives bounds the distance from above;
+2. the ball of that radius lies in at most eight cells of the level whose side is
+   at least its diameter; the representatives of the cells below these tighten
+   the bound;
+3. the references in the cells that the tighter ball touches hold the nearest.
+
+No step pairs a point with all references, none runs a job while the plan is
+built, and nothing is persisted.
+
+:func:`refresh` keeps a table of points with their nearest reference. References
+that came or moved can only matter to points whose stored distance they beat:
+these are found by the same ball join, from the changed references alone. Points
+that are new, or whose reference went or moved, are searched anew; all others keep
+their row.
 
 Ties: smallest distance rounded to 1e-6 km, then smallest reference id.
-References sharing a coordinate are first reduced to the smallest id.
+References sharing a coordinate are first reduced to the smallest id. Points and
+references without coordinates (null or NaN) take no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.geo import EARTH_RADIUS_KM, haversine_km
 
-# Grid cell sizes in degrees (each divides 360), then latitude
-# band heights in degrees, then the whole sphere.
-LEVELS_DEG: tuple[float, ...] = (0.5, 2.0, 8.0, 30.0)
-BAND_LEVELS_DEG: tuple[float, ...] = (10.0, 45.0)
-COARSE_DEG = 30.0
-_MARGIN_KM = 1e-3
-_INF = 1e18
-
-
-def _cells_sql(lat: str, lon: str, g: float) -> tuple[str, str]:
-    """Row / column of the cell of (lat, lon) as SQL (one JVM-side parse per
-    expression keeps plan building cheap)."""
-    ncols = int(round(360 / g))
-    return (
-        f"CAST(floor(({lat} + 90.0) / {g!r}) AS INT)",
-        f"pmod(CAST(floor(({lon} + 180.0) / {g!r}) AS INT), {ncols})",
-    )
-
-
-def _ref_cells(refs: DataFrame, g: float) -> DataFrame:
-    """Each reference copied into its own and the 8 neighbouring cells."""
-    ncols = int(round(360 / g))
-    i, j = _cells_sql("r_lat", "r_lon", g)
-    out = (
-        refs.selectExpr("r_id", "r_lat", "r_lon", f"{i} AS ri", f"{j} AS rj")
-        .selectExpr("r_id", "r_lat", "r_lon", "ri + di AS ci", "rj AS rj", "explode(array(-1, 0, 1)) AS di")
-        .selectExpr("r_id", "r_lat", "r_lon", "ci", f"pmod(rj + dj, {ncols}) AS cj",
-                    "explode(array(-1, 0, 1)) AS dj")
-        .select("r_id", "r_lat", "r_lon", "ci", "cj")
-    )
-    return out.distinct() if ncols < 3 else out
-
-
-def _band_refs(refs: DataFrame, g: float) -> DataFrame:
-    """Each reference copied into its own and the two neighbouring latitude
-    bands; the longitude cell is a constant 0."""
-    i = f"CAST(floor((r_lat + 90.0) / {g!r}) AS INT)"
-    return refs.selectExpr("r_id", "r_lat", "r_lon", f"{i} + di AS ci", "0 AS cj",
-                           "explode(array(-1, 0, 1)) AS di").drop("di")
-
-
-def _band_bound_km_sql(g: float) -> str:
-    """Distance bound for a point outside its 3 latitude bands: the
-    latitude margin (great-circle distance >= R * |dlat|)."""
-    nrows = int(round(180 / g))
-    i = f"CAST(floor((p_lat + 90.0) / {g!r}) AS INT)"
-    deg_km = 3.141592653589793 / 180.0 * EARTH_RADIUS_KM
-    south = f"CASE WHEN {i} - 1 <= 0 THEN {_INF!r} ELSE p_lat - (({i} - 1) * {g!r} - 90.0) END"
-    north = f"CASE WHEN {i} + 2 >= {nrows + 1} THEN {_INF!r} ELSE (({i} + 2) * {g!r} - 90.0) - p_lat END"
-    return f"(least({south}, {north}) * {deg_km!r})"
-
-
-def _bound_km_sql(g: float) -> str:
-    """Lower bound on the distance from the point (p_lat, p_lon) to any
-    reference outside its 3x3 block of cells, as SQL."""
-    nrows = int(round(180 / g))
-    i, j = _cells_sql("p_lat", "p_lon", g)
-    deg_km = 3.141592653589793 / 180.0 * EARTH_RADIUS_KM
-    south = f"CASE WHEN {i} - 1 <= 0 THEN {_INF!r} ELSE p_lat - (({i} - 1) * {g!r} - 90.0) END"
-    north = f"CASE WHEN {i} + 2 >= {nrows + 1} THEN {_INF!r} ELSE (({i} + 2) * {g!r} - 90.0) - p_lat END"
-    lat_km = f"(least({south}, {north}) * {deg_km!r})"
-    if 3 * g >= 360:
-        return lat_km
-    lon_w = "(CASE WHEN p_lon >= 180.0 THEN p_lon - 360.0 ELSE p_lon END)"
-    west = f"({lon_w} - (({j} - 1) * {g!r} - 180.0))"
-    east = f"((({j} + 2) * {g!r} - 180.0) - {lon_w})"
-    lon_km = f"(asin(cos(radians(p_lat)) * sin(radians(least({west}, {east})))) * {EARTH_RADIUS_KM!r})"
-    return f"least({lat_km}, {lon_km})"
-
-
-def _cell_key_sql(lat: str, lon: str, g: float) -> str:
-    i, j = _cells_sql(lat, lon, g)
-    return f"({i}) * {int(round(360 / g))} + ({j})"
-
-
-def _branch_and_bound(pending: DataFrame, rfs: DataFrame, km_of, best_of) -> DataFrame:
-    """Exact nearest reference for the residue, visiting only cells that can
-    still hold it."""
-    g = COARSE_DEG
-    n_cells = (int(round(180 / g)) + 1) * int(round(360 / g))
-    keyed_refs = rfs.selectExpr("r_id", "r_lat", "r_lon", f"{_cell_key_sql('r_lat', 'r_lon', g)} AS ck")
-    cells = keyed_refs.groupBy("ck").agg(
-        F.min("r_lat").alias("lat_lo"), F.max("r_lat").alias("lat_hi"),
-        F.min("r_lon").alias("lon_lo"), F.max("r_lon").alias("lon_hi"),
-        F.min(F.struct("r_id", "r_lat", "r_lon")).alias("rep"),
-    )  # at most n_cells rows
-    deg_km = 3.141592653589793 / 180.0 * EARTH_RADIUS_KM
-    sep = "least(abs(p_lon - {x}), 360.0 - abs(p_lon - {x}))"
-    lon_gap = (f"CASE WHEN p_lon BETWEEN lon_lo AND lon_hi THEN 0.0 "
-               f"ELSE least({sep.format(x='lon_lo')}, {sep.format(x='lon_hi')}) END")
-    lat_gap = "CASE WHEN p_lat < lat_lo THEN lat_lo - p_lat WHEN p_lat > lat_hi THEN p_lat - lat_hi ELSE 0.0 END"
-    lower = (f"greatest(({lat_gap}) * {deg_km!r}, asin(cos(radians(p_lat)) * sin(radians(least({lon_gap}, 90.0))))"
-             f" * {EARTH_RADIUS_KM!r})")
-    per_cell = (
-        pending.selectExpr("p_id", "p_lat", "p_lon", f"explode(sequence(0, {n_cells - 1})) AS ck")
-        .join(cells, on="ck", how="inner")
-        .select("p_id", "p_lat", "p_lon", "ck", F.expr(lower).alias("lb"),
-                km_of(F.col("rep.r_lat"), F.col("rep.r_lon")).alias("ub"))
-    )
-    w = Window.partitionBy("p_id", "p_lat", "p_lon")  # one group = one point x <= n_cells rows
-    candidates = per_cell.withColumn("u", F.min("ub").over(w)).filter(
-        F.col("lb") - F.lit(_MARGIN_KM) <= F.col("u")
-    ).select("p_id", "p_lat", "p_lon", "ck")
-    cand = candidates.join(keyed_refs, on="ck", how="inner")
-    return cand.groupBy("p_id", "p_lat", "p_lon").agg(best_of).selectExpr(
-        "p_id", "p_lat", "p_lon", "b.r_id AS r_id", "b.km AS km"
-    ).filter(F.col("r_id").isNotNull())
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    """Lazy persist; the pending-count job of the level fills it."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def nearest(
-    points: DataFrame,
-    refs: DataFrame,
-    point_cols: Sequence[str] = ("point_id", "lat", "lon"),
-    ref_cols: Sequence[str] = ("ref_id", "lat", "lon"),
-    levels: Sequence[float] = LEVELS_DEG,
-    bands: Sequence[float] = BAND_LEVELS_DEG,
-    stage=None,
-) -> DataFrame:
-    """(point_id, lat, lon, ref_id, distance_km) for every point with
-    coordinates (named as in ``point_cols`` / ``ref_cols``).
-
-    ``stage`` materialises each level so later levels do not recompute
-    earlier ones. Default: persist (memory, spilling to disk) — each level is
-    one row per distinct point, deterministic, with at most a few levels of
-    lineage, so a lost block is recomputed exactly. Pass
-    ``lambda df: df.checkpoint()`` to cut lineage instead.
-    """
-    pid, plat, plon = point_cols
-    rid, rlat, rlon = ref_cols
-    stage = stage or _persist
-    pts = (
-        points.select(F.col(pid).alias("p_id"), F.col(plat).cast("double").alias("p_lat"),
-                      F.col(plon).cast("double").alias("p_lon"))
-        .filter(F.col("p_lat").isNotNull() & F.col("p_lon").isNotNull())
-        .distinct()
-    )
-    rfs = (
-        refs.select(F.col(rid).alias("r_id"), F.col(rlat).cast("double").alias("r_lat"),
-                    F.col(rlon).cast("double").alias("r_lon"))
-        .filter(F.col("r_lat").isNotNull() & F.col("r_lon").isNotNull() & F.col("r_id").isNotNull())
-        .groupBy("r_lat", "r_lon")
-        .agg(F.min("r_id").alias("r_id"))
-    )
-    resolved: list[DataFrame] = []
-    pending = pts
-    km = haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("r_lat"), F.col("r_lon"))
-    best_of = F.min(F.when(F.col("r_id").isNotNull(),
-                           F.struct(F.round(km, 6).alias("k"), F.col("r_id"), km.alias("km")))).alias("b")
-    plan = [("grid", g) for g in levels] + [("band", g) for g in bands]
-    for kind, g in plan:
-        if kind == "grid":
-            pi, pj = _cells_sql("p_lat", "p_lon", g)
-            refs_here, bound = _ref_cells(rfs, g), _bound_km_sql(g)
-        elif kind == "band":
-            pi, pj = f"CAST(floor((p_lat + 90.0) / {g!r}) AS INT)", "0"
-            refs_here, bound = _band_refs(rfs, g), _band_bound_km_sql(g)
-        keyed = pending.selectExpr("p_id", "p_lat", "p_lon", f"{pi} AS ci", f"{pj} AS cj")
-        cand = keyed.join(refs_here, on=["ci", "cj"], how="left")
-        best = cand.groupBy("p_id", "p_lat", "p_lon").agg(best_of).selectExpr(
-            "p_id", "p_lat", "p_lon", "b.r_id AS r_id", "b.km AS km"
-        )
-        level = stage(best.selectExpr("*", f"r_id IS NOT NULL AND km < {bound} - {_MARGIN_KM!r} AS ok"))
-        resolved.append(level.filter("ok").drop("ok"))
-        pending = level.filter(~F.col("ok")).select("p_id", "p_lat", "p_lon")
-        # One job per level: computes (and caches) the level, and tells
-        # whether any point is left for the coarser levels.
-        if pending.count() == 0:
-            break
-    else:
-        resolved.append(_branch_and_bound(
-            pending, rfs, lambda la, lo: haversine_km(F.col("p_lat"), F.col("p_lon"), la, lo), best_of))
-    out = resolved[0]
-    for r in resolved[1:]:
-        out = out.unionByName(r)
-    return out.select(
-        F.col("p_id").alias(pid), F.col("p_lat").alias(plat), F.col("p_lon").alias(plon),
-        F.col("r_id").alias(rid), F.col("km").alias("distance_km"),
-    )
+CAPACITY = 16  # references in a cell that is not split
+DEPTH = 12  # levels of halving: cells of some 3 km
+BELOW = 2  # levels by which the cells of a ball are refined
+_BITS = 16  # of a cell's number on an axis
+_POINT = ["p_id", "p_lat", "p_lon"]
+_SLACK_KM = 1e-5  # more than what rounding of distances can hide
+
+
+def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """``df`` with x, y, z and the numbers of the finest cell on the three axes."""
+    out = df.selectExpr("*", f"cos(radians({lat})) AS r").selectExpr(
+        "*", f"r * cos(radians({lon})) AS x", f"r * sin(radians({lon})) AS y", f"sin(radians({lat})) AS z").drop("r")
+    return out.selectExpr("*", *[f"{_number(a)} AS c{a}" for a in "xyz"])
+
+
+def _number(axis: str) -> str:
+    """Number of the finest cell on an axis; the cube is [-1, 1]. A coarser cell's
+    number is this one without its last bits."""
+    return f"least(greatest(bigint(floor(({axis} + 1D) * {1 << (DEPTH - 1)}D)), 0L), {(1 << DEPTH) - 1}L)"
+
+
+def _key(level: str, x: str = "cx", y: str = "cy", z: str = "cz") -> str:
+    return f"shiftleft(bigint({level}), {3 * _BITS}) + shiftleft({x}, {2 * _BITS}) + shiftleft({y}, {_BITS}) + {z}"
+
+
+def _key_at(level: str) -> str:
+    return _key(level, *(f"shiftright(c{a}, {DEPTH} - ({level}))" for a in "xyz"))
+
+
+def _chord(km: str) -> str:
+    """Chord of a distance, a little longer than rounding could make it."""
+    return f"(2D * sin(least(({km} + {_SLACK_KM}D) / {2 * EARTH_RADIUS_KM}D, pi() / 2)) + 1e-12D)"
+
+
+def _ball(df: DataFrame, km: str, below: int = 0) -> DataFrame:
+    """Each point once for each of the at most eight cells (``key``) that the ball of
+    radius ``km`` around it lies in, of the finest level that has such cells and
+    ``below`` further ones."""
+    chord = _chord(km)
+    sized = df.selectExpr(*df.columns, f"{chord} AS chord").selectExpr("*", f"int(least(greatest(floor(-log2(chord)), 0), {DEPTH - below})) AS level")
+    ends = [f"shiftright({_number(f'({a} {sign} chord)')}, {DEPTH} - level) AS {side}{a}" for a in "xyz" for sign, side in ("-l", "+h")]
+    cells = sized.selectExpr(*_POINT, "km", "level", *ends)
+    for a in "xyz":
+        cells = cells.selectExpr("*", f"explode(sequence(l{a}, h{a})) AS n{a}")
+    return cells.selectExpr(*_POINT, "km", f"{_key('level', 'nx', 'ny', 'nz')} AS key")
+
+
+def _levels(df: DataFrame) -> DataFrame:
+    """Each row once for each level, with its cell there."""
+    return df.selectExpr("*", f"explode(sequence(0, {DEPTH})) AS level").selectExpr("*", f"{_key_at('level')} AS key")
+
+
+def _prepared(refs: DataFrame, ref_cols: Sequence[str]) -> DataFrame:
+    rid, lat, lon = ref_cols
+    return _on_sphere(refs.select(F.col(rid).alias("r_id"), F.col(lat).cast("double").alias("r_lat"), F.col(lon).cast("double").alias("r_lon"))
+                      .where("r_id IS NOT NULL AND NOT isnan(r_lat) AND NOT isnan(r_lon)")
+                      .groupBy("r_lat", "r_lon").agg(F.min("r_id").alias("r_id")), "r_lat", "r_lon")
+
+
+def cell_tree(refs: DataFrame) -> DataFrame:
+    """(key, above, above_2, n, rep) of the cells whose parent holds more than
+    ``CAPACITY`` references (and the first one); ``rep`` is one of its references."""
+    cells = _levels(refs).groupBy("key", "level").agg(F.count("*").alias("n"), F.min(F.struct("r_id", "r_lat", "r_lon", "cx", "cy", "cz")).alias("rep"))
+    placed = cells.selectExpr("key", "level", "n", "rep", "rep.cx AS cx", "rep.cy AS cy", "rep.cz AS cz").selectExpr(
+        "key", "level", "n", "rep", f"{_key_at('greatest(level - 1, 0)')} AS above", f"{_key_at(f'greatest(level - {BELOW}, 0)')} AS above_2")
+    whole = Window.partitionBy("above", "level")  # at most the eight children of a cell
+    return placed.withColumn("in_parent", F.sum("n").over(whole)).where(f"level = 0 OR in_parent > {CAPACITY}").drop("in_parent")
+
+
+def _km(ref: str = "") -> Column:
+    return haversine_km(F.col("p_lat"), F.col("p_lon"), F.col(f"{ref}r_lat"), F.col(f"{ref}r_lon"))
+
+
+def _bounded(candidates: DataFrame) -> DataFrame:
+    """The least distance to the representatives met, by point."""
+    return _on_sphere(candidates.groupBy(*_POINT).agg(F.min("km").alias("km")), "p_lat", "p_lon")
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    km = _km()
+    best = F.min(F.struct(F.round(km, 6).alias("k"), F.col("r_id"), km.alias("km"))).alias("b")
+    return pairs.groupBy(*_POINT).agg(best).selectExpr(*_POINT, "b.r_id", "b.km")
+
+
+def _search(points: DataFrame, refs: DataFrame) -> DataFrame:
+    tree = cell_tree(refs)
+    way = _levels(_on_sphere(points, "p_lat", "p_lon")).select(*_POINT, "key")
+    first = _bounded(way.join(tree.select("key", "rep"), "key").withColumn("km", _km("rep.")))
+    finer = tree.where(f"level >= {BELOW}").select(F.col("above_2").alias("key"), "rep")
+    met = _ball(first, "km", BELOW).join(finer, "key").withColumn("km", F.least("km", _km("rep.")))
+    second = _bounded(met.select(*_POINT, "km").unionByName(first.select(*_POINT, "km")))
+    return _best(_ball(second, "km").select(*_POINT, "key").join(_levels(refs).select("key", "r_id", "r_lat", "r_lon"), "key"))
+
+
+def _points(points: DataFrame, point_cols: Sequence[str]) -> DataFrame:
+    pid, lat, lon = point_cols
+    return points.select(F.col(pid).alias("p_id"), F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon")).where(
+        "NOT isnan(p_lat) AND NOT isnan(p_lon)").distinct()
+
+
+def _named(found: DataFrame, point_cols: Sequence[str], rid: str) -> DataFrame:
+    pid, lat, lon = point_cols
+    return found.select(F.col("p_id").alias(pid), F.col("p_lat").alias(lat), F.col("p_lon").alias(lon), F.col("r_id").alias(rid),
+                        F.col("km").alias("distance_km"))
+
+
+def nearest(points: DataFrame, refs: DataFrame, point_cols: Sequence[str] = ("point_id", "lat", "lon"),
+            ref_cols: Sequence[str] = ("ref_id", "lat", "lon")) -> DataFrame:
+    """(point_id, lat, lon, ref_id, distance_km) for every point with coordinates
+    (named as in ``point_cols`` / ``ref_cols``); no rows without references."""
+    return _named(_search(_points(points, point_cols), _prepared(refs, ref_cols)), point_cols, ref_cols[0])
+
+
+def refresh(index: DataFrame, points: DataFrame, refs_before: DataFrame, refs_after: DataFrame,
+            point_cols: Sequence[str] = ("point_id", "lat", "lon"), ref_cols: Sequence[str] = ("ref_id", "lat", "lon")) -> DataFrame:
+    """``index`` (a result of :func:`nearest` for ``refs_before``) brought to
+    ``points`` and ``refs_after``: equal to a full search, at the cost of the
+    changes. Points that ``points`` no longer has go; pass the index's own points to
+    keep them."""
+    pid, lat, lon = point_cols
+    rid = ref_cols[0]
+    now = _points(points, point_cols)
+    held = index.select(F.col(pid).alias("p_id"), F.col(lat).alias("p_lat"), F.col(lon).alias("p_lon"), F.col(rid).alias("r_id"),
+                        F.col("distance_km").alias("km"))
+    before, after = _prepared(refs_before, ref_cols), _prepared(refs_after, ref_cols)
+    same = ["r_id", "r_lat", "r_lon"]
+    came = after.join(before.select(*same), same, "left_anti")
+    gone = before.join(after.select(*same), same, "left_anti").select("r_id")
+    kept = now.join(held, _POINT).join(gone, "r_id", "left_anti").select(*_POINT, "r_id", "km")
+    # a reference that came matters where it beats the stored distance
+    rivals = _ball(_on_sphere(kept, "p_lat", "p_lon"), "km").select(*_POINT, "key").join(_levels(came).select("key", "r_id", "r_lat", "r_lon"), "key")
+    stored = F.struct(F.round("km", 6).alias("k"), F.col("r_id"), F.col("km"))
+    better = _best(rivals.select(*_POINT, "r_id", "r_lat", "r_lon"))
+    settled = kept.unionByName(better).groupBy(*_POINT).agg(F.min(stored).alias("b")).selectExpr(*_POINT, "b.r_id", "b.km")
+    anew = _search(now.join(kept.select(*_POINT), _POINT, "left_anti"), after)
+    return _named(settled.unionByName(anew), point_cols, rid)

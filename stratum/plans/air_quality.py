@@ -34,7 +34,7 @@ def aq_candidates(bronze_aq: DataFrame) -> DataFrame:
     return bronze_aq.withColumn("observation_timestamp", F.col("period_datetime_from"))
 
 
-def locate(bronze_aq: DataFrame, cities: DataFrame, stage=None) -> DataFrame:
+def locate(bronze_aq: DataFrame, cities: DataFrame) -> DataFrame:
     """Attach the nearest city to each reading: the search runs once per
     distinct location, then joins back on the location and its coordinates."""
     locs = bronze_aq.select("location_id", "location_latitude", "location_longitude").distinct()
@@ -42,7 +42,6 @@ def locate(bronze_aq: DataFrame, cities: DataFrame, stage=None) -> DataFrame:
         locs, cities,
         point_cols=("location_id", "location_latitude", "location_longitude"),
         ref_cols=("city_id", "latitude", "longitude"),
-        stage=stage,
     )
     near = near.select("location_id", "location_latitude", "location_longitude", "city_id")
     return bronze_aq.join(
@@ -50,10 +49,10 @@ def locate(bronze_aq: DataFrame, cities: DataFrame, stage=None) -> DataFrame:
     )
 
 
-def silver_air_quality(bronze_aq: DataFrame, cities: DataFrame, merged_at: Column, stage=None) -> DataFrame:
+def silver_air_quality(bronze_aq: DataFrame, cities: DataFrame, merged_at: Column) -> DataFrame:
     """Observation time = period start; latest ingest wins per
     (location, parameter, time, source)."""
-    readings = locate(aq_candidates(bronze_aq), cities, stage)
+    readings = locate(aq_candidates(bronze_aq), cities)
     rest = [c for c in ("value", "parameter_units", "city_id") if c in readings.columns]
     return (
         latest_ingested(readings, AQ_KEYS, tie_breaks=["_ingestion_run_id", *rest])

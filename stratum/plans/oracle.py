@@ -371,7 +371,14 @@ CITIES_XY = """
 """
 
 
-def nearest_sql(locs: str) -> str:
+CITIES_XY_V2 = """
+  SELECT c_custkey AS city_id, CAST(((k * 53) % 181) - 90 AS DOUBLE) AS latitude, CAST(((k * 17) % 361) - 180 AS DOUBLE) AS longitude
+  FROM (SELECT *, CASE WHEN c_nationkey = 7 THEN c_custkey + 31 ELSE c_custkey END AS k FROM customer
+        WHERE c_acctbal >= -950 AND c_acctbal <= 9900)
+"""
+
+
+def nearest_sql(locs: str, cities: str = CITIES_XY) -> str:
     """Brute force over all (location, city) pairs: rank by rounded distance, id."""
     return f"""
   SELECT location_id, latitude, longitude, city_id FROM (
@@ -379,7 +386,7 @@ def nearest_sql(locs: str) -> str:
            row_number() OVER (PARTITION BY l.location_id, l.latitude, l.longitude
                               ORDER BY round({_hav('l.latitude', 'l.longitude', 'c.latitude', 'c.longitude')}, 6),
                                        c.city_id) AS rn
-    FROM ({locs}) l CROSS JOIN ({CITIES_XY}) c)
+    FROM ({locs}) l CROSS JOIN ({cities}) c)
   WHERE rn = 1
 """
 
@@ -470,6 +477,7 @@ ORACLE.update({
     "station_dq_invalid": f"SELECT * FROM ({STATION_FLAGGED}) WHERE failure_reason <> ''",
     "station_dedup_latest": STATION_DEDUP,
     "dim_date": DIM_DATE,
+    "nearest_city_kept": f"SELECT location_id, city_id FROM ({nearest_sql(SUPPLIER_LOCS, CITIES_XY_V2)})",
     "nearest_city": f"SELECT location_id, city_id FROM ({nearest_sql(SUPPLIER_LOCS)})",
     "land_air_quality_json": BRONZE_AQ,
     "air_quality_silver": f"{AQ_CTES} SELECT * FROM aq_silver",

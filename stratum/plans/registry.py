@@ -280,9 +280,7 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each supplier location -> nearest city of the dimension (exact)."""
     from stratum.operators.nearest import nearest
-    from stratum.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(spark)
     supplier, customer = _inputs(spark, sf_dir, "supplier", "customer")
     near = nearest(
         si.supplier_locations(supplier), si.cities_with_coordinates(customer),
@@ -291,6 +289,18 @@ def nearest_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("location_id", "city_id")
 
 
+def nearest_city_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept index of locations after a second version of the cities: some new,
+    some gone, some moved, and a tenth of the locations new."""
+    from stratum.operators.nearest import nearest, refresh
+
+    supplier, customer = _inputs(spark, sf_dir, "supplier", "customer")
+    names = {"point_cols": ("location_id", "latitude", "longitude"), "ref_cols": ("city_id", "latitude", "longitude")}
+    first, second = si.cities_of_version(customer, 1), si.cities_of_version(customer, 2)
+    known = nearest(si.supplier_locations(supplier.where("s_suppkey % 10 <> 0")), first, **names)
+    return refresh(known, si.supplier_locations(supplier), first, second, **names).select("location_id", "city_id")
+
+
 def _bronze_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.sources.air_quality_json import land_air_quality, parse_air_quality_lines
 
@@ -309,9 +319,7 @@ def land_air_quality_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.plans.air_quality import silver_air_quality
-    from stratum.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(spark)
     customer = si.table(spark, sf_dir, "customer")
     events = si.table(spark, sf_dir, "events")
     silver = silver_air_quality(si.bronze_air_quality(events), si.cities_with_coordinates(customer),
@@ -440,6 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_dedup_latest": station_dedup_latest,
     "dim_date": dim_date,
     "nearest_city": nearest_city,
+    "nearest_city_kept": nearest_city_kept,
     "land_air_quality_json": land_air_quality_json,
     "air_quality_silver": air_quality_silver,
     "air_quality_fact": air_quality_fact,

@@ -348,6 +348,17 @@ def cities_with_coordinates(customer: DataFrame) -> DataFrame:
     )
 
 
+def cities_of_version(customer: DataFrame, version: int) -> DataFrame:
+    """Cities with coordinates of two snapshots: in the second some are new, some
+    are gone, and those of nation 7 have moved."""
+    k = F.col("c_custkey")
+    if version == 1:
+        return cities_with_coordinates(customer.where("c_acctbal >= -900"))
+    moved = F.when(F.col("c_nationkey") == 7, k + 31).otherwise(k)
+    return customer.where("c_acctbal >= -950 AND c_acctbal <= 9900").select(
+        k.alias("city_id"), city_lat(moved).alias("latitude"), city_lon(moved).alias("longitude"))
+
+
 def supplier_locations(supplier: DataFrame) -> DataFrame:
     k = F.col("s_suppkey")
     return supplier.select(k.alias("location_id"), location_lat(k).alias("latitude"),

@@ -110,7 +110,6 @@ def test_nearest_branch_and_bound_is_exact(spark):
         for r in nearest(
             spark.createDataFrame(pts, "point_id int, lat double, lon double"),
             spark.createDataFrame(refs, "ref_id int, lat double, lon double"),
-            levels=(0.5,), bands=(),
         ).collect()
     }
     assert len(got) == len(pts)
@@ -127,3 +126,39 @@ def test_aqi_units_and_open_top(spark):
     assert got["o3", "ppm"] == got["o3", "ppb"] == (300, "Very Unhealthy")
     assert (500, "Hazardous") in out and got["co", "ppm"] == (500, "Hazardous") and got["no2", "ppm"] == (100, "Moderate")
     assert got["o3", "furlong"] == got["pm25", "µg/m³"] == got["pm10", None] == (None, None)
+
+
+def test_nearest_runs_no_job_while_built_and_persists_nothing(spark):
+    from stratum.operators.nearest import refresh
+
+    rnd = random.Random(2)
+    places = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(40)]
+    df = spark.createDataFrame(places, "ref_id int, lat double, lon double")
+    points = df.withColumnRenamed("ref_id", "point_id")
+    spark.sparkContext.setJobGroup("building", "no job may run here")
+    found = nearest(points, df)
+    refresh(found, points, df, df)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("building") == []
+    spark.sparkContext.setJobGroup("other", "")
+    assert {r.point_id: r.ref_id for r in found.collect()} == {i: i for i, _, _ in places}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_refresh_equals_a_full_search(spark):
+    from stratum.operators.nearest import refresh
+
+    rnd = random.Random(9)
+    place = lambda: (rnd.uniform(-90, 90), rnd.uniform(-180, 180))
+    dense = lambda: (50 + rnd.random() / 50, 10 + rnd.random() / 50)
+    before = [(i, *(dense() if i % 3 else place())) for i in range(400)]
+    after = [(i, *(place() if i % 11 == 0 else (la, lo))) for i, la, lo in before if i % 7] + [(500 + i, *place()) for i in range(30)]
+    after += [(900, *before[1][1:]), (-5, *before[2][1:]), (901, None, 1.0), (902, float("nan"), 1.0)]  # equal places, no places
+    points = [(i, *(dense() if i % 2 else place())) for i in range(250)] + [(600, *before[2][1:]), (601, 90.0, 0.0), (602, -90.0, 5.0), (603, None, None)]
+    moved = [(i, *(place() if i % 13 == 0 else (la, lo))) for i, la, lo in points if i % 17] + [(700 + i, *place()) for i in range(20)]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} int, lat double, lon double")
+    one, two = frame(before, "ref_id"), frame(after, "ref_id")
+    kept = refresh(nearest(frame(points, "point_id"), one), frame(moved, "point_id"), one, two)
+    usable = [r for r in after if r[1] is not None and not math.isnan(r[1])]
+    want = {i: min(usable, key=lambda r: (round(_hav(la, lo, r[1], r[2]), 6), r[0]))[0] for i, la, lo in moved if la is not None}
+    assert {r.point_id: r.ref_id for r in kept.collect()} == want
+    assert nearest(frame(points, "point_id"), two.where("ref_id > 9999")).collect() == []
