@@ -92,7 +92,7 @@ def _levels(df: DataFrame) -> DataFrame:
 def _prepared(refs: DataFrame, ref_cols: Sequence[str]) -> DataFrame:
     rid, lat, lon = ref_cols
     return _on_sphere(refs.select(F.col(rid).alias("r_id"), F.col(lat).cast("double").alias("r_lat"), F.col(lon).cast("double").alias("r_lon"))
-                      .where("r_id IS NOT NULL AND NOT isnan(r_lat) AND NOT isnan(r_lon)")
+                      .where("r_id IS NOT NULL AND NOT isnan(coalesce(r_lat, double('NaN'))) AND NOT isnan(coalesce(r_lon, double('NaN')))")
                       .groupBy("r_lat", "r_lon").agg(F.min("r_id").alias("r_id")), "r_lat", "r_lon")
 
 
@@ -134,7 +134,7 @@ def _search(points: DataFrame, refs: DataFrame) -> DataFrame:
 def _points(points: DataFrame, point_cols: Sequence[str]) -> DataFrame:
     pid, lat, lon = point_cols
     return points.select(F.col(pid).alias("p_id"), F.col(lat).cast("double").alias("p_lat"), F.col(lon).cast("double").alias("p_lon")).where(
-        "NOT isnan(p_lat) AND NOT isnan(p_lon)").distinct()
+        "NOT isnan(coalesce(p_lat, double('NaN'))) AND NOT isnan(coalesce(p_lon, double('NaN')))").distinct()
 
 
 def _named(found: DataFrame, point_cols: Sequence[str], rid: str) -> DataFrame:

@@ -1,15 +1,20 @@
-"""Keyed upsert (MERGE ... UPDATE SET * / INSERT *) as DataFrame algebra.
+"""Keyed upsert (MERGE ... UPDATE SET * / INSERT *) as DataFrame algebra, and the
+change feed that falls out of it.
 
 ``upsert(target, source, keys)`` = target rows whose key is not in source,
 plus every source row. Key equality never matches NULL, as in MERGE, so
 NULL-keyed target rows stay and NULL-keyed source rows are inserted.
+
+``merge`` is the same in one full outer join that also tells, for each row, what
+it was before and what it is after; ``merged_rows`` and ``changes`` read the new
+table and the feed from that one result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,6 +40,12 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str], context: str = "u
     return int(row["keys"])
 
 
+def _stamp(target: DataFrame, newest_by: str, side: str = "") -> Column:
+    """The time that decides, NULL before any other."""
+    floor = F.to_timestamp(F.lit("0001-01-01 00:00:00")).cast(target.schema[newest_by].dataType)
+    return F.coalesce(F.col(f"{side}{newest_by}"), floor)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: str | None = None) -> DataFrame:
     """Matched target rows are replaced by their source row, unmatched source
     rows inserted, untouched target rows kept.
@@ -48,10 +59,41 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by:
     if newest_by is None:
         kept = target.join(source.select(*keys), on=keys, how="left_anti")
         return kept.unionByName(source.select(*target.columns), allowMissingColumns=False)
-    floor = F.to_timestamp(F.lit("0001-01-01 00:00:00")).cast(target.schema[newest_by].dataType)
-    stamp = F.coalesce(F.col(newest_by), floor)
+    stamp = _stamp(target, newest_by)
     given = source.select(*keys, stamp.alias("_given"))
     held = target.select(*keys, stamp.alias("_held"))
     kept = target.join(given, on=keys, how="left").where(F.col("_given").isNull() | (F.col("_given") < stamp))
     taken = source.join(held, on=keys, how="left").where(F.col("_held").isNull() | (F.col("_held") <= stamp))
     return kept.select(*target.columns).unionByName(taken.select(*target.columns), allowMissingColumns=False)
+
+
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: str | None = None) -> DataFrame:
+    """(before, after) of every row of the upserted table: equal structs where
+    nothing changed, no ``before`` for an insert. A row of the source that loses
+    by ``newest_by`` leaves no trace."""
+    whole = F.struct(*[F.col(c) for c in target.columns])
+    old = target.select(*[F.col(k).alias(f"t_{k}") for k in keys], whole.alias("before"))
+    new = source.select(*[F.col(k).alias(f"s_{k}") for k in keys], whole.alias("given"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"t_{k}") == F.col(f"s_{k}"))
+    wins = F.col("given").isNotNull()
+    if newest_by is not None:
+        wins = wins & (F.col("before").isNull() | (_stamp(target, newest_by, "before.") <= _stamp(target, newest_by, "given.")))
+    return old.join(new, same, "full_outer").select("before", F.when(wins, F.col("given")).otherwise(F.col("before")).alias("after"))
+
+
+def merged_rows(merged: DataFrame) -> DataFrame:
+    return merged.select("after.*")
+
+
+def changes(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The feed: (keys, before, after) of the rows that are not what they were."""
+    changed = merged.where(~F.col("before").eqNullSafe(F.col("after")))
+    return changed.select(*[F.col(f"after.{k}").alias(k) for k in keys], "before", "after")
+
+
+def apply_changes(table: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A table brought forward by the feed of a merge into it."""
+    replaced = feed.where("before IS NOT NULL").select(*keys)
+    return table.join(replaced, list(keys), "left_anti").unionByName(feed.select("after.*"))

@@ -72,9 +72,7 @@ def run_silver_air_quality(lake, run_ts=None, only_unseen: bool = True, threshol
 
     started = run_ts or now()
     task = "silver_air_quality"
-    bronze = lake.table("bronze.air_quality_raw")
-    if only_unseen:
-        bronze = runlog.unseen(bronze, lake, task)
+    bronze = runlog.unseen("bronze.air_quality_raw", lake, task) if only_unseen else lake.table("bronze.air_quality_raw")
     cities = lake.table("gold.dim_city_current").select("city_id", "latitude", "longitude")
     result = promote(
         lake, task=task, dag_id="air_quality_hourly", table="silver.air_quality_readings", candidates=aq_candidates(bronze),

@@ -48,9 +48,7 @@ def run_silver_historical(lake, run_ts: dt.datetime | None = None, only_unseen:
 
     started = run_ts or now()
     task = "silver_historical"
-    bronze = lake.table("bronze.ghcn_daily_raw")
-    if only_unseen:
-        bronze = runlog.unseen(bronze, lake, task)
+    bronze = runlog.unseen("bronze.ghcn_daily_raw", lake, task) if only_unseen else lake.table("bronze.ghcn_daily_raw")
     return promote(
         lake, task=task, dag_id=dag_id, table="silver.historical_daily_weather",
         candidates=shape_station_daily(bronze, carry=["_ingestion_run_id"]), rules=STATION_RULES,

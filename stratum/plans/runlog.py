@@ -18,39 +18,36 @@ from stratum.sources.tables import Lakehouse
 DONE_STATUSES = ("ok", "gate_failed")
 
 
-def unseen(bronze: DataFrame, lake: Lakehouse, task_id: str) -> DataFrame:
-    """Bronze rows of landing runs ``task_id`` has not processed yet.
-
-    Two steps, so the hourly run never reads all of bronze: first the
-    unseen (run id, ingest day) pairs are found from those two columns only
-    (a partition column and a dictionary-encoded one; a distinct aggregate
-    with one row per landing run), then bronze is read with the ingest days
-    as a partition filter and the run ids as a pushed-down filter. The pair
-    list is bounded by the number of landing runs, not by the data.
-    """
+def unseen(table: str, lake: Lakehouse, task_id: str) -> DataFrame:
+    """Rows of the landing runs of a bronze ``table`` that ``task_id`` has not
+    processed yet.
+
+    Which runs these are comes from the register of landings, not from bronze. The
+    scan of bronze joins their (day, run) pairs, one row a landing, and is pruned
+    to their days at run time (dynamic partition pruning); nothing passes through
+    the driver."""
     done = (
         lake.table("ops.run_log")
         .filter((F.col("task_id") == task_id) & F.col("status").isin(*DONE_STATUSES))
-        .select(F.col("run_id").alias("_ingestion_run_id"))
-        .distinct()
+        .select("run_id")
     )
     pending = (
-        bronze.select("_ingestion_run_id", "_ingest_date")
-        .distinct()
-        .join(done, on="_ingestion_run_id", how="left_anti")
-        .collect()
+        lake.table("ops.landing_log").where(F.col("source_table") == table).select("run_id", "ingest_date").distinct()
+        .join(done, "run_id", "left_anti")
+        .select(F.col("ingest_date").alias("_ingest_date"), F.col("run_id").alias("_ingestion_run_id"))
     )
-    if not pending:
-        return bronze.limit(0)
-    runs = sorted({r["_ingestion_run_id"] for r in pending if r["_ingestion_run_id"] is not None})
-    days = sorted({r["_ingest_date"] for r in pending if r["_ingest_date"] is not None})
-    day_filter = F.col("_ingest_date").isin(days)
-    if any(r["_ingest_date"] is None for r in pending):
-        day_filter = day_filter | F.col("_ingest_date").isNull()
-    run_filter = F.col("_ingestion_run_id").isin(runs)
-    if any(r["_ingestion_run_id"] is None for r in pending):
-        run_filter = run_filter | F.col("_ingestion_run_id").isNull()
-    return bronze.filter(day_filter & run_filter)
+    bronze = lake.table(table)
+    return bronze.join(F.broadcast(pending), ["_ingest_date", "_ingestion_run_id"]).select(*bronze.columns)  # a row a landing
+
+
+def register(lake: Lakehouse, table: str) -> int:
+    """Enter the runs of a bronze table that was filled before there was a register."""
+    runs = lake.table(table).groupBy(F.col("_ingestion_run_id").alias("run_id"), F.col("_ingest_date").alias("ingest_date")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    known = lake.table("ops.landing_log").where(F.col("source_table") == table).select("run_id", "ingest_date")
+    new = runs.where("run_id IS NOT NULL").join(known, ["run_id", "ingest_date"], "left_anti")
+    return lake.append(new.select(F.lit(table).alias("source_table"), "run_id", "ingest_date", "row_count", F.current_timestamp().alias("landed_at")),
+                       "ops.landing_log")
 
 
 def per_run_counts(flagged: DataFrame, ts_col: str) -> list[dict]:

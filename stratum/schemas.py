@@ -4,7 +4,11 @@ Differences from a row-level-DML store, by design: without MERGE the unit
 of rewrite is a partition, so tables whose upserts would otherwise rewrite
 everything get a date partition derived from their key (silver weather and
 air quality gain ``obs_date``). ``ops.run_log`` records each run and feeds
-the pipeline-health mart; ``ops.day_log`` records which days gold owes.
+the pipeline-health mart; ``ops.day_log`` records which days gold owes;
+``ops.landing_log`` is the register of landings; ``ops.key_mark`` keeps the
+highest surrogate key of each fact. ``gold.daily_weather_state`` holds mergeable
+states of the daily marts; ``silver.location_city`` is the kept index of
+locations, ``ops.indexed_city`` the cities that it was made of.
 """
 
 from __future__ import annotations
@@ -155,6 +159,29 @@ TABLES: dict[str, TableSpec] = {
             rows_quarantined BIGINT, max_observation_ts TIMESTAMP, status STRING""",
             ("run_date",),
         ),
+        TableSpec(
+            "gold.daily_weather_state",
+            """city_id BIGINT, obs_date DATE, row_count BIGINT, n_temperature_c BIGINT,
+            sum_temperature_c DECIMAL(38,10), n_precipitation_mm BIGINT,
+            sum_precipitation_mm DECIMAL(38,10), n_wind_speed_10m_kmh BIGINT,
+            sum_wind_speed_10m_kmh DECIMAL(38,10), n_relative_humidity_pct BIGINT,
+            sum_relative_humidity_pct DECIMAL(38,10), min_temperature_c DOUBLE,
+            max_temperature_c DOUBLE""",
+            ("obs_date",),
+            ("city_id", "obs_date"),
+        ),
+        TableSpec(
+            "ops.landing_log",
+            "run_id STRING, ingest_date DATE, row_count BIGINT, landed_at TIMESTAMP, source_table STRING",
+            ("source_table",),
+        ),
+        TableSpec("ops.key_mark", "table_name STRING, high BIGINT, marked_at TIMESTAMP"),
+        TableSpec(
+            "silver.location_city",
+            """location_id BIGINT, location_latitude DOUBLE, location_longitude DOUBLE,
+            city_id BIGINT, distance_km DOUBLE""",
+        ),
+        TableSpec("ops.indexed_city", "city_id BIGINT, latitude DOUBLE, longitude DOUBLE"),
         TableSpec("ops.day_log", "consumer STRING, obs_date DATE, event STRING, logged_at TIMESTAMP"),
     ]
 }

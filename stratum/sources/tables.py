@@ -4,14 +4,14 @@ and keyed upserts scoped to the partitions a batch touches."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.upsert import DuplicateSourceKeys, upsert
+from stratum.operators.upsert import DuplicateSourceKeys, changes, merge, merged_rows, upsert
 from stratum.schemas import DIM_CITY_CURRENT_COLUMNS, DIM_CITY_CURRENT_VIEW, TABLES, TableSpec
 from stratum.session import shared_dir
 
@@ -126,10 +126,28 @@ class Lakehouse:
         parts = TABLES[table].partition_by if table in TABLES else ()
         return out.hint("rebalance", *parts) if parts else out
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Append in table column order (partition columns last)."""
-        self._shaped(df, table).write.insertInto(self.name(table), overwrite=False)
+    def append(self, df: DataFrame, table: str) -> int:
+        """Append in table column order (partition columns last); returns the rows
+        written, counted by the write itself. A landing (bronze) is entered in the
+        register: its runs and days, in the same pass. Rows without a run id get one
+        of their own landing, so that every landing can be told."""
+        landing = table.startswith("bronze.")
+        if landing:
+            df = df.withColumn("_ingestion_run_id", F.coalesce("_ingestion_run_id", F.lit(f"landing-{uuid.uuid4().hex}")))
+        shaped = self._shaped(df, table)
+        seen = Observation()
+        counted = [F.count(F.lit(1)).alias("rows")]
+        if landing:  # one entry a run and day
+            counted.append(F.collect_set(F.struct("_ingestion_run_id", "_ingest_date")).alias("runs"))
+        shaped.observe(seen, *counted).write.insertInto(self.name(table), overwrite=False)
         self.refresh(table)
+        got = seen.get
+        if landing and got["runs"]:
+            rows = got["rows"] if len(got["runs"]) == 1 else None
+            entries = [(table, r["_ingestion_run_id"], r["_ingest_date"], rows) for r in got["runs"]]
+            self.append(self.spark.createDataFrame(entries, "source_table string, run_id string, ingest_date date, row_count bigint").withColumn(
+                "landed_at", F.current_timestamp()).coalesce(1), "ops.landing_log")
+        return int(got["rows"])
 
     def refresh(self, table: str) -> None:
         """Drop this session's cached file listing of ``table``: a write made
@@ -158,7 +176,9 @@ class Lakehouse:
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def upsert(self, source: DataFrame, table: str, keys: Sequence[str] | None = None,
-               check_unique: bool = True, newest_by: str | None = None) -> Touched:
+               check_unique: bool = True, newest_by: str | None = None,
+               before_write: Callable[[list], None] | None = None,
+               on_changes: Callable[[DataFrame, list], None] | None = None) -> Touched:
         """Keyed upsert of ``source`` into ``table``.
 
         Only partitions that ``source`` touches are read and rewritten: their
@@ -166,6 +186,10 @@ class Lakehouse:
         partitions to scan, the merged result is staged, then written with
         dynamic partition overwrite. Not atomic across partitions. ``newest_by``:
         see :func:`stratum.operators.upsert.upsert`. Returns the touched values.
+
+        ``on_changes`` receives the change feed (keys, before, after) and the touched
+        values when the table is written; ``before_write`` the touched values before.
+        The feed comes from the merge itself and is read from its staged result.
         """
         spec = TABLES[table]
         keys = list(keys or spec.keys)
@@ -182,8 +206,18 @@ class Lakehouse:
                 if not touched:
                     return result
                 target = target.filter(partition_filter(spec.partition_by, touched))
-            with self.staged(upsert(target, source, keys, newest_by)) as merged:
-                self.overwrite_partitions(merged, table)
+            if before_write:
+                before_write(touched)
+            if on_changes is None:
+                with self.staged(upsert(target, source, keys, newest_by)) as merged:
+                    self.overwrite_partitions(merged, table)
+            else:
+                both = merge(target, source, keys, newest_by)
+                same = F.col("before").eqNullSafe(F.col("after"))
+                small = both.select(F.when(~same, F.col("before")).alias("before"), "after", (~same).alias("changed"))
+                with self.staged(small) as merged:
+                    self.overwrite_partitions(merged_rows(merged), table)
+                    on_changes(changes(merged.where("changed"), keys), touched)
         finally:
             source.unpersist()
         return result
