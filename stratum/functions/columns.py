@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+#: Times in records keep their microseconds, so that rows can be restored.
+RECORD_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -26,7 +29,7 @@ def natural_key(*cols: ColumnOrName, sep: str = "|") -> Column:
 def record_json(df: DataFrame, exclude: Iterable[str] = ()) -> Column:
     """Whole row as JSON text; NULL fields are left out by ``to_json``."""
     skip = set(exclude)
-    return F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in skip]))
+    return F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in skip]), RECORD_TIMES)
 
 
 def date_sk(ts: ColumnOrName) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.columns import date_sk
-from stratum.operators.keys import assign_new_keys, carry_keys, max_key
+from stratum.operators.keys import assign_new_keys, carry_keys, max_key, number_rows
 from stratum.operators.references import only_referenced
 from stratum.operators.shaping import conform, contract_columns
 from stratum.operators.upsert import upsert
@@ -61,6 +61,19 @@ def upsert_fact(
     return upsert(target, staged.select(*target.columns), keys)
 
 
+#: Buckets in which new facts are numbered: a day's cities, dealt by number.
+FACT_BUCKETS = ("date_sk", "pmod(city_id, 256)")
+
+
+def upsert_fact_dense(target: DataFrame, source: DataFrame, keys: Sequence[str], sk_col: str, high: int) -> DataFrame:
+    """As :func:`upsert_fact`, but new rows are numbered without gaps from
+    ``high`` + 1 on, in the order of day, city bucket and key."""
+    carried = carry_keys(target, source, keys, sk_col)
+    new = carried.where(F.col(sk_col).isNull()).select(*target.columns)
+    kept = carried.where(F.col(sk_col).isNotNull()).select(*target.columns)
+    return upsert(target, kept.unionByName(number_rows(new, sk_col, high, FACT_BUCKETS, keys)), keys)
+
+
 def with_new_keys(df: DataFrame, sk_col: str, offset: int = 0) -> DataFrame:
     """First load: every row gets a fresh key, placed first."""
     return assign_new_keys(df.withColumn(sk_col, F.lit(None).cast("bigint")), sk_col, offset).select(

@@ -1,10 +1,10 @@
-"""Surrogate keys: unique, stable on update, not dense."""
+"""Surrogate keys: unique, stable on update, and dense where rows are numbered by :func:`number_rows`."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,23 @@ def carry_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], sk_col
     batch = source.select(*keys)
     matched = target.select(*keys, sk_col).join(batch, on=list(keys), how="inner")
     return source.join(matched, on=list(keys), how="left")
+
+
+def number_rows(df: DataFrame, sk_col: str, offset: int, buckets: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``sk_col`` = offset + 1, offset + 2, ... in the order of
+    ``buckets`` (SQL expressions), then ``order``; without gaps, the same in every run.
+
+    A distributed prefix sum: rows are counted by bucket, the few bucket counts
+    are added up in order, and each bucket numbers its own rows from its start. So
+    only a bucket's rows meet in one task; choose buckets that stay small."""
+    names = [f"_b{i}" for i in range(len(buckets))]
+    dealt = df.drop(sk_col).select("*", *[F.expr(b).alias(n) for b, n in zip(buckets, names, strict=True)])
+    counts = dealt.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    starts = counts.select(*[F.col(n).alias(f"{n}s") for n in names], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}s"))
+    nth = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    numbered = dealt.withColumn("_nth", nth).join(starts, same)
+    return numbered.withColumn(sk_col, (F.lit(offset) + F.col("_before") + F.col("_nth")).cast("bigint")).select(*df.columns)

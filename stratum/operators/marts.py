@@ -7,11 +7,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.columns import exact_avg, exact_sum
+from stratum.operators.shaping import contract_columns
+from stratum.operators.states import StateSpec, mean, total
 
-DAILY_SUMMARY_COLUMNS = [
-    "city_id", "city_name", "obs_date", "avg_temp_c", "min_temp_c", "max_temp_c",
-    "total_precip_mm", "avg_wind_speed_kmh", "dominant_aqi_category", "row_count",
-]
+DAILY_SUMMARY_COLUMNS = contract_columns("gold.mart_daily_city_climate_summary")
+WEATHER_AQ_COLUMNS = contract_columns("gold.mart_weather_air_quality_correlation")
+
+#: What the daily marts need of weather, as mergeable states.
+DAILY_WEATHER = StateSpec(
+    keys=(("city_id", "city_id"), ("obs_date", "to_date(observation_timestamp)")),
+    sums=("temperature_c", "precipitation_mm", "wind_speed_10m_kmh", "relative_humidity_pct"),
+    extremes=("temperature_c",),
+)
+
+
+def daily_summary_of_states(states: DataFrame, city_lookup: DataFrame, dominant_category: DataFrame | None = None) -> DataFrame:
+    """The daily summary read from states; same columns as :func:`daily_city_summary`."""
+    daily = states.select(
+        "city_id", "obs_date", "row_count", mean("temperature_c").alias("avg_temp_c"), F.col("min_temperature_c").alias("min_temp_c"),
+        F.col("max_temperature_c").alias("max_temp_c"), total("precipitation_mm").alias("total_precip_mm"),
+        mean("wind_speed_10m_kmh").alias("avg_wind_speed_kmh"))
+    if dominant_category is None:
+        daily = daily.withColumn("dominant_aqi_category", F.lit(None).cast("string"))
+    else:
+        daily = daily.join(dominant_category.select("city_id", "obs_date", "dominant_aqi_category"), ["city_id", "obs_date"], "left")
+    return daily.join(city_lookup.select("city_id", "city_name"), "city_id", "left").select(*DAILY_SUMMARY_COLUMNS)
+
+
+def weather_air_quality_of_states(states: DataFrame, aq_daily: DataFrame, city_lookup: DataFrame) -> DataFrame:
+    """Weather from states beside air quality, where both exist."""
+    weather = states.select("city_id", "obs_date", mean("temperature_c").alias("avg_temp_c"), mean("relative_humidity_pct").alias("avg_humidity_pct"))
+    return weather.join(aq_daily, ["city_id", "obs_date"]).join(city_lookup.select("city_id", "city_name"), "city_id", "left").select(*WEATHER_AQ_COLUMNS)
 
 
 def daily_city_summary(

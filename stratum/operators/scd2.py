@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.keys import max_key
@@ -104,6 +104,54 @@ def scd2_apply(
     return history.unionByName(versions.select(*dim_cols))
 
 
+def scd2_history(dim: DataFrame, snapshots: DataFrame, key: str, tracked: Sequence[str], snapshot_ts: str, sk_col: str | None = None,
+                 sk_offset: int = 0) -> DataFrame:
+    """The whole dimension after any number of snapshots at once, in the order of
+    their time ``snapshot_ts``, late ones among them.
+
+    Versions and snapshot rows of a key are events in time. An event opens a
+    version when it differs from the event before it on a tracked attribute
+    (gaps and islands); a version ends where the next one opens, so the versions
+    of a key abut. A snapshot between two versions splits the one it falls into;
+    a version that then only repeats the spliced one becomes part of it. A version
+    keeps its surrogate key (the first of an island that has one); new ones are
+    numbered from ``sk_offset`` + 1 without gaps.
+
+    Keys that a snapshot misses stay as they are. Where a snapshot has the time of
+    a version, the version stands. Of rows that repeat a key and a time the one
+    that sorts first counts. Snapshots without time, and rows without key, take no
+    part. A key's events meet in one task: they are as many as its versions and the
+    snapshots given.
+    """
+    from stratum.operators.dedup import one_per_key
+    from stratum.operators.keys import number_rows
+
+    attrs = [c for c in dim.columns if c not in (START, END, CURRENT, sk_col, key)]
+    keep = [key, *attrs]
+    start_type = dict(dim.dtypes)[START]
+    held = dim.select(*keep, F.col(START).alias("_at"), (F.col(sk_col) if sk_col else F.lit(None).cast("bigint")).alias("_sk"), F.lit(0).alias("_new"))
+    known = F.col(snapshot_ts).isNotNull() & F.col(key).isNotNull()
+    given = one_per_key(snapshots.where(known).select(*keep, F.col(snapshot_ts).cast(start_type).alias("_at")), [key, "_at"])
+    events = held.unionByName(given.withColumns({"_sk": F.lit(None).cast("bigint"), "_new": F.lit(1)}))
+    in_time = Window.partitionBy(key).orderBy("_at", "_new")
+    state = F.struct(*tracked)
+    last = F.lag(F.struct(state.alias("state"), F.col("_at").alias("at"))).over(in_time)
+    same_time = (F.col("_new") == 1) & (F.col("_last.at") == F.col("_at"))
+    marked = events.withColumn("_last", last).where(~F.coalesce(same_time, F.lit(False)))
+    opens = F.col("_last").isNull() | ~state.eqNullSafe(F.col("_last.state"))
+    islands = marked.withColumn("_opens", opens).withColumn("_island", F.sum(F.col("_opens").cast("int")).over(in_time))
+    whole = Window.partitionBy(key, "_island").orderBy("_at", "_new").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    versions = islands.withColumn("_sk", F.first("_sk", ignorenulls=True).over(whole)).where("_opens")
+    end = F.lead("_at").over(Window.partitionBy(key).orderBy("_at"))
+    dated = versions.withColumn("_end", end).select(
+        F.col("_sk"), *keep, F.col("_at").alias(START), F.col("_end").alias(END), F.col("_end").isNull().alias(CURRENT))
+    if sk_col is None:
+        return dated.select(*dim.columns)
+    dated = dated.withColumnRenamed("_sk", sk_col).select(*dim.columns)
+    fresh = number_rows(dated.where(F.col(sk_col).isNull()), sk_col, sk_offset, [f"pmod(xxhash64({key}), 256)"], [key, START])
+    return dated.where(F.col(sk_col).isNotNull()).unionByName(fresh)
+
+
 def empty_dim_like(snapshot: DataFrame, key: str, sk_col: str | None, ts_type: str = "timestamp") -> DataFrame:
     """An empty dimension with the snapshot's attributes plus SCD2 columns."""
     cols = []

@@ -72,7 +72,8 @@ def deltas(feed: DataFrame, spec: StateSpec) -> DataFrame:
     aggs = [F.sum("sign").alias("d_row_count")]
     for c in spec.sums:
         aggs += [F.sum(F.when(F.col(f"v_{c}").isNotNull(), F.col("sign")).otherwise(0)).alias(f"d_n_{c}"),
-                 F.coalesce(F.sum(F.col("sign") * spec.exact(f"v_{c}")), F.lit(0)).cast(f"decimal(38,{spec.scale})").alias(f"d_sum_{c}")]
+                 # a product with the sign would cost a decimal place
+                 F.coalesce(F.sum(F.when(F.col("sign") > 0, spec.exact(f"v_{c}")).otherwise(-spec.exact(f"v_{c}"))), F.lit(0)).cast(f"decimal(38,{spec.scale})").alias(f"d_sum_{c}")]
     for c in spec.extremes:
         for name, sign in (("add", 1), ("off", -1)):
             aggs += [F.min(F.when(F.col("sign") == sign, F.col(f"v_{c}"))).alias(f"{name}_min_{c}"),
@@ -92,7 +93,11 @@ def advance(states: DataFrame, feed: DataFrame, rows_now: DataFrame, spec: State
     out = [F.col(f"d.{k}").alias(k) for k in keys] + [(F.coalesce("s.row_count", F.lit(0)) + F.col("d_row_count")).alias("row_count")]
     for c in spec.sums:
         out += [(F.coalesce(f"s.n_{c}", F.lit(0)) + F.col(f"d_n_{c}")).alias(f"n_{c}")]
-        total = (F.coalesce(f"s.sum_{c}", F.lit(0)) + F.col(f"d_sum_{c}")).cast(f"decimal(38,{spec.scale})")
+        whole = f"decimal(38,{spec.scale})"
+        # the sum of two such decimals would lose a place as well
+        total = F.coalesce(F.expr(f"try_cast(s.sum_{c} AS decimal(37,{spec.scale}))"), F.lit(0).cast(f"decimal(37,{spec.scale})")) + F.col(
+            f"d_sum_{c}").cast(f"decimal(37,{spec.scale})")
+        total = total.cast(whole)
         out += [F.when(F.coalesce(f"s.n_{c}", F.lit(0)) + F.col(f"d_n_{c}") > 0, total).alias(f"sum_{c}")]
     stale = F.lit(False)
     for c in spec.extremes:

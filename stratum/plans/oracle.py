@@ -197,7 +197,12 @@ def city_typed_sql(version: int, whole: bool = False) -> str:
         tz = f"CASE WHEN c_nationkey = 11 THEN '' ELSE {tz} END"
         dem = f"CASE WHEN c_nationkey = 17 AND c_mktsegment = 'MACHINERY' THEN c_nationkey * 10 + 4 ELSE {dem} END"
         keep = "c_acctbal >= -950 AND c_acctbal <= 9900"
-    run, at = {1: ("city-run-1", "2024-01-01 00:00:00"), 2: ("city-run-2", "2024-01-15 00:00:00")}[version]
+    if version == 3:
+        pop = f"CASE WHEN c_nationkey = 3 AND c_acctbal >= 0 THEN c_custkey * 100 + c_nationkey + 7 ELSE {pop} END"
+        tz = f"CASE WHEN c_nationkey = 11 THEN '' ELSE {tz} END"
+        keep = "c_acctbal >= -920 AND c_custkey % 5 <> 0"
+    run, at = {1: ("city-run-1", "2024-01-01 00:00:00"), 2: ("city-run-2", "2024-01-15 00:00:00"),
+               3: ("city-run-3", "2024-01-08 00:00:00")}[version]
     return f"""
   SELECT 'geonames' AS _source, TIMESTAMP '{at}' AS _ingested_at, '{run}' AS _ingestion_run_id,
          CAST(TIMESTAMP '{at}' AS DATE) AS _ingest_date,
@@ -562,3 +567,83 @@ ORACLE.update({
                      CASE WHEN location_id % 13 = 0 THEN NULL ELSE period_datetime_from END AS t FROM ({BRONZE_AQ}) b))
       WHERE failure_reason <> '' GROUP BY ALL""",
 })
+
+# ---------------------------------------------------------------- feeds, states, keys
+
+
+def _summary_of(silver: str) -> str:
+    return f"""
+SELECT d.city_id, c.city_name, d.obs_date, d.avg_temp_c, d.min_temp_c, d.max_temp_c, d.total_precip_mm, d.avg_wind_speed_kmh,
+       CAST(NULL AS VARCHAR) AS dominant_aqi_category, d.row_count
+FROM (SELECT city_id, CAST(observation_timestamp AS DATE) AS obs_date, {_avg('temperature_c')} AS avg_temp_c,
+             MIN(temperature_c) AS min_temp_c, MAX(temperature_c) AS max_temp_c, {_sum('precipitation_mm')} AS total_precip_mm,
+             {_avg('wind_speed_10m_kmh')} AS avg_wind_speed_kmh, COUNT(*) AS row_count
+      FROM ({silver}) GROUP BY 1, 2) d
+LEFT JOIN ({DIM_CITY_V1}) c ON d.city_id = c.city_id"""
+
+
+_GAPPED_STATION = f"""
+  SELECT *, CONCAT_WS('; ',
+      CASE WHEN (station_id IS NOT NULL) IS FALSE THEN 'not_null_station_id' END,
+      CASE WHEN (obs_date IS NOT NULL) IS FALSE THEN 'not_null_obs_date' END,
+      CASE WHEN (value IS NOT NULL) IS FALSE THEN 'not_null_value' END,
+      CASE WHEN (element NOT IN ('TMAX', 'TMIN') OR value BETWEEN -90 AND 60) IS FALSE THEN 'temp_in_range' END,
+      CASE WHEN (element != 'PRCP' OR value >= 0) IS FALSE THEN 'precip_non_negative' END) AS failure_reason
+  FROM (SELECT element, CASE WHEN abs(data_value) % 10 <> 1 THEN station_id END AS station_id,
+               CASE WHEN abs(data_value) % 10 <> 2 THEN obs_date END AS obs_date,
+               CASE WHEN abs(data_value) % 100 <> 33 THEN
+                 CASE WHEN element IN ('TMAX', 'TMIN', 'PRCP') THEN data_value / 10.0 ELSE CAST(data_value AS DOUBLE) END END AS value
+        FROM ({BRONZE_STATION}))
+"""
+
+_SAME_KEY = "t.city_id = s.city_id AND t.observation_timestamp = s.observation_timestamp AND t._source = s._source"
+_FEED = [f"{a}.{c} AS {n}_{c}" for a, n in (("t", "before"), ("s", "after"))
+         for c in ("temperature_c", "precipitation_mm", "_ingested_at", "_merged_at")]
+_FACT_ORDER = "date_sk, city_id % 256, city_id, observation_timestamp, _source"
+
+ORACLE.update({
+    "upsert_changes": f"""{UPSERT_CTES}
+      SELECT s.city_id, s.observation_timestamp, s._source, CASE WHEN t.city_id IS NULL THEN 'insert' ELSE 'update' END AS change,
+             {', '.join(_FEED)}
+      FROM s_silver s LEFT JOIN t_silver t ON {_SAME_KEY}""",
+    "upsert_applied": ORACLE["upsert_silver"],
+    "mart_from_states": _summary_of(ORACLE["upsert_silver"]),
+    "mart_from_states_late": _summary_of(ORACLE["upsert_late_run"]),
+    "fact_dense_keys": f"""{UPSERT_CTES},
+      tf AS (SELECT {FACT_COLS} FROM t_silver WHERE city_id IN (SELECT city_id FROM dim_v1)),
+      sf AS (SELECT {FACT_COLS} FROM s_silver WHERE city_id IN (SELECT city_id FROM dim_v1)),
+      tk AS (SELECT *, row_number() OVER (ORDER BY {_FACT_ORDER}) AS sk FROM tf),
+      nk AS (SELECT s.*, (SELECT count(*) FROM tk) + row_number() OVER (ORDER BY {_FACT_ORDER.replace('city_id', 's.city_id').replace('date_sk', 's.date_sk').replace('observation_timestamp', 's.observation_timestamp').replace('_source', 's._source')}) AS sk
+             FROM sf s WHERE NOT EXISTS (SELECT 1 FROM tk t WHERE {_SAME_KEY}))
+      SELECT sk AS weather_observation_sk, city_id, observation_timestamp, _source, date_sk, temperature_c FROM nk
+      UNION ALL
+      SELECT t.sk, t.city_id, t.observation_timestamp, t._source, t.date_sk, coalesce(s.temperature_c, t.temperature_c)
+      FROM tk t LEFT JOIN sf s ON {_SAME_KEY}""",
+    "scd2_snapshots": f"""WITH e AS (
+        SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS seen FROM ({city_shaped_sql(1)}) UNION ALL
+        SELECT *, TIMESTAMP '2024-01-08 00:00:00' AS seen FROM ({city_shaped_sql(3)}) UNION ALL
+        SELECT *, TIMESTAMP '2024-01-15 00:00:00' AS seen FROM ({city_shaped_sql(2)})),
+      m AS (SELECT *, lag(seen) OVER w IS NULL OR {' OR '.join(f'lag({a}) OVER w IS DISTINCT FROM {a}' for a in TRACKED)} AS opens
+            FROM e WINDOW w AS (PARTITION BY city_id ORDER BY seen))
+      SELECT {', '.join(CITY_ATTRS)}, seen AS effective_start_ts, lead(seen) OVER (PARTITION BY city_id ORDER BY seen) AS effective_end_ts,
+             lead(seen) OVER (PARTITION BY city_id ORDER BY seen) IS NULL AS is_current
+      FROM m WHERE opens""",
+    "run_counts": f"""{WEATHER_CTES}
+      SELECT _ingestion_run_id, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE failure_reason <> '') AS rows_quarantined,
+             MAX(observation_timestamp) AS max_observation_ts, MIN(_ingested_at) AS first_ingested_at
+      FROM w_flagged GROUP BY 1""",
+    "quarantine_replay": f"{WEATHER_CTES} SELECT * FROM w_invalid",
+    "quarantine_repromoted": f"""{WEATHER_CTES},
+      again AS (SELECT * FROM w_invalid WHERE failure_reason = 'city_exists_in_dim_city' AND city_id IN (SELECT c_custkey FROM customer))
+      SELECT {WEATHER_COLS}, TIMESTAMP '2024-02-01 00:00:00' AS _merged_at
+      FROM (SELECT *, row_number() OVER (PARTITION BY city_id, observation_timestamp, _source
+                                         ORDER BY _ingested_at DESC NULLS LAST, _ingestion_run_id DESC NULLS LAST) AS rn FROM again)
+      WHERE rn = 1""",
+    "dq_gate_closed": f"""SELECT COUNT(*) AS checked_rows, COUNT(*) FILTER (WHERE failure_reason <> '') AS quarantined_rows,
+        CAST(COUNT(*) FILTER (WHERE failure_reason <> '') AS DOUBLE) / COUNT(*) AS quarantine_rate,
+        CAST(COUNT(*) FILTER (WHERE failure_reason <> '') AS DOUBLE) / COUNT(*) <= 0.02 AS gate_passed FROM ({_GAPPED_STATION})""",
+    "station_dq_every_reason": f"""SELECT failure_reason, COUNT(*) AS n, MAX(value) AS highest
+      FROM ({_GAPPED_STATION}) GROUP BY 1""",
+    "scope_stations": f"""SELECT * FROM ({BRONZE_STATION}) WHERE obs_date >= DATE '2024-01-05'
+      AND station_id IN ('ST000000000', 'ST000000003', 'ST000000007', 'ST000000011', 'ST000000014')""",
+})

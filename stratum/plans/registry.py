@@ -390,11 +390,7 @@ def upsert_late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.operators.upsert import upsert
 
     target = dedup_latest(spark, sf_dir)
-    hour = F.expr("INTERVAL 1 HOUR")
-    shifted = F.when(F.col("city_id") % 2 == 0, F.col("_ingested_at") - hour).otherwise(F.col("_ingested_at") + hour)
-    again = target.where("city_id % 3 <> 0").withColumns({"temperature_c": F.col("temperature_c") + 1, "_ingested_at": shifted})
-    other = target.where("city_id % 3 = 0").withColumn("observation_timestamp", F.col("observation_timestamp") + F.expr("INTERVAL 400 DAYS"))
-    return upsert(target, again.unionByName(other), wx.WEATHER_KEYS, newest_by="_ingested_at")
+    return upsert(target, _late_batch(target), wx.WEATHER_KEYS, newest_by="_ingested_at")
 
 
 def dq_every_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,6 +418,159 @@ def aq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source_table", "_ingestion_run_id", "failure_reason").agg(F.count("*").alias("n"))
 
 
+# ------------------------------------------------------------ feeds, states, keys
+
+def _upsert_merge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(target, merge of the second batch into it)."""
+    from stratum.operators.upsert import merge
+
+    target = _silver_window(spark, sf_dir, TARGET_LAST_DAY, None, 0.0, TARGET_MERGED_AT)
+    source = _silver_window(spark, sf_dir, None, SOURCE_FIRST_DAY, 1.0, SOURCE_MERGED_AT)
+    return target, merge(target, source, wx.WEATHER_KEYS)
+
+
+def upsert_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed of the upsert: what each changed row was and is."""
+    from stratum.operators.upsert import changes
+
+    _, merged = _upsert_merge(spark, sf_dir)
+    return changes(merged, wx.WEATHER_KEYS).select(
+        *wx.WEATHER_KEYS, F.when(F.col("before").isNull(), "insert").otherwise("update").alias("change"),
+        *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("before", "after") for c in ("temperature_c", "precipitation_mm", "_ingested_at", "_merged_at")])
+
+
+def upsert_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old table brought forward by the feed: the upserted table."""
+    from stratum.operators.upsert import apply_changes, changes
+
+    target, merged = _upsert_merge(spark, sf_dir)
+    return apply_changes(target, changes(merged, wx.WEATHER_KEYS), wx.WEATHER_KEYS)
+
+
+def mart_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart read from states that follow the feed of the upsert: replaced
+    rows are taken off, new ones added, days that lost an extreme aggregated anew."""
+    from stratum.operators.marts import DAILY_WEATHER, daily_summary_of_states
+    from stratum.operators.states import advanced, states_of
+    from stratum.operators.upsert import changes, merged_rows
+
+    target, merged = _upsert_merge(spark, sf_dir)
+    states = advanced(states_of(target, DAILY_WEATHER), changes(merged, wx.WEATHER_KEYS), merged_rows(merged), DAILY_WEATHER)
+    return daily_summary_of_states(states, si.dim_city_ids_v1(si.table(spark, sf_dir, "customer")))
+
+
+def _late_batch(target: DataFrame) -> DataFrame:
+    """Rows of ``target`` again: older for even cities, newer for odd ones, and every
+    third city at other times."""
+    hour = F.expr("INTERVAL 1 HOUR")
+    shifted = F.when(F.col("city_id") % 2 == 0, F.col("_ingested_at") - hour).otherwise(F.col("_ingested_at") + hour)
+    again = target.where("city_id % 3 <> 0").withColumns({"temperature_c": F.col("temperature_c") + 1, "_ingested_at": shifted})
+    other = target.where("city_id % 3 = 0").withColumn("observation_timestamp", F.col("observation_timestamp") + F.expr("INTERVAL 400 DAYS"))
+    return again.unionByName(other)
+
+
+def mart_from_states_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a late run: rows that lose to newer ones leave no trace in the
+    states."""
+    from stratum.operators.marts import DAILY_WEATHER, daily_summary_of_states
+    from stratum.operators.states import advanced, states_of
+    from stratum.operators.upsert import changes, merge, merged_rows
+
+    table = dedup_latest(spark, sf_dir)
+    merged = merge(table, _late_batch(table), wx.WEATHER_KEYS, newest_by="_ingested_at")
+    states = advanced(states_of(table, DAILY_WEATHER), changes(merged, wx.WEATHER_KEYS), merged_rows(merged), DAILY_WEATHER)
+    return daily_summary_of_states(states, si.dim_city_ids_v1(si.table(spark, sf_dir, "customer")))
+
+
+def fact_dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate keys without gaps: the first load, then an upsert above its mark."""
+    from stratum.operators.facts import FACT_BUCKETS, WEATHER_FACT as spec
+    from stratum.operators.facts import build_fact, upsert_fact_dense
+    from stratum.operators.keys import max_key, number_rows
+
+    dim = si.dim_city_ids_v1(si.table(spark, sf_dir, "customer"))
+    first = build_fact(spec, _silver_window(spark, sf_dir, TARGET_LAST_DAY, None, 0.0, TARGET_MERGED_AT), dim)
+    target = number_rows(first.withColumn(spec.sk, F.lit(None).cast("bigint")).select(spec.sk, *spec.columns), spec.sk, 0, FACT_BUCKETS, spec.keys)
+    source = build_fact(spec, _silver_window(spark, sf_dir, None, SOURCE_FIRST_DAY, 1.0, SOURCE_MERGED_AT), dim)
+    high = max_key(target, spec.sk)  # a run reads the kept mark instead
+    return upsert_fact_dense(target, source, spec.keys, spec.sk, high).select(spec.sk, *spec.keys, "date_sk", "temperature_c")
+
+
+def scd2_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots applied in one run, landed out of order."""
+    from stratum.operators.scd2 import empty_dim_like, scd2_history
+    from stratum.plans.dim_city import city_snapshots
+
+    customer = si.table(spark, sf_dir, "customer")
+    bronze = si.bronze_city_snapshot(customer, 2).unionByName(si.bronze_city_snapshot(customer, 3)).unionByName(si.bronze_city_snapshot(customer, 1))
+    snapshots = city_snapshots(bronze)
+    empty = empty_dim_like(snapshots.drop("_ingested_at"), "city_id", CITY_SK, "timestamp_ntz")
+    return scd2_history(empty, snapshots, "city_id", CITY_TRACKED, "_ingested_at", CITY_SK).drop(CITY_SK)
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run log holds of each landing run."""
+    from stratum.plans.runlog import run_counts as counts
+
+    return counts(_marked_weather(spark, sf_dir), "observation_timestamp")
+
+
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows restored from their quarantine records, column by column."""
+    invalid = dq_split_invalid(spark, sf_dir)
+    records = q.quarantine_records(invalid, "silver.weather_observations", wx.WEATHER_KEYS, quarantined_at=_ts(QUARANTINED_AT))
+    columns = ", ".join(f"{n} {t}" for n, t in invalid.drop("failure_reason").dtypes)
+    return q.restore_records(records, columns)
+
+
+def quarantine_repromoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose reason is gone, once all cities are known, pass the same rules;
+    their latest rows are what silver receives."""
+    customer = si.table(spark, sf_dir, "customer")
+    restored = quarantine_replay(spark, sf_dir).drop("failure_reason", wx.KNOWN_CITY)
+    every_city = customer.select(F.col("c_custkey").alias("city_id"))
+    again = WEATHER_RULES.mark(wx.with_reference_flag(restored, "city_id", every_city, wx.KNOWN_CITY))
+    return wx.silver_weather(WEATHER_RULES.passed(again).drop(wx.KNOWN_CITY), _ts(MERGED_AT))
+
+
+def dq_gate_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on a batch that the gate does not admit."""
+    from stratum.plans.historical import STATION_GATE_THRESHOLD, STATION_RULES
+
+    return q.Gate(STATION_GATE_THRESHOLD).report(STATION_RULES.mark(_station_rows_with_gaps(spark, sf_dir)))
+
+
+def _station_rows_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators.shaping import shape_station_daily
+
+    bronze = si.bronze_station_daily(si.table(spark, sf_dir, "events"))
+    tenth = F.abs(F.col("data_value")) % 10
+    return shape_station_daily(bronze.withColumns({
+        "station_id": F.when(tenth != 1, F.col("station_id")), "obs_date": F.when(tenth != 2, F.col("obs_date")),
+        "data_value": F.when(F.abs(F.col("data_value")) % 100 != 33, F.col("data_value"))}))
+
+
+def station_dq_every_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each list of reasons occurs among station cells that miss their
+    station, day or value."""
+    from stratum.plans.historical import STATION_RULES
+
+    marked = STATION_RULES.mark(_station_rows_with_gaps(spark, sf_dir))
+    return marked.groupBy(STATION_RULES.reasons().alias("failure_reason")).agg(F.count("*").alias("n"), F.max("value").alias("highest"))
+
+
+def scope_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of named stations within a range of days; a station of the list that
+    the files do not hold would be refused."""
+    from stratum.sources.scope import check_stations, scope_dates
+    from stratum.sources.scope import scope_stations as scoped
+
+    bronze = si.bronze_station_daily(si.table(spark, sf_dir, "events"))
+    chosen = [f"ST{n:09d}" for n in (0, 3, 7, 11, 14)]
+    check_stations(spark, chosen, bronze)
+    return scope_dates(scoped(bronze, chosen), "2024-01-05", None)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_weather_json": land_weather_json,
     "land_city_tsv": land_city_tsv,
@@ -460,4 +609,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_late_run": upsert_late_run,
     "dq_every_reason": dq_every_reason,
     "aq_quarantine": aq_quarantine,
+    "upsert_changes": upsert_changes,
+    "upsert_applied": upsert_applied,
+    "mart_from_states": mart_from_states,
+    "mart_from_states_late": mart_from_states_late,
+    "fact_dense_keys": fact_dense_keys,
+    "scd2_snapshots": scd2_snapshots,
+    "run_counts": run_counts,
+    "quarantine_replay": quarantine_replay,
+    "quarantine_repromoted": quarantine_repromoted,
+    "dq_gate_closed": dq_gate_closed,
+    "station_dq_every_reason": station_dq_every_reason,
+    "scope_stations": scope_stations,
 }

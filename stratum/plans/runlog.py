@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.operators.keys import max_key
 from stratum.operators.quality import MASK
 from stratum.sources.tables import Lakehouse
 
@@ -50,20 +51,21 @@ def register(lake: Lakehouse, table: str) -> int:
                        "ops.landing_log")
 
 
-def per_run_counts(flagged: DataFrame, ts_col: str) -> list[dict]:
-    """Checked / quarantined rows and newest observation per landing run:
-    one small aggregate (one row per run in the batch)."""
-    rows = (
-        flagged.groupBy("_ingestion_run_id")
-        .agg(
-            F.count(F.lit(1)).alias("rows_processed"),
-            F.count_if(F.col(MASK) != 0).alias("rows_quarantined"),
-            F.max(ts_col).cast("timestamp").alias("max_observation_ts"),
-            F.min("_ingested_at").cast("timestamp").alias("first_ingested_at"),
-        )
-        .collect()
+def run_counts(flagged: DataFrame, ts_col: str) -> DataFrame:
+    """Checked / quarantined rows and newest observation per landing run: one small
+    aggregate (one row per run in the batch), combined map-side."""
+    return flagged.groupBy("_ingestion_run_id").agg(
+        F.count(F.lit(1)).alias("rows_processed"),
+        F.count_if(F.col(MASK) != 0).alias("rows_quarantined"),
+        F.max(ts_col).alias("max_observation_ts"),
+        F.min("_ingested_at").alias("first_ingested_at"),
     )
-    return [r.asDict() for r in rows]
+
+
+def per_run_counts(flagged: DataFrame, ts_col: str) -> list[dict]:
+    """:func:`run_counts` for the log."""
+    times = {c: F.col(c).cast("timestamp") for c in ("max_observation_ts", "first_ingested_at")}
+    return [r.asDict() for r in run_counts(flagged, ts_col).withColumns(times).collect()]
 
 
 def record(lake: Lakehouse, dag_id: str, task_id: str, started: dt.datetime, ended: dt.datetime,
@@ -113,6 +115,18 @@ def owed_days(lake: Lakehouse, consumer: str) -> list[dt.date]:
     return sorted(r["obs_date"] for r in days.where("owed IS NOT NULL AND (done IS NULL OR owed >= done)").collect())
 
 
+def high_key(lake: Lakehouse, table: str, sk_col: str) -> int:
+    """The highest surrogate key given out for a fact: kept, and looked up in the
+    fact itself only before the first mark."""
+    kept = lake.table("ops.key_mark").where(F.col("table_name") == table).agg(F.max("high").alias("h")).first()["h"]
+    return int(kept) if kept is not None else max_key(lake.table(table), sk_col)
+
+
+def mark_key(lake: Lakehouse, table: str, high: int) -> None:
+    lake.append(lake.spark.createDataFrame([(table, high, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
+                                           "table_name string, high bigint, marked_at timestamp").coalesce(1), "ops.key_mark")
+
+
 def _day_events(lake: Lakehouse, rows: list[tuple], at: dt.datetime) -> None:
     if rows:
         schema = "consumer string, obs_date date, event string, logged_at timestamp"

@@ -44,10 +44,11 @@ PARAMETER_OF_EVENT = {
     "error": ("so2", "ppb"),
 }
 
-# Landing times of the two city snapshots.
+# Landing times of the city snapshots.
 CITY_RUNS = {
     1: ("city-run-1", "2024-01-01 00:00:00"),
     2: ("city-run-2", "2024-01-15 00:00:00"),
+    3: ("city-run-3", "2024-01-08 00:00:00"),
 }
 
 
@@ -151,7 +152,9 @@ def _city_columns(customer: DataFrame, version: int, whole: bool = False) -> Dat
     Version 2 differs from version 1 the way weekly snapshots do: a few more
     cities, a few fewer, population revised (nation 7), timezone withdrawn
     (nation 11), dem corrected (nation 17, MACHINERY), and a name change that
-    is not a tracked attribute (nation 13).
+    is not a tracked attribute (nation 13). Version 3 lies in time between the
+    two: it misses every fifth city and revises population (nation 3) and timezone
+    (nation 11).
     """
     k, n, b, s = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal"), F.col("c_mktsegment")
     name = F.when(n == 5, F.concat(F.lit('"'), F.col("c_name"))).otherwise(F.col("c_name"))
@@ -164,6 +167,10 @@ def _city_columns(customer: DataFrame, version: int, whole: bool = False) -> Dat
         timezone = F.when(n == 11, F.lit("")).otherwise(timezone)
         dem = F.when((n == 17) & (s == "MACHINERY"), (n * 10 + 4).cast("string")).otherwise(dem)
         keep = (b >= -950) & (b <= 9900)
+    elif version == 3:
+        population = F.when((n == 3) & (b >= 0), (k * 100 + n + 7).cast("string")).otherwise(population)
+        timezone = F.when(n == 11, F.lit("")).otherwise(timezone)
+        keep = (b >= -920) & (k % 5 != 0)
     else:
         keep = b >= -900
     return (customer if whole else customer.filter(keep)).select(

@@ -258,3 +258,82 @@ def test_station_backfill_counts_bad_cells_and_refuses_unknown_stations(spark, t
     assert out["checked_rows"] == 1 and out["landed_cells"]["bad_value"] == 1
     log = {r.task_id: r for r in lake.table("ops.run_log").collect()}
     assert log["land_stations"].rows_quarantined == 1 and log["silver_historical"].rows_processed == 1
+
+
+def test_unseen_prunes_bronze_at_run_time_and_settles_missing_run_ids(spark, tmp_root):
+    from stratum.plans import runlog
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="reg_")
+    lake.create()
+    events = si.table(spark, SF, "events")
+    assert lake.append(si.bronze_station_daily(events), "bronze.ghcn_daily_raw") == events.count()
+    without = si.bronze_station_daily(events.limit(5)).withColumn("_ingestion_run_id", F.lit(None).cast("string"))
+    assert lake.append(without, "bronze.ghcn_daily_raw") == 5
+    log = lake.table("ops.landing_log")
+    assert log.where("run_id IS NULL").count() == 0 and log.where("run_id LIKE 'landing-%'").count() > 0
+    fresh = runlog.unseen("bronze.ghcn_daily_raw", lake, "silver_historical")
+    assert fresh.count() == events.count() + 5
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    run_silver_historical(lake, dt.datetime(2024, 2, 1))
+    assert runlog.unseen("bronze.ghcn_daily_raw", lake, "silver_historical").count() == 0
+    assert runlog.register(lake, "bronze.ghcn_daily_raw") == 0
+
+
+def test_air_quality_chain_catches_up_after_a_closed_gate(spark, tmp_root):
+    import json
+
+    from stratum.plans import derived, runlog
+    from stratum.plans.air_quality import run_air_quality_hourly
+
+    assert derived.order().index("daily_state") < derived.order().index("daily_mart")
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="aqc_")
+    lake.create()
+    _city(spark, lake)
+    now = dt.datetime(2024, 3, 2, 23)
+    _land(spark, lake, "w1", now, [(1, "2024-03-02T10:00", 5.0, 0.1)])
+    run_silver_weather(lake, now)
+
+    def document(day, value):
+        period = {"datetimeFrom": {"utc": f"2024-03-{day:02d}T01:00:00Z"}, "datetimeTo": {"utc": f"2024-03-{day:02d}T02:00:00Z"}}
+        return json.dumps({"location_id": 1, "coordinates": {"latitude": 1.0, "longitude": 1.0},
+                           "results": [{"sensor_id": 1, "parameter": {"name": "pm25", "units": "µg/m³"}, "value": value, "period": period}]})
+
+    def land(name, docs):
+        spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(f"{tmp_root}/{name}")
+        return f"{tmp_root}/{name}"
+
+    with pytest.raises(GateClosed):
+        run_air_quality_hourly(lake, land("bad", [document(2, 5.0), document(2, -1.0)]), run_id="bad", run_ts=now)
+    assert lake.table("gold.fact_air_quality_reading").count() == 0
+    assert lake.table("gold.mart_weather_air_quality_correlation").count() == 0
+    out = run_air_quality_hourly(lake, land("good", [document(3, 400.0)]), run_id="good", run_ts=now + dt.timedelta(minutes=5))
+    assert out["landed_rows"] == 1 and out["air_quality_fact"] == 2
+    assert sorted(r.air_quality_reading_sk for r in lake.table("gold.fact_air_quality_reading").collect()) == [1, 2]
+    mart = lake.table("gold.mart_weather_air_quality_correlation").collect()
+    assert [(r.obs_date.day, r.avg_pm25, r.avg_temp_c) for r in mart] == [(2, 5.0, 5.0)]
+    assert lake.table("gold.mart_daily_city_climate_summary").first().dominant_aqi_category == "Good"
+    assert all(runlog.owed_days(lake, name) == [] for name in derived.order())
+    assert lake.table("silver.location_city").first().city_id == 1 and lake.table("ops.indexed_city").count() == 1
+    again = run_air_quality_hourly(lake, run_ts=now + dt.timedelta(minutes=9))
+    assert again["air_quality_fact"] == again["weather_aq_mart"] == 0 and spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_states_that_a_run_left_behind_are_made_anew(spark, tmp_root):
+    from stratum.plans import runlog
+    from stratum.plans.derived import catch_up
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="left_")
+    lake.create()
+    _city(spark, lake)
+    now = dt.datetime(2024, 3, 2, 12)
+    _land(spark, lake, "a", now, [(1, "2024-03-02T10:00", 5.0, 0.1), (1, "2024-03-02T11:00", 9.0, 0.1)])
+    run_silver_weather(lake, now)
+    # as after a crash between silver and its states: the day is owed, the state wrong
+    lake.replace(lake.table("gold.daily_weather_state").withColumn("row_count", F.lit(99).cast("bigint")), "gold.daily_weather_state")
+    runlog.owe(lake, ["daily_state"], [now.date()])
+    _land(spark, lake, "b", now + dt.timedelta(hours=1), [(1, "2024-03-02T11:00", 1.0, 0.2)])
+    run_silver_weather(lake, now + dt.timedelta(hours=1))
+    assert catch_up(lake)["daily_mart"] == 1
+    row = lake.table("gold.mart_daily_city_climate_summary").first()
+    assert (row.row_count, row.min_temp_c, row.max_temp_c, row.avg_temp_c) == (2, 1.0, 5.0, 3.0)

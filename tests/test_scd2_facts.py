@@ -78,3 +78,44 @@ def test_fact_orphan_dropped_and_update_keeps_key(spark):
     assert rows[ts].temperature_c == 5.0 and rows[ts][facts.WEATHER_FACT.sk] == sk
     new_sk = rows[ts + dt.timedelta(hours=1)][facts.WEATHER_FACT.sk]
     assert new_sk > sk
+
+
+def _versions(df):
+    return sorted(((r.k, r.a, r.note, r.effective_start_ts, r.effective_end_ts, r.is_current) for r in df.collect()), key=repr)
+
+
+def test_snapshots_at_once_equal_single_runs_and_late_ones_are_spliced(spark):
+    import random
+
+    from stratum.operators.scd2 import empty_dim_like, scd2_history
+
+    rnd = random.Random(1)
+    at = [dt.datetime(2024, 1, d) for d in (1, 5, 9, 13)]
+    snaps = [spark.createDataFrame([(k, rnd.choice([1, 2, None]), f"n{d}", t) for k in range(30) if rnd.random() < 0.8], "k int, a int, note string, at timestamp")
+             for d, t in enumerate(at)]
+    empty = empty_dim_like(snaps[0].drop("at"), "k", "sk")
+    every = snaps[0].unionByName(snaps[1]).unionByName(snaps[2])
+    at_once = scd2_history(empty, every, "k", ["a"], "at", "sk")
+    dim = empty
+    for n, s in enumerate(snaps[:3]):
+        dim = scd2_history(dim, s, "k", ["a"], "at", "sk", sk_offset=1000 * n)
+    assert _versions(at_once) == _versions(dim)
+    apply = scd2.scd2_apply
+    by_run = apply(apply(apply(empty, snaps[0].drop("at"), "k", ["a"], F.lit(at[0]), "sk", 0), snaps[1].drop("at"), "k", ["a"], F.lit(at[1]), "sk", 100),
+                        snaps[2].drop("at"), "k", ["a"], F.lit(at[2]), "sk", 200)
+    assert _versions(by_run) == _versions(at_once)
+    # a late one between: versions still abut, keys of versions that stay are kept
+    late = spark.createDataFrame([(k, 7, "late", dt.datetime(2024, 1, 7)) for k in range(0, 40, 2)] + [(1, 2, "no time", None), (None, 2, "no key", at[1])],
+                                 "k int, a int, note string, at timestamp")
+    spliced = scd2_history(dim, late, "k", ["a"], "at", "sk", sk_offset=9000).collect()
+    keys = {(r.k, r.effective_start_ts): r.sk for r in dim.collect()}
+    assert all(r.sk == keys.get((r.k, r.effective_start_ts), r.sk) for r in spliced) and len({r.sk for r in spliced}) == len(spliced)
+    for k in range(40):
+        own = sorted((r for r in spliced if r.k == k), key=lambda r: r.effective_start_ts)
+        assert [r.effective_end_ts for r in own] == [r.effective_start_ts for r in own[1:]] + ([None] if own else [])
+        assert [r.is_current for r in own] == [False] * (len(own) - 1) + ([True] if own else [])
+        assert all(a.a != b.a for a, b in zip(own, own[1:], strict=False))
+        if k % 2 == 0:
+            assert [r.a for r in own if r.effective_start_ts <= dt.datetime(2024, 1, 7) and (r.effective_end_ts is None or r.effective_end_ts > dt.datetime(2024, 1, 7))] == [7]
+    again = scd2_history(spark.createDataFrame(spliced, dim.schema), late, "k", ["a"], "at", "sk", sk_offset=99000)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, spliced), key=repr)
