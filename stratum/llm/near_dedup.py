@@ -17,20 +17,19 @@ a band are candidates. Copies (equal word sequences) are one text from the start
 Within a shared band no pairs are spelled out: a text is compared with the most
 central one of all its bands, and those outside a band's largest component then
 found once more with the most central of themselves. What is left are bands that still hold
-several components. There the members outside the largest one look through the
-signatures of all others (in cells of bounded size) and name their nearest in
-every other component; pairs whose exact similarity reaches the threshold merge
-components. Then they name their nearest 16, then all whose signature is near
-enough, so that no link between components is lost. Every round begins at the
-nearest, as the largest component may have become another one, whose members
-have not looked yet; pairs that were compared before are left out. A comparison first looks at the signatures and, unless these are far apart
-(``LEAST``, four standard errors below the threshold), computes the exact
-multiset overlap of the whole texts.
+several components. There the members outside the largest one meet all others in
+cells of bounded bytes, with their whole multisets: a prefix filter without loss
+leaves few pairs, pairs that are joined already are passed over, the rest is
+compared exactly, and a cell gives a spanning forest of its links. A comparison
+with a star's centre first looks at the signatures and, unless these are far apart
+(``LEAST``, four standard errors below the threshold), computes the exact multiset
+overlap of the whole texts; a pair that this misses meets again in the cells.
 
 Defined cases: null and empty texts, and texts without words, are classes of
 their own. A class is a connected component of the links; its id is its least
 doc_id (null ids do not count; a class of null ids only has a null id). Rows that
-repeat an id and a text are copies.
+repeat an id and a text are copies. Texts of any length are read in blocks; other
+columns are ignored, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -50,8 +49,8 @@ WORDS = 5
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
 LEAST = 0.65
-ASKING, ASKED = 512, 2048  # members in a cell
-RANKS = (1, 16, 1 << 62)  # candidates in each other component, round by round
+ASKING, ASKED = 1 << 16, 1 << 17  # words of the members in a cell: about 1 and 2 MB
+GROUPS = 1024  # of shingles, for a bound on what two texts share
 RUN = 128  # texts whose signatures are computed side by side
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=_U) * _ODD) | _U(1)
 
@@ -222,7 +221,7 @@ def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
 
 def _candidates(texts: DataFrame) -> DataFrame:
     """(key, fp, central) of the bands that several texts share."""
-    rows = texts.select("fp", F.explode("bands").alias("key"))
+    rows = texts.select("fp", "n", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     return rows.join(shared, "key")
 
@@ -251,89 +250,143 @@ def _mixed(shared: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
     with their component, and whether it is another than the band's largest."""
     comp = components(found.where(F.col("sim") >= threshold))
     rows = written(shared.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "members", few=True)
-    groups = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    bands = written(groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("comps"))
-                    .where("comps > 1").select("key", "n", F.col("top.comp").alias("main"), (F.col("n") - F.col("top.n")).alias("minor")), "mixed", few=True)
+    groups = rows.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("n").alias("words"))
+    bands = written(groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("words").alias("words"), F.max(F.struct("n", "comp", "words")).alias("most"),
+                                              F.count("*").alias("comps"))
+                    .where("comps > 1").select("key", F.col("top.comp").alias("main"), "words", (F.col("words") - F.col("most.words")).alias("minor")), "mixed", few=True)
     return rows.join(bands, "key").withColumn("is_minor", F.col("comp") != F.col("main"))
 
 
-_CELL = "a binary, b binary"
+_LINK = "a binary, b binary, sim double"
 
 
-def _nearest_of_others(last: int):
-    """Of each minor member: its first ``last`` candidates in every other component, by the share of equal components of the signatures."""
-
-    def ranked(left: list, right: list) -> list[tuple[bytes, bytes]]:
-        out = []
-        x = np.frombuffer(b"".join(r["sig"] for r in left), np.uint8).reshape(-1, SIZE)
-        y = np.frombuffer(b"".join(r["sig"] for r in right), np.uint8).reshape(-1, SIZE)
-        number: dict[bytes, int] = {}
-        c = np.array([number.setdefault(r["comp"], len(number)) for r in right])
-        for lo in range(0, len(left), 16):
-            equal = np.stack([(y == v).sum(1) for v in x[lo : lo + 16]])
-            for i, row in enumerate(left[lo : lo + 16]):
-                near = np.flatnonzero((equal[i] >= LEAST * SIZE) & (c != number.get(row["comp"], -1)))
-                if len(near):
-                    near = near[np.lexsort((-equal[i][near], c[near]))]
-                    nth = np.arange(len(near)) - np.searchsorted(c[near], c[near])
-                    out += [(min(row["fp"], right[j]["fp"]), max(row["fp"], right[j]["fp"])) for j in near[nth < last].tolist()]
-        return out
+@F.arrow_udf(T.BinaryType())
+def _multiset(texts: pa.Array) -> pa.Array:
+    """The shingles of each text, then their counts, eight bytes each."""
+    out: list[bytes] = []
+    for _, words, offsets in row_words(texts):
+        key, row, count = shingles(words, offsets)
+        edge = np.searchsorted(row, np.arange(len(offsets)))
+        out += [key[i:j].tobytes() + count[i:j].astype(np.int64).tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+    return pa.array(out, pa.binary())
+
+
+def forest(members: list[tuple[bytes, bytes, bytes]], asking: list[int], threshold: float) -> tuple[list[tuple[int, int, float]], int]:
+    """Links (place, place, similarity) that join what the pairs of ``asking``
+    members with all ``members`` (fingerprint, component, multiset) join, and the
+    number of pairs that were compared.
+
+    Whoever reaches the threshold with another shares a shingle with it among its
+    rarest ones: those without which too little weight would be left (prefix
+    filter). Weights by groups of shingles bound what two can share at most. Both
+    lose no pair. Members that are joined already are not compared, so a group of
+    copies costs about one comparison a member; texts that are alike by common
+    passages but below the threshold cost a look at their groups."""
+    names: dict[bytes, int] = {}
+    joined = np.array([names.setdefault(comp, i) for i, (_, comp, _) in enumerate(members)])
+    sets = [np.frombuffer(m, _U) for _, _, m in members]
+    keys, counts = [x[: len(x) // 2] for x in sets], [x[len(x) // 2 :].view(np.int64) for x in sets]
+    own = np.repeat(np.arange(len(members)), [len(k) for k in keys])
+    _, token, often = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    weight = np.concatenate(counts)
+    size = np.bincount(own, weight, len(members))
+    order = np.lexsort((token, often[token], own))  # rarest first
+    upto = np.cumsum(weight[order])
+    begin = np.searchsorted(own[order], np.arange(len(members)))
+    before = upto - weight[order] - (upto[begin] - weight[order][begin])[own[order]]  # weight in front, in its member
+    probe = size[own[order]] - before >= threshold * size[own[order]]
+    p_own, p_token = own[order][probe], token[order][probe]
+    by_token = np.argsort(p_token, kind="stable")
+    edge = np.searchsorted(p_token[by_token], np.arange(len(often) + 1))
+    holders = p_own[by_token]
+    p_begin = np.searchsorted(p_own, np.arange(len(members) + 1))
+    edges = np.searchsorted(own, np.arange(len(members) + 1))
+    # weights by group of shingles: what two members differ in there they cannot share
+    group = own * GROUPS + (np.concatenate(keys) & _U(GROUPS - 1)).astype(np.int64)
+    groups = np.minimum(np.bincount(group, weight, len(members) * GROUPS), 30_000).astype(np.int16).reshape(-1, GROUPS)
+    held = np.zeros(len(often), np.int64)  # the asking member's counts
+    out: list[tuple[int, int, float]] = []
+    compared = 0
+    for i in asking:
+        lists = [holders[edge[t] : edge[t + 1]] for t in p_token[p_begin[i] : p_begin[i + 1]].tolist()]
+        near = np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int64)
+        fits = (joined[near] != joined[i]) & (np.minimum(size[near], size[i]) >= threshold * np.maximum(size[near], size[i]))
+        near = near[fits]
+        apart = np.concatenate([np.abs(groups[near[lo : lo + 256]] - groups[i]).sum(1, dtype=np.int64) for lo in range(0, len(near), 256)]) if len(near) else near
+        total = size[near] + size[i]
+        most = (total - apart) / 2
+        able = most >= threshold * (total - most) - 1e-6
+        near = near[able][np.argsort(apart[able], kind="stable")]
+        held[token[edges[i] : edges[i + 1]]] = weight[edges[i] : edges[i + 1]]
+        while len(near):
+            j, near = int(near[0]), near[1:]
+            compared += 1
+            part = slice(edges[j], edges[j + 1])
+            both = int(np.minimum(held[token[part]], weight[part]).sum())
+            sim = both / (size[i] + size[j] - both)
+            if sim >= threshold:
+                out.append((i, j, float(sim)))
+                joined[joined == joined[j]] = joined[i]
+                near = near[joined[near] != joined[i]]
+        held[token[edges[i] : edges[i + 1]]] = 0
+    return out, compared
+
+
+def _across(mixed: DataFrame, whole: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sim): links between components that share a band. A band is cut into
+    cells of some megabytes, whatever the length of its members, and a cell gives
+    fewer links than it has members."""
+    rows = mixed.join(whole.select("fp", _multiset("text").alias("bag")), "fp")
+    slot = F.abs(F.xxhash64("fp"))
+    i, j = F.ceil(F.col("minor") / ASKING), F.ceil(F.col("words") / ASKED)
+    asking = rows.where("is_minor").select("key", "fp", "comp", "bag", (slot % i).alias("i"), F.explode(F.sequence(F.lit(0), j - 1)).alias("j"), F.lit(True).alias("asks"))
+    asked = rows.select("key", "fp", "comp", "bag", F.explode(F.sequence(F.lit(0), i - 1)).alias("i"), (slot % j).alias("j"), F.lit(False).alias("asks"))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, left, right = None, [], []
-
-        def pairs() -> pa.RecordBatch:
-            found = sorted(set(ranked(left, right))) if left and right else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+        at: tuple | None = None
+        members: dict[bytes, tuple[bytes, bytes, bytes]] = {}
+        asks: set[bytes] = set()
+
+        def linked() -> pa.RecordBatch:
+            rows = [members[fp] for fp in sorted(members)]
+            found = forest(rows, [n for n, r in enumerate(rows) if r[0] in asks], threshold)[0] if asks and len(rows) > 1 else []
+            return pa.RecordBatch.from_pydict({
+                "a": pa.array([rows[min(x, y)][0] for x, y, _ in found], pa.binary()), "b": pa.array([rows[max(x, y)][0] for x, y, _ in found], pa.binary()),
+                "sim": pa.array([z for _, _, z in found], pa.float64())})
+
+        for r in (r for batch in batches for lo in range(0, batch.num_rows, 256) for r in batch.slice(lo, 256).to_pylist()):
+            if (r["key"], r["i"], r["j"]) != at:
+                if members:
+                    yield linked()
+                at, members, asks = (r["key"], r["i"], r["j"]), {}, set()
+            members[r["fp"]] = (r["fp"], r["comp"], r["bag"])
+            if r["asks"]:
+                asks.add(r["fp"])
+        if members:
+            yield linked()
 
-        for batch in batches:
-            for r in batch.to_pylist():
-                if (r["key"], r["i"], r["j"]) != at:
-                    yield pairs()
-                    at, left, right = (r["key"], r["i"], r["j"]), [], []
-                (left if r["asks"] else right).append(r)
-        yield pairs()
-
-    return cells
-
-
-def _across(mixed: DataFrame, texts: DataFrame, last: int) -> DataFrame:
-    """Pairs (a, b) between components that share a band. A band is cut into
-    cells of some thousand members, so no task has more at a time."""
-    rows = mixed.join(texts.select("fp", "sig"), "fp")
-    slot = F.abs(F.xxhash64("fp"))
-    i, j = F.ceil(F.col("minor") / ASKING), F.ceil(F.col("n") / ASKED)
-    asking = rows.where("is_minor").select("key", "fp", "comp", "sig", (slot % i).alias("i"), F.explode(F.sequence(F.lit(0), j - 1)).alias("j"), F.lit(True).alias("asks"))
-    asked = rows.select("key", "fp", "comp", "sig", F.explode(F.sequence(F.lit(0), i - 1)).alias("i"), (slot % j).alias("j"), F.lit(False).alias("asks"))
     dealt = asking.unionByName(asked).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_nearest_of_others(last), _CELL).distinct()
+    return dealt.mapInArrow(cells, _LINK)
 
 
 def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
     """(a, b, sim): links between fingerprints that join all pairs of candidates
     whose similarity reaches the threshold, directly or over others."""
-    texts = written(prints.where("n > 0").groupBy("fp").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig")), "texts")
+    texts = written(prints.where("n > 0").groupBy("fp").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n").alias("n")), "texts")
     candidates = written(_candidates(texts), "bands")
     central = candidates.groupBy("fp").agg(F.sum("size").alias("central"))
-    shared = written(candidates.join(central, "fp").select("key", "fp", "central"), "shared")
+    shared = written(candidates.join(central, "fp").select("key", "fp", "central", "n"), "shared")
     discard(candidates)
-    # the whole texts of all candidates, one for each fingerprint
-    whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp"))
-                    .join(shared.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "whole")
+    # the whole texts of all candidates: one for each fingerprint before anything is joined
+    whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp")).groupBy("fp").agg(F.first("text").alias("text"))
+                    .join(shared.select("fp").distinct(), "fp", "left_semi"), "whole")
     found = _compared(_starred(shared), texts, whole)
     mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
-    found = found.unionByName(_compared(_starred(mixed.where("is_minor")), texts, whole))
-    merged = True
-    for last in RANKS:
-        if merged:
-            mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
-        asked = written(_across(mixed, texts, last), "asked", few=True)
-        if asked.isEmpty():
-            break
-        pairs = _compared(asked.join(found.select("a", "b"), ["a", "b"], "left_anti"), texts, whole)
-        found, merged = found.unionByName(pairs), not pairs.where(F.col("sim") >= threshold).isEmpty()
+    found = found.unionByName(_compared(_starred(mixed.where("is_minor")), texts, whole)).where(F.col("sim") >= threshold)
+    mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
+    found = found.unionByName(written(_across(mixed, whole, threshold), "across"))
     discard(whole)
-    return found.where(F.col("sim") >= threshold)
+    return found
 
 
 def _classed(docs: DataFrame, threshold: float, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -344,13 +397,18 @@ def _classed(docs: DataFrame, threshold: float, text: str = "text", doc_id: str
     prints = written(rows.select("doc_id", "p.fp", "p.n", "p.bands", "p.sig"), "prints")
     found = links(docs, prints, threshold, text)
     comp = components(found)
-    least = prints.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least")).join(
-        comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
+    least = prints.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(
+        comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "rows", F.coalesce("comp", "fp").alias("comp"))
     least = written(least, "least")
     top = least.groupBy("comp").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("top"))
-    named = least.join(top, "comp").select("fp", F.col("top.least").alias("class_id"), (F.col("fp") == F.col("top.fp")).alias("is_top"))
+    named = written(least.join(top, "comp").select("fp", "rows", F.col("top.least").alias("class_id"), (F.col("fp") == F.col("top.fp")).alias("is_top")), "named")
+    # fingerprints with more than a thousandth of the rows, a thousand at most, do not go through one task
+    often = prints.count() // 1000
+    own = prints.select("doc_id", "fp", "n")
+    hot = own.join(F.broadcast(named.where(F.col("rows") > often)), "fp")
+    cold = own.join(F.broadcast(named.where(F.col("rows") > often).select("fp")), "fp", "left_anti").join(named.where(F.col("rows") <= often), "fp", "left")
     words = F.col("n") > 0
-    return prints.select("doc_id", "fp", "n").join(named, "fp", "left").select(
+    return hot.unionByName(cold).select(
         "doc_id", "fp", "n", F.when(words, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.when(words, F.col("is_top") & F.col("doc_id").eqNullSafe(F.col("class_id"))).otherwise(True).alias("is_kept"))
 

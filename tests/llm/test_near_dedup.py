@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from stratum.llm import near_dedup as N
 from stratum.llm.common import row_words
@@ -69,8 +70,8 @@ def test_signature_does_not_depend_on_its_neighbours():
 
 
 def test_classes_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(N, "ASKING", 2)  # so that mixed bands are cut into many cells
-    monkeypatch.setattr(N, "ASKED", 3)
+    monkeypatch.setattr(N, "ASKING", 200)  # so that mixed bands are cut into many cells
+    monkeypatch.setattr(N, "ASKED", 300)
     rng = random.Random(5)
     texts = texts_with_copies(rng)
     ids = list(range(len(texts)))
@@ -156,3 +157,61 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(None, 5), (7, None), (200, 200)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 200: 200}
+
+
+def _bag(words):
+    c = collections.Counter(words)
+    keys = sorted(c)
+    return np.array(keys, np.uint64).tobytes() + np.array([c[k] for k in keys], np.int64).tobytes()
+
+
+def _jaccard(a, b):
+    x, y = collections.Counter(a), collections.Counter(b)
+    return sum((x & y).values()) / sum((x | y).values())
+
+
+def _joined(n, pairs):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_forest_joins_what_all_pairs_join(seed):
+    rnd = random.Random(seed)
+    base = [[rnd.randint(0, 400) for _ in range(60)] for _ in range(4)]
+    bags = []
+    for _ in range(120):
+        t = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, 12)):
+            t[rnd.randrange(len(t))] = rnd.randint(0, 10_000)
+        bags.append(t[: rnd.randint(40, 60)] * rnd.choice([1, 1, 1, 2]))
+    asking = [i for i in range(120) if i % 3]
+    found, _ = N.forest([(bytes([i]), bytes([i]), _bag(t)) for i, t in enumerate(bags)], asking, 0.8)
+    every = [(i, j) for i in asking for j in range(120) if i != j and _jaccard(bags[i], bags[j]) >= 0.8]
+    assert _joined(120, [(a, b) for a, b, _ in found]) == _joined(120, every) and len(found) < 120
+    assert all(abs(s - _jaccard(bags[a], bags[b])) < 1e-12 and s >= 0.8 for a, b, s in found)
+
+
+def test_texts_below_the_threshold_are_hardly_compared():
+    rnd = random.Random(5)
+    common = [rnd.randint(0, 10**6) for _ in range(300)]
+    bags = []
+    for _ in range(1200):  # two of them have about 80 % of 300 in common: similarity 0.66
+        t = list(common)
+        for k in rnd.sample(range(300), 31):
+            t[k] = rnd.randint(10**7, 10**9)
+        bags.append(t)
+    assert 0.6 < _jaccard(bags[0], bags[1]) < 0.72
+    found, compared = N.forest([(str(i).encode(), str(i).encode(), _bag(t)) for i, t in enumerate(bags)], list(range(1200)), 0.8)
+    assert compared < 1200 and found == []
+    copies = [bags[0]] * 700 + [bags[1]] * 500
+    found, compared = N.forest([(str(i).encode(), str(i).encode(), _bag(t)) for i, t in enumerate(copies)], list(range(1200)), 0.8)
+    assert len(found) == compared == 1198
