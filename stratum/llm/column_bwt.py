@@ -19,8 +19,8 @@ of the ``ANCHOR``-byte strings inside. Equal strings have equal anchors, so a
 bucket of anchors finds all their copies by itself; pieces of a bucket overlap
 those of others by ``SPAN - 1`` bytes and no match is lost. A bucket holds about
 ``BUCKET`` bytes of text, so its collection does not grow with the corpus. Pieces whose
-anchor is in one document only can have no match and stay outside. Equal pieces
-are one document of the collection, with the least of their ids. Anchors that are
+anchor is in one document only can have no match and stay outside: where pieces are
+goes to the buckets first, then the pieces of shared anchors. Equal pieces are one document of the collection, with the least of their ids. Anchors that are
 in more than a 64th of a sample of documents are hot: their pieces are cut into
 single strings, dealt by the whole string, and copies of a block of texts travel
 once. The sample decides how work is spread, never what is found.
@@ -53,13 +53,14 @@ ANCHOR = 16
 MOST = 48  # strings in a piece
 SECTION = 4 << 20  # bytes of text looked at together
 BUCKET = 8 << 20  # bytes of text a bucket
+PIECES = 16 << 20  # bytes of pieces sent together
 SAMPLE, HOT = 4096, 64
-BLOCK = 1 << 16  # entries of a file read at once
+BLOCK = 1 << 20  # entries of a file read at once
 LAST = (1 << 63) - 1  # stands for a null id
 END = 255  # no byte of UTF-8; in front of a piece's first symbol
 _LONG, _PREFIX = 128, 63
 _MARK, _SHARED = np.uint16(_LONG << 8), np.uint16(_PREFIX << 8)
-_BASE = _U(0xD6E8FEB86659FD93)
+_BASE, _FURTHER = _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F)
 _SLOT = 64  # strings a piece may number
 
 
@@ -105,6 +106,7 @@ class Collection:
         self.waiting = np.argsort(self.begin, kind="stable")
         self.n, self.begun = 0, 0
         self.ranges = _Ranges(block)
+        self.up, self.nth = np.arange(block, dtype=np.int32), np.empty(block, np.int32)
         self.counts = np.zeros(256, np.int64)
         nothing = np.zeros(0, np.int64)
         self.place = self.piece = nothing  # of the newest suffixes, in order
@@ -140,55 +142,58 @@ class Collection:
     def _places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First pass. Of the suffixes made longer: place, common prefix with the
         one before, piece; of others whose neighbour is new: place, common prefix."""
-        every = self.counts.copy()
-        every[END] = 0
         begun = int(np.searchsorted(self.begin[self.waiting], self.rounds + 1, "right"))
-        below = begun + np.cumsum(every) - every
+        below = begun + np.cumsum(self.counts) - self.counts
         passed = np.zeros(256, np.int64)
         carried = np.full(256, _PREFIX, np.uint8)  # least prefix since a symbol was last seen
         newest = np.zeros(256, bool)  # whether that one was new
-        found: list[tuple[np.ndarray, ...]] = []
+        ranks, values = np.empty(len(self.place), np.int64), np.empty(len(self.place), np.uint8)
+        others: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # symbol, rank, value
         for lo, entries in self._blocks(self.rounds):
             n = len(entries)
             symbols, prefixes = entries.astype(np.uint8), (entries >> 8).astype(np.uint8) & _PREFIX
             a, b = np.searchsorted(self.place, (lo, lo + n))
-            fresh = np.zeros(n, bool)
-            fresh[self.place[a:b] - lo] = True
             order = np.argsort(symbols, kind="stable")
+            self.nth[order] = self.up[:n]
             count = np.bincount(symbols, minlength=256)
             start = np.cumsum(count) - count
+            end = start + count
             held = np.flatnonzero(count)
-            fresh_in_order = fresh[order]
-            after_fresh = np.empty(n, bool)
-            after_fresh[1:] = fresh_in_order[:-1]
-            after_fresh[start[held]] = newest[held]
-            wanted = fresh_in_order | after_fresh
-            wanted[start[END] : start[END] + count[END]] = False
-            at = np.flatnonzero(wanted)
-            here = order[at]
-            symbol = symbols[here]
-            first = at == start[symbol]
-            value = np.empty(len(at), np.uint8)
             self.ranges.fill(prefixes)
-            inner = ~first
-            value[inner] = self.ranges.least(order[at[inner] - 1] + 1, here[inner] + 1)
-            value[first] = np.minimum(carried[symbol[first]], self.ranges.least(np.zeros(int(first.sum()), np.int64), here[first] + 1))
-            rank = passed[symbol] + at - start[symbol]
-            value = np.where(rank > 0, np.minimum(value + 1, self.span), 0).astype(np.uint8)
-            new = fresh_in_order[at]
-            nth = a + np.searchsorted(self.place[a:b], here + lo)
-            found.append((below[symbol] + rank, value, new, np.where(new, nth, 0)))
-            last = order[start[held] + count[held] - 1]
+            at = self.place[a:b] - lo
+            fresh = np.zeros(n, bool)
+            fresh[at] = True
+            symbol, k = self.symbol[a:b], self.nth[at].astype(np.int64)
+            first = k == start[symbol]
+            value = self.ranges.least(np.where(first, 0, order[k - 1] + 1), at + 1)
+            value[first] = np.minimum(value[first], carried[symbol[first]])
+            rank = passed[symbol] + k - start[symbol]
+            ranks[a:b], values[a:b] = rank, value
+            # older entries behind new ones: the first of a symbol, then those in the block
+            heads = held[newest[held]]
+            heads = heads[~fresh[order[start[heads]]]]
+            others.append((heads.astype(np.uint8), passed[heads], np.minimum(carried[heads], self.ranges.least(
+                np.zeros(len(heads), np.int64), order[start[heads]] + 1))))
+            followed = np.flatnonzero(k + 1 < end[symbol])
+            behind = order[k[followed] + 1]
+            older = ~fresh[behind]
+            followed, behind = followed[older], behind[older]
+            others.append((symbol[followed], rank[followed] + 1, self.ranges.least(at[followed] + 1, behind + 1)))
+            last = order[end[held] - 1]
             carried = np.minimum(carried, prefixes.min())
             carried[held] = _PREFIX
             more = last + 1 < n
             carried[held[more]] = self.ranges.least(last[more] + 1, np.full(int(more.sum()), n))
-            newest[held] = fresh_in_order[start[held] + count[held] - 1]
+            newest[held] = fresh[last]
             passed += count
-        place, value, new, nth = (np.concatenate(x) for x in zip(*found, strict=True))
-        grown, other = np.flatnonzero(new), np.flatnonzero(~new)
-        grown, other = grown[np.argsort(place[grown])], other[np.argsort(place[other])]
-        return place[grown], value[grown], self.piece[nth[grown]], place[other], value[other]
+
+        def placed(symbol: np.ndarray, rank: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            by = np.argsort(symbol, kind="stable")  # places rise within a symbol
+            return by, (below[symbol] + rank)[by], np.where(rank > 0, np.minimum(value + 1, self.span), 0).astype(np.uint8)[by]
+
+        by, place, prefix = placed(self.symbol, ranks, values)
+        _, other, changed = placed(*(np.concatenate(x) for x in zip(*others, strict=True)))
+        return place, prefix, self.piece[by], other, changed
 
     def _insert(self, place: np.ndarray, prefix: np.ndarray, piece: np.ndarray, other: np.ndarray, changed: np.ndarray) -> None:
         """Second pass: the files written anew with the new suffixes in between."""
@@ -275,21 +280,24 @@ def _unpacked(data: bytes, *dtypes: str) -> list[np.ndarray]:
 
 def anchors(data: np.ndarray) -> np.ndarray:
     """Of each position: the anchor of the string that starts there."""
-    n = len(data) - ANCHOR + 1
-    h = np.zeros(n, _U)
-    for k in range(ANCHOR):
-        h *= _BASE
-        h += data[k : k + n]
-    h = mix(h)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    words = np.empty(len(data), _U)  # the eight bytes from each position on
+    for k in range(8):
+        words[k::8] = padded[k : k + (len(data) - k + 7) // 8 * 8].view("<u8")
+    h = words[: len(data) - ANCHOR + 1] * _BASE
+    h += words[ANCHOR - 8 : len(data) - 7] * _FURTHER
+    h ^= h >> _U(32)
+    h *= _BASE
+    h ^= h >> _U(29)
     width, size = SPAN - ANCHOR + 1, 1
     while size * 2 <= width:
         h = np.minimum(h[:-size], h[size:])
         size *= 2
-    return mix(np.minimum(h[: len(h) - (width - size)], h[width - size :]))
+    return np.minimum(h[: len(h) - (width - size)], h[width - size :])
 
 
 class _Sections:
-    """Sections of texts, cut into pieces together."""
+    """Sections of texts looked at together."""
 
     def __init__(self, buckets: int, hot: np.ndarray):
         self.buckets, self.hot = buckets, hot
@@ -309,132 +317,172 @@ class _Sections:
             if self.bytes >= SECTION:
                 yield from self.flush()
 
-    def cut(self) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(bytes, start, strings, section, key, whether hot) of the pieces."""
+    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, strings, section, key) of the pieces."""
         raw = b"".join(self.parts)
         sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        section = np.repeat(np.arange(len(sizes)), sizes)
         anchor = anchors(np.frombuffer(raw, np.uint8))
-        whole = section[: len(anchor)] == section[SPAN - 1 :]
-        at = np.flatnonzero(whole)
-        new = np.ones(len(at), bool)
-        new[1:] = (anchor[at[1:]] != anchor[at[:-1]]) | (at[1:] != at[:-1] + 1)
-        start = at[new]
-        strings = np.diff(np.append(np.flatnonzero(new), len(at)))
+        new = np.empty(len(anchor), bool)
+        new[0], new[1:] = True, anchor[1:] != anchor[:-1]
+        ends = np.cumsum(sizes)
+        new[ends[:-1]] = True
+        over = (ends[:-1, None] + np.arange(1 - SPAN, 0)).ravel()  # strings that would reach into the next section
+        inside = np.ones(len(anchor), bool)
+        inside[over] = False
+        start = np.flatnonzero(new & inside)
+        section = np.searchsorted(ends, start, "right")
+        strings = np.minimum(np.append(start[1:], len(anchor)), ends[section] - SPAN + 1) - start
         most = np.where(np.isin(anchor[start], self.hot), 1, MOST)
         parts = -(-strings // most)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        start, strings, most = (np.repeat(x, parts) for x in (start, strings, most))
-        is_hot = most == 1
+        start, strings, section, most = (np.repeat(x, parts) for x in (start, strings, section, most))
         start, strings = start + nth * most, np.minimum(most, strings - nth * most)
-        key = anchor[start]
-        if is_hot.any():  # dealt by the whole string
-            key[is_hot] = mix(np.fromiter((zlib.crc32(raw[s : s + SPAN]) for s in start[is_hot].tolist()), _U))
-        return raw, start, strings, section[start], key, is_hot
+        key, is_hot = mix(anchor[start]), np.flatnonzero(most == 1)
+        if len(is_hot):  # dealt by the whole string
+            key[is_hot] = mix(np.fromiter((zlib.crc32(raw[s : s + SPAN]) for s in start[is_hot].tolist()), _U, len(is_hot)))
+        return start, strings, section, key
 
     def flush(self) -> Iterator[tuple[int, bytes]]:
-        """(bucket, pieces) rows of the sections at hand."""
+        """(bucket, references) rows: where pieces are, and a mark of their anchors."""
         if not self.parts:
             return
-        raw, start, strings, section, key, is_hot = self.cut()
+        start, strings, section, key = self.cut()
         doc, fp, offset = (np.array(x, np.int64) for x in zip(*self.of, strict=True))
         lead = np.cumsum([0, *map(len, self.parts)])[:-1]
         at = start - lead[section] + offset[section]
         bucket = (key % _U(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
-        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            own = order[lo:hi]
+        for number, own in _groups(bucket):
+            named, nth = np.unique(section[own], return_inverse=True)
+            yield number, _packed(np.diff(doc[named], prepend=0), fp[named], np.diff(nth, prepend=0).astype(np.int32), at[own].astype(np.int32),
+                                  strings[own].astype(np.uint8), *_split(key[own] >> _U(40)))
+        self.clear()
+
+
+def _groups(number: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, places) of each number."""
+    small = number.astype(np.uint16) if len(number) and int(number.max()) < 1 << 16 else number
+    order = np.argsort(small, kind="stable")
+    edges = np.flatnonzero(np.diff(number[order], prepend=-1, append=-1))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(number[order[lo]]), order[lo:hi]
+
+
+def _split(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """24 bits as two and one bytes."""
+    return (mark & _U(0xFFFF)).astype(np.uint16), (mark >> _U(16)).astype(np.uint8)
+
+
+_REFERENCE = ("<i8", "<i8", "<i4", "<i4", "u1", "<u2", "u1")
+
+
+def _shared(rows: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(id, print, start, strings) of the pieces whose anchor is in several documents."""
+    lots = []
+    for row in rows:
+        doc, fp, nth, at, strings, low, high = _unpacked(row, *_REFERENCE)
+        nth = np.cumsum(nth, dtype=np.int64)
+        lots.append((np.cumsum(doc)[nth], fp[nth], at, strings, low.astype(np.int64) | high.astype(np.int64) << 16))
+    doc, fp, at, strings, mark = (np.concatenate(x) for x in zip(*lots, strict=True))
+    least, most = np.full(1 << 24, LAST), np.full(1 << 24, -LAST - 1)
+    np.minimum.at(least, mark, doc)
+    np.maximum.at(most, mark, doc)
+    kept = least[mark] < most[mark]
+    return doc[kept], fp[kept], at[kept], strings[kept]
+
+
+class _Pieces:
+    """Pieces of texts for the buckets."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.clear()
+
+    def clear(self) -> None:
+        self.of: list[tuple[int, int]] = []
+        self.lots: list[tuple[np.ndarray, ...]] = []  # text, bucket, start, strings
+        self.cuts: list[bytes] = []
+        self.bytes = 0
+
+    def add(self, doc: int, fp: int, text: bytes, bucket: np.ndarray, start: np.ndarray, strings: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        for lo in range(0, len(start), SECTION // SPAN):
+            part = slice(lo, lo + SECTION // SPAN)
+            self.lots.append((np.full(len(start[part]), len(self.of)), bucket[part], start[part], strings[part]))
+            self.cuts += [text[s : s + n + SPAN - 1] for s, n in zip(start[part].tolist(), strings[part].tolist(), strict=True)]
+            self.of.append((doc, fp))
+            self.bytes += sum(map(len, self.cuts[-len(start[part]) :]))
+            if self.bytes >= PIECES:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[tuple[int, bytes]]:
+        """(bucket, pieces) rows. Copies of a piece are one; of a single string,
+        as hot anchors are cut into, only the least id travels on."""
+        if not self.lots:
+            return
+        text, bucket, start, strings = (np.concatenate(x) for x in zip(*self.lots, strict=True))
+        doc, fp = (np.array(x, np.int64) for x in zip(*self.of, strict=True))
+        for into, own in _groups(bucket):
             number: dict[bytes, int] = {}
-            piece = np.fromiter((number.setdefault(raw[s : s + n], len(number)) for s, n in zip(
-                start[own].tolist(), (strings[own] + SPAN - 1).tolist(), strict=True)), np.int64, len(own))
-            docs, nth = np.unique(np.stack([doc[section[own]], fp[section[own]]]), axis=1, return_inverse=True)
-            nth = nth.reshape(-1)
-            copies = np.zeros(len(own), bool)
-            if is_hot[own].any():  # of a hot string only the least id travels on
-                least = np.full(len(number), LAST)
-                np.minimum.at(least, piece, docs[0, nth])
-                copies = is_hot[own] & (docs[0, nth] > least[piece])
-            first = np.unique(piece, return_index=True)[1]
-            sizes = (strings[own][first] + SPAN - 1).astype(np.uint8)
-            mark = (key[own][first] >> _U(40)).astype(np.uint32)
+            piece = np.fromiter((number.setdefault(self.cuts[i], len(number)) for i in own.tolist()), np.int64, len(own))
+            named, nth = np.unique(text[own], return_inverse=True)
+            docs, fps, at = doc[named], fp[named], start[own]
+            least = np.full(len(number), LAST)
+            np.minimum.at(least, piece, docs[nth])
+            copies = (strings[own] == 1) & (docs[nth] > least[piece])
             left = ~copies
-            yield int(bucket[own[0]]), _packed(
-                np.diff(docs[0], prepend=0), docs[1], np.frombuffer(b"".join(number), np.uint8), sizes,
-                (mark & 0xFFFF).astype(np.uint16), (mark >> 16).astype(np.uint8),
-                np.diff(piece[left], prepend=0).astype(np.int32), np.diff(nth[left], prepend=0).astype(np.int32), at[own][left].astype(np.int32))
+            sizes = np.fromiter(map(len, number), np.uint8, len(number))
+            yield into, _packed(
+                np.diff(docs, prepend=0), fps, np.frombuffer(b"".join(number), np.uint8), sizes,
+                np.diff(piece[left], prepend=0).astype(np.int32), np.diff(nth[left], prepend=0).astype(np.int32), at[left].astype(np.int32))
             if copies.any():  # judged here; spread over all buckets
-                yield int(mix(docs[0, :1].astype(_U) + _U(len(own)))[0] % _U(self.buckets)), _packed(
-                    np.diff(docs[0], prepend=0), docs[1], *[np.zeros(0, np.uint8)] * 6,
-                    np.stack([nth[copies], at[own][copies]]).astype(np.int32))
+                yield int(mix(docs[:1].astype(_U) + _U(len(own)))[0] % _U(self.buckets)), _packed(
+                    np.diff(docs, prepend=0), fps, *[np.zeros(0, np.uint8)] * 4, np.stack([nth[copies], at[copies]]).astype(np.int32))
         self.clear()
 
 
-_ROW = ("<i8", "<i8", "u1", "u1", "<u2", "u1", "<i4", "<i4", "<i4")
+_ROW = ("<i8", "<i8", "u1", "u1", "<i4", "<i4", "<i4")
 
 
-def _spans_of_bucket(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _spans_of_bucket(rows: list[bytes]) -> tuple[np.ndarray, ...]:
     """(id, print, from, to) of the repeated passages that a bucket finds."""
     out: list[tuple[np.ndarray, ...]] = []
-    docs, fps, piece, at, marks, texts = [], [], [], [], [], []
-    pieces = 0
+    lots: list[tuple[np.ndarray, ...]] = []  # id, print, piece, start of each occurrence
+    number: dict[bytes, int] = {}
     for row in rows:
-        doc, fp, text, sizes, low, high, which, nth, start = _unpacked(row, *_ROW)
+        doc, fp, text, sizes, which, nth, start = _unpacked(row, *_ROW)
         doc = np.cumsum(doc)
         if not len(sizes):
             nth, start = start.reshape(2, -1)
             out.append((doc[nth], fp[nth], start, start + SPAN))
             continue
+        raw, ends = text.tobytes(), np.cumsum(sizes, dtype=np.int64)
+        renamed = np.fromiter((number.setdefault(raw[e - n : e], len(number)) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)),
+                              np.int64, len(sizes))
         nth = np.cumsum(nth, dtype=np.int64)
-        docs.append(doc[nth])
-        fps.append(fp[nth])
-        piece.append(np.cumsum(which, dtype=np.int64) + pieces)
-        at.append(start)
-        marks.append(low.astype(np.uint32) | high.astype(np.uint32) << np.uint32(16))
-        texts.append((text.tobytes(), sizes))
-        pieces += len(sizes)
-    if pieces:
-        doc, fp, which, start, mark = (np.concatenate(x) for x in (docs, fps, piece, at, marks))
-        # anchors of one document only have no copies elsewhere
-        order = np.argsort(mark[which], kind="stable")
-        edge = np.flatnonzero(np.diff(mark[which][order].astype(np.int64), prepend=-1))
-        shared = np.minimum.reduceat(doc[order], edge) < np.maximum.reduceat(doc[order], edge)
-        is_shared = np.zeros(1 << 24, bool)
-        is_shared[mark[which][order][edge[shared]]] = True
-        keep = is_shared[mark]
-        number: dict[bytes, int] = {}
-        renamed = np.zeros(pieces, np.int64)
-        n = 0
-        for text, sizes in texts:
-            ends = np.cumsum(sizes, dtype=np.int64)
-            for i in np.flatnonzero(keep[n : n + len(sizes)]).tolist():
-                renamed[n + i] = number.setdefault(text[int(ends[i]) - int(sizes[i]) : int(ends[i])], len(number))
-            n += len(sizes)
-        seen = keep[which]
-        if seen.any():
-            doc, fp, start, which = doc[seen], fp[seen], start[seen].astype(np.int64), renamed[which[seen]]
-            least = np.full(len(number), LAST)
-            np.minimum.at(least, which, doc)
-            with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
-                built = Collection(list(number), folder)
-                first, lowest = built.least(least)
-                built.close()
-            strings = built.sizes - SPAN + 1
-            for lo in range(0, len(which), 1 << 18):  # occurrences string by string, in bounded lots
-                own = slice(lo, lo + (1 << 18))
-                count = strings[which[own]]
-                of = np.repeat(np.arange(len(count)), count)
-                nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                gone = lowest[first[which[own]][of] + nth] < doc[own][of]
-                new = gone.copy()
-                new[1:] &= ~(gone[:-1] & (of[1:] == of[:-1]))
-                last = gone.copy()
-                last[:-1] &= ~(gone[1:] & (of[1:] == of[:-1]))
-                a, b = np.flatnonzero(new), np.flatnonzero(last)
-                out.append((doc[own][of[a]], fp[own][of[a]], start[own][of[a]] + nth[a], start[own][of[b]] + nth[b] + SPAN))
+        lots.append((doc[nth], fp[nth], renamed[np.cumsum(which, dtype=np.int64)], start))
+    if lots:
+        doc, fp, which, start = (np.concatenate(x).astype(np.int64) for x in zip(*lots, strict=True))
+        least = np.full(len(number), LAST)
+        np.minimum.at(least, which, doc)
+        with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
+            built = Collection(list(number), folder)
+            first, lowest = built.least(least)
+            built.close()
+        strings = built.sizes - SPAN + 1
+        for lo in range(0, len(which), 1 << 18):  # occurrences string by string, in bounded lots
+            own = slice(lo, lo + (1 << 18))
+            count = strings[which[own]]
+            of = np.repeat(np.arange(len(count)), count)
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            gone = lowest[first[which[own]][of] + nth] < doc[own][of]
+            new = gone.copy()
+            new[1:] &= ~(gone[:-1] & (of[1:] == of[:-1]))
+            last = gone.copy()
+            last[:-1] &= ~(gone[1:] & (of[1:] == of[:-1]))
+            a, b = np.flatnonzero(new), np.flatnonzero(last)
+            out.append((doc[own][of[a]], fp[own][of[a]], start[own][of[a]] + nth[a], start[own][of[b]] + nth[b] + SPAN))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))  # type: ignore[return-value]
-    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))  # type: ignore[return-value]
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
 
 
 def _joined(doc: np.ndarray, fp: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -452,73 +500,99 @@ def _joined(doc: np.ndarray, fp: np.ndarray, lo: np.ndarray, hi: np.ndarray) ->
     return doc[first], fp[first], lo[first], reach[np.append(first[1:], len(doc)) - 1]
 
 
-def _mine(data: np.ndarray, part: int) -> np.ndarray:
-    return (mix(data.astype(_U)) % _U(part)).astype(np.int64)
+def _row(number: int, data: bytes, name: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({name: pa.array([number], pa.int64()), "data": pa.array([data], pa.binary())})
 
 
-def spans(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
-    """(id, print, from, to) of ``rows`` (id, print, text): the passages to go, in order."""
+def _by_number(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """(number, data) of sorted rows, all of a number together."""
+    at, held = None, []
+    for batch in batches:
+        for number, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if number != at and held:
+                yield at, held
+                held = []
+            at = number
+            held.append(data)
+    if held:
+        yield at, held
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Sections(buckets, hot)
 
-        def made(found: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-            for bucket, data in found:
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int64()), "data": pa.array([data], pa.binary())})
+def _dealt(rows: DataFrame, by: str, number: int) -> DataFrame:
+    return rows.repartition(number, by).sortWithinPartitions(by)
+
+
+def _addressed(doc: np.ndarray, number: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows for the documents, which are dealt over ``number`` parts."""
+    for part, own in _groups((mix(doc.astype(_U)) % _U(number)).astype(np.int64)):
+        yield _row(part, _packed(doc[own], *(c[own] for c in columns)), "part")
+
+
+def _documents(doc: np.ndarray, fp: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row a document, which holds its entries as lists."""
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])]))
+    offsets = pa.array(np.append(first, len(doc)), pa.int32())
+    return pa.RecordBatch.from_pydict({"doc": pa.array(doc[first], pa.int64()), "print": pa.array(fp[first], pa.int64())} | {
+        n: pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())) for n, c in columns.items()})
+
 
+def references(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
+    """(doc, print, pieces) of ``rows`` (doc, print, text): buckets, starts and
+    lengths of the pieces whose anchor other documents have too."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Sections(buckets, hot)
         for batch in batches:
             for doc, fp, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield from made(held.add(doc, fp, text))
-        yield from made(held.flush())
-
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def made() -> Iterator[pa.RecordBatch]:
-            doc, fp, lo, hi = _joined(*_spans_of_bucket(held))
-            part = _mine(doc, buckets)
-            order = np.argsort(part, kind="stable")
-            edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                own = order[a:b]
-                yield pa.RecordBatch.from_pydict({"part": pa.array([int(part[own[0]])], pa.int64()), "data": pa.array(
-                    [_packed(doc[own], fp[own], lo[own].astype(np.int32), hi[own].astype(np.int32))], pa.binary())})
+                yield from (_row(*x, "bucket") for x in held.add(doc, fp, text))
+        yield from (_row(*x, "bucket") for x in held.flush())
 
-        for batch in batches:
-            for bucket, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket != at and held:
-                    yield from made()
-                    held = []
-                at = bucket
-                held.append(data)
-        if held:
-            yield from made()
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, data in _by_number(batches):
+            doc, fp, at, strings = _shared(data)
+            yield from _addressed(doc, buckets, fp, at, strings, np.full(len(doc), bucket, np.int32))
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def made() -> pa.RecordBatch:
-            doc, fp, lo, hi = _joined(*(np.concatenate(x).astype(np.int64) for x in zip(*held, strict=True)))
+        for _, data in _by_number(batches):
+            doc, fp, at, strings, bucket = (np.concatenate(x) for x in zip(*(_unpacked(d, "<i8", "<i8", "<i4", "u1", "<i4") for d in data), strict=True))
+            order = np.lexsort((at, fp, doc))
+            doc, fp, at, strings, bucket = (x[order] for x in (doc, fp, at, strings, bucket))
             first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])]))
-            offsets = pa.array(np.append(first, len(doc)), pa.int32())
-            return pa.RecordBatch.from_pydict({
-                "doc": pa.array(doc[first], pa.int64()), "print": pa.array(fp[first], pa.int64()),
-                "from": pa.ListArray.from_arrays(offsets, pa.array(lo, pa.int32())),
-                "to": pa.ListArray.from_arrays(offsets, pa.array(hi, pa.int32()))})
+            blobs = [_packed(bucket[a:b], np.diff(at[a:b], prepend=0).astype(np.int32), strings[a:b])
+                     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=True)]
+            yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[first], pa.int64()), "print": pa.array(fp[first], pa.int64()), "pieces": pa.array(blobs, pa.binary())})
+
+    return _dealt(_dealt(rows.select("doc", "print", "text").mapInArrow(cut, "bucket long, data binary"), "bucket", buckets).mapInArrow(
+        found, "part long, data binary"), "part", buckets).mapInArrow(
+        gathered, "doc long, print long, pieces binary")
 
+
+def spans(texts: DataFrame, buckets: int) -> DataFrame:
+    """(doc, print, from, to) of ``texts`` (doc, print, text, pieces): the passages
+    to go, in order."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Pieces(buckets)
         for batch in batches:
-            for part, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if part != at and held:
-                    yield made()
-                    held = []
-                at = part
-                held.append(_unpacked(data, "<i8", "<i8", "<i4", "<i4"))
-        if held:
-            yield made()
+            for i in range(batch.num_rows):
+                doc, fp, text = (batch.column(c)[i].as_py() for c in range(3))
+                bucket, start, strings = _unpacked(batch.column(3)[i].as_py(), "<i4", "<i4", "u1")
+                yield from (_row(*x, "bucket") for x in held.add(doc, fp, text, bucket, np.cumsum(start, dtype=np.int64), strings.astype(np.int64)))
+        yield from (_row(*x, "bucket") for x in held.flush())
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data in _by_number(batches):
+            doc, fp, lo, hi = _joined(*_spans_of_bucket(data))
+            yield from _addressed(doc, buckets, fp, lo.astype(np.int32), hi.astype(np.int32))
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data in _by_number(batches):
+            doc, fp, lo, hi = _joined(*(np.concatenate(x).astype(np.int64) for x in zip(*(_unpacked(d, "<i8", "<i8", "<i4", "<i4") for d in data), strict=True)))
+            yield _documents(doc, fp, {"from": lo, "to": hi})
 
-    return (rows.mapInArrow(cut, "bucket long, data binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(searched, "part long, data binary").repartition(buckets, "part").sortWithinPartitions("part")
-            .mapInArrow(gathered, "doc long, print long, from array<int>, to array<int>"))
+    return _dealt(_dealt(texts.select("doc", "print", "text", "pieces").mapInArrow(cut, "bucket long, data binary"), "bucket", buckets)
+                  .mapInArrow(found, "part long, data binary"), "part", buckets).mapInArrow(
+        gathered, "doc long, print long, from array<int>, to array<int>")
 
 
 def _hot(rows: DataFrame, n: int) -> np.ndarray:
@@ -540,18 +614,24 @@ def _hot(rows: DataFrame, n: int) -> np.ndarray:
 
 def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) of every row."""
-    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"),
-                       F.make_valid_utf8(F.coalesce(F.col(text), F.lit(""))).cast("binary").alias("text"))
-    # rows that share an id are told apart by a hash of the text
-    again = written(rows.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "bwt-repeated")
+    missing = F.col("id").isNull()
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.make_valid_utf8(F.coalesce(F.col(text), F.lit(""))).cast("binary").alias("text")).select(
+        F.coalesce("id", F.lit(LAST)).alias("doc"), missing.alias("missing"), "text")
+    # rows that share an id are told apart by a hash of the text, its last bit tells a missing id
+    again = written(rows.groupBy("doc").agg(F.count("*").alias("n")).where(f"n > 1 OR doc = {LAST}").select("doc"), "bwt-repeated")
+    bare = F.xxhash64("text").bitwiseAND(F.lit(-2))
     if again.isEmpty():
-        rows = rows.withColumn("print", F.lit(0).cast("long"))
+        rows = rows.select("doc", F.lit(0).cast("long").alias("print"), "text")
     else:
-        rows = rows.join(again.withColumnRenamed("doc", "twice"), F.col("doc") == F.col("twice"), "left").withColumn(
-            "print", F.when(F.col("twice").isNotNull(), F.xxhash64("text")).otherwise(0)).drop("twice")
+        rows = rows.join(again.withColumnRenamed("doc", "twice"), F.col("doc") == F.col("twice"), "left").select(
+            "doc", F.when(F.col("twice").isNotNull(), bare.bitwiseOR(F.col("missing").cast("long"))).otherwise(0).alias("print"), "text")
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     buckets = max(1, -(-(size["bytes"] or 0) // BUCKET))
-    found = written(spans(rows.select("doc", "print", "text"), buckets, _hot(rows, size["n"])), "bwt-spans")
+    # both joins deal the texts by the same keys, so Spark exchanges them once
+    texts = rows.select("doc", "print", "text")
+    named = lambda df: df.withColumnsRenamed({"doc": "f_doc", "print": "f_print"})
+    same = (F.col("doc") == F.col("f_doc")) & (F.col("print") == F.col("f_print"))
+    found = spans(texts.join(named(references(rows, buckets, _hot(rows, size["n"]))), same), buckets)
 
     def stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -566,10 +646,10 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                 [ids, pa.array([len(x) + n for x, n in zip(kept, removed, strict=True)], pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(count, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = rows.join(found.withColumnsRenamed({"doc": "f_doc", "print": "f_print"}),
-                       (F.col("doc") == F.col("f_doc")) & (F.col("print") == F.col("f_print")), "left").select("id", "text", "from", "to")
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return joined.mapInArrow(stripped, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    own = F.when((F.col("doc") < LAST) | (F.col("print").bitwiseAND(F.lit(1)) == 0), F.col("doc"))
+    joined = texts.join(named(found), same, "left").select(own.alias("id"), "text", "from", "to")
+    out = joined.mapInArrow(stripped, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def op12_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
