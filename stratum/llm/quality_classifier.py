@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.llm.common import _BASE, _BYTE, _ODD, _U, _WHITE, Block, blocks, mix
 
@@ -116,16 +117,21 @@ def _rows_of(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]
     return rows
 
 
-def train(texts: list[str], quality: list[int], prior: float, bits: int = 16, dim: int = 8, epochs: int = 5,
-          rate: float = 200.0, layer_rate: float = 0.4, batch: int = 16, seed: int = 7) -> Model:
+def train(texts: list[str], quality: list[int], prior: float, bits: int = 16, **how) -> Model:
+    """:func:`train_on` on the texts' features."""
+    return train_on(_rows_of(texts, bits), quality, prior, bits, **how)
+
+
+def train_on(rows: list[tuple[np.ndarray, np.ndarray]], quality: list[int], prior: float, bits: int = 16, dim: int = 8,
+             epochs: int = 5, rate: float = 200.0, layer_rate: float = 0.4, batch: int = 16, seed: int = 7) -> Model:
     """Softmax regression on averaged feature vectors by mini-batch gradient
-    descent. ``prior``: share of label 1 among all labelled rows, which the
-    sample of training rows need not have."""
+    descent. ``rows``: distinct buckets and their shares of each text; ``prior``:
+    share of label 1 among all labelled rows, which the sample of training rows
+    need not have."""
     y = np.asarray(quality)
     if not len(y) or y.min() == y.max():
         prior = min(max(prior, 1e-6), 1 - 1e-6)
         return Model(bits, np.zeros(1 << bits), float(np.log(prior / (1 - prior))))
-    rows = _rows_of(texts, bits)
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1.0 / dim, 1.0 / dim, (1 << bits, dim)).astype(np.float32)
     weights = rng.normal(0, 0.5, (dim, 2)).astype(np.float32)
@@ -162,9 +168,26 @@ def train(texts: list[str], quality: list[int], prior: float, bits: int = 16, di
     return Model(bits, table, float(bias[1] - bias[0] + shift))
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 2000, **how) -> Model:
+def _features_of(docs: DataFrame, bits: int) -> DataFrame:
+    """(doc_id, buckets, shares) of each text, at most ``2**bits`` entries each."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("buckets", T.BinaryType()), T.StructField("shares", T.BinaryType())])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):  # one text at a time, whatever its length
+                (ids, shares), = _rows_of(batch.column(1).slice(at, 1).to_pylist(), bits)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([ids.astype("<i4").tobytes()], pa.binary()),
+                                                  pa.array([shares.astype("<f4").tobytes()], pa.binary())], ["doc_id", "buckets", "shares"])
+
+    return docs.select("doc_id", "text").mapInArrow(found, schema)
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 2000, bits: int = 16, **how) -> Model:
     """Fit on at most ``train_rows`` labelled documents, half of each class
-    where there are so many: those with the smallest hash of the id."""
+    where there are so many: those with the smallest hash of the id. The texts
+    become features in tasks; the driver gets at most ``train_rows`` rows of at most
+    ``2**bits`` entries, however long the texts are and however often an id occurs
+    (of rows that repeat an id the one with the least MD5 of its text counts)."""
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     prior = counts.get(1, 0) / max(sum(counts.values()), 1) if counts else 0.5
@@ -172,10 +195,14 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 2000, **how) -> Mo
     sample = known.where("quality = 0").orderBy(by, "doc_id").limit(train_rows // 2).unionAll(
         known.where("quality = 1").orderBy(by, "doc_id").limit(train_rows // 2))
     # train_rows rows of (id, label) at most: a proven bound
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality").toArrow().to_pydict())
-    order = sorted(range(len(rows["doc_id"])), key=lambda i: (rows["doc_id"][i], rows["quality"][i], rows["text"][i]))
-    return train([rows["text"][i] for i in order], [rows["quality"][i] for i in order], prior, **how)
+    whole = F.coalesce("text", F.lit(""))
+    texts = (docs.select("doc_id", whole.alias("text")).join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min(F.struct(F.md5("text").alias("print"), "text")).alias("least"))
+             .select("doc_id", F.col("least.text").alias("text")))
+    rows = _features_of(texts, bits).join(F.broadcast(sample), "doc_id").toArrow().to_pydict()
+    order = sorted(range(len(rows["doc_id"])), key=lambda i: (rows["doc_id"][i], rows["quality"][i]))
+    features = [(np.frombuffer(rows["buckets"][i], "<i4"), np.frombuffer(rows["shares"][i], "<f4")) for i in order]
+    return train_on(features, [rows["quality"][i] for i in order], prior, bits, **how)
 
 
 def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
