@@ -19,14 +19,16 @@ points are never dropped.
 Defined cases: a null or empty text is one empty line (kept); lines are never
 dropped for a null id; other columns of the documents go through unchanged, and
 columns named like the outputs are replaced. Lookups are by text, not by id, so
-repeated or null ids do no harm.
+repeated or null ids do no harm. An empty table gives an empty one and leaves the
+index as it is. A text of any length is split whole, in one row; its distinct
+keys are rows of 16 bytes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import discard, new_path, written
@@ -169,8 +171,14 @@ def _looked_up(batch: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
 class LineIndex:
     """Reference counts and filters of the documents inserted so far.
 
-    ``shards`` fixes how finely keys are dealt. Unset, the first batch sets it, so
-    that a shard gets about ``KEYS_PER_SHARD`` of its keys.
+    ``shards`` is how finely keys are dealt. Unset, the first batch sets it, so
+    that a shard gets about ``KEYS_PER_SHARD`` of its keys. When a batch leaves
+    more than twice as many in a shard on average, the keys are dealt anew over
+    as many shards as they need then. ``save`` and ``open`` carry an index from one
+    session to the next.
+
+    ``asked`` and ``spared``: keys of later batches that the filters were asked for,
+    and how many of these never met the table.
     """
 
     KEYS_PER_SHARD = 50_000
@@ -179,6 +187,50 @@ class LineIndex:
         self.spark, self.shards, self.min_chars = spark, shards, min_chars
         self.counts: DataFrame | None = None  # shard, key, n_docs
         self.filters: DataFrame | None = None  # shard, slots, is_full
+        self.asked = self.spared = 0
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "LineIndex":
+        """The index that :meth:`save` wrote to ``path``. Its files stay as they are:
+        what is inserted or deleted from here on is in the index opened, until it is
+        saved to another path."""
+        about = spark.read.schema("shards int, min_chars int, is_empty boolean").parquet(f"{path}/about").head()
+        index = cls(spark, about["shards"], about["min_chars"])
+        if not about["is_empty"]:
+            index.counts = spark.read.schema(_COUNTS).parquet(f"{path}/counts")
+            index.filters = spark.read.schema(_FILTERS).parquet(f"{path}/filters")
+            index._kept = True
+        return index
+
+    def save(self, path: str) -> None:
+        """Write counts and filters to a new folder ``path`` of the shared storage."""
+        if self.counts is not None:
+            written(self.counts, "", f"{path}/counts")
+            written(self.filters, "", f"{path}/filters")
+        about = [(self.shards, self.min_chars, self.counts is None)]  # last: without it there is nothing to open
+        written(self.spark.createDataFrame(about, "shards int, min_chars int, is_empty boolean").coalesce(1), "", f"{path}/about")
+
+    _kept = False  # counts and filters are files of a saved index, not scratch
+
+    def _drop(self, *tables: DataFrame, scratch: tuple[DataFrame, ...] = ()) -> None:
+        """Delete superseded ``tables``, unless they belong to a saved index, and ``scratch``."""
+        for table in (*(() if self._kept else tables), *scratch):
+            discard(table)
+        self._kept = False
+
+    def _deal(self) -> None:
+        """Deal the keys anew if shards have outgrown their share."""
+        keys = self.counts.count()
+        if keys <= 2 * self.KEYS_PER_SHARD * self.shards:
+            return
+        self.shards = -(-keys // self.KEYS_PER_SHARD)
+        old = self.counts, self.filters
+        self.counts = written(self.counts.select(self._shard(), "key", "n_docs"), "line-counts")
+        self.filters = written(self.counts.groupBy("shard").applyInPandas(_build, _FILTERS), "line-filters")
+        self._drop(*old)
+
+    def _shard(self) -> Column:
+        return F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int").alias("shard")
 
     def _batch(self, docs: DataFrame, text: str) -> DataFrame:
         """(shard, key, n_docs) of a batch, one row for each key."""
@@ -186,7 +238,7 @@ class LineIndex:
         batch = written(keys.groupBy("key").agg(F.count("*").alias("n_docs")), "line-batch")
         if self.shards is None:
             self.shards = max(16, -(-batch.count() // self.KEYS_PER_SHARD))
-        return batch.select(F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int").alias("shard"), "key", "n_docs")
+        return batch.select(self._shard(), "key", "n_docs")
 
     def insert(self, docs: DataFrame, text: str = "text") -> None:
         """Count the documents in."""
@@ -195,9 +247,12 @@ class LineIndex:
             self.counts = batch
             self.filters = written(batch.groupBy("shard").applyInPandas(_build, _FILTERS), "line-filters")
             return
-        old = self.counts, self.filters, batch
-        seen = written(batch.groupBy("shard").cogroup(self.filters.groupBy("shard"))
-                       .applyInPandas(_looked_up, f"{_COUNTS}, maybe boolean"), "line-seen")
+        old, tally = (self.counts, self.filters), Observation()
+        looked_up = (batch.groupBy("shard").cogroup(self.filters.groupBy("shard"))
+                     .applyInPandas(_looked_up, f"{_COUNTS}, maybe boolean"))
+        seen = written(looked_up.observe(tally, F.count("*").alias("asked"), F.count_if(~F.col("maybe")).alias("spared")), "line-seen")
+        self.asked += tally.get["asked"]
+        self.spared += tally.get["spared"]
         new = seen.where("NOT maybe").select("shard", "key", "n_docs")  # surely not in the table
         more = seen.where("maybe").select("shard", "key", F.col("n_docs").alias("more"))
         met = self.counts.withColumn("old", F.lit(True)).join(more, ["shard", "key"], "full_outer").select(
@@ -210,51 +265,60 @@ class LineIndex:
         full = grown.where("is_full").select("shard")  # one row a shard at most
         again = self.counts.join(full, "shard", "left_semi").groupBy("shard").applyInPandas(_build, _FILTERS)
         self.filters = written(grown.where("NOT is_full").unionByName(again), "line-filters")
-        for table in (*old, seen, grown):
-            discard(table)
+        self._drop(*old, scratch=(batch, seen, grown))
+        self._deal()
 
     def delete(self, docs: DataFrame, text: str = "text") -> None:
         """Take documents that were inserted out again."""
+        if self.counts is None:
+            return
+        old = self.counts, self.filters
         batch = self._batch(docs, text)
-        old = self.counts, self.filters, batch
         left = written(self.counts.join(batch.withColumnRenamed("n_docs", "less"), ["shard", "key"], "left").select(
             "shard", "key", (F.col("n_docs") - F.coalesce("less", F.lit(0))).alias("n_docs")), "line-left")
         self.counts = written(left.where("n_docs > 0"), "line-counts")
         self.filters = written(self.filters.groupBy("shard").cogroup(left.where("n_docs <= 0").groupBy("shard"))
                                .applyInPandas(_shrunk, _FILTERS), "line-filters")
-        for table in (*old, left):
-            discard(table)
+        self._drop(*old, scratch=(batch, left))
 
     def frequent(self, min_docs: int) -> DataFrame:
-        """Keys that at least ``min_docs`` of the inserted documents hold."""
+        """Keys that at least ``min_docs`` of the documents inserted until now hold: a
+        table of its own, which later batches leave alone."""
         if self.counts is None:
             return self.spark.createDataFrame([], "key binary")
-        return self.counts.where(F.col("n_docs") >= min_docs).select("key")
+        return written(self.counts.where(F.col("n_docs") >= min_docs).select("key"), "line-frequent")
 
     def apply(self, docs: DataFrame, min_docs: int = 10, text: str = "text") -> DataFrame:
         """``docs`` without the lines that at least ``min_docs`` inserted documents
         hold, with ``n_lines`` (before) and ``n_dropped``."""
         whole = F.coalesce(text, F.lit(""))
-        docs = docs.drop("n_lines", "n_dropped").withColumn("__print", F.struct(F.xxhash64(whole), F.unhex(F.md5(whole))))
-        held = docs.select(lines(text).alias("lines"), "__print").select(
-            "__print", _distinct_keys("lines", self.min_chars).alias("key"))
+        docs = docs.drop("n_lines", "n_dropped")
+        own = "__" * (1 + max((len(c) for c in docs.columns), default=0))  # longer than any name there
+        print_, split_, kept_, drop_ = (own + x for x in ("print", "lines", "kept", "drop"))
+        docs = docs.withColumn(print_, F.struct(F.xxhash64(whole), F.unhex(F.md5(whole))))
+        held = docs.select(lines(text).alias("lines"), print_).select(print_, _distinct_keys("lines", self.min_chars).alias("key"))
         # the frequent keys of a text, no more than its lines; copies of a text share a row
-        drops = held.join(self.frequent(min_docs), "key", "left_semi").groupBy("__print").agg(F.collect_set("key").alias("__drop"))
+        drops = held.join(self.frequent(min_docs), "key", "left_semi").groupBy(print_).agg(F.collect_set("key").alias(drop_))
         # as a table, so that the join below deals out both sides itself and Spark can split a hot text
         drops = written(drops, "line-drops")
-        split = docs.join(drops, "__print", "left").drop("__print").withColumn("__lines", lines(text))
-        kept = split.withColumn("__kept", F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.expr(
-            f"transform(filter(arrays_zip(__lines, {keys_sql('__lines', self.min_chars)}), "
-            "z -> z['1'] IS NULL OR NOT array_contains(__drop, z['1'])), z -> z['__lines'])")))
+        split = docs.join(drops, print_, "left").drop(print_).withColumn(split_, lines(text))
+        kept = split.withColumn(kept_, F.when(F.col(drop_).isNull(), F.col(split_)).otherwise(F.expr(
+            f"transform(filter(arrays_zip({split_}, {keys_sql(split_, self.min_chars)}), "
+            f"z -> z['1'] IS NULL OR NOT array_contains({drop_}, z['1'])), z -> z['{split_}'])")))
         return kept.withColumns({
-            text: F.array_join("__kept", "\n"), "n_lines": F.size("__lines").cast("long"),
-            "n_dropped": (F.size("__lines") - F.size("__kept")).cast("long")}).drop("__lines", "__kept", "__drop")
-
-
-def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text") -> DataFrame:
-    """One batch: index the documents and take their common lines out."""
-    index = LineIndex(docs.sparkSession, min_chars=min_chars)
-    index.insert(docs, text)
+            text: F.array_join(kept_, "\n"), "n_lines": F.size(split_).cast("long"),
+            "n_dropped": (F.size(split_) - F.size(kept_)).cast("long")}).drop(split_, kept_, drop_)
+
+
+def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text", batches: int = 2,
+                      index: LineIndex | None = None) -> DataFrame:
+    """Index the documents and take their common lines out. They are inserted in
+    ``batches`` by the hash of the text, every document in one of them, so that
+    from the second batch on the filters decide which keys meet the table."""
+    index = index or LineIndex(docs.sparkSession, min_chars=min_chars)
+    dealt = F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(batches))
+    for batch in range(batches):
+        index.insert(docs.where(dealt == batch), text)
     return index.apply(docs, min_docs, text)
 
 

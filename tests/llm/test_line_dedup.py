@@ -66,6 +66,41 @@ def test_insert_in_batches_and_delete_again(spark, monkeypatch):
     assert got(index.apply(df, 3)) == expected(ROWS, 3)
 
 
+def test_the_query_goes_through_the_filters(spark):
+    """Of the second batch only keys that the first one may hold meet the table."""
+    df = spark.createDataFrame(ROWS + [(200 + i, f"only here {i}\ncommon line", None, "x") for i in range(300)], SCHEMA)
+    index = LineIndex(spark)
+    drop_common_lines(df, 3, index=index).count()
+    assert index.asked > 100 and index.asked - 10 <= index.spared < index.asked
+
+
+def test_shards_grow_and_an_index_is_opened_again(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(LineIndex, "KEYS_PER_SHARD", 4)
+    first = spark.createDataFrame([(1, "a\nb", None, "x")], SCHEMA)
+    index = LineIndex(spark)
+    index.insert(first)
+    index.save(f"{tmp_root}/one")
+    before = {(bytes(r.key), r.n_docs) for r in index.counts.collect()}
+    more = spark.createDataFrame([(10 + i, f"line {i}\na\nb {i % 7}", None, "x") for i in range(300)], SCHEMA)
+    again = LineIndex.open(spark, f"{tmp_root}/one")
+    shards = again.shards
+    frequent = again.frequent(1)
+    again.insert(more)
+    assert again.shards > shards and frequent.count() == 2
+    assert {r.shard for r in again.counts.select("shard").distinct().collect()} > set(range(shards))
+    again.save(f"{tmp_root}/two")
+    third = LineIndex.open(spark, f"{tmp_root}/two")
+    third.delete(more)
+    assert {(bytes(r.key), r.n_docs) for r in third.counts.collect()} == before
+    assert {(bytes(r.key), r.n_docs) for r in LineIndex.open(spark, f"{tmp_root}/one").counts.collect()} == before
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(i, "same\nown", "mine", "too") for i in range(3)], "doc_id int, text string, __print string, __lines string")
+    out = drop_common_lines(df, 3)
+    assert {tuple(r) for r in out.select("text", "__print", "__lines").collect()} == {("", "mine", "too")}
+
+
 def test_cuckoo_filter_holds_what_was_put_in():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 63, (20_000, 2)).astype(np.uint64)
