@@ -14,6 +14,8 @@ from stratum.operators.shaping import shape_station_daily
 # Merge key, gate threshold, rules.
 STATION_KEYS = ["station_id", "obs_date", "element"]
 STATION_GATE_THRESHOLD = 0.02
+# Buckets of stations in a year of silver; a table filled with one number keeps it.
+STATION_BUCKETS = 16
 STATION_RULES = RuleSet([
     ("not_null_station_id", "station_id IS NOT NULL"),
     ("not_null_obs_date", "obs_date IS NOT NULL"),
@@ -23,6 +25,12 @@ STATION_RULES = RuleSet([
 ])
 
 
+def with_station_bucket(rows: DataFrame) -> DataFrame:
+    """``station_bucket``: a part of the year's rows that is a function of the key, so
+    an upsert of some stations rewrites their buckets and not whole years."""
+    return rows.withColumn("station_bucket", F.pmod(F.xxhash64("station_id"), F.lit(STATION_BUCKETS)).cast("int"))
+
+
 def split_station_daily(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return STATION_RULES.split(shape_station_daily(bronze))
 
@@ -52,7 +60,7 @@ def run_silver_historical(lake, run_ts: dt.datetime | None = None, only_unseen:
     return promote(
         lake, task=task, dag_id=dag_id, table="silver.historical_daily_weather",
         candidates=shape_station_daily(bronze, carry=["_ingestion_run_id"]), rules=STATION_RULES,
-        silver=lambda valid: silver_station_daily(valid, F.lit(started).cast("timestamp")),
+        silver=lambda valid: with_station_bucket(silver_station_daily(valid, F.lit(started).cast("timestamp"))),
         ts_col="obs_date", started=started, gate=Gate(threshold),
     )
 
@@ -71,15 +79,16 @@ def run_station_backfill(lake, path: str, first_day: str | None = None, last_day
     started = run_ts or now()
     run = run_id or f"station-{started:%Y%m%d%H%M%S}"
     lines = lake.spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_file"))
-    cells = scope_stations(unpack_station_cells(lines), stations)
-    if stations:
-        check_stations(lake.spark, stations, cells)
-    by_status = {r["cell_status"]: r["n"] for r in cells.groupBy("cell_status").agg(F.count("*").alias("n")).collect()}
-    usable = cells.where("cell_status = 'ok'").drop("cell_status")
-    if first_day or last_day:
-        usable = scope_dates(usable, first_day, last_day)
-    lake.append(land_station_daily(usable, run_id=F.lit(run), ingested_at=F.lit(started).cast("timestamp"), source_file=F.col("_file")),
-                "bronze.ghcn_daily_raw")
+    # parsed once, as a table that the check, the counts and the landing read
+    with lake.staged(scope_stations(unpack_station_cells(lines), stations)) as cells:
+        if stations:
+            check_stations(lake.spark, stations, cells)
+        by_status = {r["cell_status"]: r["n"] for r in cells.groupBy("cell_status").agg(F.count("*").alias("n")).collect()}
+        usable = cells.where("cell_status = 'ok'").drop("cell_status")
+        if first_day or last_day:
+            usable = scope_dates(usable, first_day, last_day)
+        lake.append(land_station_daily(usable, run_id=F.lit(run), ingested_at=F.lit(started).cast("timestamp"),
+                                       source_file=F.col("_file")), "bronze.ghcn_daily_raw")
     rejected = by_status.get("bad_value", 0) + by_status.get("bad_date", 0)
     runlog.record(lake, "station_backfill", "land_stations", started, now(), [{
         "_ingestion_run_id": run, "rows_processed": sum(by_status.values()), "rows_quarantined": rejected,

@@ -481,6 +481,7 @@ RUN_LOG = """
 ORACLE.update({
     "station_dq_invalid": f"SELECT * FROM ({STATION_FLAGGED}) WHERE failure_reason <> ''",
     "station_dedup_latest": STATION_DEDUP,
+    "station_history_upsert": STATION_DEDUP,
     "dim_date": DIM_DATE,
     "nearest_city_kept": f"SELECT location_id, city_id FROM ({nearest_sql(SUPPLIER_LOCS, CITIES_XY_V2)})",
     "nearest_city": f"SELECT location_id, city_id FROM ({nearest_sql(SUPPLIER_LOCS)})",

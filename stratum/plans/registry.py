@@ -267,6 +267,18 @@ def station_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_station_daily(valid, _ts(MERGED_AT))
 
 
+def station_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two backfills that arrive in the wrong order, each promoted by itself: what was
+    landed in the afternoons is silver already when the mornings come."""
+    from stratum.operators.upsert import upsert
+    from stratum.plans.historical import STATION_KEYS, silver_station_daily, split_station_daily, with_station_bucket
+
+    bronze = si.bronze_station_daily(si.table(spark, sf_dir, "events"))
+    late, early = (with_station_bucket(silver_station_daily(split_station_daily(bronze.where(when))[0], _ts(MERGED_AT)))
+                   for when in ("hour(_ingested_at) >= 12", "hour(_ingested_at) < 12"))
+    return upsert(late, early, STATION_KEYS, newest_by="_ingested_at").drop("station_bucket")
+
+
 # ------------------------------------------------------------ dims
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,6 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_sorted": mart_sorted,
     "station_dq_invalid": station_dq_invalid,
     "station_dedup_latest": station_dedup_latest,
+    "station_history_upsert": station_history_upsert,
     "dim_date": dim_date,
     "nearest_city": nearest_city,
     "nearest_city_kept": nearest_city_kept,

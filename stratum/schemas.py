@@ -3,7 +3,8 @@
 Differences from a row-level-DML store, by design: without MERGE the unit
 of rewrite is a partition, so tables whose upserts would otherwise rewrite
 everything get a date partition derived from their key (silver weather and
-air quality gain ``obs_date``). ``ops.run_log`` records each run and feeds
+air quality gain ``obs_date``, the station history a hash bucket of the
+station beside its year). ``ops.run_log`` records each run and feeds
 the pipeline-health mart; ``ops.day_log`` records which days gold owes;
 ``ops.landing_log`` is the register of landings; ``ops.key_mark`` keeps the
 highest surrogate key of each fact. ``gold.daily_weather_state`` holds mergeable
@@ -89,8 +90,8 @@ TABLES: dict[str, TableSpec] = {
             "silver.historical_daily_weather",
             """station_id STRING, obs_date DATE, obs_year INT, element STRING, value DOUBLE,
             mflag STRING, qflag STRING, sflag STRING, _source STRING, _ingested_at TIMESTAMP,
-            _merged_at TIMESTAMP""",
-            ("obs_year",),
+            _merged_at TIMESTAMP, station_bucket INT""",
+            ("obs_year", "station_bucket"),
             ("station_id", "obs_date", "element"),
         ),
         TableSpec(

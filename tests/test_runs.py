@@ -244,6 +244,34 @@ def test_staged_files_go_and_city_run_counts(spark, tmp_root):
     assert not fs.exists(path) or len(fs.listStatus(path)) == 0
 
 
+def test_backfill_of_one_station_rewrites_one_bucket_a_year(spark, tmp_root):
+    from stratum.plans.historical import STATION_BUCKETS
+    from stratum.sources.tables import partition_filter
+
+    lake = Lakehouse(spark, f"{tmp_root}/lake", prefix="bucket_")
+    lake.create()
+    bronze = si.bronze_station_daily(si.table(spark, SF, "events"))
+    lake.append(bronze, "bronze.ghcn_daily_raw")
+    run_silver_historical(lake, dt.datetime(2024, 2, 1))
+    silver = "silver.historical_daily_weather"
+    files = lambda: set(lake.table(silver).inputFiles())
+    before, rows = files(), lake.table(silver).drop("_merged_at", "_ingested_at").collect()
+    station = lake.table(silver).first()["station_id"]
+    again = bronze.where(F.col("station_id") == station).withColumns({
+        "_ingestion_run_id": F.lit("one-station"), "_ingested_at": F.expr("_ingested_at + INTERVAL 1 YEAR")})
+    lake.append(again, "bronze.ghcn_daily_raw")
+    out = run_silver_historical(lake, dt.datetime(2024, 2, 2))
+    years = {year for year, _ in out["touched_partitions"]}
+    assert len(out["touched_partitions"]) == len(years) and len({b for _, b in out["touched_partitions"]}) == 1
+    (bucket,) = {b for _, b in out["touched_partitions"]}
+    assert all(f"station_bucket={bucket}/" in f for f in before ^ files())
+    assert sum(f"station_bucket={bucket}/" not in f for f in before & files()) >= min(STATION_BUCKETS, len(before)) // 2
+    assert sorted(map(str, lake.table(silver).drop("_merged_at", "_ingested_at").collect())) == sorted(map(str, rows))
+    touched = lake.table(silver).where(partition_filter(("obs_year", "station_bucket"), out["touched_partitions"]))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "station_bucket" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
 def test_station_backfill_counts_bad_cells_and_refuses_unknown_stations(spark, tmp_root):
     from stratum.plans.historical import run_station_backfill
 
