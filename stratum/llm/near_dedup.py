@@ -303,7 +303,11 @@ def forest(members: list[tuple[bytes, bytes, bytes]], asking: list[int], thresho
     edges = np.searchsorted(own, np.arange(len(members) + 1))
     # weights by group of shingles: what two members differ in there they cannot share
     group = own * GROUPS + (np.concatenate(keys) & _U(GROUPS - 1)).astype(np.int64)
-    groups = np.minimum(np.bincount(group, weight, len(members) * GROUPS), 30_000).astype(np.int16).reshape(-1, GROUPS)
+    groups = np.zeros((len(members), GROUPS), np.int16)
+    for lo in range(0, len(members), 1024):  # short texts are many members: some at a time
+        hi = min(lo + 1024, len(members))
+        part = slice(edges[lo], edges[hi])
+        groups[lo:hi] = np.minimum(np.bincount(group[part] - lo * GROUPS, weight[part], (hi - lo) * GROUPS), 30_000).reshape(-1, GROUPS)
     held = np.zeros(len(often), np.int64)  # the asking member's counts
     out: list[tuple[int, int, float]] = []
     compared = 0
