@@ -17,7 +17,8 @@ Spark's writers commit them, so a lost executor costs its tasks only.
 
 Texts are encoded by the tokenizers library, word by word: between ASCII white
 space its result for a text is the results of the words, one after another, and
-a worker keeps the ids of up to ``CACHE`` words. Words are lower-cased (ASCII)
+a worker keeps the ids of about ``CACHE`` words (a few documents are encoded between
+two looks at that bound). Words are lower-cased (ASCII)
 first, as the tokenizer does itself, unless the text might hold a special token.
 This holds for tokenizers that lower-case and split at white space, as the test
 against whole texts shows for the one that the query uses.
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,43 +67,44 @@ class WordEncoder:
     def __init__(self, file: str, width: type):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.width, self.cache = Tokenizer.from_file(file), width, {}
+        self.tokenizer, self.width, self.cache = Tokenizer.from_file(file), width, _Words(self.learn)
+        self.merges = self.tokenizer.model.tokenize
+        self.packed = [width(i).tobytes() for i in range(self.tokenizer.get_vocab_size())]
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
-    def _learn(self, words: list[bytes]) -> None:
-        merges, slow = self.tokenizer.model.tokenize, []
-        ends: dict[bytes, list[tuple[bytes, bytes]]] = {}
-        for word in words:
-            plain = _PLAIN.fullmatch(word.decode())
-            if not plain:
-                slow.append(word)
-                continue
-            stem, end = plain.groups()
-            letters = stem.lower()
-            if not letters.isascii():
-                letters = letters.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in merges(letters)], self.width).tobytes()
-            if end:
-                ends.setdefault(end.encode(), []).append((word, ids))
-            else:
-                self.cache[word] = ids
-        slow += [e for e in ends.keys() - set(slow) if e not in self.cache]
-        found = self.tokenizer.encode_batch([w.decode() for w in slow], add_special_tokens=False)
-        for word, encoding in zip(slow, found, strict=True):
-            self.cache[word] = np.array(encoding.ids, self.width).tobytes()
-        for end, stems in ends.items():
-            for word, ids in stems:
-                self.cache[word] = ids + self.cache[end]
+    def _merged(self, letters: str) -> bytes:
+        return b"".join([self.packed[t.id] for t in self.merges(letters)])
+
+    def learn(self, word: bytes) -> bytes:
+        """The ids of one word."""
+        if word.isalpha():  # ASCII letters only
+            return self._merged(word.lower().decode())
+        text = word.decode()
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+        stem, end = plain.groups()
+        letters = stem.lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        return self._merged(letters) + (self.cache[end.encode()] if end else b"")
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing = set().union(*split).difference(self.cache)
-        if missing:
-            if len(self.cache) + len(missing) > CACHE:  # what is in use now stays
-                used = set().union(*split)
-                self.cache = {w: self.cache[w] for w in used.difference(missing)}
-            self._learn(list(missing))
-        return [b"".join(map(self.cache.__getitem__, words)) for words in split]
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        ids = self.cache.__getitem__
+        return [b"".join(map(ids, (t if b"<|" in t else t.lower()).split())) for t in texts]
+
+
+class _Words(dict):
+    """Ids by word; a word that is not there yet is learned."""
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
 
 
 _encoders: dict = {}  # of a worker, kept from task to task
