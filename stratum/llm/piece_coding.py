@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 CACHE = 1_000_000
+TAIL = 4  # last characters of a piece that bound how long it can be
 GROUP = 1 << 20  # characters of the documents whose units are sorted together
 
 
@@ -59,12 +60,13 @@ class Pieces:
             other = rf"(?:[^\w{MARK}\n]|[{''.join(map(re.escape, sorted(going_on)))}])" if going_on else rf"[^\w{MARK}\n]"
             alone = r"\n|" if not any("\n" in p for p in pairs) else ""
             self.unit = re.compile(f"{alone}{MARK}*{other}*{word}+|{MARK}*{other}+|{MARK}+|\\n")
+        self._packed = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
         self._fits: dict[str, dict[str, bool]] = {}  # by the piece before
-        #: The length of the longest piece that ends with these two characters.
+        #: The length of the longest piece that ends with these ``TAIL`` characters.
         self.reach: dict[str, int] = {}
         for p in pieces:
-            if len(p) > 1:
-                self.reach[p[-2:]] = max(self.reach.get(p[-2:], 0), len(p))
+            if len(p) >= TAIL:
+                self.reach[p[-TAIL:]] = max(self.reach.get(p[-TAIL:], 0), len(p))
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging the best-scored neighbours, leftmost first, ends with."""
@@ -87,29 +89,32 @@ class Pieces:
 
     def _state(self, unit: str, i: int, stack: list[tuple[float, str]]) -> tuple[float, str]:
         """Forward state of the unit's first i characters."""
-        far = self.reach.get(unit[i - 2 : i], 1) if i > 1 else 1
+        first = max(0, i - self.reach.get(unit[i - TAIL : i], TAIL - 1)) if i >= TAIL else 0
+        score = self.score
         if self.kind == "bpe":
-            for j in range(max(0, i - far), i):
+            fits_by = self._fits
+            for j in range(first, i - 1):
                 piece = unit[j:i]
-                if j == i - 1 or piece in self.score:
+                if piece in score:
                     last = stack[j][1]
-                    known = self._fits.get(last)
-                    fits = known.get(piece) if known is not None else None
-                    if fits is None:
+                    try:
+                        fits = fits_by[last][piece]
+                    except KeyError:
                         fits = self._stays(last, piece)
                     if fits:
                         return 0.0, piece
+            return 0.0, unit[i - 1]  # no longer piece stays, so the character does
         best = None
-        for j in range(max(0, i - far), i):
+        for j in range(first, i):
             piece = unit[j:i]
-            score = self.score.get(piece, self.least if j == i - 1 else None)
-            if score is not None and (best is None or stack[j][0] + score > best[0]):
-                best = (stack[j][0] + score, piece)
+            s = score.get(piece, self.least if j == i - 1 else None)
+            if s is not None and (best is None or stack[j][0] + s > best[0]):
+                best = (stack[j][0] + s, piece)
         return best
 
     def segment(self, units: list[str]) -> Iterator[tuple[str, list[str]]]:
         """Pieces of the units, which come sorted."""
-        stack, before = [(0.0, "")], ""
+        stack, before, state = [(0.0, "")], "", self._state
         for unit in units:
             shared = 0
             for a, b in zip(before, unit):
@@ -118,22 +123,24 @@ class Pieces:
                 shared += 1
             del stack[shared + 1 :]
             for i in range(shared + 1, len(unit) + 1):
-                stack.append(self._state(unit, i, stack))
+                stack.append(state(unit, i, stack))
             before, pieces, i = unit, [], len(unit)
             while i:
                 pieces.append(stack[i][1])
                 i -= len(pieces[-1])
-            yield unit, pieces[::-1]
+            pieces.reverse()
+            yield unit, pieces
 
-    def numbered(self, pieces: list[str]) -> list[int]:
-        out = []
-        for p in pieces:
-            i = self.ids.get(p)
-            if i is not None:
-                out.append(i)
-            else:
-                out.extend(self.byte_ids[b] for b in p.encode())
-        return out
+    def packed(self, pieces: list[str]) -> bytes:
+        """Their ids, as little-endian 32-bit integers."""
+        known = self._packed
+        try:
+            return b"".join([known[p] for p in pieces])
+        except KeyError:  # a character without a piece: the pieces of its bytes
+            for p in pieces:
+                if p not in known:
+                    known[p] = b"".join([self.byte_ids[b].to_bytes(4, "little") for b in p.encode()])
+            return b"".join([known[p] for p in pieces])
 
 
 def load(file: str, kind: str = "bpe") -> tuple[Pieces, list[bytes]]:
@@ -170,7 +177,7 @@ class Encoder:
         if len(self.cache) + len(missing) > CACHE:
             self.cache = {u: self.cache[u] for u in used if u in self.cache}
         for unit, parts in self.pieces.segment(missing):
-            self.cache[unit] = np.array(self.pieces.numbered(parts), "<i4").tobytes()
+            self.cache[unit] = self.pieces.packed(parts)
         return [b"".join(map(self.cache.__getitem__, units)) for units in split]
 
 
