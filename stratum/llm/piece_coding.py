@@ -16,12 +16,17 @@ model:
   its neighbours are, so a state again depends on the prefix alone.
 
 Characters without a piece become the pieces of their UTF-8 bytes. A worker keeps
-the ids of up to ``CACHE`` units. Decoding joins pieces and bytes, turns marks
+the ids of up to ``CACHE`` units and marked words (what is between two runs of
+marks, of one unit or several) of at most ``LONG`` characters; only words that it
+does not know are cut into units. Decoding joins pieces and bytes, turns marks
 into spaces and takes the first one off.
 
 Defined cases: null and empty texts have no ids and decode to the empty text;
-null ids decode to null. A text that holds the mark itself decodes to a space
+null ids decode to null, a null among ids to nothing. A text that holds the mark itself decodes to a space
 there; bytes that are no UTF-8 decode to U+FFFD; control ids decode to nothing.
+Repeated rows get equal ids each, texts of any length are coded whole, an empty
+table gives an empty one. Other columns go through; one with the name of the
+result is replaced.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +45,9 @@ MARK = "▁"
 CACHE = 1_000_000
 TAIL = 4  # last characters of a piece that bound how long it can be
 GROUP = 1 << 20  # characters of the documents whose units are sorted together
+LONG = 64  # characters of an entry of the cache
+BLOCK = 1 << 18  # ids that are decoded at once
+_RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class Pieces:
@@ -53,7 +62,8 @@ class Pieces:
         pairs = {a + b for p in pieces for a, b in zip(p, p[1:])}
         # a unit ends before a mark and behind a word character; not where some piece goes on
         going_on = {a for a, b in pairs if re.match(r"\w", a) and not re.match(r"\w", b)}
-        if any(a != MARK and b == MARK for a, b in pairs):
+        self.across = any(a != MARK and b == MARK for a, b in pairs)  # pieces go on over marks
+        if self.across:
             self.unit = re.compile(r"(?s).+")
         else:
             word = r"[^\W%s]" % "".join(map(re.escape, sorted(going_on))) if going_on else r"\w"
@@ -61,50 +71,92 @@ class Pieces:
             alone = r"\n|" if not any("\n" in p for p in pairs) else ""
             self.unit = re.compile(f"{alone}{MARK}*{other}*{word}+|{MARK}*{other}+|{MARK}+|\\n")
         self._packed = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
-        self._fits: dict[str, dict[str, bool]] = {}  # by the piece before
         #: The length of the longest piece that ends with these ``TAIL`` characters.
         self.reach: dict[str, int] = {}
         for p in pieces:
             if len(p) >= TAIL:
                 self.reach[p[-TAIL:]] = max(self.reach.get(p[-TAIL:], 0), len(p))
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging the best-scored neighbours, leftmost first, ends with."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        #: Of each piece its state, and whether it stays behind the pieces met so far.
+        self._own: dict[str, tuple[tuple[float, str], dict[str, bool]]] = {p: ((0.0, p), {}) for p in pieces if len(p) > 1}
+        #: Lengths of the pieces that end with these ``TAIL + 1`` characters, longest first.
+        self._lengths: dict[str, list[int]] = {}
+        for p in sorted(pieces, key=len, reverse=True):
+            if len(p) > TAIL:
+                self._lengths.setdefault(p[-TAIL - 1 :], []).append(len(p))
+        self._lengths = {tail: list(dict.fromkeys(n)) for tail, n in self._lengths.items()}
+        self._ends: dict[str, tuple] = {}
+        self._steps: dict[str, list[tuple[float, str, str]] | None] = {}
+
+    def _merges(self, piece: str) -> list[tuple[float, str, str]] | None:
+        """The merges that make the piece: score, then first and last part behind
+        it; None if merging does not end with the piece."""
+        if piece not in self._steps:
+            parts, steps = list(piece), []
+            while len(parts) > 1:
+                scored = [(s, -i) for i in range(len(parts) - 1) if (s := self.score.get(parts[i] + parts[i + 1])) is not None]
+                if not scored:
+                    break
+                s, i = max(scored)
+                parts[-i : 2 - i] = [parts[-i] + parts[1 - i]]
+                steps.append((s, parts[0], parts[-1]))
+            self._steps[piece] = steps if len(parts) == 1 else None
+        return self._steps[piece]
 
     def _stays(self, last: str, piece: str) -> bool:
-        fits = self.merged(last + piece) == ([last, piece] if last else [piece])
-        self._fits.setdefault(last, {})[piece] = fits
-        return fits
+        """Whether merging both together ends with these two: the merges of either
+        side go on in the order of all, until one over the border comes first."""
+        left, right = self._merges(last) if last else [], self._merges(piece)
+        if left is None or right is None:
+            return False
+        if not last:
+            return True
+        end, begin, x, y = last[-1], piece[0], 0, 0
+        while True:
+            over = self.score.get(end + begin)
+            a = left[x][0] if x < len(left) else None
+            b = right[y][0] if y < len(right) else None
+            if over is not None and (a is None or over > a) and (b is None or over >= b):
+                return False
+            if a is not None and (b is None or a >= b):
+                end, x = left[x][2], x + 1
+            elif b is not None:
+                begin, y = right[y][1], y + 1
+            else:
+                return True
+
+    def _ending(self, tail: str) -> tuple:
+        """Of texts that end with the tail: whether longer pieces do, the pieces in
+        the tail (length, state, where it stays), longest first, and the state of
+        the last character."""
+        near = [(k, *self._own[tail[-k:]]) for k in range(len(tail), 1, -1) if tail[-k:] in self._own]
+        if len(self._ends) >= CACHE:
+            self._ends.clear()
+        self._ends[tail] = found = (self.reach.get(tail, 0) > TAIL, near, (0.0, tail[-1]))
+        return found
 
     def _state(self, unit: str, i: int, stack: list[tuple[float, str]]) -> tuple[float, str]:
         """Forward state of the unit's first i characters."""
-        first = max(0, i - self.reach.get(unit[i - TAIL : i], TAIL - 1)) if i >= TAIL else 0
-        score = self.score
         if self.kind == "bpe":
-            fits_by = self._fits
-            for j in range(first, i - 1):
-                piece = unit[j:i]
-                if piece in score:
-                    last = stack[j][1]
-                    try:
-                        fits = fits_by[last][piece]
-                    except KeyError:
-                        fits = self._stays(last, piece)
-                    if fits:
-                        return 0.0, piece
-            return 0.0, unit[i - 1]  # no longer piece stays, so the character does
-        best = None
+            tail = unit[i - TAIL : i] if i > TAIL else unit[:i]
+            far, near, alone = self._ends.get(tail) or self._ending(tail)
+            if far and i > TAIL:
+                for k in self._lengths.get(unit[i - TAIL - 1 : i], ()):
+                    if k <= i and (own := self._own.get(unit[i - k : i])):
+                        state, fits = own
+                        last = stack[i - k][1]
+                        if (stays := fits.get(last)) is None:
+                            stays = fits[last] = self._stays(last, state[1])
+                        if stays:
+                            return state
+            for k, state, fits in near:
+                last = stack[i - k][1]
+                if (stays := fits.get(last)) is None:
+                    stays = fits[last] = self._stays(last, state[1])
+                if stays:
+                    return state
+            return alone  # no longer piece stays, so the character does
+        first = max(0, i - self.reach.get(unit[i - TAIL : i], TAIL - 1)) if i >= TAIL else 0
+        score, best = self.score, None
         for j in range(first, i):
             piece = unit[j:i]
             s = score.get(piece, self.least if j == i - 1 else None)
@@ -165,20 +217,40 @@ def load(file: str, kind: str = "bpe") -> tuple[Pieces, list[bytes]]:
 
 
 class Encoder:
-    """Ids of texts, through a cache of units."""
+    """Ids of texts, through a cache of marked words and units."""
 
     def __init__(self, pieces: Pieces):
         self.pieces, self.cache = pieces, {}
 
+    def _words(self, text: str) -> list[str]:
+        """The marked text, cut before each run of marks."""
+        if not text:
+            return []
+        if not self.pieces.across and "  " not in text and text[0] != " " and MARK not in text:
+            return (MARK + text.replace(" ", " " + MARK)).split(" ")
+        marked = MARK + text.replace(" ", MARK)
+        return [marked] if self.pieces.across else _RUNS.findall(marked)
+
+    def _learned(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not in the cache."""
+        units = {w: self.pieces.unit.findall(w) for w in words}
+        missing = sorted(set().union(*units.values()).difference(self.cache))
+        ids = {u: self.pieces.packed(parts) for u, parts in self.pieces.segment(missing)}
+        for w, parts in units.items():
+            if w not in ids:
+                ids[w] = b"".join([ids[u] if u in ids else self.cache[u] for u in parts])
+        return ids
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces.unit.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        used = set().union(*split)
-        missing = sorted(used.difference(self.cache))
-        if len(self.cache) + len(missing) > CACHE:
-            self.cache = {u: self.cache[u] for u in used if u in self.cache}
-        for unit, parts in self.pieces.segment(missing):
-            self.cache[unit] = self.pieces.packed(parts)
-        return [b"".join(map(self.cache.__getitem__, units)) for units in split]
+        split = [self._words(t) for t in texts]
+        found = [list(map(self.cache.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
+        learned = self._learned(new) if new else {}
+        if len(self.cache) + len(learned) > CACHE:  # what these texts use stays
+            self.cache = {w: i for words, ids in zip(split, found, strict=True) for w, i in zip(words, ids, strict=True) if i is not None}
+        self.cache.update((u, i) for u, i in learned.items() if len(u) <= LONG)
+        return [b"".join([learned[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids)
+                for words, ids in zip(split, found, strict=True)]
 
 
 def encode(docs: DataFrame, file: str, text: str = "text", out: str = "ids", kind: str = "bpe") -> DataFrame:
@@ -208,13 +280,38 @@ def decode(docs: DataFrame, file: str, ids: str = "ids", out: str = "decoded") -
 
     @F.arrow_udf(T.StringType())
     def text(column: pa.Array) -> pa.Array:
-        table = _tables(file)
-        return pa.array([None if not v.is_valid else b"".join(map(table.__getitem__, v.values.to_numpy().tolist())).removeprefix(b" ").decode("utf-8", "replace")
-                         for v in column], pa.string())
+        return _decoded(column, _tables(file))
 
     return docs.withColumn(out, text(F.col(ids)))
 
 
+def _decoded(column: pa.Array, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
+    """Texts of a column of arrays of ids."""
+    starts, sizes, data = table
+    ids = pc.fill_null(column.flatten(), len(sizes) - 1).to_numpy()
+    parts, ends = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+    for lo in range(0, len(ids), BLOCK):
+        some = ids[lo : lo + BLOCK]
+        size = sizes[some]
+        upto = np.cumsum(size)
+        parts.append(data[np.repeat(starts[some] - (upto - size), size) + np.arange(upto[-1])])
+        ends.append(upto + ends[-1][-1])
+    joined = np.concatenate(parts)
+    rows = np.concatenate([[0], np.cumsum(pc.fill_null(column.value_lengths(), 0).to_numpy())])
+    offsets = np.concatenate(ends)[rows]
+    full = np.flatnonzero(offsets[1:] > offsets[:-1])
+    first = full[joined[offsets[full]] == ord(" ")]  # rows whose first byte goes
+    joined = np.delete(joined, offsets[first])
+    gone = np.zeros(len(offsets), np.int64)
+    gone[first + 1] = 1
+    offsets = (offsets - np.cumsum(gone)).astype(np.int32)
+    raw = pa.Array.from_buffers(pa.binary(), len(column), [column.is_valid().buffers()[1], pa.py_buffer(offsets), pa.py_buffer(joined)])
+    try:
+        return raw.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        return pa.array([None if b is None else b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
+
+
 _loaded: dict = {}  # of a worker
 
 
@@ -224,9 +321,13 @@ def _encoder(file: str, kind: str) -> Encoder:
     return _loaded[file, kind]
 
 
-def _tables(file: str) -> list[bytes]:
+def _tables(file: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each id's bytes start, how many they are, and all of them; the id
+    behind the last has none."""
     if file not in _loaded:
-        _loaded[file] = load(file)[1]
+        text = [*load(file)[1], b""]
+        size = np.array([len(t) for t in text], np.int64)
+        _loaded[file] = np.cumsum(size) - size, size, np.frombuffer(b"".join(text), np.uint8)
     return _loaded[file]
 
 
