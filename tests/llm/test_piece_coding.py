@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 
@@ -64,3 +65,46 @@ def test_shared_prefixes_are_computed_once(monkeypatch):
     monkeypatch.setattr(C.Pieces, "_state", lambda self, unit, i, stack: (seen.append((unit[:i])), old(self, unit, i, stack))[1])
     list(vocabulary.segment(sorted(["▁there", "▁therefore", "▁thereby", "▁the", "▁these"])))
     assert len(seen) == len(set(seen))
+
+
+def _merged(text, score):
+    """The pieces that merging the best-scored neighbours, leftmost first, ends with."""
+    parts = list(text)
+    while scored := [(-score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in score]:
+        i = min(scored)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+def test_fits_equal_plain_merging():
+    rng = random.Random(3)
+    for _ in range(300):
+        pieces = sorted({"".join(rng.choice("ab") for _ in range(rng.randint(1, 4))) for _ in range(8)} | {"a", "b"})
+        vocabulary = C.Pieces({p: (i, -float(rng.randint(1, 6))) for i, p in enumerate(pieces)}, {})
+        for last in [*pieces, "", "c"]:
+            for piece in pieces:
+                want = _merged(last + piece, vocabulary.score) == ([last, piece] if last else [piece])
+                assert vocabulary._stays(last, piece) == want
+
+
+def test_a_full_cache_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(C, "CACHE", 40)
+    rng = random.Random(4)
+    model = SentencePieceProcessor(model_file=FILE)
+    encoder = C.Encoder(C.load(FILE)[0])
+    for _ in range(40):
+        texts = [" ".join("".join(rng.choice("abeinrst,.\n") for _ in range(rng.choice((1, 3, 9, 90)))) for _ in range(8)) for _ in range(3)] + ["the cat, the dog", ""]
+        assert [np.frombuffer(ids, "<i4").tolist() for ids in encoder(texts)] == [model.encode(t) for t in texts]
+
+
+def test_pieces_that_go_on_over_marks():
+    vocabulary = C.Pieces({"a▁b": (0, -1.0), "▁": (1, -2.0), "a": (2, -2.0), "b": (3, -2.0)}, {}, "unigram")
+    got = [np.frombuffer(ids, "<i4").tolist() for ids in C.Encoder(vocabulary)(["a b", "", "b a"])]
+    assert got == [[1, 0], [], [1, 3, 1, 2]]
+
+
+def test_nulls_among_ids(spark):
+    a = SentencePieceProcessor(model_file=FILE).encode("a")[0]
+    rows = [(1, [None, a, None]), (2, [None]), (3, None), (4, [a, a])]
+    got = {r.k: r.decoded for r in C.decode(spark.createDataFrame(rows, "k int, ids array<int>"), FILE).collect()}
+    assert got == {1: "a", 2: "", 3: None, 4: "a a"}
