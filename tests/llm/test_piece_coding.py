@@ -1,5 +1,6 @@
 """Piece coding against the library; Viterbi against all segmentations."""
 
+import hashlib
 import itertools
 import random
 
@@ -108,3 +109,15 @@ def test_nulls_among_ids(spark):
     rows = [(1, [None, a, None]), (2, [None]), (3, None), (4, [a, a])]
     got = {r.k: r.decoded for r in C.decode(spark.createDataFrame(rows, "k int, ids array<int>"), FILE).collect()}
     assert got == {1: "a", 2: "", 3: None, 4: "a a"}
+
+
+def test_registered_query(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    model = SentencePieceProcessor(model_file=FILE)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    out = C.op7_piece_coding(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in out) == sorted(texts)
+    for r in out:
+        want = model.encode(texts[r.doc_id])
+        assert r.ids == want and r.n_pieces == len(want)
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].replace(C.MARK, " ").encode()).hexdigest()
