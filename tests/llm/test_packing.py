@@ -70,3 +70,48 @@ def test_word_count(spark):
     texts = [None, "", "  ", "a", " a  b\tc\nd ", "é x y", "w " * 50_000]
     got = [r.n for r in spark.createDataFrame([(t,) for t in texts], "text string").select(P.word_count().alias("n")).collect()]
     assert got == [0, 0, 0, 1, 4, 2, 50_000]
+
+
+def plainly_packed(lengths, sizes, overhead=P.OVERHEAD):
+    """(capacity, lengths) of the bins, by going through all bins and all pieces each time."""
+    rest, bins = sorted(lengths, reverse=True), []
+    while rest:
+        n = rest.pop(0)
+        open_bins = [b for b in bins if b[0] - sum(b[1]) >= n]
+        if open_bins:
+            min(open_bins, key=lambda b: b[0] - sum(b[1]))[1].append(n)
+            continue
+        costs = []
+        for c in (c for c in sizes if c >= n):
+            room = c - n
+            for m in rest:
+                room -= m if m <= room else 0
+            costs.append(((overhead + c) / (c - room), c))
+        bins.append((min(costs)[1], [n]))
+    return sorted((min(s for s in sizes if s >= sum(own)), sorted(own)) for _, own in bins)
+
+
+def contents(bins, capacity, lengths):
+    own = {}
+    for b, c, n in zip(bins, capacity, lengths, strict=True):
+        own.setdefault((b, c), []).append(n)
+    return sorted((c, sorted(ns)) for (_, c), ns in own.items())
+
+
+@pytest.mark.parametrize("sizes", [SIZES, (4096,), (700, 1900)])
+def test_equals_a_plain_packer(sizes):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 30, 250):
+        for lengths in (rng.integers(1, max(sizes) + 1, n), np.minimum(rng.lognormal(5, 1.5, n).astype(int) + 1, max(sizes)), rng.integers(1, 4, n) * 100):
+            bins, capacity, _, _ = P.pack(lengths.astype(np.int64), sizes)
+            assert contents(bins.tolist(), capacity.tolist(), lengths.tolist()) == plainly_packed(lengths.tolist(), sizes)
+
+
+def test_registered_query_equals_a_plain_packer(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    out = P.op1_best_fit_packing(spark, sf_dir).toPandas()
+    pieces = []
+    for (text,) in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
+        words = len([w for w in (text or "").translate(dict.fromkeys(range(9, 14), " ")).split(" ") if w])
+        pieces += [min(max(SIZES), words - at) for at in range(0, words, max(SIZES))]
+    assert contents(out["bin_id"], out["bin_capacity"], out["n_tokens"]) == plainly_packed(pieces, SIZES)
