@@ -48,3 +48,53 @@ def test_odd_rows(spark):
     one = Q.fit(docs, labels.where("quality = 1"))
     assert all(r.score > 0.99 for r in Q.score(docs, one).collect())
     assert Q.score(docs.limit(0), model).count() == 0
+
+
+def plainly_trained(rows, quality, prior, bits, dim=8, epochs=5, rate=200.0, layer_rate=0.4, batch=16, seed=7):
+    """Softmax over averaged vectors, trained text by text in double precision;
+    gives the probability of label 1 for a text's buckets and shares."""
+    rng = np.random.default_rng(seed)
+    vectors = rng.uniform(-1.0 / dim, 1.0 / dim, (1 << bits, dim)).astype(np.float32).astype(float)
+    layer, bias = rng.normal(0, 0.5, (dim, 2)).astype(np.float32).astype(float), np.zeros(2)
+
+    def average(row):
+        return sum((share * vectors[bucket] for bucket, share in zip(*row, strict=True)), np.zeros(dim))
+
+    def softmax(z):
+        return np.exp(z) / np.exp(z).sum()
+
+    order = rng.permutation(len(quality))
+    groups = [order[i : i + batch] for i in range(0, len(order), batch)]
+    step = 0
+    for _ in range(epochs):
+        for g in rng.permutation(len(groups)):
+            falling = 1 - step / (epochs * len(groups))
+            step += 1
+            errors = [(i, average(rows[i]), (softmax(average(rows[i]) @ layer + bias) - np.eye(2)[quality[i]]) / len(groups[g])) for i in groups[g]]
+            old = layer.copy()
+            for i, hidden, error in errors:
+                layer -= layer_rate * falling * np.outer(hidden, error)
+                bias -= layer_rate * falling * error
+                for bucket, share in zip(*rows[i], strict=True):
+                    vectors[bucket] -= rate * falling * share * (old @ error)
+    share = np.mean(quality)
+
+    def scored(row):
+        zero, one = softmax(average(row) @ layer + bias)
+        odds = one / zero * (prior / (1 - prior)) / (share / (1 - share))
+        return odds / (1 + odds)
+
+    return scored
+
+
+def test_scores_equal_a_plain_model():
+    rng = np.random.default_rng(5)
+    good, bad = ["river", "history", "paper", "light", "é"], ["click", "buy", "!!!", "free", "river"]
+    texts = [" ".join(rng.choice(good if i % 3 else bad, rng.integers(1, 30))) for i in range(60)]
+    quality = [int(i % 3 > 0) for i in range(60)]
+    model = Q.train(texts, quality, 0.8, bits=10)
+    asked = texts + ["river", "", "buy buy paper", "unseen words only"]
+    plain = plainly_trained(Q._rows_of(texts, 10), quality, 0.8, 10)
+    want = np.array([plain(row) for row in Q._rows_of(asked, 10)])
+    got = Q.scores(pa.array(asked), model)
+    assert np.allclose(got, want, atol=2e-3) and want.std() > 0.2
