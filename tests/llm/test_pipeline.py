@@ -47,3 +47,32 @@ def test_a_rerun_takes_the_same_documents(spark):
 
 def test_line_keys_of_the_pipeline_are_those_of_the_operator():
     assert L.keys_sql("x").startswith("transform(")
+
+
+def test_stages_on_odd_rows_and_empty_tables(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text), (1, text), (None, text), (2, None), (2, None), (None, None), (3, ""), (4, "\n \n"), (5, "word " * 30_000), (6, "a\nb"), (6, "c d")]
+    docs = spark.createDataFrame([(i, t, None, None, None, "x", "y", 1) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint, __score string, __print string, bin_id int")
+    stages = dict(P.STAGES)
+
+    kept = stages["quality classifier"](spark, docs, "/root/testdata/sf0.001")
+    assert kept.columns == P.DOCUMENT
+    first = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert not first - collections.Counter(rows) and len({first[1, text], 2 * first[None, text]}) == 1  # equal texts share their fate
+
+    lines = stages["line dedup"](spark, docs, "")
+    assert lines.columns == P.DOCUMENT and all(r.n_chars == len(r.text or "") for r in lines.collect())
+    assert collections.Counter((r.doc_id, r.text or "") for r in lines.collect()) == collections.Counter((i, t or "") for i, t in rows)
+
+    single = P.written(stages["MinHash near-dedup"](spark, docs, ""), "test")
+    got = collections.Counter((r.doc_id, r.text or "") for r in single.collect())
+    assert single.columns == P.DOCUMENT
+    assert got == collections.Counter({(1, text): 1, (2, ""): 1, (None, ""): 1, (3, ""): 1, (4, "\n \n"): 1, (5, "word " * 30_000): 1, (6, "a\nb"): 1, (6, "c d"): 1})
+
+    packed = stages["best-fit packing"](spark, docs, "").toPandas()
+    assert packed["n_tokens"].sum() == 3 * 7 + 30_000 + 4 and packed["doc_id"].isna().sum() == 1
+
+    for name, stage in P.STAGES:
+        empty = stage(spark, docs.limit(0), "/root/testdata/sf0.001")
+        assert empty.count() == 0 and (name == "best-fit packing" or empty.columns == P.DOCUMENT)
