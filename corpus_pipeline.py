@@ -3,6 +3,13 @@
 ``STAGES`` are (name, function) pairs; a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next one's
 ``docs``. All but the last return the columns of documents.
+
+Defined cases, in every stage: further columns of ``docs`` do not go on, whatever
+their names; the columns of documents must be there. Null texts are scored and
+packed like empty ones (which have no piece). Repeated rows share the classifier's
+decision and lose the same lines; near-dedup keeps one of them, the one of the
+least id (null ids last). Texts without words stay, once for each id, and all of
+null ids. Ties and long texts: as in the operators. Empty tables give empty ones.
 """
 
 from __future__ import annotations
