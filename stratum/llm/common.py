@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.session import shared_dir
 
-#: Texts are hashed in blocks of about so many bytes, so that a task's memory
-#: does not follow the Arrow batch or the longest text.
+#: Texts are hashed in parts of at most about so many bytes, so that a task's memory
+#: does not follow the longest text.
 BLOCK_BYTES = 1 << 20
+#: Texts that are looked at together have about so many bytes: what is computed of a
+#: byte takes some ten times its size, in every Python worker.
+TOGETHER = 1 << 18
+#: Rows of texts in an Arrow batch: the batch is in the executor's memory outside its
+#: heap and in the worker's, with what the worker gives back.
+TEXT_ROWS = 1000
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
@@ -26,14 +33,28 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return shared_dir(spark, f"llm/{tag}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, tag: str, path: str | None = None, few: bool = False) -> DataFrame:
+@contextmanager
+def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows, for what is run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = int(spark.conf.get(name))
+    spark.conf.set(name, rows if old <= 0 else min(rows, old))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def written(df: DataFrame, tag: str, path: str | None = None, few: bool = False, texts: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder, read again: cuts lineage and
     survives the executors that made it. ``few``: in no more files than twice the
-    cluster's cores, for the many small tables of iterations."""
+    cluster's cores, for the many small tables of iterations. ``texts``: Python gets
+    whole texts, some at a time."""
     path = path or new_path(df.sparkSession, tag)
     if few:
         df = df.coalesce(max(1, 2 * df.sparkSession.sparkContext.defaultParallelism))
-    df.write.option("compression", "zstd").parquet(path)
+    with _batches(df.sparkSession, TEXT_ROWS) if texts else nullcontext():
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,7 +91,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, grown as needed."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + (1 << 16))
+        size = max(n, TOGETHER + (1 << 16))
         up = np.full(size, _BASE)
         down = np.full(size, _INVERSE)
         up[0] = down[0] = 1
@@ -115,8 +136,10 @@ class Block:
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The texts of an Arrow batch in blocks (null: empty). A text longer than
-    ``limit`` is cut at white space into parts that carry the same row."""
+    """The texts of an Arrow batch in blocks (null: empty), ``TOGETHER`` bytes or a
+    text each. A text longer than ``limit`` is cut at white space into parts that
+    carry the same row."""
+    together = min(limit, TOGETHER)
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -138,7 +161,7 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
                     end_here = at + limit + int(ahead[0]) + 1 if len(ahead) else end
             else:
                 end_here = end
-            if rows and end_here - cuts[0] > limit:
+            if rows and end_here - cuts[0] > together:
                 yield Block(data[cuts[0] : cuts[-1]], np.array(cuts), np.array(rows))
                 cuts, rows = [cuts[-1]], []
             cuts.append(end_here)

@@ -235,7 +235,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, whole: DataFrame) -> DataFrame
     near = written(near, "near", few=True)
     return written(near.join(whole.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a")
                    .join(whole.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b")
-                   .select("a", "b", _overlap("x", "y").alias("sim")), "pairs", few=True)
+                   .select("a", "b", _overlap("x", "y").alias("sim")), "pairs", few=True, texts=True)
 
 
 def _starred(rows: DataFrame) -> DataFrame:
@@ -383,12 +383,12 @@ def links(docs: DataFrame, prints: DataFrame, threshold: float = 0.8, text: str
     discard(candidates)
     # the whole texts of all candidates: one for each fingerprint before anything is joined
     whole = written(docs.select(F.col(text).alias("text"), _fp(F.col(text)).alias("fp")).groupBy("fp").agg(F.first("text").alias("text"))
-                    .join(shared.select("fp").distinct(), "fp", "left_semi"), "whole")
+                    .join(shared.select("fp").distinct(), "fp", "left_semi"), "whole", texts=True)
     found = _compared(_starred(shared), texts, whole)
     mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
     found = found.unionByName(_compared(_starred(mixed.where("is_minor")), texts, whole)).where(F.col("sim") >= threshold)
     mixed = written(_mixed(shared, found, threshold), "mixed", few=True)
-    found = found.unionByName(written(_across(mixed, whole, threshold), "across"))
+    found = found.unionByName(written(_across(mixed, whole, threshold), "across", texts=True))
     discard(whole)
     return found
 
@@ -398,7 +398,7 @@ def _classed(docs: DataFrame, threshold: float, text: str = "text", doc_id: str
     and one fingerprint of each component: the least id (nulls last), then the
     least fingerprint of that id. Rows without words are kept."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), _prints(F.col(text)).alias("p"))
-    prints = written(rows.select("doc_id", "p.fp", "p.n", "p.bands", "p.sig"), "prints")
+    prints = written(rows.select("doc_id", "p.fp", "p.n", "p.bands", "p.sig"), "prints", texts=True)
     found = links(docs, prints, threshold, text)
     comp = components(found)
     least = prints.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(

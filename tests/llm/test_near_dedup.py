@@ -215,3 +215,37 @@ def test_texts_below_the_threshold_are_hardly_compared():
     copies = [bags[0]] * 700 + [bags[1]] * 500
     found, compared = N.forest([(str(i).encode(), str(i).encode(), _bag(t)) for i, t in enumerate(copies)], list(range(1200)), 0.8)
     assert len(found) == compared == 1198
+
+
+def test_memory_of_a_worker_follows_neither_the_batch_nor_its_texts():
+    """Ten times the text takes little more than the result's own size."""
+    import tracemalloc
+
+    def peak(n):
+        texts = pa.array([" ".join(f"w{i}x{k}" for k in range(300)) for i in range(n)])
+        for f in (N._fp, N._prints):
+            f.func(texts)  # tables that are made once
+        tracemalloc.start()
+        N._fp.func(texts)
+        N._prints.func(texts)
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top
+
+    assert peak(1500) < 24 << 20
+
+
+def test_python_gets_texts_in_small_batches(spark):
+    from stratum.llm import common
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    rows = spark.range(0, 5 * common.TEXT_ROWS, 1, 1).selectExpr("cast(id AS string) AS text")
+    got = [r.n for r in common.written(rows.mapInArrow(sizes, "n long"), "batches", texts=True).collect()]
+    assert sum(got) == 5 * common.TEXT_ROWS and max(got) <= common.TEXT_ROWS
+    assert spark.conf.get(name) == old
