@@ -18,9 +18,11 @@ Pieces. Texts are cut into runs of strings that share an anchor: the least hash
 of the ``ANCHOR``-byte strings inside. Equal strings have equal anchors, so a
 bucket of anchors finds all their copies by itself; pieces of a bucket overlap
 those of others by ``SPAN - 1`` bytes and no match is lost. A bucket holds about
-``BUCKET`` bytes of text, so its collection does not grow with the corpus. Pieces whose
-anchor is in one document only can have no match and stay outside: where pieces are
-goes to the buckets first, then the pieces of shared anchors. Equal pieces are one document of the collection, with the least of their ids. Anchors that are
+``BUCKET`` bytes of text, so its collection does not grow with the corpus. The
+strings of a piece have their anchor at one place, and every string holds the
+``SIDE`` bytes in front of it or those behind it. So pieces of which no other document
+has the anchor with either side can have no match and stay outside: where pieces are
+goes to the buckets first, then the pieces of shared anchors and sides. Equal pieces are one document of the collection, with the least of their ids. Anchors that are
 in more than a 64th of a sample of documents are hot: their pieces are cut into
 single strings, dealt by the whole string, and copies of a block of texts travel
 once. The sample decides how work is spread, never what is found.
@@ -50,12 +52,13 @@ from stratum.llm.common import _U, mix, written
 
 SPAN = 50
 ANCHOR = 16
+SIDE = (SPAN - ANCHOR) // 2  # bytes beside its anchor that every string has on one side at least
 MOST = 48  # strings in a piece
 SECTION = 4 << 20  # bytes of text looked at together
 BUCKET = 8 << 20  # bytes of text a bucket
 PIECES = 16 << 20  # bytes of pieces sent together
 SAMPLE, HOT = 4096, 64
-BLOCK = 1 << 20  # entries of a file read at once
+BLOCK = 1 << 17  # entries of a file read at once: what is computed of them stays near the processor
 LAST = (1 << 63) - 1  # stands for a null id
 END = 255  # no byte of UTF-8; in front of a piece's first symbol
 _LONG, _PREFIX = 128, 63
@@ -278,10 +281,11 @@ def _unpacked(data: bytes, *dtypes: str) -> list[np.ndarray]:
     return [np.frombuffer(raw[a:b], t) for a, b, t in zip(ends[:-1].tolist(), ends[1:].tolist(), dtypes, strict=True)]
 
 
-def anchors(data: np.ndarray) -> np.ndarray:
-    """Of each position: the anchor of the string that starts there."""
+def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each position: the eight bytes from there on, and the hash of the
+    ``ANCHOR``-byte string that starts there."""
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
-    words = np.empty(len(data), _U)  # the eight bytes from each position on
+    words = np.empty(len(data), _U)
     for k in range(8):
         words[k::8] = padded[k : k + (len(data) - k + 7) // 8 * 8].view("<u8")
     h = words[: len(data) - ANCHOR + 1] * _BASE
@@ -289,6 +293,10 @@ def anchors(data: np.ndarray) -> np.ndarray:
     h ^= h >> _U(32)
     h *= _BASE
     h ^= h >> _U(29)
+    return words, h
+
+
+def _least(h: np.ndarray) -> np.ndarray:
     width, size = SPAN - ANCHOR + 1, 1
     while size * 2 <= width:
         h = np.minimum(h[:-size], h[size:])
@@ -296,6 +304,27 @@ def anchors(data: np.ndarray) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - size)], h[width - size :])
 
 
+def anchors(data: np.ndarray) -> np.ndarray:
+    """Of each position: the anchor of the string that starts there."""
+    return _least(_hashes(data)[1])
+
+
+def _sides(words: np.ndarray, h: np.ndarray, start: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the SIDE bytes in front of and behind the first anchor of the
+    strings from ``start`` on. Bytes that no string of the piece holds do no harm."""
+    at = np.empty(len(start), np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(h, SPAN - ANCHOR + 1)
+    for lo in range(0, len(start), 1 << 14):
+        own = slice(lo, lo + (1 << 14))
+        at[own] = start[own] + (windows[start[own]] == anchor[own, None]).argmax(1)
+
+    def side(begin: np.ndarray) -> np.ndarray:  # SIDE = 17: two words and a byte
+        first, second, third = (words[np.clip(begin + k, 0, len(words) - 1)] for k in (0, 8, SIDE - 8))
+        return mix(mix(first * _BASE + second) * _FURTHER + third)
+
+    return side(at - SIDE), side(at + ANCHOR)
+
+
 class _Sections:
     """Sections of texts looked at together."""
 
@@ -317,13 +346,15 @@ class _Sections:
             if self.bytes >= SECTION:
                 yield from self.flush()
 
-    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(start, strings, section, key) of the pieces."""
+    def cut(self) -> tuple[np.ndarray, ...]:
+        """(start, strings, section, key, marks of both sides) of the pieces."""
         raw = b"".join(self.parts)
         sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        anchor = anchors(np.frombuffer(raw, np.uint8))
+        words, h = _hashes(np.frombuffer(raw, np.uint8))
+        anchor = _least(h)
         new = np.empty(len(anchor), bool)
-        new[0], new[1:] = True, anchor[1:] != anchor[:-1]
+        # another anchor, or the same one again behind the place that is left
+        new[0], new[1:] = True, (anchor[1:] != anchor[:-1]) | (h[: len(anchor) - 1] == anchor[:-1])
         ends = np.cumsum(sizes)
         new[ends[:-1]] = True
         over = (ends[:-1, None] + np.arange(1 - SPAN, 0)).ravel()  # strings that would reach into the next section
@@ -332,21 +363,25 @@ class _Sections:
         start = np.flatnonzero(new & inside)
         section = np.searchsorted(ends, start, "right")
         strings = np.minimum(np.append(start[1:], len(anchor)), ends[section] - SPAN + 1) - start
+        sides = _sides(words, h, start, anchor[start])
         most = np.where(np.isin(anchor[start], self.hot), 1, MOST)
         parts = -(-strings // most)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        start, strings, section, most = (np.repeat(x, parts) for x in (start, strings, section, most))
+        start, strings, section, most, left, right = (np.repeat(x, parts) for x in (start, strings, section, most, *sides))
         start, strings = start + nth * most, np.minimum(most, strings - nth * most)
         key, is_hot = mix(anchor[start]), np.flatnonzero(most == 1)
+        left, right = mix(key ^ left), mix(key ^ right)
         if len(is_hot):  # dealt by the whole string
             key[is_hot] = mix(np.fromiter((zlib.crc32(raw[s : s + SPAN]) for s in start[is_hot].tolist()), _U, len(is_hot)))
-        return start, strings, section, key
+            left[is_hot] = right[is_hot] = mix(key[is_hot])
+        return start, strings, section, key, left, right
 
     def flush(self) -> Iterator[tuple[int, bytes]]:
-        """(bucket, references) rows: where pieces are, and a mark of their anchors."""
+        """(bucket, references) rows: where pieces are, and marks of their anchors
+        with either side."""
         if not self.parts:
             return
-        start, strings, section, key = self.cut()
+        start, strings, section, key, left, right = self.cut()
         doc, fp, offset = (np.array(x, np.int64) for x in zip(*self.of, strict=True))
         lead = np.cumsum([0, *map(len, self.parts)])[:-1]
         at = start - lead[section] + offset[section]
@@ -354,7 +389,7 @@ class _Sections:
         for number, own in _groups(bucket):
             named, nth = np.unique(section[own], return_inverse=True)
             yield number, _packed(np.diff(doc[named], prepend=0), fp[named], np.diff(nth, prepend=0).astype(np.int32), at[own].astype(np.int32),
-                                  strings[own].astype(np.uint8), *_split(key[own] >> _U(40)))
+                                  strings[own].astype(np.uint8), *((x[own] >> _U(48)).astype(np.uint16) for x in (key, left, right)))
         self.clear()
 
 
@@ -367,26 +402,31 @@ def _groups(number: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(number[order[lo]]), order[lo:hi]
 
 
-def _split(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """24 bits as two and one bytes."""
-    return (mark & _U(0xFFFF)).astype(np.uint16), (mark >> _U(16)).astype(np.uint8)
+_REFERENCE = ("<i8", "<i8", "<i4", "<i4", "u1", "<u2", "<u2", "<u2")
 
 
-_REFERENCE = ("<i8", "<i8", "<i4", "<i4", "u1", "<u2", "u1")
+def _several(mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether another document has the mark."""
+    order = np.argsort(mark)
+    mark, doc = mark[order], doc[order]
+    first = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
+    many = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+    out = np.empty(len(mark), bool)
+    out[order] = np.repeat(many, np.diff(np.append(first, len(mark))))
+    return out
 
 
 def _shared(rows: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(id, print, start, strings) of the pieces whose anchor is in several documents."""
+    """(id, print, start, strings) of the pieces of which other documents have the
+    anchor with one side."""
     lots = []
     for row in rows:
-        doc, fp, nth, at, strings, low, high = _unpacked(row, *_REFERENCE)
+        doc, fp, nth, at, strings, anchor, *sides = _unpacked(row, *_REFERENCE)
         nth = np.cumsum(nth, dtype=np.int64)
-        lots.append((np.cumsum(doc)[nth], fp[nth], at, strings, low.astype(np.int64) | high.astype(np.int64) << 16))
-    doc, fp, at, strings, mark = (np.concatenate(x) for x in zip(*lots, strict=True))
-    least, most = np.full(1 << 24, LAST), np.full(1 << 24, -LAST - 1)
-    np.minimum.at(least, mark, doc)
-    np.maximum.at(most, mark, doc)
-    kept = least[mark] < most[mark]
+        left, right = (anchor.astype(np.uint32) << 16 | side for side in sides)
+        lots.append((np.cumsum(doc)[nth], fp[nth], at, strings, left, right))
+    doc, fp, at, strings, left, right = (np.concatenate(x) for x in zip(*lots, strict=True))
+    kept = _several(left, doc) | _several(right, doc)
     return doc[kept], fp[kept], at[kept], strings[kept]
 
 

@@ -1,3 +1,4 @@
+import collections
 import hashlib
 import random
 import tempfile
@@ -109,3 +110,49 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert c.drop_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_pieces_that_share_an_anchor_only_stay_outside():
+    """Words in common are no passage in common: such pieces go to no bucket."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(20)) for _ in range(12)]
+    texts = [" ".join(rng.choice(words) + str(rng.random()) for _ in range(60)).encode() for _ in range(40)]
+    passage = "".join(rng.choice("qrstuvwxyz") for _ in range(50)).encode()
+    texts[7] += passage
+    texts[30] = texts[30][:500] + passage + texts[30][500:]
+
+    def kept(texts):
+        held, rows = c._Sections(1, np.zeros(0, np.uint64)), []
+        for i, t in enumerate(texts):
+            rows += [x for _, x in held.add(i, 0, t)]
+        doc, _, at, n = c._shared(rows + [x for _, x in held.flush()])
+        return [(d, a + k) for d, a, m in zip(doc.tolist(), at.tolist(), n.tolist(), strict=True) for k in range(m)]
+
+    strings = collections.defaultdict(set)
+    for i, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            strings[t[k : k + 50]].add(i)
+    needed = {(i, k) for i, t in enumerate(texts) for k in range(len(t) - 49) if len(strings[t[k : k + 50]]) > 1}
+    found = kept(texts)
+    assert needed and needed <= set(found) and len(found) == len(set(found))
+    assert len(found) < 0.02 * sum(map(len, texts))
+
+
+def test_periodic_texts_keep_their_shared_strings():
+    """Anchors that come again within a string: equal strings still have equal marks."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):
+        unit = "".join(rng.choice("ab") for _ in range(rng.randint(1, 40)))
+        t = (unit * 200)[: rng.randint(50, 400)]
+        texts += [t, "".join(rng.choice("cd") for _ in range(rng.randint(0, 30))) + t[rng.randint(0, 20) :] + "e" * rng.randint(0, 60)]
+    held, rows = c._Sections(1, np.zeros(0, np.uint64)), []
+    for i, t in enumerate(texts):
+        rows += [x for _, x in held.add(i, 0, t.encode())] if len(t) >= 50 else []
+    doc, _, at, n = c._shared(rows + [x for _, x in held.flush()])
+    found = {(d, a + k) for d, a, m in zip(doc.tolist(), at.tolist(), n.tolist(), strict=True) for k in range(m)}
+    strings = collections.defaultdict(set)
+    for i, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            strings[t[k : k + 50]].add(i)
+    assert {(i, k) for i, t in enumerate(texts) for k in range(len(t) - 49) if len(strings[t[k : k + 50]]) > 1} <= found
