@@ -15,8 +15,9 @@ few neighbours change.
 Queries walk the graph: a query's beam starts at its own node, if it is a row of
 the graph, else at a fixed few; in each round the
 nodes among its ``BEAM`` nearest that were not expanded yet are expanded, all
-queries at once in joins, until no query has any left. The beam is then ranked by
-the exact cosine of the original vectors, in double precision.
+queries at once in joins, until no query has any left. Between two rounds a query
+keeps its beam, and the ids of the nodes it has met in a table that only grows. The
+beam is then ranked by the exact cosine of the original vectors, in double precision.
 
 Graph and walk use unit vectors in single precision and compare them by their
 distance, summed in double: ``sim`` is the cosine less 1, so that it keeps its
@@ -245,6 +246,12 @@ def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
+def _beam(rows: DataFrame) -> DataFrame:
+    """The ``BEAM`` nearest nodes of each walker."""
+    rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
+    return rows.withColumn("r", rank).where(F.col("r") <= BEAM).drop("r")
+
+
 def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each of the
     queries (query_id, e array<double>), the query's own id excepted. Queries
@@ -262,26 +269,23 @@ def search(graph: Graph, queries: DataFrame, k: int) -> DataFrame:
     near = graph.edges.select("node", "nbr").unionAll(
         graph.edges.withColumn("r", some).where(F.col("r") <= REVERSE).select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
     near, slim = written(near, "nn-near", few=True), nodes.select("node", "u")
-    seen = written(walker.where("node IS NOT NULL").select("own", "node", F.lit(0.0).cast("float").alias("sim"), F.lit(False).alias("done"))
-                   .unionByName(strangers.select("own", "node", _sim_of_units("q", "u").alias("sim"), F.lit(False).alias("done"))), "nn-seen", few=True)
+    start = walker.where("node IS NOT NULL").select("own", "node", F.lit(0.0).cast("float").alias("sim")).unionByName(
+        strangers.select("own", "node", _sim_of_units("q", "u").alias("sim")))
+    scored = written(start, "nn-seen", few=True)
+    beam = written(_beam(scored.withColumn("done", F.lit(False))), "nn-beam", few=True)
+    seen = scored.select("own", "node")  # a table a round: each pair is written once
     walker = walker.select("own", "q")
     while True:
-        rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
-        front = written(seen.withColumn("r", rank).where((F.col("r") <= BEAM) & ~F.col("done")).select("own", "node"), "nn-front", few=True)
+        front = beam.where(~F.col("done")).select("own", "node")
         if front.isEmpty():
             break
-        reached = (front.join(near, "node").select("own", F.col("nbr").alias("node")).distinct()
-                   .join(seen.select("own", "node"), ["own", "node"], "left_anti"))
-        scored = (reached.join(slim, "node").join(walker, "own")
-                  .select("own", "node", _sim_of_units("q", "u").alias("sim"), F.lit(False).alias("done")))
-        after = seen.join(front.withColumn("f", F.lit(True)), ["own", "node"], "left").select(
-            "own", "node", "sim", (F.col("done") | F.coalesce("f", F.lit(False))).alias("done"))
-        now = written(after.unionByName(scored), "nn-seen", few=True)
-        discard(seen)
-        discard(front)
-        seen = now
-    rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("sim"), "node"))
-    beam = seen.withColumn("r", rank).where(F.col("r") <= BEAM).select("own", "node")
+        reached = front.join(near, "node").select("own", F.col("nbr").alias("node")).distinct().join(seen, ["own", "node"], "left_anti")
+        scored = written(reached.join(slim, "node").join(walker, "own").select("own", "node", _sim_of_units("q", "u").alias("sim")), "nn-seen", few=True)
+        seen = seen.unionAll(scored.select("own", "node"))
+        # all of the beam is expanded now, and what has left it is no nearer than what is in it
+        now = written(_beam(beam.withColumn("done", F.lit(True)).unionByName(scored.withColumn("done", F.lit(False)))), "nn-beam", few=True)
+        discard(beam)
+        beam = now
     scored = (asked.join(beam, "own").join(nodes.select("node", "ids", "e"), "node")
               .select("query_id", "ids", _cosine("qe", "e").alias("score")))
     found = scored.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")

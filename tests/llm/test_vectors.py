@@ -119,3 +119,23 @@ def test_nn_descent_of_few_or_no_vectors(spark):
     for df, n in ((one.limit(0), 0), (one, 0), (two, 1)):
         v = N.vectors_of(df)
         assert N.search(N.build(v, 5), v.where("id % 50 = 0").withColumnRenamed("id", "query_id"), 5).count() == n
+
+
+def test_a_walk_writes_what_it_meets_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 400
+    vectors = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(n)], "id long, e array<double>")
+    graph = N.build(vectors, k=5)
+    rows, whole = {}, N.written
+
+    def counted(df, tag, *args, **more):
+        out = whole(df, tag, *args, **more)
+        rows.setdefault(tag, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "written", counted)
+    monkeypatch.setattr(N, "BEAM", 20)
+    queries = vectors.where("id % 50 = 0").withColumnRenamed("id", "query_id")
+    assert N.search(graph, queries, k=5).count() == 5 * 8
+    assert len(rows["nn-seen"]) > 2 and sum(rows["nn-seen"]) <= n * 8
+    assert max(rows["nn-beam"]) <= 20 * 8
