@@ -56,6 +56,7 @@ SIDE = (SPAN - ANCHOR) // 2  # bytes beside its anchor that every string has on
 MOST = 48  # strings in a piece
 SECTION = 4 << 20  # bytes of text looked at together
 BUCKET = 8 << 20  # bytes of text a bucket
+NEAR = 1 << 15  # positions hashed at once, near the processor
 PIECES = 16 << 20  # bytes of pieces sent together
 SAMPLE, HOT = 4096, 64
 BLOCK = 1 << 17  # entries of a file read at once: what is computed of them stays near the processor
@@ -285,23 +286,32 @@ def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each position: the eight bytes from there on, and the hash of the
     ``ANCHOR``-byte string that starts there."""
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
-    words = np.empty(len(data), _U)
-    for k in range(8):
-        words[k::8] = padded[k : k + (len(data) - k + 7) // 8 * 8].view("<u8")
-    h = words[: len(data) - ANCHOR + 1] * _BASE
-    h += words[ANCHOR - 8 : len(data) - 7] * _FURTHER
-    h ^= h >> _U(32)
-    h *= _BASE
-    h ^= h >> _U(29)
-    return words, h
-
-
-def _least(h: np.ndarray) -> np.ndarray:
-    width, size = SPAN - ANCHOR + 1, 1
-    while size * 2 <= width:
-        h = np.minimum(h[:-size], h[size:])
-        size *= 2
-    return np.minimum(h[: len(h) - (width - size)], h[width - size :])
+    words, hashes = np.empty(len(data), _U), np.empty(len(data) - ANCHOR + 1, _U)
+    for lo in range(0, len(data), NEAR):
+        hi = min(lo + NEAR, len(data))
+        for k in range(8):
+            words[lo + k : hi : 8] = padded[lo + k : lo + k + (hi - lo - k + 7) // 8 * 8].view("<u8")
+    for lo in range(0, len(hashes), NEAR):
+        h = words[lo : min(lo + NEAR, len(hashes))] * _BASE
+        h += words[lo + ANCHOR - 8 : lo + ANCHOR - 8 + len(h)] * _FURTHER
+        h ^= h >> _U(32)
+        h *= _BASE
+        h ^= h >> _U(29)
+        hashes[lo : lo + len(h)] = h
+    return words, hashes
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """Of each position: the least of the hashes in the string that starts there."""
+    width = SPAN - ANCHOR + 1
+    out = np.empty(len(hashes) - width + 1, _U)
+    for lo in range(0, len(out), NEAR):
+        h, size = hashes[lo : lo + NEAR + width - 1], 1
+        while size * 2 <= width:
+            h = np.minimum(h[:-size], h[size:])
+            size *= 2
+        out[lo : lo + NEAR] = np.minimum(h[: len(h) - (width - size)], h[width - size :])
+    return out
 
 
 def anchors(data: np.ndarray) -> np.ndarray:
@@ -314,8 +324,8 @@ def _sides(words: np.ndarray, h: np.ndarray, start: np.ndarray, anchor: np.ndarr
     strings from ``start`` on. Bytes that no string of the piece holds do no harm."""
     at = np.empty(len(start), np.int64)
     windows = np.lib.stride_tricks.sliding_window_view(h, SPAN - ANCHOR + 1)
-    for lo in range(0, len(start), 1 << 14):
-        own = slice(lo, lo + (1 << 14))
+    for lo in range(0, len(start), 1 << 12):
+        own = slice(lo, lo + (1 << 12))
         at[own] = start[own] + (windows[start[own]] == anchor[own, None]).argmax(1)
 
     def side(begin: np.ndarray) -> np.ndarray:  # SIDE = 17: two words and a byte
