@@ -17,8 +17,8 @@ Spark's writers commit them, so a lost executor costs its tasks only.
 
 Texts are encoded by the tokenizers library, word by word: between ASCII white
 space its result for a text is the results of the words, one after another, and
-a worker keeps the ids of about ``CACHE`` words (a few documents are encoded between
-two looks at that bound). Words are lower-cased (ASCII)
+a worker keeps the ids of the last ``CACHE`` words or so, and of as many before them (a
+few documents are encoded between two looks at that bound). Words are lower-cased (ASCII)
 first, as the tokenizer does itself, unless the text might hold a special token.
 This holds for tokenizers that lower-case and split at white space, as the test
 against whole texts shows for the one that the query uses.
@@ -44,7 +44,7 @@ from stratum.llm.common import discard, new_path, written
 MAX_BITS = 18
 STEP = 256
 BLOCK_IDS = 1 << 16
-CACHE = 1_000_000
+CACHE = 500_000
 #: A word of Latin letters, and marks behind it: the tokenizer splits between them.
 _PLAIN = re.compile("([a-zÀ-ÖØ-Þß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 
@@ -84,6 +84,8 @@ class WordEncoder:
         if not plain:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
         stem, end = plain.groups()
+        if end and (known := self.cache.get(stem.encode())):  # as a word without marks
+            return known + self.cache[end.encode()]
         letters = stem.lower()
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(self.letters)
@@ -91,19 +93,24 @@ class WordEncoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if len(self.cache) > CACHE:
-            self.cache.clear()
+            self.cache.older = {}
+            self.cache = _Words(self.learn, self.cache)
         ids = self.cache.__getitem__
         return [b"".join(map(ids, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 class _Words(dict):
-    """Ids by word; a word that is not there yet is learned."""
+    """Ids by word; a word that is not there yet is taken from those ``older``, or
+    learned."""
 
-    def __init__(self, learn: Callable[[bytes], bytes]):
-        self.learn = learn
+    def __init__(self, learn: Callable[[bytes], bytes], older: dict[bytes, bytes] | None = None):
+        self.learn, self.older = learn, older or {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self[word] = self.learn(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        self[word] = ids
         return ids
 
 

@@ -83,3 +83,17 @@ def test_query_against_the_library(spark):
         assert got.pop(d) == (d, at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert not got
+
+
+def test_frequent_words_outlive_a_full_cache(monkeypatch):
+    encoder = K.WordEncoder(FILE, np.uint16)
+    learned, learn = [], encoder.cache.learn
+    monkeypatch.setattr(K, "CACHE", 50)
+    encoder.learn = encoder.cache.learn = lambda word: learned.append(word) or learn(word)
+    tokenizer = Tokenizer.from_file(FILE)
+    for i in range(300):
+        text = f"often again, again w{i}x v{i}y. u{i}"
+        got = np.frombuffer(encoder([text.encode()])[0], np.uint16)
+        assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.cache) < 60 and len(encoder.cache.older) < 60
+    assert learned.count(b"often") == learned.count(b"again") == 1
