@@ -22,10 +22,12 @@ those of others by ``SPAN - 1`` bytes and no match is lost. A bucket holds about
 strings of a piece have their anchor at one place, and every string holds the
 ``SIDE`` bytes in front of it or those behind it. So pieces of which no other document
 has the anchor with either side can have no match and stay outside: where pieces are
-goes to the buckets first, then the pieces of shared anchors and sides. Equal pieces are one document of the collection, with the least of their ids. Anchors that are
-in more than a 64th of a sample of documents are hot: their pieces are cut into
-single strings, dealt by the whole string, and copies of a block of texts travel
-once. The sample decides how work is spread, never what is found.
+goes to the buckets first, then the pieces of shared anchors and sides; of a piece
+with one shared side only, the strings that do not hold the other one. Equal pieces
+are one document of the collection, with the least of their ids. Anchors that are in
+more than a 64th of a sample of documents are hot: their pieces are cut into single
+strings, dealt by the whole string, and copies of a block of texts travel once. The
+sample decides how work is spread, never what is found.
 
 Defined cases: null texts are empty; texts shorter than ``SPAN`` bytes stay.
 Bytes that are no UTF-8 become U+FFFD first. Rows that repeat an id never take
@@ -93,6 +95,11 @@ class _Ranges:
         return np.minimum(self.levels[k, lo], self.levels[k, hi - (1 << k)])
 
 
+def _place(keys: np.ndarray) -> np.ndarray:
+    """Places in the block of symbols with their places."""
+    return (keys & 0xFFFFFF).astype(np.int64) >> 1
+
+
 class Collection:
     """The transform of a collection as files in ``folder``: a symbol, a common
     prefix (with a mark of suffixes of ``span`` symbols and more) for each suffix,
@@ -102,15 +109,17 @@ class Collection:
         self.span, self.block, self.folder = span, block, folder
         self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.text = np.frombuffer(b"".join(pieces), np.uint8)
-        self.ends = np.cumsum(self.sizes)
         self.files: dict[str, BinaryIO] = {}
         # all pieces end in the same round, so short ones begin later
         self.rounds, self.last = 0, int(self.sizes.max())
         self.begin = self.last - self.sizes
+        self.heads = np.cumsum(self.sizes) - 1 + self.begin  # less a round: the symbol put in place by it
         self.waiting = np.argsort(self.begin, kind="stable")
         self.n, self.begun = 0, 0
+        self.number = np.dtype(np.int32 if len(pieces) * _SLOT < 1 << 31 else np.int64)  # of labels
         self.ranges = _Ranges(block)
-        self.up, self.nth = np.arange(block, dtype=np.int32), np.empty(block, np.int32)
+        self.up, self.keys = np.arange(block, dtype=np.uint32) << 1, np.empty(block, np.uint32)
+        self.symbols = np.arange(256, dtype=np.uint32) << 24
         self.counts = np.zeros(256, np.int64)
         nothing = np.zeros(0, np.int64)
         self.place = self.piece = nothing  # of the newest suffixes, in order
@@ -136,7 +145,7 @@ class Collection:
         """The symbols in front of what the pieces have in place."""
         if self.rounds == self.last:
             return np.full(len(piece), END, np.uint8)
-        return self.text[self.ends[piece] - 1 - (self.rounds - self.begin[piece])]
+        return self.text[self.heads[piece] - self.rounds]
 
     def _blocks(self, turn: int) -> Iterator[tuple[int, np.ndarray]]:
         entries = self._file("entries", turn)
@@ -155,40 +164,45 @@ class Collection:
         others: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # symbol, rank, value
         for lo, entries in self._blocks(self.rounds):
             n = len(entries)
-            symbols, prefixes = entries.astype(np.uint8), (entries >> 8).astype(np.uint8) & _PREFIX
+            prefixes = (entries >> 8).astype(np.uint8) & _PREFIX
             a, b = np.searchsorted(self.place, (lo, lo + n))
-            order = np.argsort(symbols, kind="stable")
-            self.nth[order] = self.up[:n]
-            count = np.bincount(symbols, minlength=256)
-            start = np.cumsum(count) - count
-            end = start + count
+            at = self.place[a:b] - lo
+            # the block by symbol and place; the last bit tells the new ones
+            keys = self.keys[:n]
+            np.left_shift(entries, 24, out=keys, dtype=np.uint32)
+            keys |= self.up[:n]
+            keys[at] |= 1
+            keys.sort()
+            start = np.searchsorted(keys, self.symbols)
+            end = np.append(start[1:], n)
+            count = end - start
             held = np.flatnonzero(count)
             self.ranges.fill(prefixes)
-            at = self.place[a:b] - lo
-            fresh = np.zeros(n, bool)
-            fresh[at] = True
-            symbol, k = self.symbol[a:b], self.nth[at].astype(np.int64)
+            by = np.argsort(self.symbol[a:b], kind="stable")
+            at, symbol = at[by], self.symbol[a:b][by]
+            k = np.flatnonzero((keys & 1).astype(bool))
             first = k == start[symbol]
-            value = self.ranges.least(np.where(first, 0, order[k - 1] + 1), at + 1)
+            value = self.ranges.least(np.where(first, 0, _place(keys[k - 1]) + 1), at + 1)
             value[first] = np.minimum(value[first], carried[symbol[first]])
             rank = passed[symbol] + k - start[symbol]
-            ranks[a:b], values[a:b] = rank, value
+            ranks[a + by], values[a + by] = rank, value
             # older entries behind new ones: the first of a symbol, then those in the block
             heads = held[newest[held]]
-            heads = heads[~fresh[order[start[heads]]]]
+            heads = heads[keys[start[heads]] & 1 == 0]
             others.append((heads.astype(np.uint8), passed[heads], np.minimum(carried[heads], self.ranges.least(
-                np.zeros(len(heads), np.int64), order[start[heads]] + 1))))
+                np.zeros(len(heads), np.int64), _place(keys[start[heads]]) + 1))))
             followed = np.flatnonzero(k + 1 < end[symbol])
-            behind = order[k[followed] + 1]
-            older = ~fresh[behind]
-            followed, behind = followed[older], behind[older]
+            behind = keys[k[followed] + 1]
+            older = behind & 1 == 0
+            followed, behind = followed[older], _place(behind[older])
             others.append((symbol[followed], rank[followed] + 1, self.ranges.least(at[followed] + 1, behind + 1)))
-            last = order[end[held] - 1]
+            back = keys[end[held] - 1]
+            last = _place(back)
             carried = np.minimum(carried, prefixes.min())
             carried[held] = _PREFIX
             more = last + 1 < n
             carried[held[more]] = self.ranges.least(last[more] + 1, np.full(int(more.sum()), n))
-            newest[held] = fresh[last]
+            newest[held] = back & 1 == 1
             passed += count
 
         def placed(symbol: np.ndarray, rank: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,7 +225,7 @@ class Collection:
         label = piece * _SLOT + self.last - self.rounds
         marked = self.rounds - self.begin[piece] >= self.span
         prefix = np.concatenate([np.zeros(len(fresh), np.uint8), prefix]) | np.where(marked, _LONG, 0).astype(np.uint8)
-        label = label[marked]
+        label = label[marked].astype(self.number)
         passed = 0
         before = place - np.arange(len(place))  # older entries in front of each
         labels, out_labels = self._file("labels", old), self._file("labels", self.rounds)
@@ -231,15 +245,15 @@ class Collection:
             c, d = np.searchsorted(other, (lo + a, lo + a + len(kept)))
             nearer = other[c:d] - (lo + a)
             merged[nearer] = merged[nearer] & ~_SHARED | changed[c:d]
-            out_entries.write(merged.tobytes())
+            out_entries.write(merged.data)
             older = kept[np.flatnonzero(merged >= _MARK)]
             if len(older):
-                both = np.empty(len(older), np.int64)
-                many = int(older.sum())
-                both[older] = np.frombuffer(labels.read(8 * many), np.int64)
-                both[~older] = label[passed : passed + len(older) - many]
+                both = np.empty(len(older), self.number)
+                many = np.count_nonzero(older)
+                both[older] = np.frombuffer(labels.read(self.number.itemsize * many), self.number)
+                both[np.flatnonzero(~older)] = label[passed : passed + len(older) - many]
                 passed += len(older) - many
-                out_labels.write(both.tobytes())
+                out_labels.write(both.data)
             a = b
         self.n += len(place)
         self.place, self.piece, self.symbol = place, piece, symbol
@@ -251,11 +265,11 @@ class Collection:
         strings = self.sizes - self.span + 1
         first = np.cumsum(strings) - strings
         out = np.empty(int(strings.sum()), of_piece.dtype)
-        held_label, held_same = np.zeros(0, np.int64), np.zeros(0, bool)
+        held_label, held_same = np.zeros(0, self.number), np.zeros(0, bool)
         labels = self._file("labels", self.rounds)
         for lo, entries in self._blocks(self.rounds):
             marks = entries[entries >= _MARK] >> 8 & _PREFIX
-            label = np.concatenate([held_label, np.frombuffer(labels.read(8 * len(marks)), np.int64)])
+            label = np.concatenate([held_label, np.frombuffer(labels.read(self.number.itemsize * len(marks)), self.number)])
             same = np.concatenate([held_same, marks >= self.span])
             runs = np.flatnonzero(~same)
             done = len(label) if lo + len(entries) == self.n else (int(runs[-1]) if len(runs) else 0)
@@ -319,9 +333,9 @@ def anchors(data: np.ndarray) -> np.ndarray:
     return _least(_hashes(data)[1])
 
 
-def _sides(words: np.ndarray, h: np.ndarray, start: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the SIDE bytes in front of and behind the first anchor of the
-    strings from ``start`` on. Bytes that no string of the piece holds do no harm."""
+def _sides(words: np.ndarray, h: np.ndarray, start: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the first anchor of the strings from ``start`` on, and hashes of the
+    SIDE bytes in front of and behind it. Bytes that no string of the piece holds do no harm."""
     at = np.empty(len(start), np.int64)
     windows = np.lib.stride_tricks.sliding_window_view(h, SPAN - ANCHOR + 1)
     for lo in range(0, len(start), 1 << 12):
@@ -332,7 +346,7 @@ def _sides(words: np.ndarray, h: np.ndarray, start: np.ndarray, anchor: np.ndarr
         first, second, third = (words[np.clip(begin + k, 0, len(words) - 1)] for k in (0, 8, SIDE - 8))
         return mix(mix(first * _BASE + second) * _FURTHER + third)
 
-    return side(at - SIDE), side(at + ANCHOR)
+    return at, side(at - SIDE), side(at + ANCHOR)
 
 
 class _Sections:
@@ -357,41 +371,47 @@ class _Sections:
                 yield from self.flush()
 
     def cut(self) -> tuple[np.ndarray, ...]:
-        """(start, strings, section, key, marks of both sides) of the pieces."""
+        """(start, strings, section, bytes before the anchor, key, marks of both sides) of the pieces."""
         raw = b"".join(self.parts)
         sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        words, h = _hashes(np.frombuffer(raw, np.uint8))
-        anchor = _least(h)
-        new = np.empty(len(anchor), bool)
-        # another anchor, or the same one again behind the place that is left
-        new[0], new[1:] = True, (anchor[1:] != anchor[:-1]) | (h[: len(anchor) - 1] == anchor[:-1])
-        ends = np.cumsum(sizes)
-        new[ends[:-1]] = True
+        data, n, ends = np.frombuffer(raw, np.uint8), len(raw) - SPAN + 1, np.cumsum(sizes)
         over = (ends[:-1, None] + np.arange(1 - SPAN, 0)).ravel()  # strings that would reach into the next section
-        inside = np.ones(len(anchor), bool)
-        inside[over] = False
-        start = np.flatnonzero(new & inside)
+        lots = []
+        for lo in range(0, n, NEAR - 3 * SPAN):  # with the bytes beside them that sides hold
+            hi, begin = min(lo + NEAR - 3 * SPAN, n), max(lo - SIDE, 0)
+            words, h = _hashes(data[begin : hi + 2 * SPAN])
+            least = _least(h)
+            own = slice(lo - begin, hi - begin)
+            # another anchor, or the same one again behind the place that is left
+            new = np.ones(hi - lo, bool)
+            prior = slice(max(own.start - 1, 0), own.stop - 1)
+            new[(hi - lo) - (prior.stop - prior.start) :] = (least[prior.start + 1 : own.stop] != least[prior]) | (h[prior] == least[prior])
+            new[ends[slice(*np.searchsorted(ends, (lo, hi)))] - lo] = True
+            new[over[slice(*np.searchsorted(over, (lo, hi)))] - lo] = False
+            start = np.flatnonzero(new) + own.start
+            place, *sides = _sides(words, h, start, least[start])
+            lots.append((start + begin, least[start], place + begin, *sides))
+        start, anchor, *sides = (np.concatenate(x) for x in zip(*lots, strict=True))
         section = np.searchsorted(ends, start, "right")
-        strings = np.minimum(np.append(start[1:], len(anchor)), ends[section] - SPAN + 1) - start
-        sides = _sides(words, h, start, anchor[start])
-        most = np.where(np.isin(anchor[start], self.hot), 1, MOST)
+        strings = np.minimum(np.append(start[1:], n), ends[section] - SPAN + 1) - start
+        most = np.where(np.isin(anchor, self.hot), 1, MOST)
         parts = -(-strings // most)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        start, strings, section, most, left, right = (np.repeat(x, parts) for x in (start, strings, section, most, *sides))
+        start, strings, section, anchor, most, place, left, right = (np.repeat(x, parts) for x in (start, strings, section, anchor, most, *sides))
         start, strings = start + nth * most, np.minimum(most, strings - nth * most)
-        key, is_hot = mix(anchor[start]), np.flatnonzero(most == 1)
+        key, is_hot = mix(anchor), np.flatnonzero(most == 1)
         left, right = mix(key ^ left), mix(key ^ right)
         if len(is_hot):  # dealt by the whole string
             key[is_hot] = mix(np.fromiter((zlib.crc32(raw[s : s + SPAN]) for s in start[is_hot].tolist()), _U, len(is_hot)))
             left[is_hot] = right[is_hot] = mix(key[is_hot])
-        return start, strings, section, key, left, right
+        return start, strings, section, place - start, key, left, right
 
     def flush(self) -> Iterator[tuple[int, bytes]]:
         """(bucket, references) rows: where pieces are, and marks of their anchors
         with either side."""
         if not self.parts:
             return
-        start, strings, section, key, left, right = self.cut()
+        start, strings, section, lead_in, key, left, right = self.cut()
         doc, fp, offset = (np.array(x, np.int64) for x in zip(*self.of, strict=True))
         lead = np.cumsum([0, *map(len, self.parts)])[:-1]
         at = start - lead[section] + offset[section]
@@ -399,7 +419,7 @@ class _Sections:
         for number, own in _groups(bucket):
             named, nth = np.unique(section[own], return_inverse=True)
             yield number, _packed(np.diff(doc[named], prepend=0), fp[named], np.diff(nth, prepend=0).astype(np.int32), at[own].astype(np.int32),
-                                  strings[own].astype(np.uint8), *((x[own] >> _U(48)).astype(np.uint16) for x in (key, left, right)))
+                                  strings[own].astype(np.uint8), lead_in[own].astype(np.uint8), *((x[own] >> _U(48)).astype(np.uint16) for x in (key, left, right)))
         self.clear()
 
 
@@ -412,7 +432,7 @@ def _groups(number: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(number[order[lo]]), order[lo:hi]
 
 
-_REFERENCE = ("<i8", "<i8", "<i4", "<i4", "u1", "<u2", "<u2", "<u2")
+_REFERENCE = ("<i8", "<i8", "<i4", "<i4", "u1", "u1", "<u2", "<u2", "<u2")
 
 
 def _several(mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -428,16 +448,22 @@ def _several(mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def _shared(rows: list[bytes]) -> tuple[np.ndarray, ...]:
     """(id, print, start, strings) of the pieces of which other documents have the
-    anchor with one side."""
+    anchor with one side, without the strings that hold the other side."""
     lots = []
     for row in rows:
-        doc, fp, nth, at, strings, anchor, *sides = _unpacked(row, *_REFERENCE)
+        doc, fp, nth, at, strings, ahead, anchor, *sides = _unpacked(row, *_REFERENCE)
         nth = np.cumsum(nth, dtype=np.int64)
         left, right = (anchor.astype(np.uint32) << 16 | side for side in sides)
-        lots.append((np.cumsum(doc)[nth], fp[nth], at, strings, left, right))
-    doc, fp, at, strings, left, right = (np.concatenate(x) for x in zip(*lots, strict=True))
-    kept = _several(left, doc) | _several(right, doc)
-    return doc[kept], fp[kept], at[kept], strings[kept]
+        lots.append((np.cumsum(doc)[nth], fp[nth], at, strings, ahead, left, right))
+    doc, fp, at, strings, ahead, left, right = (np.concatenate(x) for x in zip(*lots, strict=True))
+    left, right = _several(left, doc), _several(right, doc)
+    kept = left | right
+    doc, fp, at, strings, ahead, left, right = (x[kept] for x in (doc, fp, at, strings, ahead.astype(np.int64), left, right))
+    # strings from `a` to `b`: without the left side those with fewer bytes before the anchor, without the right one those with more
+    a = np.where(left, 0, np.clip(ahead - SIDE + 1, 0, strings))
+    b = np.where(right, strings, np.clip(ahead - (SPAN - ANCHOR - SIDE), 0, strings))
+    some = a < b
+    return doc[some], fp[some], (at + a)[some].astype(np.int32), (b - a)[some].astype(np.uint8)
 
 
 class _Pieces:
@@ -459,7 +485,7 @@ class _Pieces:
             self.lots.append((np.full(len(start[part]), len(self.of)), bucket[part], start[part], strings[part]))
             self.cuts += [text[s : s + n + SPAN - 1] for s, n in zip(start[part].tolist(), strings[part].tolist(), strict=True)]
             self.of.append((doc, fp))
-            self.bytes += sum(map(len, self.cuts[-len(start[part]) :]))
+            self.bytes += int(strings[part].sum()) + (SPAN - 1) * len(strings[part])
             if self.bytes >= PIECES:
                 yield from self.flush()
 
@@ -479,7 +505,8 @@ class _Pieces:
             np.minimum.at(least, piece, docs[nth])
             copies = (strings[own] == 1) & (docs[nth] > least[piece])
             left = ~copies
-            sizes = np.fromiter(map(len, number), np.uint8, len(number))
+            sizes = np.empty(len(number), np.uint8)
+            sizes[piece] = strings[own] + SPAN - 1
             yield into, _packed(
                 np.diff(docs, prepend=0), fps, np.frombuffer(b"".join(number), np.uint8), sizes,
                 np.diff(piece[left], prepend=0).astype(np.int32), np.diff(nth[left], prepend=0).astype(np.int32), at[left].astype(np.int32))

@@ -156,3 +156,22 @@ def test_periodic_texts_keep_their_shared_strings():
         for k in range(len(t) - 49):
             strings[t[k : k + 50]].add(i)
     assert {(i, k) for i, t in enumerate(texts) for k in range(len(t) - 49) if len(strings[t[k : k + 50]]) > 1} <= found
+
+
+def test_strings_that_hold_an_unshared_side_stay_outside():
+    """Pieces with one shared side go without the strings that hold the other one."""
+    rng = random.Random(13)
+    filler = lambda: bytes(rng.choice(b"abcdefghijklmnop") for _ in range(300))
+    passages = [bytes(rng.choice(b"qrstuvwxyz") for _ in range(rng.choice([45, 49, 50, 60]))) for _ in range(80)]
+    texts = [filler() + p + filler() for p in passages for _ in range(2)]
+    held, rows = c._Sections(1, np.zeros(0, np.uint64)), []
+    for i, t in enumerate(texts):
+        rows += [x for _, x in held.add(i, 0, t)]
+    doc, _, at, n = c._shared(rows + [x for _, x in held.flush()])
+    found = {(d, a + k) for d, a, m in zip(doc.tolist(), at.tolist(), n.tolist(), strict=True) for k in range(m)}
+    assert {(i, 300 + k) for i, t in enumerate(texts) for k in range(len(t) - 649)} <= found
+    for d, k in found:
+        place = k + int(c._hashes(np.frombuffer(texts[d][k : k + 50], np.uint8))[1].argmin())
+        other = texts[d ^ 1]
+        assert place - 17 < k or texts[d][place - 17 : place + 16] in other
+        assert place + 33 > k + 50 or texts[d][place : place + 33] in other
