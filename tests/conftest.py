@@ -33,3 +33,14 @@ def spark():
 @pytest.fixture()
 def tmp_root():
     return tempfile.mkdtemp(prefix="stratum-test-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+@pytest.fixture(autouse=True)
+def own_caches():
+    """Tables that a test caches go with it: later tests count what is persisted."""
+    yield
+    from pyspark.sql import SparkSession
+
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
